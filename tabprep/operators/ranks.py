@@ -25,8 +25,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-MAX_OFFSET_ROWS = 200_000  # size check for the broadcast offsets table
+ROWS_PER_BUCKET = 2_000_000  # distinct values per window task
+MAX_BUCKETS = 1024           # per group; CASE tree depth log2(1024) = 10
+MAX_OFFSET_ROWS = 200_000    # size check for the broadcast offsets table
 
 
 def search_expr(value: Column, splits: Sequence[float]) -> Column:
@@ -49,60 +50,99 @@ def _group_key(group_cols: Sequence[str]) -> Column:
     return F.concat_ws("\u0001", *[F.col(g).cast("string") for g in group_cols])
 
 
-def ranked_distinct(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                    weight_col: str | None = None, n_buckets: int = DEFAULT_BUCKETS,
-                    descending: bool = False):
-    """Distinct (group, value) rows with exact cumulative weights.
-
-    Returns ``(ranked_df, info)``; ranked_df has group_cols, value_col, ``cnt``
-    (sum of weights), ``bucket``, ``cum`` (inclusive running total in value order
-    within the group) and ``cum_before``. ``info`` maps group key -> dict(total,
-    offsets: list of (bucket, offset, total)). NULL values are dropped.
+def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
+                   sums: dict | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
+                   descending: bool = False, max_buckets: int = MAX_BUCKETS):
+    """Distinct (group, value) rows with exact running totals in value order.
+
+    ``sums`` maps output name -> Column summed per distinct value (default
+    ``{"cnt": 1}``). For each name ``k`` the result has ``k`` (the sum at this
+    value), ``cum_k`` (inclusive running total within the group) and
+    ``before_k`` (total strictly before this value). Returns ``(ranked, info)``;
+    ``info[group_key]`` = {"total": {k: n}, "offsets": [(bucket, {k: off}, {k: n})]}.
+    NULL values are dropped.
     """
     group_cols = list(group_cols)
-    w = F.col(weight_col) if weight_col else F.lit(1)
+    sums = sums or {"cnt": F.lit(1)}
+    names = list(sums)
     v = F.col(value_col)
     vc = (df.where(v.isNotNull())
-          .groupBy(*group_cols, value_col).agg(F.sum(w).alias("cnt")))
+          .groupBy(*group_cols, value_col).agg(*[F.sum(e).alias(k) for k, e in sums.items()]))
     vc = vc.withColumn("_g", _group_key(group_cols))
     vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    split_rows = (vc.groupBy("_g").agg(F.percentile_approx(v.cast("double"), fracs, 10000).alias("s"))
-                  .collect())
-    splits = {r["_g"]: (r["s"] or []) for r in split_rows}
-    if len(splits) > MAX_OFFSET_ROWS // max(n_buckets, 1):
-        raise ValueError("too many groups for bucketed ranks")
-    bucket = None
-    for g, s in splits.items():
-        e = search_expr(v.cast("double"), s)
-        bucket = F.when(F.col("_g") == g, e) if bucket is None else bucket.when(F.col("_g") == g, e)
-    if bucket is None:
-        bucket = F.lit(0)
+    # Buckets per group from its distinct count: small groups need no split
+    # (bucket 0, no expression), large ones get ~rows_per_bucket values each.
+    size_rows = vc.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(k) for k in names]).collect()
+    sizes = {r["_g"]: r["_n"] for r in size_rows}
+    if len(sizes) > MAX_OFFSET_ROWS:
+        raise ValueError("too many groups for bucketed running totals")
+    want = {g: min(max_buckets, -(-n // rows_per_bucket)) for g, n in sizes.items()}
+    big = {g: b for g, b in want.items() if b > 1}
+    splits: dict = {}
+    if big:
+        nb = max(big.values())
+        fracs = [i / nb for i in range(1, nb)]
+        rows = (vc.where(F.col("_g").isin(list(big)))
+                .groupBy("_g").agg(F.percentile_approx(v.cast("double"), fracs, 10000).alias("s")).collect())
+        splits = {r["_g"]: (r["s"] or []) for r in rows}
+    bucket = F.lit(0)
+    if splits:
+        bucket = None
+        for g, sp in splits.items():
+            e = search_expr(v.cast("double"), sp)
+            bucket = F.when(F.col("_g") == g, e) if bucket is None else bucket.when(F.col("_g") == g, e)
+        bucket = bucket.otherwise(F.lit(0))
     if descending:
-        bucket = F.lit(n_buckets + 1) - bucket
+        bucket = F.lit(max_buckets + 1) - bucket
     vb = vc.withColumn("bucket", bucket.cast("int"))
-    totals = vb.groupBy("_g", "bucket").agg(F.sum("cnt").alias("bc")).collect()
+    if splits:
+        totals = vb.groupBy("_g", "bucket").agg(*[F.sum(k).alias(k) for k in names]).collect()
+    else:  # one bucket per group: the size pass already holds the totals
+        b0 = (max_buckets + 1) if descending else 0
+        totals = [dict(_g=r["_g"], bucket=b0, **{k: r[k] for k in names}) for r in size_rows]
     info: dict = {}
-    for r in sorted(totals, key=lambda r: (r["_g"], r["bucket"])):  # noqa: B007
-        d = info.setdefault(r["_g"], {"total": 0, "offsets": []})
-        d["offsets"].append((r["bucket"], d["total"], r["bc"]))
-        d["total"] += r["bc"]
-    off_rows = [(g, b, int(o)) for g, d in info.items() for (b, o, _) in d["offsets"]]
+    for r in sorted(totals, key=lambda r: (r["_g"], r["bucket"])):
+        d = info.setdefault(r["_g"], {"total": {k: 0 for k in names}, "offsets": []})
+        d["offsets"].append((r["bucket"], dict(d["total"]), {k: r[k] for k in names}))
+        for k in names:
+            d["total"][k] += r[k]
     spark = df.sparkSession
-    off_df = spark.createDataFrame(off_rows, "_g string, bucket int, _off long") if off_rows else \
-        spark.createDataFrame([], "_g string, bucket int, _off long")
+    off_rows = [(g, b, *[off[k] for k in names]) for g, d in info.items() for (b, off, _) in d["offsets"]]
+    off_schema = "_g string, bucket int, " + ", ".join(f"_off_{k} {_sql_type(vc, k)}" for k in names)
+    off_df = spark.createDataFrame(off_rows, off_schema)
     order = v.desc() if descending else v.asc()
     win = Window.partitionBy("_g", "bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (vb.withColumn("_run", F.sum("cnt").over(win))
-              # offsets: one row per (group, bucket), size checked above
-              .join(F.broadcast(off_df), ["_g", "bucket"])
-              .withColumn("cum", F.col("_run") + F.col("_off"))
-              .withColumn("cum_before", F.col("cum") - F.col("cnt"))
-              .drop("_run", "_off"))
+    ranked = vb
+    for k in names:
+        ranked = ranked.withColumn(f"_run_{k}", F.sum(k).over(win))
+    # offsets: one row per (group, bucket), size checked above
+    ranked = ranked.join(F.broadcast(off_df), ["_g", "bucket"])
+    for k in names:
+        ranked = (ranked.withColumn(f"cum_{k}", F.col(f"_run_{k}") + F.col(f"_off_{k}"))
+                  .withColumn(f"before_{k}", F.col(f"cum_{k}") - F.col(k))
+                  .drop(f"_run_{k}", f"_off_{k}"))
     info["__cache__"] = vc
     return ranked, info
 
 
+def _sql_type(df: DataFrame, col: str) -> str:
+    t = dict(df.dtypes)[col]
+    return "double" if t in ("double", "float") else "long"
+
+
+def ranked_distinct(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
+                    rows_per_bucket: int = ROWS_PER_BUCKET):
+    """Counts per distinct value with [cum_before, cum) rank spans."""
+    ranked, info = running_totals(df, value_col, group_cols, {"cnt": F.lit(1).cast("long")}, rows_per_bucket)
+    ranked = ranked.withColumnRenamed("cum_cnt", "cum").withColumnRenamed("before_cnt", "cum_before")
+    for g, d in info.items():
+        if g == "__cache__":
+            continue
+        d["total"] = d["total"]["cnt"]
+        d["offsets"] = [(b, off["cnt"], tot["cnt"]) for b, off, tot in d["offsets"]]
+    return ranked, info
+
+
 def release(info: dict) -> None:
     cache = info.get("__cache__")
     if cache is not None:
@@ -117,7 +157,7 @@ def bucket_of_rank(info_g: dict, r: int):
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    n_buckets: int = DEFAULT_BUCKETS) -> dict:
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> dict:
     """{col: [q_p for p in probs]} with linear interpolation between order
     statistics (pandas default, DuckDB ``quantile_cont``); NaN/NULL skipped."""
     cols = list(cols)
@@ -126,7 +166,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     spark = df.sparkSession
     stack_args = ", ".join(f"'{c}', nanvl(cast(`{c}` as double), cast(null as double))" for c in cols)
     melted = df.select(F.expr(f"stack({len(cols)}, {stack_args}) as (col_name, value)"))
-    ranked, info = ranked_distinct(melted, "value", ["col_name"], n_buckets=n_buckets)
+    ranked, info = ranked_distinct(melted, "value", ["col_name"], rows_per_bucket=rows_per_bucket)
     want = []  # (col, bucket, rank)
     plan = {}
     for c in cols:
