@@ -68,18 +68,18 @@ PROBS = [i / (NQ - 1) for i in range(NQ)]
 WITH k AS (SELECT quantile_cont(l_extendedprice, {PROBS!r}) AS q FROM lineitem),
 j AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS x, q,
         len(list_filter(q, lambda e: e <= l_extendedprice)) AS j FROM lineitem, k)
-SELECT l_orderkey, l_linenumber, round(CASE WHEN j = 0 THEN 0.0
+SELECT l_orderkey, l_linenumber, (CASE WHEN j = 0 THEN 0.0
   WHEN x = q[j] THEN CAST(j - 1 AS DOUBLE) / CAST({NQ - 1} AS DOUBLE)
   WHEN j = {NQ} THEN 1.0
   ELSE CAST(j - 1 AS DOUBLE) / CAST({NQ - 1} AS DOUBLE) + (x - q[j]) * (CAST(j AS DOUBLE) / CAST({NQ - 1} AS DOUBLE)
-       - CAST(j - 1 AS DOUBLE) / CAST({NQ - 1} AS DOUBLE)) / (q[j + 1] - q[j]) END, 6) AS price_q
+       - CAST(j - 1 AS DOUBLE) / CAST({NQ - 1} AS DOUBLE)) / (q[j + 1] - q[j]) END) AS price_q
 FROM j
 """)
 def q_quantile_uniform(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     knots = T.quantile_knots(li, "l_extendedprice", max_knots=NQ)
     out = T.quantile_uniform(li, "l_extendedprice", knots, out="price_q")
-    return out.select("l_orderkey", "l_linenumber", F.round("price_q", 6).alias("price_q"))
+    return out.select("l_orderkey", "l_linenumber", "price_q")
 
 
 @query("onehot_drop_first", "T6,F9", sql=with_cp("""

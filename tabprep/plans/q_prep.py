@@ -127,7 +127,7 @@ SCORE_SQL = sql_uniform(42, "c_custkey", "score")
 
 
 @query("risk_tier", "P17", sql=with_cp(f"""
-SELECT c_custkey, round({SCORE_SQL} * 100, 6) AS churn_pct,
+SELECT c_custkey, {SCORE_SQL} * 100 AS churn_pct,
   CASE WHEN {SCORE_SQL} * 100 > 70.0 THEN 'High' WHEN {SCORE_SQL} * 100 > 40.0 THEN 'Medium' ELSE 'Low' END AS tier,
   CASE WHEN {SCORE_SQL} >= 0.5 THEN 'HIGH RISK' ELSE 'LOW RISK' END AS risk_label
 FROM cp
@@ -137,7 +137,7 @@ def q_risk_tier(spark, d):
     cp = customer_profile(spark, d).select("c_custkey", uniform(42, F.col("c_custkey"), "score").alias("p"))
     cp = cp.withColumn("prediction", (F.col("p") >= 0.5).cast("int"))
     out = risk_tier(cp, "p", "prediction", cuts=RISK_CUTS, default=RISK_DEFAULT)
-    return out.select("c_custkey", F.round(F.col("p") * 100, 6).alias("churn_pct"), "tier", "risk_label")
+    return out.select("c_custkey", (F.col("p") * 100).alias("churn_pct"), "tier", "risk_label")
 
 
 # --------------------------------------------------------------------- F ---
@@ -165,11 +165,11 @@ def q_bins_left_closed(spark, d):
 
 
 @query("ratio_eps", "F4", sql=with_cp("""
-SELECT c_custkey, round(total_spend / (balance + 1e-6), 6) AS spend_balance_ratio FROM cp
+SELECT c_custkey, total_spend / (balance + 1e-6) AS spend_balance_ratio FROM cp
 """))
 def q_ratio_eps(spark, d):
     cp = customer_profile(spark, d)
-    return cp.select("c_custkey", F.round(exprs.safe_ratio("total_spend", "balance"), 6).alias("spend_balance_ratio"))
+    return cp.select("c_custkey", exprs.safe_ratio("total_spend", "balance").alias("spend_balance_ratio"))
 
 
 @query("cross_text", "F5", sql=with_cp("SELECT c_custkey, geography || '_' || segment AS geo_segment FROM cp"))
@@ -197,7 +197,7 @@ def _create_all_sql() -> str:
     b0, b1 = s.bins
     return with_cp(f"""
 SELECT *, {bin_sql(b0.column, b0.edges)} AS {b0.out}, {bin_sql(b1.column, b1.edges)} AS {b1.out},
-  round(total_spend / (n_orders + 1e-6), 6) AS spend_per_order,
+  total_spend / (n_orders + 1e-6) AS spend_per_order,
   geography || '_' || segment AS geo_segment,
   n_orders + has_urgent AS activity,
   coalesce(CAST(CAST(n_orders + has_urgent AS DOUBLE) AS VARCHAR), 'nan') || '_' || segment AS activity_segment
@@ -207,8 +207,7 @@ FROM cp
 
 @query("create_all", "F8,F9", sql=_create_all_sql())
 def q_create_all(spark, d):
-    out = create_features(customer_profile(spark, d), PROFILE_SPEC)
-    return out.withColumn("spend_per_order", F.round("spend_per_order", 6))
+    return create_features(customer_profile(spark, d), PROFILE_SPEC)
 
 
 # --------------------------------------------------------------------- O ---
@@ -237,13 +236,13 @@ FROM {src}""")
 
 
 @query("iqr_bounds", "O2", sql=f"""
-SELECT column_name, round(lower_bound, 6) AS lower_bound, round(upper_bound, 6) AS upper_bound
+SELECT column_name, lower_bound, upper_bound
 FROM ({_bounds_sql(LI_NUM, 'lineitem')})
 """)
 def q_iqr_bounds(spark, d):
     li = table(spark, d, "lineitem")
     b = O.iqr_bounds(li, LI_NUM)
-    rows = [(c, round(lo, 6), round(hi, 6)) for c, (lo, hi) in b.items()]
+    rows = [(c, lo, hi) for c, (lo, hi) in b.items()]
     return spark.createDataFrame(rows, "column_name string, lower_bound double, upper_bound double")
 
 
@@ -284,8 +283,8 @@ def _remove_sql(cols, strategy, max_iter=MAX_ITER, m=IQR_MULTIPLIER, summary=Fal
     ctes.append(f"stop AS (SELECT coalesce(min(round), {max_iter}) AS last FROM tot WHERE total = 0)")
     if summary:
         allsum = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(1, max_iter + 1))
-        body = (f"SELECT CAST(round AS INTEGER) AS round, column_name, outlier_count, round(lower_bound, 6) "
-                f"AS lower_bound, round(upper_bound, 6) AS upper_bound, {m} AS iqr_multiplier "
+        body = (f"SELECT CAST(round AS INTEGER) AS round, column_name, outlier_count, lower_bound, "
+                f"upper_bound, {m} AS iqr_multiplier "
                 f"FROM ({allsum}) WHERE round <= (SELECT last FROM stop)")
     else:
         body = f"SELECT * FROM r{max_iter}"
@@ -308,7 +307,7 @@ def q_iqr_remove_all(spark, d):
 def q_iqr_summary(spark, d):
     h = O.OutlierHandler(IQR_MULTIPLIER, target_col="churned")
     h.remove_outliers(customer_profile(spark, d), CP_NUM, strategy="any", max_iter=MAX_ITER)
-    rows = [(r, c, int(n), round(lo, 6), round(hi, 6), float(IQR_MULTIPLIER))
+    rows = [(r, c, int(n), lo, hi, float(IQR_MULTIPLIER))
             for r, per in enumerate(h.rounds, 1) for c, (n, lo, hi) in per.items()]
     return spark.createDataFrame(rows, "round int, column_name string, outlier_count long, lower_bound double, "
                                        "upper_bound double, iqr_multiplier double")
@@ -318,8 +317,8 @@ def q_iqr_summary(spark, d):
 WITH b AS (SELECT {', '.join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in LI_NUM)}
            FROM lineitem)
 SELECT l_orderkey, l_linenumber,
-  {', '.join(f"round(CASE WHEN {c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) THEN q1_{c} - 1.5 * (q3_{c} - q1_{c}) "
-             f"WHEN {c} > q3_{c} + 1.5 * (q3_{c} - q1_{c}) THEN q3_{c} + 1.5 * (q3_{c} - q1_{c}) ELSE {c} END, 6) AS {c}"
+  {', '.join(f"CASE WHEN {c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) THEN q1_{c} - 1.5 * (q3_{c} - q1_{c}) "
+             f"WHEN {c} > q3_{c} + 1.5 * (q3_{c} - q1_{c}) THEN q3_{c} + 1.5 * (q3_{c} - q1_{c}) ELSE {c} END AS {c}"
              for c in LI_NUM)}
 FROM lineitem, b
 """)
@@ -327,7 +326,7 @@ def q_iqr_cap(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LI_NUM)
     h = O.OutlierHandler(IQR_MULTIPLIER)
     capped = h.cap_outliers(li, LI_NUM)
-    return capped.select("l_orderkey", "l_linenumber", *[F.round(c, 6).alias(c) for c in LI_NUM])
+    return capped.select("l_orderkey", "l_linenumber", *LI_NUM)
 
 
 # -------------------------------------------------------------- flagship ---
