@@ -64,10 +64,15 @@ def _block_topk(k: int, exclude_self: bool, with_label: bool):
                 d2 = d2 + (qs[:, f:f + 1] - cmat[:, f][None, :]) ** 2
             if exclude_self:
                 d2[qkeys[s:s + CHUNK][:, None] == ckeys[None, :]] = np.inf
-            # stable sort: equal distances stay in candidate-key order
-            order = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-            rows = np.repeat(np.arange(len(qs)), kk)
-            cols = order.ravel()
+            # top-k per row without a full sort: everything below the k-th
+            # smallest distance, then equal distances in candidate-key order
+            # (candidates are sorted by key) until k are taken
+            t = np.partition(d2, kk - 1, axis=1)[:, kk - 1:kk]
+            lt = d2 < t
+            eq = d2 == t
+            need = kk - lt.sum(axis=1, keepdims=True)
+            sel = lt | (eq & (np.cumsum(eq, axis=1) <= need))
+            rows, cols = np.nonzero(sel)
             dd = d2[rows, cols]
             ok = np.isfinite(dd)
             part = {"qk": qkeys[s:s + CHUNK][rows][ok], "ck": ckeys[cols][ok], "d2": dd[ok]}
@@ -91,7 +96,11 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     c = _prep(candidates, cand_key, features, cand_label, "c")
     if blocks is None:
         nq, nc = queries.count(), candidates.count()
-        blocks = (max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nc / block_rows)))
+        # enough block pairs to occupy the cluster, and no block above block_rows
+        floor_b = max(1, math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism)))
+        bq = max(math.ceil(nq / block_rows), min(floor_b, max(1, nq // 1000)))
+        bc = max(math.ceil(nc / block_rows), min(floor_b, max(1, nc // 1000)))
+        blocks = (max(1, bq), max(1, bc))
     bq, bc = blocks
     qx = (q.withColumn("qb", F.pmod(F.xxhash64("qk"), F.lit(bq)).cast("int"))
           .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(bc - 1)))))
