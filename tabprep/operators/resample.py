@@ -20,6 +20,9 @@ from tabprep.operators.ranks import release, running_totals
 from tabprep.operators.split import hash_rank
 from tabprep.session import cut_lineage
 
+BROADCAST_ROWS = 2_000_000   # minority rows shipped whole to every task (counted first)
+EXPLODE_CHUNK = 100_000      # synthetic draws expanded per task at most
+
 # ------------------------------------------------------------ class counts ---
 
 
@@ -112,10 +115,13 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
         uniform(seed, F.col("id"), "smote_gap").alias("gap"))
     b = indexed.select(F.col("idx"), F.col("key").alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in features])
     n = mino.select(F.col("key").alias("c_key"), *[F.col(f).alias(f"n_{f}") for f in features])
-    syn = (draws.join(b, "idx")
-           .join(nn.select(F.col("q_key").alias("b_key"), "c_key", F.col("rank").cast("int").alias("rank")),
-                 ["b_key", "rank"])
-           .join(n, "c_key"))
+    nnl = nn.select(F.col("q_key").alias("b_key"), "c_key", F.col("rank").cast("int").alias("rank"))
+    if n_min <= BROADCAST_ROWS:
+        # many draws share a base row when the imbalance is extreme: ship the
+        # (counted, bounded) minority side to every task instead of shuffling
+        # the draws onto a few hot keys
+        b, nnl, n = F.broadcast(b), F.broadcast(nnl), F.broadcast(n)
+    syn = draws.join(b, "idx").join(nnl, ["b_key", "rank"]).join(n, "c_key")
     syn = syn.select((-(F.col("id") + 1)).alias("key"),
                      *_interpolate([f"b_{f}" for f in features], [f"n_{f}" for f in features], F.col("gap"), features),
                      F.lit(min_lab).alias("label"))
@@ -146,18 +152,26 @@ def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int
     ranked, info = running_totals(g.where(F.col("g") > 0), "key", [], {"g": F.col("g")})
     kk = min(k, n_min - 1)
     nn = knn_join(mino, mino, features, kk, "key")
-    draws = ranked.select(F.col("key").alias("b_key"), F.col("before_g").alias("off"),
-                          F.explode(F.sequence(F.lit(1).cast("long"), F.col("g"))).alias("j"))
+    # two-level explode: one row may own most of G, so chunks of its draws are
+    # spread over tasks before they are expanded
+    chunks = ranked.select(F.col("key").alias("b_key"), F.col("before_g").alias("off"), "g",
+                           F.explode(F.sequence(F.lit(0).cast("long"),
+                                                F.floor((F.col("g") - 1) / F.lit(EXPLODE_CHUNK)).cast("long")))
+                           .alias("chunk"))
+    chunks = chunks.repartition("b_key", "chunk")
+    draws = chunks.select("b_key", "off", F.explode(F.sequence(
+        F.col("chunk") * F.lit(EXPLODE_CHUNK) + 1,
+        F.least(F.col("g"), (F.col("chunk") + 1) * F.lit(EXPLODE_CHUNK)))).alias("j"))
     draws = draws.select("b_key", "off", "j",
                          (hash_int32(seed, F.col("b_key"), "adasyn_nn", F.col("j")) % F.lit(kk) + 1)
                          .cast("int").alias("rank"),
                          uniform(seed, F.col("b_key"), "adasyn_gap", F.col("j")).alias("gap"))
     b = mino.select(F.col("key").alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in features])
     n = mino.select(F.col("key").alias("c_key"), *[F.col(f).alias(f"n_{f}") for f in features])
-    syn = (draws.join(b, "b_key")
-           .join(nn.select(F.col("q_key").alias("b_key"), "c_key", F.col("rank").cast("int").alias("rank")),
-                 ["b_key", "rank"])
-           .join(n, "c_key"))
+    nnl = nn.select(F.col("q_key").alias("b_key"), "c_key", F.col("rank").cast("int").alias("rank"))
+    if n_min <= BROADCAST_ROWS:
+        b, nnl, n = F.broadcast(b), F.broadcast(nnl), F.broadcast(n)
+    syn = draws.join(b, "b_key").join(nnl, ["b_key", "rank"]).join(n, "c_key")
     syn = syn.select((-(F.col("off") + F.col("j"))).alias("key"),
                      *_interpolate([f"b_{f}" for f in features], [f"n_{f}" for f in features], F.col("gap"), features),
                      F.lit(min_lab).alias("label"))
