@@ -130,3 +130,20 @@ def q_churn_model_run(spark, d):
     bal = R.smote(tr, "c_custkey", FEATURES, "churned", 5, 42).withColumnRenamed("label", "churned")
     _, scored = M.fit_and_score(bal, te, FEATURES, "churned", "GBT", FAST["GBT"])
     return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_smote")
+
+
+@query("csv_sources", "S1,S2,S3")
+def q_csv_sources(spark, d):
+    """Primary + second labelled source as CSV with a declared schema, then
+    the combined set (drop ids, common columns, union by name, dedup)."""
+    import uuid
+    root = S.out_path(spark, uuid.uuid4().hex)
+    cp = customer_profile(spark, d)
+    # whole tables: the second source repeats the first without one column
+    # (so the combined set exercises the schema intersection and the dedup)
+    cp.write.option("header", True).csv(f"{root}/original.csv")
+    cp.drop("has_urgent").write.option("header", True).csv(f"{root}/train.csv")
+    cp.drop("churned").write.option("header", True).csv(f"{root}/test.csv")
+    srcs = S.load_sources(spark, f"{root}/original.csv", f"{root}/train.csv", f"{root}/test.csv",
+                          drop=["c_custkey"], schema=None)
+    return srcs["combined"]
