@@ -147,3 +147,11 @@ def q_csv_sources(spark, d):
     srcs = S.load_sources(spark, f"{root}/original.csv", f"{root}/train.csv", f"{root}/test.csv",
                           drop=["c_custkey"], schema=None)
     return srcs["combined"]
+
+
+@query("shapley_sample", "M7")
+def q_shapley_sample(spark, d):
+    train, test = _weighted_train_test(spark, d)
+    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
+    _, summary = M.shapley_sample(model, _cp(spark, d), FEATURES, "c_custkey", n_rows=500, n_perm=10)
+    return summary
