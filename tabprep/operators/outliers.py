@@ -134,8 +134,8 @@ class OutlierHandler:
         """O4. Column list fixed once; each round refits on the survivors."""
         if strategy not in ("any", "all"):
             raise ValueError("Strategy must be 'any' or 'all'")
-        cols = eligible_columns(df, columns, self.target_col)
         base = df.persist() if persist else df
+        cols = eligible_columns(base, columns, self.target_col)
         keep: list[Column] = []
         self.rounds = []
         current = base
