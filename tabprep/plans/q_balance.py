@@ -201,7 +201,7 @@ ao AS (SELECT key, g, sum(g) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING
 {knn_sql('snn', 'mino', 'mino', f'(SELECT least({k}, n_min - 1) FROM mm)')},
 draws AS (SELECT ao.key AS b_key, off, j, {h('ao.key', 'adasyn_nn', 'j')} % least({k}, mm.n_min - 1) + 1 AS rank,
             {u('ao.key', 'adasyn_gap', 'j')} AS gap FROM ao, mm, range(1, ao.g + 1) t(j)),
-syn AS (SELECT -(d.off + d.j) AS key, {interp}, mm.min_lab AS label
+syn AS (SELECT CAST(-(d.off + d.j) AS BIGINT) AS key, {interp}, mm.min_lab AS label
         FROM draws d JOIN mino b ON b.key = d.b_key
         JOIN snn ON snn.q_key = d.b_key AND snn.rank = d.rank JOIN mino n ON n.key = snn.c_key, mm),
 ad AS (SELECT key, {', '.join(FEATS)}, label FROM kv UNION ALL SELECT key, {', '.join(FEATS)}, label FROM syn)"""

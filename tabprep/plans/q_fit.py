@@ -87,7 +87,7 @@ def q_quantile_uniform(spark, d):
            FROM (SELECT DISTINCT geography AS cat FROM cp)
            UNION ALL SELECT 'segment', cat, row_number() OVER (ORDER BY cat) FROM (SELECT DISTINCT segment AS cat FROM cp))
 SELECT c_custkey, col || '_' || cat AS feature,
-  CASE WHEN (col = 'geography' AND geography = cat) OR (col = 'segment' AND segment = cat) THEN 1.0 ELSE 0.0 END AS value
+  CAST(CASE WHEN (col = 'geography' AND geography = cat) OR (col = 'segment' AND segment = cat) THEN 1 ELSE 0 END AS DOUBLE) AS value
 FROM cp, cats WHERE r > 1
 """))
 def q_onehot_drop_first(spark, d):

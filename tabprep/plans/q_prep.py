@@ -284,7 +284,7 @@ def _remove_sql(cols, strategy, max_iter=MAX_ITER, m=IQR_MULTIPLIER, summary=Fal
     if summary:
         allsum = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(1, max_iter + 1))
         body = (f"SELECT CAST(round AS INTEGER) AS round, column_name, outlier_count, lower_bound, "
-                f"upper_bound, {m} AS iqr_multiplier "
+                f"upper_bound, CAST({m} AS DOUBLE) AS iqr_multiplier "
                 f"FROM ({allsum}) WHERE round <= (SELECT last FROM stop)")
     else:
         body = f"SELECT * FROM r{max_iter}"
