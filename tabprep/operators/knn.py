@@ -35,14 +35,15 @@ CHUNK = 512
 
 
 def _prep(df: DataFrame, key: str, features: Sequence[str], label: str | None, prefix: str) -> DataFrame:
+    # plain double columns: Arrow hands them to numpy without per-row objects
     cols = [F.col(key).cast("long").alias(f"{prefix}k"),
-            F.array(*[F.col(f).cast("double") for f in features]).alias(f"{prefix}v")]
+            *[F.col(f).cast("double").alias(f"{prefix}v{i}") for i, f in enumerate(features)]]
     if label:
         cols.append(F.col(label).cast("long").alias(f"{prefix}l"))
     return df.select(*cols)
 
 
-def _block_topk(k: int, exclude_self: bool, with_label: bool):
+def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int):
     out_cols = ["qk", "ck", "d2"] + (["cl"] if with_label else [])
 
     def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -50,10 +51,10 @@ def _block_topk(k: int, exclude_self: bool, with_label: bool):
             return pd.DataFrame({n: pd.Series(dtype="int64" if n != "d2" else "float64") for n in out_cols})
         c = c.sort_values("ck", kind="stable")
         ckeys = c["ck"].to_numpy()
-        cmat = np.stack(c["cv"].to_numpy()).astype(np.float64)
+        cmat = c[[f"cv{i}" for i in range(nf)]].to_numpy(dtype=np.float64)
         clab = c["cl"].to_numpy() if with_label else None
         qkeys = q["qk"].to_numpy()
-        qmat = np.stack(q["qv"].to_numpy()).astype(np.float64)
+        qmat = q[[f"qv{i}" for i in range(nf)]].to_numpy(dtype=np.float64)
         kk = min(k, len(ckeys))
         parts = []
         for s in range(0, len(qkeys), CHUNK):
@@ -109,7 +110,7 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     with_label = cand_label is not None
     schema = "qk long, ck long, d2 double" + (", cl long" if with_label else "")
     pairs = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
-             .applyInPandas(_block_topk(k, exclude_self, with_label), schema))
+             .applyInPandas(_block_topk(k, exclude_self, with_label, len(features)), schema))
     w = Window.partitionBy("qk").orderBy("d2", "ck")
     top = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     cols = [F.col("qk").alias("q_key"), F.col("ck").alias("c_key"), F.sqrt("d2").alias("dist"),

@@ -54,3 +54,14 @@ def test_enn_and_nearmiss_subsets(spark):
     c = dict(nm.groupBy("label").count().collect())
     assert c[0] == c[1]
     assert {r["key"] for r in nm.collect()} <= keys
+
+
+def test_adasyn_chunked_expansion_matches(spark, monkeypatch):
+    pts = _points(80, seed=5)
+    df = spark.createDataFrame(pts, "key long, x double, y double, label int")
+    a = sorted((r["key"], r["x"], r["y"]) for r in R.adasyn(df, "key", ["x", "y"], "label").collect())
+    monkeypatch.setattr(R, "EXPLODE_CHUNK", 2)
+    b = sorted((r["key"], r["x"], r["y"]) for r in R.adasyn(df, "key", ["x", "y"], "label").collect())
+    assert a == b
+    keys = [k for k, _, _ in a]
+    assert len(keys) == len(set(keys))
