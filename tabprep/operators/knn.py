@@ -96,7 +96,8 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     q = _prep(queries, key, features, None, "q")
     c = _prep(candidates, cand_key, features, cand_label, "c")
     if blocks is None:
-        nq, nc = queries.count(), candidates.count()
+        nq = queries.count()
+        nc = nq if candidates is queries else candidates.count()
         # enough block pairs to occupy the cluster, and no block above block_rows
         floor_b = max(1, math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism)))
         bq = max(math.ceil(nq / block_rows), min(floor_b, max(1, nq // 1000)))
