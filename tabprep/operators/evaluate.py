@@ -195,10 +195,10 @@ def metric_row(df: DataFrame, label: str = "label", pred: str = "prediction", sc
         *g, F.when((F.col("P") == 0) | (F.col("N") == 0), F.lit(None).cast("double"))
         .otherwise(F.col("u") / (F.col("P") * F.col("N"))).alias("ROC_AUC"),
         F.when(F.col("P") == 0, F.lit(None).cast("double")).otherwise(F.col("s") / F.col("P")).alias("PR_AUC"))
-    if g:
-        out = w.join(areas, g)
-    else:
-        out = w.withColumn("_k", F.lit(1)).join(areas.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    # both halves have one row per group: union + group-by merges them (no join)
+    names = ["Accuracy", "F1", "Precision", "Recall", "ROC_AUC", "PR_AUC"]
+    out = (w.unionByName(areas, allowMissingColumns=True)
+           .groupBy(*g).agg(*[F.max(c).alias(c) for c in names]))
     if model_id is not None:
         out = out.select(F.lit(model_id).alias("Model"), *out.columns)
     return out

@@ -57,11 +57,10 @@ def missing(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """A4: count desc + share of total x 100; the window runs on the aggregate."""
     vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    # total as a one-row frame (broadcast) rather than a window without partitions,
-    # so a high-cardinality column never lands in a single task
-    total = vc.agg(F.sum("count").alias("_total")).withColumn("_k", F.lit(1))
-    return (vc.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-            .select(col, "count", F.round(100.0 * F.col("count") / F.col("_total"), 6).alias("percent")))
+    # the total is one aggregate turned into a literal: no window without
+    # partitions and no join with a one-row frame
+    total = vc.agg(F.sum("count")).first()[0] or 0
+    return vc.withColumn("percent", F.round(100.0 * F.col("count") / F.lit(float(total) if total else None), 6))
 
 
 def two_key_counts(df: DataFrame, dim: str, label: str) -> DataFrame:

@@ -33,16 +33,16 @@ def class_counts(df: DataFrame, label: str) -> list:
 
 def class_profile(df: DataFrame, label: str) -> DataFrame:
     """Counts, ratios, total, n_classes, max/min imbalance ratio, majority
-    and minority label (first label on ties), all by DataFrame aggregates."""
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    s = c.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("n_classes"),
-              F.max("count").alias("mx"), F.min("count").alias("mn"),
-              F.min_by(F.col(label), F.struct(-F.col("count"), F.col(label))).alias("majority"),
-              F.min_by(F.col(label), F.struct(F.col("count"), F.col(label))).alias("minority"))
-    return (c.withColumn("_k", F.lit(1)).join(s.withColumn("_k", F.lit(1)), "_k").drop("_k")
-            .select(F.col(label).alias("label"), "count",
-                    (F.col("count") / F.col("total")).alias("ratio"), "total", "n_classes",
-                    (F.col("mx") / F.col("mn")).alias("imbalance_ratio"), "majority", "minority"))
+    and minority label (first label on ties). One aggregate per class; the
+    class table (one row per class) is finished on the driver."""
+    counts = class_counts(df, label)
+    total = sum(n for _, n in counts)
+    (min_lab, mn), (maj_lab, mx) = _minority_majority(counts)
+    rows = [(lab, n, n / total, total, len(counts), mx / mn, maj_lab, min_lab) for lab, n in counts]
+    ltype = dict(df.dtypes)[label]
+    return df.sparkSession.createDataFrame(
+        rows, f"label {ltype}, count long, ratio double, total long, n_classes long, imbalance_ratio double, "
+              f"majority {ltype}, minority {ltype}")
 
 
 def class_weights(df: DataFrame, label: str, how: str = "balanced") -> DataFrame:
@@ -51,10 +51,10 @@ def class_weights(df: DataFrame, label: str, how: str = "balanced") -> DataFrame
     class-weight vector)."""
     if how not in ("balanced", "custom"):
         raise ValueError(f"Unknown method: {how}")
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    t = c.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
-    return (c.withColumn("_k", F.lit(1)).join(t.withColumn("_k", F.lit(1)), "_k")
-            .select(F.col(label).alias("label"), (F.col("n") / (F.col("k") * F.col("n_c"))).alias("weight")))
+    counts = class_counts(df, label)
+    n, k = sum(c for _, c in counts), len(counts)
+    ltype = dict(df.dtypes)[label]
+    return df.sparkSession.createDataFrame([(lab, n / (k * c)) for lab, c in counts], f"label {ltype}, weight double")
 
 
 def with_row_weights(df: DataFrame, label: str, weights: dict, out: str = "weight") -> DataFrame:
@@ -77,7 +77,7 @@ def before_after(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
 # -------------------------------------------------------------- resamplers ---
 
 
-def _minority_majority(counts: list):
+def _minority_majority(counts: list):  # noqa: E302
     mn = min(counts, key=lambda t: (t[1], t[0]))
     mx = min(counts, key=lambda t: (-t[1], t[0]))
     return mn, mx
