@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tabprep.operators.ranks import exact_quantiles
+from tabprep.operators.ranks import approx_quantiles, exact_quantiles
 
 
 def _clean(c: str) -> Column:
@@ -52,9 +52,10 @@ def eligible_columns(df: DataFrame, columns: Sequence[str] | None = None,
     return [c for i, c in enumerate(cols) if more[f"o{i}"] == 1]
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], multiplier: float = 1.5) -> dict:
-    """O2: {col: (lower, upper)} from exact linear-interpolated quartiles."""
-    q = exact_quantiles(df, columns, [0.25, 0.75])
+def iqr_bounds(df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, method: str = "exact") -> dict:
+    """O2: {col: (lower, upper)} from linear-interpolated quartiles; exact by
+    default, ``method="approx"`` for a single bounded-memory aggregate."""
+    q = (approx_quantiles if method == "approx" else exact_quantiles)(df, columns, [0.25, 0.75])
     out = {}
     for c in columns:
         q1, q3 = q[c]
@@ -116,16 +117,17 @@ def summary_frame(spark, rounds: list, multiplier: float) -> DataFrame:
 class OutlierHandler:
     """O1-O6 with the original toolkit's call shape; state kept as small dicts."""
 
-    def __init__(self, iqr_multiplier: float = 1.5, target_col: str | None = None):
+    def __init__(self, iqr_multiplier: float = 1.5, target_col: str | None = None, method: str = "exact"):
         self.iqr_multiplier = iqr_multiplier
         self.target_col = target_col
+        self.method = method
         self.outlier_bounds: dict = {}
         self.outlier_counts: dict = {}
         self.rounds: list = []
 
     def detect_outliers(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         cols = eligible_columns(df, columns, self.target_col)
-        self.outlier_bounds = iqr_bounds(df, cols, self.iqr_multiplier)
+        self.outlier_bounds = iqr_bounds(df, cols, self.iqr_multiplier, self.method)
         self.outlier_counts = outlier_counts(df, self.outlier_bounds)
         return outlier_mask(df, self.outlier_bounds).select(*[c + "_outlier" for c in cols])
 
@@ -140,7 +142,7 @@ class OutlierHandler:
         self.rounds = []
         current = base
         for _ in range(max_iter):
-            bounds = iqr_bounds(current, cols, self.iqr_multiplier)
+            bounds = iqr_bounds(current, cols, self.iqr_multiplier, self.method)
             counts = outlier_counts(current, bounds)
             self.outlier_bounds, self.outlier_counts = bounds, counts
             self.rounds.append({c: (counts[c], bounds[c][0], bounds[c][1]) for c in cols})
@@ -159,7 +161,7 @@ class OutlierHandler:
     def cap_outliers(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """Clip to bounds fitted once on ``df``; NULL stays NULL."""
         cols = eligible_columns(df, columns, self.target_col)
-        bounds = iqr_bounds(df, cols, self.iqr_multiplier)
+        bounds = iqr_bounds(df, cols, self.iqr_multiplier, self.method)
         return cap(df, bounds)
 
     def get_outlier_summary(self, spark=None) -> DataFrame | None:

@@ -201,3 +201,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         out[c] = res
     release(info)
     return out
+
+
+def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> dict:
+    """Bounded-memory alternative to ``exact_quantiles`` (one aggregate,
+    relative rank error about 1/accuracy); no distinct-value shuffle."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    row = df.agg(*[F.percentile_approx(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
+                                       list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs) for i, c in enumerate(cols)}
