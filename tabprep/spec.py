@@ -2,7 +2,7 @@
 toolkit's for the same results.
 
 Operators never name a business column; a ``FeatureSpec`` configures them.
-``BANK_SPEC`` is the configuration of the original churn study, and
+``ACCOUNT_SPEC`` is the configuration of the original study, and
 ``PROFILE_SPEC`` the one used on the derived ``customer_profile`` table.
 """
 
@@ -83,7 +83,7 @@ class FeatureSpec:
     onehot: list = field(default_factory=list)
 
 
-BANK_SPEC = FeatureSpec(
+ACCOUNT_SPEC = FeatureSpec(
     key="CustomerId", target="Exited",
     numeric=["CreditScore", "Age", "Tenure", "Balance", "NumOfProducts", "HasCrCard",
              "IsActiveMember", "EstimatedSalary"],
