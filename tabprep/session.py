@@ -66,3 +66,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   min_partitions: int = 200) -> int:
+    """Size shuffles and scan splits for an input of ``input_bytes``: about
+    one shuffle partition per ``target_partition_bytes`` so that each fits in
+    executor memory (100 TB -> ~400k before AQE coalescing), scans split at
+    the same size, AQE coalescing and skew splitting on. Returns the count."""
+    n = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    return n
