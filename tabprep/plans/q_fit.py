@@ -114,3 +114,14 @@ def q_transformer_fit_apply(spark, d):
     train, test = stratified_split(cp, "churned", "c_custkey", 0.2, 42)
     model = T.TableTransformer.from_spec(PROFILE_SPEC).fit(train)
     return model.transform(test)
+
+
+@query("dummies_nonfitted", "F9", sql=with_cp("""
+, cats AS (SELECT cat, row_number() OVER (ORDER BY cat) AS r FROM (SELECT DISTINCT segment AS cat FROM cp))
+SELECT c_custkey, 'segment_' || cat AS feature, CAST(segment = cat AS INTEGER) AS value FROM cp, cats WHERE r > 1
+"""))
+def q_dummies_nonfitted(spark, d):
+    from tabprep.operators.create import dummies
+    wide = dummies(customer_profile(spark, d).select("c_custkey", "segment"), ["segment"], drop_first=True)
+    enc = [c for c in wide.columns if c != "c_custkey"]
+    return wide.unpivot(["c_custkey"], enc, "feature", "value")
