@@ -51,7 +51,7 @@ def _group_key(group_cols: Sequence[str]) -> Column:
 
 
 def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                   sums: dict | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
+                   sums: dict | None = None, rows_per_bucket: int | None = None,
                    descending: bool = False, max_buckets: int = MAX_BUCKETS):
     """Distinct (group, value) rows with exact running totals in value order.
 
@@ -63,6 +63,7 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
     NULL values are dropped.
     """
     group_cols = list(group_cols)
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     sums = sums or {"cnt": F.lit(1)}
     names = list(sums)
     v = F.col(value_col)
@@ -131,7 +132,7 @@ def _sql_type(df: DataFrame, col: str) -> str:
 
 
 def ranked_distinct(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                    rows_per_bucket: int = ROWS_PER_BUCKET):
+                    rows_per_bucket: int | None = None):
     """Counts per distinct value with [cum_before, cum) rank spans."""
     ranked, info = running_totals(df, value_col, group_cols, {"cnt": F.lit(1).cast("long")}, rows_per_bucket)
     ranked = ranked.withColumnRenamed("cum_cnt", "cum").withColumnRenamed("before_cnt", "cum_before")
@@ -157,7 +158,7 @@ def bucket_of_rank(info_g: dict, r: int):
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> dict:
+                    rows_per_bucket: int | None = None) -> dict:
     """{col: [q_p for p in probs]} with linear interpolation between order
     statistics (pandas default, DuckDB ``quantile_cont``); NaN/NULL skipped."""
     cols = list(cols)

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tabprep.operators.fit import predict
@@ -15,14 +14,16 @@ from tabprep.operators.score import risk_tier
 
 def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: StructType,
                  out_dir: str, checkpoint: str, max_files_per_trigger: int = 1) -> None:
-    """Read parquet files as they arrive, score, tier, append to ``out_dir``;
+    """Read parquet files as they arrive, score, tier, write to ``out_dir``;
     runs until the currently available files are done (``availableNow``)."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(source_dir))
     scored = risk_tier(predict(model, stream), "score", "prediction")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out_dir)
+        # one directory per epoch, overwritten on replay: a retried batch
+        # replaces its own output instead of appending a duplicate
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
 
     q = (scored.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
