@@ -267,3 +267,19 @@ def q_smote_tomek(spark, d):
 @query("class_weight_passthrough", "R11")
 def q_class_weight_passthrough(spark, d):
     return R.Resampler("class_weight").resample(knn_view(spark, d), "key", FEATS, "label")
+
+
+@query("knn_lsh_recall", "R0")
+def q_knn_lsh_recall(spark, d):
+    """Recall@5 of the LSH neighbours against the exact blocked join on the
+    64-dimensional embeddings (how much the approximate method gives up)."""
+    emb = table(spark, d, "embeddings")
+    width = len(emb.select("embedding").first()[0])
+    feats = [f"e{i}" for i in range(width)]
+    flat = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)]).persist()
+    exact = knn_join(flat, flat, feats, 5, "vec_id").select("q_key", "c_key")
+    approx = knn_join(flat, flat, feats, 5, "vec_id", method="approx").select("q_key", "c_key")
+    hit = exact.join(approx, ["q_key", "c_key"], "left_semi").count()
+    total = exact.count()
+    return spark.createDataFrame([(total, hit, hit / total if total else None)],
+                                 "exact_pairs long, found_pairs long, recall double")
