@@ -29,7 +29,7 @@ UNION ALL SELECT 'accuracy', round(sum(tp) / sum(support), 6), round(sum(tp) / s
 UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
   round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
-""").replace("\nSELECT c_custkey AS key", "\nSELECT c_custkey AS key", 1).replace("FROM cp\n)\n,", "FROM cp\n),", 1))
+"""))
 def q_class_report(spark, d):
     return r6(E.class_report(scored(spark, d)), ["precision", "recall", "f1"])
 
@@ -49,7 +49,7 @@ def q_confusion(spark, d):
   FROM (SELECT 0 AS label UNION ALL SELECT 1) l LEFT JOIN sc ON sc.label = l.label GROUP BY l.label)
 SELECT label, round(CASE WHEN p0 + p1 = 0 THEN 0.0 ELSE p0 / (p0 + p1) END, 6) AS pred_0,
   round(CASE WHEN p0 + p1 = 0 THEN 0.0 ELSE p1 / (p0 + p1) END, 6) AS pred_1 FROM c
-""").replace("FROM cp\n)\n,", "FROM cp\n),", 1))
+"""))
 def q_confusion_norm(spark, d):
     return r6(E.confusion_normalized(scored(spark, d)), ["pred_0", "pred_1"])
 
@@ -64,7 +64,7 @@ sr AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
 
 
 def _sc(body: str) -> str:
-    return with_scored(SD + body).replace("FROM cp\n)\n,", "FROM cp\n),", 1)
+    return with_scored(SD + body)
 
 
 @query("roc_auc", "E5", sql=_sc("SELECT round(sum(pos * (neg_below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS ROC_AUC FROM sr"))
@@ -101,7 +101,7 @@ def q_pr_points(spark, d):
 
 @query("metric_row", "E1", sql=with_scored(
     "," + metric_sql("SELECT label, score, prediction FROM sc", []) +
-    "\nSELECT 'rule_score' AS Model, * FROM mr").replace("FROM cp\n)\n,", "FROM cp\n),", 1))
+    "\nSELECT 'rule_score' AS Model, * FROM mr"))
 def q_metric_row(spark, d):
     out = E.metric_row(scored(spark, d), model_id="rule_score")
     return r6(out, ["Accuracy", "F1", "Precision", "Recall", "ROC_AUC", "PR_AUC"])
