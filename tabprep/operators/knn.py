@@ -123,22 +123,49 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
 
 def knn_lsh(queries: DataFrame, candidates: DataFrame, features: Sequence[str], k: int,
             key: str, cand_key: str, exclude_self: bool = True, cand_label: str | None = None,
-            bucket_length: float = 1.0, num_tables: int = 5, threshold: float | None = None) -> DataFrame:
-    """Approximate top-k via random-projection LSH (Spark ML). Pairs beyond
-    ``threshold`` are never seen, so queries may get fewer than k neighbours."""
+            bucket_length: float | None = None, num_tables: int = 5, threshold: float | None = None,
+            sample_rows: int = 1000, widen_rounds: int = 3, seed: int = 42) -> DataFrame:
+    """Approximate top-k via random-projection LSH (Spark ML).
+
+    The join radius comes from data: the exact blocked join runs for a hash
+    sample of at most ``sample_rows`` queries (the sample is the feature), and
+    the 0.9 quantile of their k-th neighbour distance is the first radius
+    (bucket length likewise). Queries that find fewer than k neighbours are
+    joined again with a doubled radius, up to ``widen_rounds`` times."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
+    from tabprep.operators.project import hash_sample
+    if threshold is None or bucket_length is None:
+        probe = hash_sample(queries.select(key, *features), sample_rows, key, seed)
+        kth = (knn_join(probe, candidates, features, k, key, cand_key, exclude_self)
+               .where(F.col("rank") == k).agg(F.percentile_approx("dist", 0.9, 10000)).first()[0])
+        kth = float(kth) if kth else 1.0
+        threshold = threshold if threshold is not None else kth
+        bucket_length = bucket_length if bucket_length is not None else max(kth, 1e-9)
     va = VectorAssembler(inputCols=list(features), outputCol="_vec")
     q = va.transform(queries.select(F.col(key).alias("_qk"), *features))
     csel = [F.col(cand_key).alias("_ck"), *features] + ([F.col(cand_label).alias("_cl")] if cand_label else [])
     c = va.transform(candidates.select(*csel))
     lsh = BucketedRandomProjectionLSH(inputCol="_vec", outputCol="_h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=42).fit(c)
-    thr = threshold if threshold is not None else 3.0 * bucket_length
-    j = lsh.approxSimilarityJoin(q, c, thr, distCol="dist")
-    j = j.select(F.col("datasetA._qk").alias("q_key"), F.col("datasetB._ck").alias("c_key"), "dist",
-                 *([F.col("datasetB._cl").alias("c_label")] if cand_label else []))
-    if exclude_self:
-        j = j.where(F.col("q_key") != F.col("c_key"))
+                                      numHashTables=num_tables, seed=seed).fit(c)
+    hc = lsh.transform(c).persist()
+
+    def join(qpart, radius):
+        j = lsh.approxSimilarityJoin(lsh.transform(qpart), hc, radius, distCol="dist")
+        j = j.select(F.col("datasetA._qk").alias("q_key"), F.col("datasetB._ck").alias("c_key"), "dist",
+                     *([F.col("datasetB._cl").alias("c_label")] if cand_label else []))
+        return j.where(F.col("q_key") != F.col("c_key")) if exclude_self else j
+
+    found = join(q, threshold).persist()
+    radius = threshold
+    for _ in range(widen_rounds):
+        short = q.join(found.groupBy("q_key").count().where(F.col("count") >= k)
+                       .select(F.col("q_key").alias("_qk")), "_qk", "left_anti")
+        if short.limit(1).count() == 0:
+            break
+        radius *= 2.0
+        more = join(short, radius)
+        found = found.join(short.select(F.col("_qk").alias("q_key")), "q_key", "left_anti") \
+            .unionByName(more).persist()
     w = Window.partitionBy("q_key").orderBy("dist", "c_key")
-    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .withColumn("d2", F.col("dist") * F.col("dist")))
