@@ -157,11 +157,20 @@ def bucket_of_rank(info_g: dict, r: int):
     return None
 
 
+COLUMN_BATCH = 8  # columns per pass: keeps the per-column bucket CASE small
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     rows_per_bucket: int | None = None) -> dict:
     """{col: [q_p for p in probs]} with linear interpolation between order
-    statistics (pandas default, DuckDB ``quantile_cont``); NaN/NULL skipped."""
+    statistics (pandas default, DuckDB ``quantile_cont``); NaN/NULL skipped.
+    Columns are processed in batches of ``COLUMN_BATCH``."""
     cols = list(cols)
+    if len(cols) > COLUMN_BATCH:
+        out = {}
+        for i in range(0, len(cols), COLUMN_BATCH):
+            out.update(exact_quantiles(df, cols[i:i + COLUMN_BATCH], probs, rows_per_bucket))
+        return out
     if not cols:
         return {}
     spark = df.sparkSession

@@ -33,3 +33,12 @@ def test_running_totals_grouped_descending(spark):
             assert got[(g, float(v))] == (acc + w, acc)
             acc += w
     release(info)
+
+
+def test_quantiles_many_columns_batched(spark):
+    rows = [tuple(float((i * (j + 3)) % 97) for j in range(11)) for i in range(300)]
+    schema = ", ".join(f"c{j} double" for j in range(11))
+    df = spark.createDataFrame(rows, schema)
+    q = exact_quantiles(df, [f"c{j}" for j in range(11)], [0.25, 0.75])
+    for j in range(11):
+        assert np.allclose(q[f"c{j}"], np.quantile([r[j] for r in rows], [0.25, 0.75]))
