@@ -4,7 +4,8 @@
 ``churned`` (last order before a cut-off), and a few numeric and categorical
 columns. Orders are pre-aggregated per customer (partial aggregation before the
 shuffle), then joined to customers on the key; nation and region are
-25/5-row dimension tables of the TPC-H schema, joined by broadcast.
+25/5-row dimension tables of the TPC-H schema (broadcast by the planner from
+their measured size).
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str = CHURN_CUTOF
                  F.col("n_regionkey") == F.col("r_regionkey")))
     cutoff_lit = F.lit(cutoff).cast("timestamp_ntz")
     return (cust.join(per_cust, cust.c_custkey == per_cust.o_custkey)
-            # nation x region is the fixed 25-row TPC-H dimension: size-bounded broadcast.
-            .join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey)
+            # nation x region is a small dimension: no hint, the planner broadcasts
+            # it from its measured size (autoBroadcastJoinThreshold) and falls back
+            # to a shuffle join if it ever grows
+            .join(geo, cust.c_nationkey == geo.n_nationkey)
             .select(F.col("c_custkey"),
                     F.col("r_name").alias("geography"),
                     F.col("c_mktsegment").alias("segment"),
