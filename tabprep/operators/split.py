@@ -23,7 +23,8 @@ def hash_rank(df: DataFrame, key: str, group_cols: Sequence[str], seed: int = 42
               purpose: str = "split", out: str = "_rank"):
     """0-based position of each row within its group, ordered by
     (md5-hash of seed:key:purpose, key). Returns (df with ``out``, totals dict
-    {group tuple: n})."""
+    {group tuple: n}, info). ``key`` must identify rows (de-duplicate first):
+    rows sharing a hash value are ordered in a window over that one value."""
     g = list(group_cols)
     h = hash_int32(seed, F.col(key), purpose).alias("_h")
     withh = df.select("*", h)
