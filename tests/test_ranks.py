@@ -42,3 +42,14 @@ def test_quantiles_many_columns_batched(spark):
     q = exact_quantiles(df, [f"c{j}" for j in range(11)], [0.25, 0.75])
     for j in range(11):
         assert np.allclose(q[f"c{j}"], np.quantile([r[j] for r in rows], [0.25, 0.75]))
+
+
+def test_search_expr_matches_searchsorted(spark):
+    from tabprep.operators.ranks import search_expr
+    rng = np.random.default_rng(7)
+    splits = sorted(set(np.round(rng.normal(size=37), 1).tolist()))
+    vals = np.concatenate([np.round(rng.normal(size=400), 1), np.array(splits)])  # hit every split exactly
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = [r[0] for r in df.select(search_expr(F.col("v"), splits)).collect()]
+    want = np.searchsorted(np.array(splits), vals, side="right").tolist()
+    assert got == want
