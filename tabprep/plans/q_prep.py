@@ -220,8 +220,7 @@ def _distinct_gt2(col: str, src: str) -> str:
     _distinct_gt2(c, "cp") for c in ["balance", "n_orders", "total_spend", "has_urgent"])))
 def q_iqr_columns(spark, d):
     cp = customer_profile(spark, d)
-    cols = O.eligible_columns(cp, ["c_custkey", "balance", "n_orders", "total_spend", "has_urgent", "churned"][1:],
-                              target="churned")
+    cols = O.eligible_columns(cp, ["balance", "n_orders", "total_spend", "has_urgent", "churned"], target="churned")
     return spark.createDataFrame([(c,) for c in cols], "column_name string")
 
 
