@@ -47,3 +47,14 @@ def test_correlation_drop_order_and_keep_top(spark):
     assert drop == ["b"]
     keep, dropped = C.keep_top(["x", "y", "z"], {"x": 1.0, "y": 3.0, "z": 3.0}, k=2)
     assert keep == ["y", "z"] and dropped == ["x"]
+
+
+def test_selection_never_drops_target(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=200)
+    rows = [(float(a), float(2 * a), float(b), int(a > 0)) for a, b in zip(x, rng.normal(size=200))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int")
+    for method, kw in (("correlation", {}), ("variance", {"threshold": 10.0}), ("mutual_info", {"k": 1}),
+                       ("f_score", {"k": 1})):
+        out = C.FeatureSelector(method, target="y", **kw).fit_transform(df)
+        assert "y" in out.columns, method
