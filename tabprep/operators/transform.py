@@ -295,6 +295,24 @@ class TableTransformerModel:
     def __init__(self, params: TransformParams | None):
         self.params = params
 
+    def save(self, spark, path: str) -> None:
+        """The fitted state as one JSON row written by Spark (any shared path)."""
+        import json
+        from dataclasses import asdict
+        if self.params is None:
+            raise ValueError("transformer is not fitted")
+        spark.createDataFrame([(json.dumps(asdict(self.params)),)], "params string") \
+            .coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "TableTransformerModel":
+        import json
+        d = json.loads(spark.read.parquet(path).first()["params"])
+        d["value_maps"] = {c: (dict(m), dflt) for c, (m, dflt) in d["value_maps"].items()}
+        for k in ("standard", "yeo_johnson", "box_cox"):
+            d[k] = {c: tuple(v) for c, v in d[k].items()}
+        return cls(TransformParams(**d))
+
     def transform(self, df: DataFrame) -> DataFrame:
         if self.params is None:
             raise ValueError("transformer is not fitted")

@@ -97,11 +97,19 @@ def q_score_stream(spark, d):
 
 @query("model_roundtrip", "S9")
 def q_model_roundtrip(spark, d):
+    """Persist the fitted transformer and the fitted pipeline, load both,
+    rescore the hold-out, flag equality per row."""
     import uuid
+    from tabprep.operators.transform import TableTransformer, TableTransformerModel
+    run = uuid.uuid4().hex
     train, test = _weighted_train_test(spark, d)
-    model, scored = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
-    loaded = M.model_roundtrip(model, S.out_path(spark, uuid.uuid4().hex, "model"))
-    again = M.predict(loaded, test).select("c_custkey", F.col("score").alias("score_loaded"))
+    tf = TableTransformer(standard=["balance", "n_orders", "total_spend"]).fit(train)
+    model, scored = M.fit_and_score(tf.transform(train), tf.transform(test), FEATURES, "churned", "GBT",
+                                    FAST["GBT"], weight_col="weight")
+    tf.save(spark, S.out_path(spark, run, "transformer"))
+    tf2 = TableTransformerModel.load(spark, S.out_path(spark, run, "transformer"))
+    loaded = M.model_roundtrip(model, S.out_path(spark, run, "model"))
+    again = M.predict(loaded, tf2.transform(test)).select("c_custkey", F.col("score").alias("score_loaded"))
     return scored.select("c_custkey", "score").join(again, "c_custkey").withColumn(
         "same", (F.col("score") == F.col("score_loaded")).cast("int"))
 

@@ -58,3 +58,17 @@ def test_selection_never_drops_target(spark):
                        ("f_score", {"k": 1})):
         out = C.FeatureSelector(method, target="y", **kw).fit_transform(df)
         assert "y" in out.columns, method
+
+
+def test_transformer_save_load_roundtrip(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(float(a), float(abs(b)) + 1.0, ["x", "y", "z"][i % 3], ["F", "M"][i % 2])
+            for i, (a, b) in enumerate(zip(rng.normal(size=300), rng.normal(size=300)))]
+    df = spark.createDataFrame(rows, "a double, b double, g string, s string")
+    m = T.TableTransformer(yeo_johnson=["a"], box_cox=["b"], quantile=["a"], standard=["b"],
+                           value_maps={"s": ({"F": 0, "M": 1}, -1)}, onehot=["g"], max_knots=20).fit(df)
+    m.save(spark, str(tmp_path / "tf"))
+    m2 = T.TableTransformerModel.load(spark, str(tmp_path / "tf"))
+    a = sorted(tuple(r) for r in m.transform(df).collect())
+    b = sorted(tuple(r) for r in m2.transform(df).collect())
+    assert a == b
