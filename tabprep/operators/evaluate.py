@@ -149,12 +149,43 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     return out, info
 
 
+def _drop_collinear(t: DataFrame, score: str, info: dict) -> DataFrame:
+    """Keep a point unless the next lower threshold adds the same (pos, neg)
+    increments (then it lies on a straight segment); the highest and lowest
+    thresholds always stay. The next lower score is a lag inside the bucket;
+    for a bucket's lowest score it is the top score of the nearest non-empty
+    lower bucket, from a table of one row per (group, bucket)."""
+    from pyspark.sql import Window
+    tops = (t.groupBy("_g", "bucket")
+            .agg(F.max_by(F.struct("pos", "neg"), F.col(score)).alias("top")).collect())
+    top = {(r["_g"], r["bucket"]): (r["top"]["pos"], r["top"]["neg"]) for r in tops}
+    rows = []
+    for gk, d in info.items():
+        if gk == "__cache__":
+            continue
+        buckets = [b for b, _, _ in d["offsets"]]
+        for prev, cur in zip(buckets[:-1], buckets[1:]):
+            rows.append((gk, cur, *top[(gk, prev)]))
+    edge = t.sparkSession.createDataFrame(rows, "_g string, bucket int, _bp long, _bn long")
+    w = Window.partitionBy("_g", "bucket").orderBy(score)
+    t = (t.withColumn("_lp", F.lag("pos").over(w)).withColumn("_ln", F.lag("neg").over(w))
+         .join(F.broadcast(edge), ["_g", "bucket"], "left")  # groups x buckets rows, size-checked
+         .withColumn("_lp", F.coalesce("_lp", "_bp")).withColumn("_ln", F.coalesce("_ln", "_bn")))
+    highest = (F.col("cum_pos_desc") == F.col("pos")) & (F.col("cum_neg_desc") == F.col("neg"))
+    lowest = F.col("_lp").isNull()
+    same = (F.col("_lp") == F.col("pos")) & (F.col("_ln") == F.col("neg"))
+    return t.where(highest | lowest | ~same)
+
+
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
-               group_cols: Sequence[str] = ()):
+               group_cols: Sequence[str] = (), drop_intermediate: bool = False):
     """(fpr, tpr, threshold) per distinct score (descending), plus the
-    (0, 0) start with a NULL threshold. All points are kept."""
+    (0, 0) start with a NULL threshold. All points are kept unless
+    ``drop_intermediate`` removes collinear ones."""
     g = list(group_cols)
     t, info = score_table(df, label, score, g)
+    if drop_intermediate:
+        t = _drop_collinear(t, score, info)
     body = t.select(*g, _safe_div(F.col("cum_neg_desc"), F.col("N")).alias("fpr"),
                     _safe_div(F.col("cum_pos_desc"), F.col("P")).alias("tpr"),
                     F.col(score).cast("double").alias("threshold"))

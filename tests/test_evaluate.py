@@ -49,3 +49,29 @@ def test_class_report_zero_division(spark):
     assert abs(rep["accuracy"]["f1"] - 2 / 3) < 1e-12
     cm = {r["label"]: (r["pred_0"], r["pred_1"]) for r in E.confusion_matrix(df).collect()}
     assert cm == {0: (2, 0), 1: (1, 0)}
+
+
+def _sk_style_roc(rows):
+    import numpy as np
+    thr = sorted({s for _, s in rows}, reverse=True)
+    tps = np.array([sum(1 for y, s in rows if s >= t and y == 1) for t in thr])
+    fps = np.array([sum(1 for y, s in rows if s >= t and y == 0) for t in thr])
+    keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    P, N = tps[-1], fps[-1]
+    return sorted([(0.0, 0.0)] + [(fps[i] / N, tps[i] / P) for i in keep])
+
+
+def test_roc_drop_intermediate_bucketed(spark, monkeypatch):
+    import numpy as np
+    from tabprep.operators import ranks
+    rng = np.random.default_rng(11)
+    rows = [(int(rng.random() < 0.3), float(np.round(rng.random(), 2))) for _ in range(400)]
+    rows += [(1, 0.97), (1, 0.98), (0, 0.5), (0, 0.51)]  # plant collinear runs
+    df = spark.createDataFrame(rows, "label int, score double")
+    want = _sk_style_roc(rows)
+    for rpb in (10_000_000, 7):
+        monkeypatch.setattr(ranks, "ROWS_PER_BUCKET", rpb)
+        pts, _ = E.roc_points(df, drop_intermediate=True)
+        got = sorted((r["fpr"], r["tpr"]) for r in pts.collect())
+        assert len(got) == len(want)
+        assert all(abs(a[0] - b[0]) < 1e-12 and abs(a[1] - b[1]) < 1e-12 for a, b in zip(got, want))
