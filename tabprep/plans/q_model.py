@@ -174,3 +174,19 @@ def q_shapley_sample(spark, d):
     model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
     _, summary = M.shapley_sample(model, _cp(spark, d), FEATURES, "c_custkey", n_rows=500, n_perm=10)
     return summary
+
+
+@query("gbt_early_stop", "M1")
+def q_gbt_early_stop(spark, d):
+    """M1 with an evaluation set: 20 % of the train part (stratified hash
+    rule) is flagged as validation; GBT stops when it stops improving."""
+    from tabprep.operators.split import holdout_flag
+    train, test = _weighted_train_test(spark, d)
+    flagged = holdout_flag(train, "churned", "c_custkey", 0.2, 7).withColumn(
+        "is_val", F.col("is_test") == 1).drop("is_test")
+    pipe = M.pipeline(FEATURES, "GBT", {"maxIter": 50, "maxDepth": 3}, "churned", "weight", 42, "is_val")
+    model = pipe.fit(flagged)
+    trees = model.stages[-1].getNumTrees
+    scored = M.predict(model, test)
+    return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_early_stop").withColumn(
+        "n_trees", F.lit(int(trees)))
