@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import mixing
+from tabprep.llm import fingerprints, mixing
 from tabprep.llm.common import table
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes of each document."""
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op10_source_mix": op10_source_mix,
 }
 
