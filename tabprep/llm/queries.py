@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, mixing
+from tabprep.llm import fingerprints, mixing, packing, token_records
 from tabprep.llm.common import table
 
 
@@ -14,6 +14,16 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and packed into sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as record files and read back."""
+    return token_records.roundtrip(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes of each document."""
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -21,6 +31,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
+    "op7_packing": op7_packing,
+    "op8_token_records": op8_token_records,
     "op10_source_mix": op10_source_mix,
 }
 
