@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, mixing, packing, token_records
+from tabprep.llm import fingerprints, mixing, packing, token_records, warc
 from tabprep.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.roundtrip(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capture per page, written as WARC archives and read back."""
+    got = warc.captures(warc.write(table(spark, sf_dir, "pages")), with_blocks=False)
+    return got.select(F.col("capture_key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes of each document."""
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -33,9 +39,11 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op7_packing": op7_packing,
     "op8_token_records": op8_token_records,
+    "op9_warc": op9_warc,
     "op10_source_mix": op10_source_mix,
 }
 
 ORACLE = {
+    "op9_warc": warc.PAGE_SQL,
     "op10_source_mix": mixing.taken_sql(),
 }
