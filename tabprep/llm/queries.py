@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, mixing, packing, token_records, warc
+from tabprep.llm import fingerprints, mixing, packing, quality, token_records, warc
 from tabprep.llm.common import table
 
 
@@ -14,6 +14,13 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts and rules, and the calibrated classifier's verdict."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fitted(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -37,6 +44,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
+    "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
     "op8_token_records": op8_token_records,
     "op9_warc": op9_warc,
