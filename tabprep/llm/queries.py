@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, mixing, packing, quality, token_records, warc
+from tabprep.llm import fingerprints, mixing, packing, pii, quality, token_records, warc
 from tabprep.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every text, and all spans with those the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = pii.detect(docs, pii.fit(docs)).drop("text")
+    count = lambda kind: F.size(F.filter("_base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return got.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("_all")).alias("spans"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base counts and rules, and the calibrated classifier's verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -44,6 +52,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
+    "op3_pii": op3_pii,
     "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
     "op8_token_records": op8_token_records,
