@@ -31,6 +31,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if width <= 1 << 16 else "<u4")
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.gap = np.array([self.newline], self.dtype).tobytes()
+        self.marks = {c: self._ids(c) for c in ".,;:!?"}
         self.spaced: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
 
@@ -38,23 +39,35 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        """Encodes new words, many per call: a newline between two words is a
-        token of its own, so it marks where a word's ids end. A word with
-        white space at an edge is not remembered; its text is cut with care."""
-        plain = []
+        """Encodes new words, many per call: a newline after a word is a token
+        of its own, so it marks where the word's ids end. A mark after a
+        letter is a token of its own too, so only the stem is encoded. A word
+        with white space at an edge is not remembered; its text is cut with
+        care."""
+        plain, marked = set(), []
         for w in words:
-            if w and not (w[0].isspace() or w[-1].isspace()):
-                plain.append(w)
-        for a in range(0, len(plain), 2048):
-            some = plain[a:a + 2048]
-            ids = np.array(self.tokenizer.encode(lead + f"\n{lead}".join(some), add_special_tokens=False).ids, self.dtype)
-            raw, cuts = ids.tobytes(), np.flatnonzero(ids == self.newline)
-            if len(cuts) == len(some) - 1:
-                size = self.dtype.itemsize
-                begins, ends = [0, *((cuts + 1) * size).tolist()], [*(cuts * size).tolist(), len(raw)]
-                known.update((w, raw[x:y]) for w, x, y in zip(some, begins, ends, strict=True))
+            if not w or w[0].isspace() or w[-1].isspace():
+                continue
+            if w[-1] in self.marks and w[-2:-1].isalpha():
+                marked.append(w)
+                if w[:-1] not in known:
+                    plain.add(w[:-1])
             else:
-                known.update((w, self._ids(lead + w)) for w in some)
+                plain.add(w)
+        plain = list(plain)
+        gap = f"\n{lead}"
+        some = [lead + gap.join(plain[a:a + 64]) + "\n" for a in range(0, len(plain), 64)]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        if got:
+            ids = np.array([i for e in got for i in e], self.dtype)
+            raw, cuts, size = ids.tobytes(), np.flatnonzero(ids == self.newline), self.dtype.itemsize
+            if len(cuts) == len(plain):
+                ends = (cuts * size).tolist()
+                known.update((w, raw[x:y]) for w, x, y in zip(plain, [0, *[e + size for e in ends]], ends, strict=False))
+            else:  # a newline inside a word
+                known.update((w, self._ids(lead + w)) for w in plain)
+        for w in marked:
+            known[w] = known[w[:-1]] + self.marks[w[-1]]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian bytes of ``dtype``."""
@@ -70,20 +83,20 @@ class Encoder:
             ids = list(map(spaced, words))
             for i in begins:
                 ids[i] = bare(words[i])
-            if None in ids:
+            new = [i for i, x in enumerate(ids) if x is None] if None in ids else ()
+            if new:
                 first = set(begins)
-                for i, x in enumerate(ids):
-                    if x is None:
-                        (heads if i in first else tails).add(words[i])
-            work.append((words, begins, ids))
+                for i in new:
+                    (heads if i in first else tails).add(words[i])
+            work.append((words, begins, ids, new))
         self._learn(self.bare, heads, "")
         self._learn(self.spaced, tails, " ")
         out = []
-        for text, (words, begins, ids) in zip(texts, work, strict=True):
-            if None in ids:
-                ids = list(map(spaced, words))
-                for i in begins:
-                    ids[i] = bare(words[i])
+        for text, (words, begins, ids, new) in zip(texts, work, strict=True):
+            if new:
+                first = set(begins)
+                for i in new:
+                    ids[i] = bare(words[i]) if i in first else spaced(words[i])
                 if None in ids:
                     out.append(self._careful(text) if text else b"")
                     continue
