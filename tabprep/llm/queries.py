@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, mixing, packing, pii, quality, token_records, warc
+from tabprep.llm import fingerprints, jaccard_join, mixing, packing, pii, quality, token_records, warc
 from tabprep.llm.common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked at Jaccard 0.9 of their 3-word shingles."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
@@ -51,6 +56,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_fingerprints": op2_fingerprints,
     "op3_pii": op3_pii,
     "op5_quality_rules": op5_quality_rules,
@@ -61,6 +67,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_jaccard_join": jaccard_join.CLASS_SQL,
     "op9_warc": warc.PAGE_SQL,
     "op10_source_mix": mixing.taken_sql(),
 }
