@@ -46,6 +46,35 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+BITMAP_BITS = 1 << 29
+
+
+def spot(c: Column, bits: int) -> Column:
+    """A value's place in a bitmap of ``bits``."""
+    return F.pmod(F.xxhash64(c), F.lit(bits))
+
+
+def bitmap(df: DataFrame, col: str) -> tuple[int, np.ndarray]:
+    """(bits, bytes) of a hashed bitmap of ``col``'s values: a filter without
+    false negatives, 16 bits a row and at most ``BITMAP_BITS`` (64 MB)
+    whatever the input, so it may be broadcast. Where it is too small it lets
+    more rows through; whoever uses it must decide exactly afterwards."""
+    n, bits = df.count(), 1 << 15
+    while bits < 16 * n and bits < BITMAP_BITS:
+        bits *= 2
+    at = df.select((spot(F.col(col), bits) + 1).alias("x"))
+    rows = at.groupBy(F.expr("bitmap_bucket_number(x)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(x))").alias("b")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        first = (r["k"] - 1) * 4096
+        out[first:first + len(r["b"])] = np.frombuffer(r["b"], np.uint8)
+    return bits, out
+
+
+def in_bitmap(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * _M1

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Words, shingle_hashes, stored, text_runs
+from tabprep.llm.common import Words, bitmap, in_bitmap, shingle_hashes, spot, stored, text_runs
 from tabprep.llm.components import components
 
 WIDTH, PERCENT = 3, 90
@@ -50,7 +50,6 @@ CELLS = 64
 LIST = 1024
 BLOCK = 1 << 20  # shingles
 BOUNDARIES = 256
-FILTER_BITS = 1 << 29
 
 
 def least_shared(n, percent: int = PERCENT):
@@ -247,31 +246,20 @@ def block_labels(batches, percent: int):
 
 def member_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """doc, shingles (bytes of sorted hashes) of the documents in ``members``
-    (doc). A bitmap of hashed ids, at most ``FILTER_BITS``, keeps most other
-    documents from being hashed and shuffled; the join decides."""
-    n = members.count()
-    bits = 1 << 15
-    while bits < 16 * n and bits < FILTER_BITS:
-        bits *= 2
-    spot = F.pmod(F.xxhash64(F.col("doc")), F.lit(bits)) + 1
-    rows = (members.select(spot.alias("x")).groupBy(F.expr("bitmap_bucket_number(x)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(x))").alias("b")).collect())
-    maps = np.zeros(bits // 8 + 4096, np.uint8)
-    for r in rows:
-        at = (r["k"] - 1) * 4096
-        maps[at:at + len(r["b"])] = np.frombuffer(r["b"], np.uint8)
+    (doc) and a few others that the bitmap lets through; a join decides."""
+    bits, maps = bitmap(members, "doc")
     sent = docs.sparkSession.sparkContext.broadcast(maps)
 
     def build(batches):
         maps = sent.value
         for batch in batches:
-            x = batch.column(2).to_numpy()
-            kept = batch.filter(pa.array((maps[x >> 3] >> (x & 7).astype(np.uint8)) & 1 == 1))
+            kept = batch.filter(pa.array(in_bitmap(maps, batch.column(2).to_numpy())))
             for row, data, offsets in text_runs(kept.column(1)):
                 w = Words(data, offsets, lower=True)
                 sets = shingle_hashes(w.hash, w.bounds, width)
                 yield pa.RecordBatch.from_arrays([kept.column(0).slice(row, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "shingles"])
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null").withColumn("x", F.pmod(F.xxhash64(F.col("doc")), F.lit(bits)))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null").withColumn("x", spot(F.col("doc"), bits))
     return d.mapInArrow(build, "doc long, shingles binary")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, jaccard_join, mixing, packing, pii, quality, token_records, warc
+from tabprep.llm import fingerprints, jaccard_join, mixing, packing, pii, quality, substring_dedup, token_records, warc
 from tabprep.llm.common import table
 
 
@@ -27,6 +27,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("_all")).alias("spans"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every text once shared 13-word windows are removed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base counts and rules, and the calibrated classifier's verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -59,6 +65,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_fingerprints": op2_fingerprints,
     "op3_pii": op3_pii,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
     "op8_token_records": op8_token_records,
@@ -68,6 +75,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_jaccard_join": jaccard_join.CLASS_SQL,
+    "op4_substring_dedup": substring_dedup.KEPT_SQL,
     "op9_warc": warc.PAGE_SQL,
     "op10_source_mix": mixing.taken_sql(),
 }
