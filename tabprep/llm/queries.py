@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, jaccard_join, mixing, packing, pii, quality, substring_dedup, token_records, warc
+from tabprep.llm import fingerprints, jaccard_join, line_dedup, mixing, packing, pii, quality, substring_dedup, token_records, warc
 from tabprep.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs.select("doc_id", "text"), model).drop("text")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed of every text: an equal or near line starts earlier."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_token_records": op8_token_records,
     "op9_warc": op9_warc,
@@ -76,6 +82,7 @@ QUERIES = {
 ORACLE = {
     "op1_jaccard_join": jaccard_join.CLASS_SQL,
     "op4_substring_dedup": substring_dedup.KEPT_SQL,
+    "op6_line_dedup": line_dedup.REMOVED_SQL,
     "op9_warc": warc.PAGE_SQL,
     "op10_source_mix": mixing.taken_sql(),
 }
