@@ -11,7 +11,8 @@ Archives are gzip members, one per record, as the format recommends. Files
 are named by attempt and listed in a manifest, so a task that runs twice
 leaves no double. Contracts: a null payload is empty; payloads under
 ``LEAST`` bytes are always responses; among equal payloads the smallest key
-is the response; rows that repeat whole (key and payload) are one capture; an
+is the response; rows that repeat whole (key and payload) have equal record ids and
+are read as one capture; an
 empty table writes no file; a request or metadata record without a response
 is left out, a response without them has nulls there; extra columns are
 ignored. A null key takes no part in revisits.
@@ -81,7 +82,6 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes all captures as archives and returns the manifest (file)."""
     spark = pages.sparkSession
     folder = folder or shared_path(spark, "warc")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def put(batches):
         import pyarrow as pa
@@ -101,9 +101,8 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
             out.close()
             yield pa.RecordBatch.from_pydict({"file": [folder.rstrip("/") + "/" + name], "records": pa.array([count], pa.int64())})
 
-    # rows of one key and payload are one capture; repartitioning by key also deals the archives evenly
-    rows = plan(pages).repartition(n, "key", "digest").select("key", "uri", "payload", "digest", "original")
-    return stored(rows.dropDuplicates(["key", "digest"]).mapInArrow(put, "file string, records long"), "warc-manifest")
+    rows = plan(pages).select("key", "uri", "payload", "digest", "original")
+    return stored(rows.mapInArrow(put, "file string, records long"), "warc-manifest")
 
 
 def _members(f, size: int = 1 << 16):
