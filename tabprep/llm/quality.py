@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.common import Words, mix64, text_runs
 
-PER_CLASS = 2000
+PER_CLASS = 1000
 KEEP = 0.5
 BITS = 16
 DIM = 3 << BITS
@@ -113,8 +113,8 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS):
-    """Sparse features of the labelled sample: a pandas frame of doc_id,
-    quality, index, value, by doc_id."""
+    """Sparse features of the labelled sample, by doc_id: rows of doc_id,
+    quality and, as bytes, index (int32) and value (float32)."""
     keep = labels.filter("quality is not null and doc_id is not null").select("doc_id", "quality")
     order = F.xxhash64("doc_id", F.lit(11))
     some = [keep.filter(f"quality {op} 0").groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(order, "doc_id").limit(per_class) for op in ("=", "<>")]
@@ -134,26 +134,26 @@ def labelled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS):
                     got = [np.unique(x[a[i]:b[i]], return_counts=True) + (max(1, b[i] - a[i]),) for x, a, b in parts]
                     index.append(np.concatenate([u for u, _, _ in got]).astype(np.int32))
                     value.append(np.concatenate([c / n for _, c, n in got]).astype(np.float32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(index)), batch.column(1).slice(row, len(index)), pa.array(index, pa.list_(pa.int32())),
-                                                  pa.array(value, pa.list_(pa.float32()))], ["doc_id", "quality", "index", "value"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(index)), batch.column(1).slice(row, len(index)), pa.array([x.tobytes() for x in index], pa.binary()),
+                                                  pa.array([x.tobytes() for x in value], pa.binary())], ["doc_id", "quality", "index", "value"])
 
-    got = rows.mapInArrow(features, "doc_id long, quality int, index array<int>, value array<float>").toPandas()
-    return got.sort_values(["doc_id", "quality"], kind="stable").drop_duplicates(["doc_id"]).reset_index(drop=True)
+    got = rows.mapInArrow(features, "doc_id long, quality int, index binary, value binary").collect()
+    return sorted({r["doc_id"]: r for r in sorted(got, key=lambda r: (r["quality"], len(r["index"]), r["index"]))}.values(), key=lambda r: r["doc_id"])
 
 
 def train(rows, rounds: int = 80, l2: float = 1e-5) -> Model | None:
     """Logistic regression by full-batch Adam on four fifths of the rows,
     calibrated on the rest. None unless both parts have both classes."""
-    y = rows["quality"].to_numpy().astype(np.float64)
+    y = np.array([r["quality"] for r in rows], np.float64)
     held = np.arange(len(rows)) % 5 == 4
     if len(rows) < 10 or len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         return None
 
     def matrix(mask):
-        some = rows[mask]
-        sizes = some["index"].map(len).to_numpy()
-        index = np.concatenate([np.asarray(x) for x in some["index"]]).astype(np.int64)
-        return index, SCALE * np.concatenate([np.asarray(x) for x in some["value"]]).astype(np.float64), np.repeat(np.arange(len(some)), sizes), len(some)
+        some = [r for r, m in zip(rows, mask, strict=True) if m]
+        sizes = np.array([len(r["index"]) // 4 for r in some])
+        index = np.frombuffer(b"".join([r["index"] for r in some]), np.int32)
+        return index, SCALE * np.frombuffer(b"".join([r["value"] for r in some]), np.float32), np.repeat(np.arange(len(some), dtype=np.int32), sizes), len(some)
 
     index, value, row, n = matrix(~held)
     target = y[~held]
