@@ -99,7 +99,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, width: int = WIDTH, percent: i
                 for s in sets:
                     n = len(s)
                     k = n - least_shared(n, percent) + 2
-                    if n >= 9 * percent // 90 and n > 1:
+                    if n * (100 - percent) >= percent:  # a smaller set links with equal sets only
                         key = rank[(s >> np.uint64(64 - SKETCH)).astype(np.int64)] | (s >> np.uint64(32))
                         first = np.argpartition(key, k - 1)[:k] if k < n else np.arange(n)
                         prefix = s[first[np.lexsort((s[first], key[first]))]].view(np.int64)
@@ -303,6 +303,16 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     return rows.join(top, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each class: the one with the smallest
+    doc_id (of rows that share it, the first by text). Rows without a doc_id
+    stay."""
+    first = classes(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
+    one = Window.partitionBy("doc_id").orderBy("text")
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_one", F.row_number().over(one)).filter("_one = 1").select(*docs.columns)
+    return kept.union(docs.filter("doc_id is null"))
+
+
 CLASS_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d WHERE len(w) > 0),
