@@ -205,14 +205,14 @@ def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``docs`` with the removed lines cut from ``text``; a document left
     without any non-empty line keeps an empty text. Documents without removed
     lines do not move: a bounded table of hash cells tells most of them."""
-    gone = stored(removed_lines(docs, edits, least).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "gone"), "gone-lines")
+    gone = stored(removed_lines(docs, edits, least).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("gone").alias("_gone")), "gone-lines")
     d = _keys(docs).withColumn("_cell", F.pmod(F.xxhash64("_doc"), F.lit(CELLS)))
     few = F.broadcast(gone.select(F.pmod(F.xxhash64("_doc"), F.lit(CELLS)).alias("_cell")).distinct())
     held = d.join(few, "_cell", "left_anti").select(*docs.columns)
     parts = F.split(F.col("text"), "\n", -1)
-    left = F.filter(F.transform(parts, lambda x, i: F.when(F.array_contains("gone", i), None).otherwise(x)), lambda x: x.isNotNull())
+    left = F.filter(F.transform(parts, lambda x, i: F.when(F.array_contains("_gone", i), None).otherwise(x)), lambda x: x.isNotNull())
     cut = (d.join(few, "_cell", "left_semi").join(gone, ["_doc", "_th"], "left")
-           .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).select(*docs.columns))
+           .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).select(*docs.columns))
     return held.union(cut)
 
 

@@ -277,7 +277,7 @@ def _finish(batches, names, window: int, digest: bool):
     """doc_id.., text, starts -> n_words, n_removed, kept text or its hash."""
     for batch in batches:
         at = batch.schema.names.index("text")
-        starts = batch.column(batch.schema.names.index("starts")) if "starts" in batch.schema.names else None
+        starts = batch.column(batch.schema.names.index("_starts")) if "_starts" in batch.schema.names else None
         for row, data, offsets in text_runs(batch.column(at)):
             w = Words(data, offsets, hashes=False)
             raw, counts, gone, kept = data.tobytes(), [], [], []
@@ -322,8 +322,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest: bool
 
     schema = T.StructType([*[docs.schema[c] for c in names], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     whole = base.mapInArrow(lambda b: _finish(part(False)(b), names, window, digest), schema)
-    cut = (base.mapInArrow(part(True), base.schema).join(lost.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "starts"), ["_doc", "_th"], "left")
-           .select(*names, "text", "starts").mapInArrow(lambda b: _finish(b, names, window, digest), schema))
+    cut = (base.mapInArrow(part(True), base.schema).join(lost.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("starts").alias("_starts")), ["_doc", "_th"], "left")
+           .select(*names, "text", "_starts").mapInArrow(lambda b: _finish(b, names, window, digest), schema))
     return whole.union(cut)
 
 
