@@ -48,8 +48,8 @@ def to_hex(sk: Column) -> Column:
 
 
 def from_hex(text: Column) -> Column:
-    at = F.sequence(F.lit(0), F.length(text).cast("int") / HEX - 1)
-    each = F.transform(at, lambda i: F.conv(F.substring(text, (i * HEX + 1).cast("int"), F.lit(HEX)), 16, 10).cast("bigint"))
+    at = F.sequence(F.lit(0), (F.length(text) / HEX - 1).cast("int"))
+    each = F.transform(at, lambda i: F.conv(F.substring(text, i * HEX + 1, F.lit(HEX)), 16, 10).cast("bigint"))
     return F.when(F.length(text) > 0, each).otherwise(F.array().cast("array<bigint>"))
 
 
