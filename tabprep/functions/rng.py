@@ -3,7 +3,8 @@
 ``rand()`` depends on partitioning and cannot be reproduced by another
 engine. Draws here are a pure function of (seed, key, purpose):
 
-    u = int(first 8 hex digits of md5("seed:key:purpose"), 16) / 2**32
+    h = int(first 15 hex digits of md5("seed:key:purpose"), 16)   # 60 bits
+    u = (h // 2**7) / 2**53                                       # in [0, 1)
 
 so the same draw comes out of Spark, DuckDB or pandas, and re-running a task
 after executor loss yields identical rows.
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_32 = 4294967296.0
+TWO_53 = 9007199254740992.0
 
 
 def _key_text(*parts) -> Column:
@@ -26,15 +27,15 @@ def _key_text(*parts) -> Column:
     return F.concat(*cols)
 
 
-def hash_int32(seed, key: Column, purpose: str, *more: Column) -> Column:
-    """Unsigned 32-bit integer drawn from md5 (bigint column)."""
+def hash_int(seed, key: Column, purpose: str, *more: Column) -> Column:
+    """Unsigned 60-bit integer drawn from md5 (bigint column)."""
     text = _key_text(seed, key, purpose, *more)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def uniform(seed, key: Column, purpose: str, *more: Column) -> Column:
     """u in [0, 1) (double column)."""
-    return hash_int32(seed, key, purpose, *more) / F.lit(TWO_32)
+    return F.shiftright(hash_int(seed, key, purpose, *more), 7) / F.lit(TWO_53)
 
 
 def sql_uniform(seed, key_sql: str, purpose: str, *more_sql: str) -> str:
@@ -43,12 +44,12 @@ def sql_uniform(seed, key_sql: str, purpose: str, *more_sql: str) -> str:
     for m in more_sql:
         parts += ["':'", f"CAST({m} AS VARCHAR)"]
     text = " || ".join(parts)
-    return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"((CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT) >> 7) / 9007199254740992.0)"
 
 
-def sql_hash_int32(seed, key_sql: str, purpose: str, *more_sql: str) -> str:
+def sql_hash_int(seed, key_sql: str, purpose: str, *more_sql: str) -> str:
     parts = [f"'{seed}'", "':'", f"CAST({key_sql} AS VARCHAR)", "':'", f"'{purpose}'"]
     for m in more_sql:
         parts += ["':'", f"CAST({m} AS VARCHAR)"]
     text = " || ".join(parts)
-    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"

@@ -68,32 +68,47 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction",
     return per_rows.unionByName(summary)
 
 
+MOST_CLASSES = 1000
+
+
+def _classes(cm: DataFrame, classes: Sequence | None) -> list:
+    """The given classes and every label or prediction that occurs, in order;
+    raises where there are too many for a matrix with a column per class."""
+    seen = cm.select(F.col("label").alias("c")).union(cm.select("prediction")).where("c is not null").distinct().limit(MOST_CLASSES + 1).collect()
+    if len(seen) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes: a confusion matrix has a column per class")
+    given = list(classes or ())
+    return given + sorted(r["c"] for r in seen if r["c"] not in given)
+
+
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction",
-                     classes: Sequence = (0, 1), group_cols: Sequence[str] = ()) -> DataFrame:
-    """Label x prediction counts, every class present, 0 filled."""
+                     classes: Sequence | None = (0, 1), group_cols: Sequence[str] = ()) -> DataFrame:
+    """Label x prediction counts, 0 filled. Every class that occurs as a
+    label or a prediction has a row and a column, after ``classes``, which
+    always have them. Rows without a label or a prediction are not counted."""
     g = list(group_cols)
     cm = confusion_counts(df, label, pred, g)
+    classes = _classes(cm, classes)
+    kind = cm.schema["label"].dataType
     aggs = [F.sum(F.when(F.col("prediction") == F.lit(c), F.col("count")).otherwise(0)).cast("long").alias(f"pred_{c}")
             for c in classes]
     out = cm.groupBy(*g, "label").agg(*aggs)
-    spark = df.sparkSession
-    labels = spark.createDataFrame([(c,) for c in classes], "label int")
+    all_classes = F.explode(F.array(*[F.lit(c).cast(kind) for c in classes])).alias("label")
     if g:
-        # every group gets every class row: explode the fixed class list per group
-        full = cm.select(*g).distinct().select(*g, F.explode(F.array(*[F.lit(c) for c in classes])).alias("label"))
+        # every group gets every class row: explode the class list per group
+        full = cm.select(*g).distinct().select(*g, all_classes)
     else:
-        full = labels
+        full = df.sparkSession.range(1).select(all_classes)
     return full.join(out, [*g, "label"], "left").fillna(0, [f"pred_{c}" for c in classes])
 
 
 def confusion_normalized(df: DataFrame, label: str = "label", pred: str = "prediction",
-                         classes: Sequence = (0, 1), group_cols: Sequence[str] = ()) -> DataFrame:
+                         classes: Sequence | None = (0, 1), group_cols: Sequence[str] = ()) -> DataFrame:
     """Rows divided by their sum, 0 where the row sum is 0."""
     cm = confusion_matrix(df, label, pred, classes, group_cols)
-    total = None
-    for c in classes:
-        total = F.col(f"pred_{c}") if total is None else total + F.col(f"pred_{c}")
-    return cm.select(*group_cols, "label", *[_safe_div(F.col(f"pred_{c}"), total).alias(f"pred_{c}") for c in classes])
+    cols = [c for c in cm.columns if c not in (*group_cols, "label")]
+    total = sum((F.col(f"`{c}`") for c in cols), F.lit(0).cast("long"))
+    return cm.select(*group_cols, "label", *[_safe_div(F.col(f"`{c}`"), total).alias(c) for c in cols])
 
 
 def score_table(df: DataFrame, label: str = "label", score: str = "score",
@@ -107,7 +122,7 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score",
     g = list(group_cols)
     sums = {"pos": (F.col(label) == 1).cast("long"), "neg": (F.col(label) != 1).cast("long")}
     ranked, info = running_totals(df, score, g, sums)
-    rows = [(k, int(d["total"]["pos"]), int(d["total"]["neg"])) for k, d in info.items() if k != "__cache__"]
+    rows = [(k, int(d["total"]["pos"]), int(d["total"]["neg"])) for k, d in info.items()]
     tot = df.sparkSession.createDataFrame(rows, "_g string, P long, N long")
     # one row per group; the group count is bounded inside running_totals
     t = ranked.join(F.broadcast(tot), "_g")
@@ -161,8 +176,6 @@ def _drop_collinear(t: DataFrame, score: str, info: dict) -> DataFrame:
     top = {(r["_g"], r["bucket"]): (r["top"]["pos"], r["top"]["neg"]) for r in tops}
     rows = []
     for gk, d in info.items():
-        if gk == "__cache__":
-            continue
         buckets = [b for b, _, _ in d["offsets"]]
         for prev, cur in zip(buckets[:-1], buckets[1:]):
             rows.append((gk, cur, *top[(gk, prev)]))

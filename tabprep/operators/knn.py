@@ -40,6 +40,10 @@ def _prep(df: DataFrame, key: str, features: Sequence[str], label: str | None, p
             *[F.col(f).cast("double").alias(f"{prefix}v{i}") for i, f in enumerate(features)]]
     if label:
         cols.append(F.col(label).cast("long").alias(f"{prefix}l"))
+    # a missing feature has no distance: raise instead of losing the row's neighbours
+    for i, f in enumerate(features):
+        bad = F.raise_error(F.lit(f"kNN feature {f} is NULL or NaN: impute or drop such rows first"))
+        cols[1 + i] = F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")), bad.cast("double")).otherwise(F.col(f).cast("double")).alias(f"{prefix}v{i}")
     return df.select(*cols)
 
 

@@ -78,7 +78,10 @@ def share_within(counts: DataFrame, group_cols: Sequence[str], value: str = "cou
 def histogram_equal(df: DataFrame, col: str, bins: int = 20, label: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max], last bin closed."""
     mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    lo, hi = float(mm["lo"]), float(mm["hi"])
+    if mm["lo"] is None:  # no values: no bins
+        lo, hi = 0.0, 0.0
+    else:
+        lo, hi = float(mm["lo"]), float(mm["hi"])
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     keys = [b.alias("bin")] + ([F.col(label)] if label else [])
@@ -91,33 +94,34 @@ def histogram_nice(df: DataFrame, col: str, label: str | None = None, max_bins:
     """Width from {1,2,5}x10^k, bins at multiples of the width, by label."""
     from tabprep.functions.bins import nice_width
     mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    w = nice_width(mm["lo"], mm["hi"], max_bins)
+    w = nice_width(mm["lo"], mm["hi"], max_bins) if mm["lo"] is not None else 1.0
     start = F.floor(F.col(col) / F.lit(w)) * F.lit(w)
     keys = [F.round(start, 6).alias("bin_start")] + ([F.col(label)] if label else [])
     return df.where(F.col(col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
 def density(df: DataFrame, col: str, grid: int = 50) -> DataFrame:
-    """Gaussian KDE on a grid with Scott's bandwidth std * n^(-1/5).
+    """Gaussian KDE on a grid with Scott's bandwidth std * n^(-1/5), over
+    the values that are numbers; a column without any gives an empty frame.
 
-    The data is first collapsed to (value, count) - one shuffle with partial
-    aggregation - then a single aggregate with one kernel sum per grid point
-    (``grid`` is a fixed small bound) produces one wide row, unpivoted.
+    One aggregate with a kernel sum per grid point (``grid`` is a fixed small
+    bound): partial sums only, no value is shuffled.
     """
-    st = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("s"),
-                F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    v = F.col(col).cast("double")
+    data = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    st = data.agg(F.count("v").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not st["n"]:
+        return df.sparkSession.createDataFrame([], "g int, x double, density double")
     n, s, lo, hi = int(st["n"]), float(st["s"] or 0.0), float(st["lo"]), float(st["hi"])
     bw = s * n ** (-0.2) if s > 0 else 1.0
     step = (hi - lo) / (grid - 1) if grid > 1 else 0.0
     xs = [lo + g * step for g in range(grid)]
-    vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("w"))
     norm = bw * math.sqrt(2 * math.pi) * n
     sums = []
     for g, x in enumerate(xs):
         z = (F.lit(x) - F.col("v")) / F.lit(bw)
-        sums.append(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias(f"d{g}"))
-    wide = vc.agg(*sums)
+        sums.append(F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"d{g}"))
+    wide = data.agg(*sums)
     stack = ", ".join(f"{g}, CAST({x!r} AS DOUBLE), d{g}" for g, x in enumerate(xs))
     return wide.select(F.expr(f"stack({grid}, {stack}) AS (g, x, s)")).select(
         F.col("g").cast("int").alias("g"), F.round("x", 6).alias("x"),
@@ -159,30 +163,32 @@ def kpi_row(df: DataFrame, label: str, total_rows: int | None, means: Sequence[s
     return out
 
 
+GRAM_BLOCK = 20
+
+
 def gram(df: DataFrame, cols: Sequence[str]) -> list:
-    """Sum of x_i * x_j for i <= j in one aggregate (for VIF)."""
+    """Sum of x_i * x_j for i <= j (for VIF), in column blocks so that no job
+    carries more than ``GRAM_BLOCK`` squared aggregates."""
     cols = list(cols)
-    aggs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"g{i}_{j}")
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    row = df.agg(*aggs).first()
     k = len(cols)
     g = [[0.0] * k for _ in range(k)]
-    for i in range(k):
-        for j in range(i, k):
-            g[i][j] = g[j][i] = float(row[f"g{i}_{j}"])
+    blocks = [range(a, min(a + GRAM_BLOCK, k)) for a in range(0, k, GRAM_BLOCK)]
+    for x, rows in enumerate(blocks):
+        for other in blocks[x:]:
+            pairs = [(i, j) for i in rows for j in other if i <= j]
+            row = df.agg(*[F.sum(F.col(cols[i]).cast("double") * F.col(cols[j]).cast("double")).alias(f"g{i}_{j}") for i, j in pairs]).first()
+            for i, j in pairs:
+                g[i][j] = g[j][i] = float(row[f"g{i}_{j}"] or 0.0)
     return g
 
 
-def vif(df: DataFrame, cols: Sequence[str], max_features: int = 30, top: int = 10) -> DataFrame:
-    """VIF without intercept: VIF_j = G_jj * (G^-1)_jj (Gram matrix on the
-    driver, at most ``max_features`` squared numbers)."""
+def vif(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
+    """VIF without intercept: VIF_j = G_jj * (G^-1)_jj of the Gram matrix,
+    for every column; ``top`` keeps the largest only if the caller asks."""
     import numpy as np
     cols = list(cols)
-    spark = df.sparkSession
-    if len(cols) > max_features:
-        return spark.createDataFrame([], "feature string, vif double")
-    g = np.array(gram(df, cols))
-    inv = np.linalg.pinv(g)
+    g = np.array(gram(df, cols)).reshape(len(cols), len(cols))
+    inv = np.linalg.pinv(g) if cols else g
     rows = [(c, float(g[i, i] * inv[i, i])) for i, c in enumerate(cols)]
     rows.sort(key=lambda r: -r[1])
-    return spark.createDataFrame([(c, round(v, 6)) for c, v in rows[:top]], "feature string, vif double")
+    return df.sparkSession.createDataFrame([(c, round(v, 6)) for c, v in (rows if top is None else rows[:top])], "feature string, vif double")

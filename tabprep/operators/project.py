@@ -6,7 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
 from tabprep.functions.rng import uniform
 
@@ -17,6 +17,18 @@ def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
     return [c for c in a.columns if c in right]
 
 
+def _wider(a: NumericType, b: NumericType) -> str:
+    """A numeric type that holds both: double if either is floating, a decimal
+    with both sides' digits if either is decimal (double beyond 38), else bigint."""
+    if isinstance(a, (DoubleType, FloatType)) or isinstance(b, (DoubleType, FloatType)):
+        return "double"
+    if not (isinstance(a, DecimalType) or isinstance(b, DecimalType)):
+        return "bigint"
+    sides = [(t.precision - t.scale, t.scale) if isinstance(t, DecimalType) else (19, 0) for t in (a, b)]
+    whole, scale = max(w for w, _ in sides), max(s for _, s in sides)
+    return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else "double"
+
+
 def union_sources(a: DataFrame, b: DataFrame, drop: Sequence[str] = (), dedup: bool = True) -> DataFrame:
     """Drop identifiers (tolerant), keep common columns, union all by
     name with numeric widening, then full-row dedup (NULLs group together)."""
@@ -29,8 +41,7 @@ def union_sources(a: DataFrame, b: DataFrame, drop: Sequence[str] = (), dedup: b
     fb = {f.name: f.dataType for f in b.schema.fields}
     for c in cols:
         if ta[c] != tb[c] and isinstance(fa[c], NumericType) and isinstance(fb[c], NumericType):
-            wide = "double" if isinstance(fa[c], (DoubleType, FloatType)) or \
-                isinstance(fb[c], (DoubleType, FloatType)) else "bigint"
+            wide = _wider(fa[c], fb[c])
             sel_a.append(F.col(c).cast(wide).alias(c))
             sel_b.append(F.col(c).cast(wide).alias(c))
         else:

@@ -21,10 +21,11 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.session import stored
+
 ROWS_PER_BUCKET = 2_000_000  # distinct values per window task
 MAX_BUCKETS = 1024           # per group; CASE tree depth log2(1024) = 10
 MAX_OFFSET_ROWS = 200_000    # size check for the broadcast offsets table
@@ -47,7 +48,8 @@ def search_expr(value: Column, splits: Sequence[float]) -> Column:
 def _group_key(group_cols: Sequence[str]) -> Column:
     if not group_cols:
         return F.lit("")
-    return F.concat_ws("\u0001", *[F.col(g).cast("string") for g in group_cols])
+    # "-" is a NULL, "=" leads a value: NULL and '' stay apart
+    return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("-")) for g in group_cols])
 
 
 def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
@@ -59,7 +61,7 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
     ``{"cnt": 1}``). For each name ``k`` the result has ``k`` (the sum at this
     value), ``cum_k`` (inclusive running total within the group) and
     ``before_k`` (total strictly before this value). Returns ``(ranked, info)``;
-    ``info[group_key]`` = {"total": {k: n}, "offsets": [(bucket, {k: off}, {k: n})]}.
+    ``info[group_key]`` = {"key": group values, "total": {k: n}, "offsets": [(bucket, {k: off}, {k: n})]}.
     NULL values are dropped.
     """
     group_cols = list(group_cols)
@@ -70,11 +72,12 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
     vc = (df.where(v.isNotNull())
           .groupBy(*group_cols, value_col).agg(*[F.sum(e).alias(k) for k, e in sums.items()]))
     vc = vc.withColumn("_g", _group_key(group_cols))
-    vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
+    vc = stored(vc, "running-totals")  # read by the size, split and window passes
     # Buckets per group from its distinct count: small groups need no split
     # (bucket 0, no expression), large ones get ~rows_per_bucket values each.
-    size_rows = vc.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(k) for k in names]).collect()
+    size_rows = vc.groupBy("_g", *group_cols).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(k) for k in names]).collect()
     sizes = {r["_g"]: r["_n"] for r in size_rows}
+    keys = {r["_g"]: tuple(r[c] for c in group_cols) for r in size_rows}
     if len(sizes) > MAX_OFFSET_ROWS:
         raise ValueError("too many groups for bucketed running totals")
     want = {g: min(max_buckets, -(-n // rows_per_bucket)) for g, n in sizes.items()}
@@ -103,7 +106,7 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
         totals = [dict(_g=r["_g"], bucket=b0, **{k: r[k] for k in names}) for r in size_rows]
     info: dict = {}
     for r in sorted(totals, key=lambda r: (r["_g"], r["bucket"])):
-        d = info.setdefault(r["_g"], {"total": {k: 0 for k in names}, "offsets": []})
+        d = info.setdefault(r["_g"], {"key": keys[r["_g"]], "total": {k: 0 for k in names}, "offsets": []})
         d["offsets"].append((r["bucket"], dict(d["total"]), {k: r[k] for k in names}))
         for k in names:
             d["total"][k] += r[k]
@@ -122,7 +125,6 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
         ranked = (ranked.withColumn(f"cum_{k}", F.col(f"_run_{k}") + F.col(f"_off_{k}"))
                   .withColumn(f"before_{k}", F.col(f"cum_{k}") - F.col(k))
                   .drop(f"_run_{k}", f"_off_{k}"))
-    info["__cache__"] = vc
     return ranked, info
 
 
@@ -137,17 +139,13 @@ def ranked_distinct(df: DataFrame, value_col: str, group_cols: Sequence[str] = (
     ranked, info = running_totals(df, value_col, group_cols, {"cnt": F.lit(1).cast("long")}, rows_per_bucket)
     ranked = ranked.withColumnRenamed("cum_cnt", "cum").withColumnRenamed("before_cnt", "cum_before")
     for g, d in info.items():
-        if g == "__cache__":
-            continue
         d["total"] = d["total"]["cnt"]
         d["offsets"] = [(b, off["cnt"], tot["cnt"]) for b, off, tot in d["offsets"]]
     return ranked, info
 
 
 def release(info: dict) -> None:
-    cache = info.get("__cache__")
-    if cache is not None:
-        cache.unpersist()
+    """Kept for callers of earlier versions: totals are stored, not cached."""
 
 
 def bucket_of_rank(info_g: dict, r: int):
@@ -157,59 +155,81 @@ def bucket_of_rank(info_g: dict, r: int):
     return None
 
 
-COLUMN_BATCH = 8  # columns per pass: keeps the per-column bucket CASE small
+COLLECT_VALUES = 100_000  # different values inside a bracket that reach the driver
+SKETCH = 10_000           # accuracy of the sketch that proposes brackets
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    rows_per_bucket: int | None = None) -> dict:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], collect_values: int = COLLECT_VALUES) -> dict:
     """{col: [q_p for p in probs]} with linear interpolation between order
     statistics (pandas default, DuckDB ``quantile_cont``); NaN/NULL skipped.
-    Columns are processed in batches of ``COLUMN_BATCH``."""
+
+    Exact selection by counting, all columns at once, without shuffling column
+    values: a quantile sketch proposes a bracket around every wanted rank; one
+    pass counts the values between the brackets' edges; the few values inside
+    the brackets that hold a wanted rank are collected with their counts. A
+    bracket with too many values gets edges from a sketch of its own values
+    and is counted again, so its size falls by the sketch's accuracy a pass.
+    """
     cols = list(cols)
-    if len(cols) > COLUMN_BATCH:
-        out = {}
-        for i in range(0, len(cols), COLUMN_BATCH):
-            out.update(exact_quantiles(df, cols[i:i + COLUMN_BATCH], probs, rows_per_bucket))
-        return out
     if not cols:
         return {}
-    spark = df.sparkSession
-    stack_args = ", ".join(f"'{c}', nanvl(cast(`{c}` as double), cast(null as double))" for c in cols)
-    melted = df.select(F.expr(f"stack({len(cols)}, {stack_args}) as (col_name, value)"))
-    ranked, info = ranked_distinct(melted, "value", ["col_name"], rows_per_bucket=rows_per_bucket)
-    want = []  # (col, bucket, rank)
-    plan = {}
-    for c in cols:
-        d = info.get(c) if c != "__cache__" else None
-        if not d or d["total"] == 0:
-            plan[c] = None
-            continue
-        n = d["total"]
-        entries = []
-        for p in probs:
-            h = (n - 1) * float(p)
-            lo, hi = math.floor(h), math.ceil(h)
-            entries.append((h, lo, hi))
-            for r in {lo, hi}:
-                want.append((c, bucket_of_rank(d, r), int(r)))
-        plan[c] = entries
-    if want:
-        tdf = spark.createDataFrame(sorted(set(want)), "col_name string, bucket int, r long")
-        got = (ranked.join(F.broadcast(tdf), ["col_name", "bucket"])
-               .where((F.col("r") >= F.col("cum_before")) & (F.col("r") < F.col("cum")))
-               .select("col_name", "r", "value").collect())
-        val = {(g["col_name"], g["r"]): g["value"] for g in got}
+    num = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in cols]
+    data = df.select(*[x.alias(f"v{i}") for i, x in enumerate(num)])
+    eps = 2.0 / SKETCH
+    fracs = sorted({min(1.0, max(0.0, float(p) + d)) for p in probs for d in (-eps, eps)})
+    row = data.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(cols))],
+                   *[F.percentile_approx(f"v{i}", fracs, SKETCH).alias(f"q{i}") for i in range(len(cols))]).first()
+    n = [row[f"n{i}"] for i in range(len(cols))]
+    wanted = {i: sorted({r for p in probs for r in (math.floor((n[i] - 1) * float(p)), math.ceil((n[i] - 1) * float(p)))}) for i in range(len(cols)) if n[i]}
+    # an edge and the number after it: a value held by many rows gets a bracket of its own
+    edges = {i: sorted({e for q in row[f"q{i}"] for e in (q, math.nextafter(q, math.inf))}) for i in wanted}
+    value: dict = {}
+    while wanted:
+        live = list(wanted)
+        parts = ", ".join(f"{i}, v{i}, _b{i}" for i in live)
+        cut = data.select("*", *[search_expr(F.col(f"v{i}"), edges[i]).alias(f"_b{i}") for i in live])
+        cells = cut.select(F.expr(f"stack({len(live)}, {parts}) as (c, v, b)")).where("v is not null")
+        counts: dict = {}
+        for r in cells.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
+            counts.setdefault(r["c"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
+        small, large = {}, {}
+        for i in live:
+            below = 0
+            for b, m, lo, hi in sorted(counts[i]):
+                ranks = [r for r in wanted[i] if below <= r < below + m]
+                if ranks and lo == hi:
+                    value.update({(i, r): lo for r in ranks})
+                elif ranks:
+                    (small if m <= collect_values else large)[(i, b)] = (below, ranks)
+                below += m
+        if small:
+            hit = F.concat_ws(":", "c", "b").isin([f"{i}:{b}" for i, b in small])
+            got: dict = {}
+            for r in cells.where(hit).groupBy("c", "b", "v").agg(F.count(F.lit(1)).alias("n")).collect():
+                got.setdefault((r["c"], r["b"]), []).append((r["v"], r["n"]))
+            for (i, b), (at, ranks) in small.items():
+                for v, m in sorted(got[(i, b)]):
+                    value.update({(i, r): v for r in ranks if at <= r < at + m})
+                    at += m
+        wanted = {}
+        if large:
+            hit = F.concat_ws(":", "c", "b").isin([f"{i}:{b}" for i, b in large])
+            grid = [k / 500 for k in range(501)]
+            for r in cells.where(hit).groupBy("c", "b").agg(F.percentile_approx("v", grid, SKETCH).alias("q")).collect():
+                i = r["c"]
+                wanted[i] = sorted({*wanted.get(i, []), *large[(i, r["b"])][1]})
+                edges[i] = sorted({*edges[i], *(e for q in r["q"] for e in (q, math.nextafter(q, math.inf)))})
     out = {}
-    for c in cols:
-        if plan[c] is None:
+    for i, c in enumerate(cols):
+        if not n[i]:
             out[c] = [None] * len(probs)
             continue
         res = []
-        for h, lo, hi in plan[c]:
-            a, b = val[(c, lo)], val[(c, hi)]
-            res.append(a + (b - a) * (h - lo) if hi != lo else a)
+        for p in probs:
+            h = (n[i] - 1) * float(p)
+            x, y = value[(i, math.floor(h))], value[(i, math.ceil(h))]
+            res.append(x + (y - x) * (h - math.floor(h)) if y != x else x)
         out[c] = res
-    release(info)
     return out
 
 

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.functions.rng import hash_int32, uniform
+from tabprep.functions.rng import hash_int, uniform
 from tabprep.operators.knn import knn_join
 from tabprep.operators.ranks import release, running_totals
 from tabprep.operators.split import hash_rank
@@ -110,8 +110,8 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
     spark = df.sparkSession
     draws = spark.range(n_new).select(
         F.col("id"),
-        (hash_int32(seed, F.col("id"), "smote_base") % F.lit(n_min)).alias("idx"),
-        (hash_int32(seed, F.col("id"), "smote_nn") % F.lit(kk) + 1).cast("int").alias("rank"),
+        (hash_int(seed, F.col("id"), "smote_base") % F.lit(n_min)).alias("idx"),
+        (hash_int(seed, F.col("id"), "smote_nn") % F.lit(kk) + 1).cast("int").alias("rank"),
         uniform(seed, F.col("id"), "smote_gap").alias("gap"))
     b = indexed.select(F.col("idx"), F.col("key").alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in features])
     n = mino.select(F.col("key").alias("c_key"), *[F.col(f).alias(f"n_{f}") for f in features])
@@ -145,7 +145,7 @@ def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int
     m = nn_all.groupBy("q_key").agg(F.sum((F.col("c_label") != F.lit(min_lab)).cast("long")).alias("m"))
     total = m.agg(F.sum("m")).first()[0] or 0
     if total == 0:
-        raise ValueError("Not any neigbours belong to the majority class; ADASYN cannot generate samples")
+        raise ValueError("ADASYN needs minority rows with neighbours of another class; none has any")
     g = m.select(F.col("q_key").alias("key"),
                  F.bround((F.col("m") * F.lit(G)).cast("double") / F.lit(float(total)), 0).cast("long").alias("g"))
     # exact offsets of each row's synthetic ids: running sum of g in key order
@@ -163,7 +163,7 @@ def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int
         F.col("chunk") * F.lit(EXPLODE_CHUNK) + 1,
         F.least(F.col("g"), (F.col("chunk") + 1) * F.lit(EXPLODE_CHUNK)))).alias("j"))
     draws = draws.select("b_key", "off", "j",
-                         (hash_int32(seed, F.col("b_key"), "adasyn_nn", F.col("j")) % F.lit(kk) + 1)
+                         (hash_int(seed, F.col("b_key"), "adasyn_nn", F.col("j")) % F.lit(kk) + 1)
                          .cast("int").alias("rank"),
                          uniform(seed, F.col("b_key"), "adasyn_gap", F.col("j")).alias("gap"))
     b = mino.select(F.col("key").alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in features])
@@ -188,6 +188,7 @@ def nearmiss(df: DataFrame, key: str, features: Sequence[str], label: str, k: in
     (min_lab, n_min), (maj_lab, _) = _minority_majority(counts)
     mino = data.where(F.col("label") == F.lit(min_lab))
     majo = data.where(F.col("label") == F.lit(maj_lab))
+    k = min(k, n_min)  # a row cannot be nearer to more minority rows than there are
     nn = knn_join(majo, mino, features, k, "key", exclude_self=False)
     parts = [F.sum(F.when(F.col("rank") == i, F.col("dist"))).alias(f"d{i}") for i in range(1, k + 1)]
     md = nn.groupBy("q_key").agg(*parts)
@@ -202,7 +203,8 @@ def nearmiss(df: DataFrame, key: str, features: Sequence[str], label: str, k: in
     pos = (md.join(spans, "md")
            .withColumn("_r", F.col("_b") + F.row_number().over(Window.partitionBy("md").orderBy("key")) - 1))
     keep = pos.where(F.col("_r") < F.lit(n_min)).select("key")
-    return mino.unionByName(majo.join(keep, "key", "left_semi"))
+    rest = data.where(~F.col("label").isin(min_lab, maj_lab))  # classes between the two stay whole
+    return mino.unionByName(rest).unionByName(majo.join(keep, "key", "left_semi"))
 
 
 def edited_nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 3) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from tabprep.operators.profile import corr_matrix
-from tabprep.operators.ranks import exact_quantiles
+from tabprep.operators.ranks import exact_quantiles, search_expr
 
 
 def numeric_features(df: DataFrame, target: str | None) -> list:
@@ -66,8 +66,8 @@ def binned(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     for c in cols:
         cuts = sorted(set(v for v in q[c] if v is not None))
         x = F.col(c).cast("double")
-        out.append(F.size(F.filter(F.array(*[F.lit(v) for v in cuts]), lambda e: x > e)).alias(c)
-                   if cuts else F.lit(0).alias(c))
+        # cut points below x: x reaches the next number after them
+        out.append(search_expr(x, [math.nextafter(v, math.inf) for v in cuts]).alias(c))
     return df.select(*out, *[c for c in df.columns if c not in cols])
 
 
@@ -91,30 +91,39 @@ def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10)
 
 
 def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> dict:
-    """C4, numeric label: F = r^2 / (1 - r^2) * (n - 2)."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.corr(c, target).alias(f"r{i}") for i, c in enumerate(cols)]).first()
-    n = row["n"]
+    """C4, numeric label: F = r^2 / (1 - r^2) * (n - 2), with n the rows where
+    both the column and the label are present."""
+    y = F.col(target)
+    row = df.agg(*[F.corr(c, target).alias(f"r{i}") for i, c in enumerate(cols)],
+                 *[F.count(F.when(F.col(c).isNotNull() & y.isNotNull(), 1)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     out = {}
     for i, c in enumerate(cols):
-        r = row[f"r{i}"]
+        r, n = row[f"r{i}"], row[f"n{i}"]
         out[c] = None if r is None or r * r >= 1 else r * r / (1 - r * r) * (n - 2)
     return out
 
 
 def f_anova(df: DataFrame, cols: Sequence[str], target: str) -> dict:
-    """C4, categorical label: one-way ANOVA F from per-class n, sum, sum of squares."""
-    g = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"),
-                               *[F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
-                               *[F.sum(F.col(c).cast("double") ** 2).alias(f"q{i}") for i, c in enumerate(cols)]).collect()
-    k = len(g)
-    n = sum(r["n"] for r in g)
+    """C4, categorical label: one-way ANOVA F from each class's count, mean and
+    variance (per column, over its present values), so large means do not
+    cancel."""
+    g = df.where(F.col(target).isNotNull()).groupBy(target).agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[F.var_pop(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)]).collect()
     out = {}
     for i, c in enumerate(cols):
-        tot_s = sum(r[f"s{i}"] for r in g)
-        tot_q = sum(r[f"q{i}"] for r in g)
-        ss_between = sum(r[f"s{i}"] ** 2 / r["n"] for r in g) - tot_s ** 2 / n
-        ss_within = tot_q - sum(r[f"s{i}"] ** 2 / r["n"] for r in g)
-        out[c] = None if k < 2 or n <= k or ss_within <= 0 else (ss_between / (k - 1)) / (ss_within / (n - k))
+        rows = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in g if r[f"n{i}"]]
+        k, n = len(rows), sum(r[0] for r in rows)
+        if k < 2 or n <= k:
+            out[c] = None
+            continue
+        # means relative to the first class's: the grand mean keeps its digits
+        base = rows[0][1]
+        grand = sum(m * (mean - base) for m, mean, _ in rows) / n
+        between = sum(m * (mean - base - grand) ** 2 for m, mean, _ in rows)
+        within = sum(m * v for m, _, v in rows)
+        out[c] = None if within <= 0 else (between / (k - 1)) / (within / (n - k))
     return out
 
 

@@ -15,8 +15,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.functions.rng import hash_int32
-from tabprep.operators.ranks import release, running_totals
+from tabprep.functions.rng import hash_int
+from tabprep.operators.ranks import _group_key, release, running_totals
 
 
 def hash_rank(df: DataFrame, key: str, group_cols: Sequence[str], seed: int = 42,
@@ -26,21 +26,17 @@ def hash_rank(df: DataFrame, key: str, group_cols: Sequence[str], seed: int = 42
     {group tuple: n}, info). ``key`` must identify rows (de-duplicate first):
     rows sharing a hash value are ordered in a window over that one value."""
     g = list(group_cols)
-    h = hash_int32(seed, F.col(key), purpose).alias("_h")
-    withh = df.select("*", h)
+    h = hash_int(seed, F.col(key), purpose).alias("_h")
+    withh = df.select("*", h, _group_key(g).alias("_g"))
     ranked, info = running_totals(withh, "_h", g, {"cnt": F.lit(1).cast("long")})
-    spans = ranked.select(*g, "_h", F.col("before_cnt").alias("_before"))
-    tie = Window.partitionBy(*g, "_h").orderBy(key)
-    out_df = (withh.join(spans, [*g, "_h"])
+    spans = ranked.select("_g", "_h", F.col("before_cnt").alias("_before"))
+    tie = Window.partitionBy("_g", "_h").orderBy(key)
+    out_df = (withh.join(spans, ["_g", "_h"])
               .withColumn(out, F.col("_before") + F.row_number().over(tie) - 1)
-              .drop("_h", "_before"))
-    totals = {}
-    keyrows = ranked.select(*g).distinct().collect() if g else []
-    for r in keyrows:
-        gk = "\u0001".join(str(r[c]) for c in g)
-        totals[tuple(r[c] for c in g)] = info[gk]["total"]["cnt"]
+              .select(*df.columns, out))
+    totals = {d["key"]: d["total"]["cnt"] for d in info.values()}
     if not g:
-        totals[()] = info[""]["total"]["cnt"] if "" in info else 0
+        totals.setdefault((), 0)
     return out_df, totals, info
 
 
@@ -54,7 +50,7 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
     cut = None
     for (cls,), n in totals.items():
         k = F.lit(_half_up(test_size * n))
-        cond = F.col(target) == F.lit(cls)
+        cond = F.col(target).eqNullSafe(F.lit(cls))
         cut = F.when(cond, k) if cut is None else cut.when(cond, k)
     is_test = F.col("_rank") < (cut if cut is not None else F.lit(0))
     flagged = ranked.withColumn("_test", is_test)
@@ -73,9 +69,9 @@ def holdout_flag(df: DataFrame, target: str, key: str, test_size: float = 0.2, s
     cut = None
     for (cls,), n in totals.items():
         k = F.lit(_half_up(test_size * n))
-        cond = F.col(target) == F.lit(cls)
+        cond = F.col(target).eqNullSafe(F.lit(cls))
         cut = F.when(cond, k) if cut is None else cut.when(cond, k)
-    return ranked.withColumn("is_test", (F.col("_rank") < cut).cast("int")).drop("_rank")
+    return ranked.withColumn("is_test", (F.col("_rank") < (cut if cut is not None else F.lit(0))).cast("int")).drop("_rank")
 
 
 __all__ = ["hash_rank", "stratified_split", "assign_folds", "holdout_flag", "release"]

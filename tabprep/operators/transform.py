@@ -55,47 +55,42 @@ def _power_col(v: Column, lam: Column, kind: str, shift: float) -> Column:
 
 
 def fit_power_lambda(df: DataFrame, col: str, kind: str = "yj", lo: float = -3.0, hi: float = 3.0,
-                     steps: int = 17, rounds: int = 4, shift: float = 0.0) -> float:
+                     steps: int = 17, rounds: int = 4, shift: float = 0.0, most_widenings: int = 8) -> float:
     """Maximum-likelihood lambda: -n/2 ln(var_pop(f)) + (lambda - 1) * J.
 
-    Values are first collapsed to (value, count). Each refinement round emits
-    ``steps`` candidate lambdas per distinct value with ``stack`` (a fixed
-    small fan-out, no join) and aggregates per lambda, so one pass scores the
-    whole grid; the grid then narrows around the best lambda.
+    Each round scores ``steps`` lambdas in one aggregate of ``var_pop`` per
+    lambda, so nothing but partial sums is shuffled. While the best lambda sits
+    on an edge of the grid the grid moves past that edge, at twice the width;
+    then it narrows around the best. Values that the transform does not take
+    (Box-Cox: not positive) are left out of all sums.
     """
-    vc = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
-          .agg(F.count(F.lit(1)).cast("double").alias("w")).persist())
-    v, w = F.col("v"), F.col("w")
+    v = F.col("v")
+    data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     if kind == "yj":
-        jac_e = F.sum(w * F.signum(v) * F.log1p(F.abs(v)))
+        jac_e = F.sum(F.signum(v) * F.log1p(F.abs(v)))
     else:
-        jac_e = F.sum(w * F.log(v + F.lit(float(shift))))
-    best = None
-    a, b = lo, hi
-    try:
-        jrow = vc.agg(jac_e.alias("jac"), F.sum(w).alias("n")).first()
-        n, jac = jrow["n"], jrow["jac"]
-        for _ in range(rounds):
-            lams = [a + (b - a) * i / (steps - 1) for i in range(steps)]
-            grid = ", ".join(f"CAST({lam!r} AS DOUBLE)" for lam in lams)
-            f = _power_col(v, F.col("lam"), kind, shift)
-            rows = (vc.select("v", "w", F.expr(f"explode(array({grid})) AS lam"))
-                    .groupBy("lam").agg(F.sum(w * f).alias("s"), F.sum(w * f * f).alias("q")).collect())
-            scores = []
-            for r in rows:
-                if r["s"] is None or r["q"] is None:
-                    continue
-                var = r["q"] / n - (r["s"] / n) ** 2
-                if var <= 0 or math.isnan(var):
-                    continue
-                scores.append((-n / 2.0 * math.log(var) + (r["lam"] - 1.0) * jac, r["lam"]))
-            if not scores:
-                break
-            best = max(scores)[1]
-            step = (b - a) / (steps - 1)
-            a, b = best - step, best + step
-    finally:
-        vc.unpersist()
+        data = data.where(v + F.lit(float(shift)) > 0)
+        jac_e = F.sum(F.log(v + F.lit(float(shift))))
+
+    def score(lams: list) -> list:
+        f = [_power_col(v, F.lit(lam), kind, shift) for lam in lams]
+        row = data.agg(F.count("v").alias("n"), jac_e.alias("jac"), *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(f)]).first()
+        ok = [(i, row[f"v{i}"]) for i in range(len(lams))]
+        return [(-row["n"] / 2.0 * math.log(x) + (lams[i] - 1.0) * row["jac"], lams[i]) for i, x in ok
+                if x is not None and x > 0 and math.isfinite(x)]
+
+    best, a, b, widened, r = None, lo, hi, 0, 0
+    while r < rounds:
+        step = (b - a) / (steps - 1)
+        scores = score([a + step * i for i in range(steps)])
+        if not scores:
+            break
+        best = max(scores)[1]
+        if r == 0 and widened < most_widenings and min(best - a, b - best) < step / 2:
+            a, b = (best - 2 * (b - a), best + step) if best - a < b - best else (best - step, best + 2 * (b - a))
+            widened += 1
+            continue
+        a, b, r = best - step, best + step, r + 1
     return 1.0 if best is None else best
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabprep.functions.rng import hash_int32, sql_hash_int32, sql_uniform, uniform
+from tabprep.functions.rng import TWO_53, hash_int, sql_hash_int, sql_uniform, uniform
 from tabprep.operators.evaluate import metric_row
 from tabprep.sources.tables import CUSTOMER_PROFILE_SQL, customer_profile
 
@@ -84,10 +84,10 @@ def variant_scores(spark, d):
                      f"CAST({_weights(i)[1]!r} AS DOUBLE), CAST({_weights(i)[2]!r} AS DOUBLE)"
                      for (m, k, mod, tag, i) in vs)
     long = cp.select("c_custkey", F.col("churned").alias("label"), "has_urgent",
-                     (hash_int32(42, F.col("c_custkey"), "fold") % N_FOLDS).cast("int").alias("fold"),
+                     (hash_int(42, F.col("c_custkey"), "fold") % N_FOLDS).cast("int").alias("fold"),
                      F.expr(f"stack({len(vs)}, {args}) AS (method, kind, Model, tag, wa, wb, wc)"))
-    u = F.conv(F.substring(F.md5(F.concat(F.lit("42:"), F.col("c_custkey").cast("string"), F.lit(":"),
-                                          F.col("tag"))), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    h = F.conv(F.substring(F.md5(F.concat(F.lit("42:"), F.col("c_custkey").cast("string"), F.lit(":"), F.col("tag"))), 1, 15), 16, 10)
+    u = F.shiftright(h.cast("bigint"), 7) / F.lit(TWO_53)
     x = F.col("wa") * u + F.col("wb") * F.col("label").cast("double") + F.col("wc") * F.col("has_urgent").cast("double")
     score = F.floor(x * F.lit(100.0)) / F.lit(100.0)
     return (long.withColumn("score", score)
@@ -98,7 +98,7 @@ def variant_scores(spark, d):
 def _variant_sql() -> str:
     parts = []
     for (m, k, mod, tag, i) in variants():
-        parts.append(f"SELECT c_custkey, churned AS label, CAST({sql_hash_int32(42, 'c_custkey', 'fold')} % {N_FOLDS} "
+        parts.append(f"SELECT c_custkey, churned AS label, CAST({sql_hash_int(42, 'c_custkey', 'fold')} % {N_FOLDS} "
                      f"AS INTEGER) AS fold, '{m}' AS method, '{k}' AS kind, '{mod}' AS Model, "
                      f"{_score_sql(tag, i)} AS score FROM cp")
     u = " UNION ALL ".join(parts)

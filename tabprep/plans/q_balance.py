@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabprep.functions.rng import sql_hash_int32, sql_uniform
+from tabprep.functions.rng import sql_hash_int, sql_uniform
 from tabprep.operators import resample as R
 from tabprep.operators.knn import knn_join
 from tabprep.operators.split import assign_folds, holdout_flag
@@ -58,7 +58,7 @@ def r6(cols):
 
 @query("holdout_split", "V1", sql=with_cp(f"""
 , r AS (SELECT c_custkey, churned, row_number() OVER (PARTITION BY churned
-          ORDER BY {sql_hash_int32(42, 'c_custkey', 'holdout')}, c_custkey) - 1 AS pos,
+          ORDER BY {sql_hash_int(42, 'c_custkey', 'holdout')}, c_custkey) - 1 AS pos,
         count(*) OVER (PARTITION BY churned) AS n FROM cp)
 SELECT c_custkey, churned, CAST(pos < round(0.2 * n) AS INTEGER) AS is_test FROM r
 """))
@@ -69,7 +69,7 @@ def q_holdout_split(spark, d):
 
 FOLD_SQL = f"""
 , r AS (SELECT c_custkey, churned, row_number() OVER (PARTITION BY churned
-          ORDER BY {sql_hash_int32(42, 'c_custkey', 'fold')}, c_custkey) - 1 AS pos FROM cp)
+          ORDER BY {sql_hash_int(42, 'c_custkey', 'fold')}, c_custkey) - 1 AS pos FROM cp)
 """
 
 
@@ -150,7 +150,7 @@ def q_knn_lsh(spark, d):
 
 def _smote_sql(src: str, out: str, seed: int = 42, k: int = 5) -> str:
     """CTEs ending in ``out`` (key, f..., label) = src rows + SMOTE rows."""
-    h = lambda e, p: sql_hash_int32(seed, e, p)
+    h = lambda e, p: sql_hash_int(seed, e, p)
     u = lambda e, p: sql_uniform(seed, e, p)
     interp = ", ".join(f"b.{f} + d.gap * (n.{f} - b.{f}) AS {f}" for f in FEATS)
     return f"""{MM_SQL.format(src=src)},
@@ -187,7 +187,7 @@ def q_before_after(spark, d):
 
 
 def _adasyn_sql(seed: int = 42, k: int = 5) -> str:
-    h = lambda e, p, *m: sql_hash_int32(seed, e, p, *m)
+    h = lambda e, p, *m: sql_hash_int(seed, e, p, *m)
     u = lambda e, p, *m: sql_uniform(seed, e, p, *m)
     interp = ", ".join(f"b.{f} + d.gap * (n.{f} - b.{f}) AS {f}" for f in FEATS)
     return f"""{MM_SQL.format(src='kv')},

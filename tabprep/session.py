@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and
+    read back: cuts lineage, survives lost executors and leaves no cached
+    table behind."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
                    min_partitions: int = 200) -> int:
     """Size shuffles and scan splits for an input of ``input_bytes``: about

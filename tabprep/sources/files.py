@@ -13,20 +13,27 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     """CSV (header, declared schema) or Parquet by extension; a missing
     path raises a clear error instead of returning None."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    if fmt == "csv":
-        return r.option("header", True).option("inferSchema", schema is None).csv(path)
-    return r.parquet(path)
+    if fmt != "csv":
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    if schema is None:
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    # columns are matched by header name: Spark would apply a CSV schema by position
+    raw = spark.read.option("header", True).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks declared columns {missing}")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def load_sources(spark: SparkSession, primary: str, train: str, test: str, drop=(), schema=None) -> dict:
-    """S3: {original, test, combined} with the combined set built by P1-P4."""
+    """S3: {original, test, combined} with the combined set built by P1-P4.
+    ``schema`` is one schema for all three files or a dict with a schema per
+    file (keys primary, train, test); columns are found by name."""
     from tabprep.operators.project import union_sources
-    original = read_table(spark, primary, schema)
-    comp_train = read_table(spark, train, schema)
-    comp_test = read_table(spark, test, schema)
+    of = schema if isinstance(schema, dict) else dict.fromkeys(("primary", "train", "test"), schema)
+    original = read_table(spark, primary, of.get("primary"))
+    comp_train = read_table(spark, train, of.get("train"))
+    comp_test = read_table(spark, test, of.get("test"))
     return {"original": original, "test": comp_test, "combined": union_sources(original, comp_train, drop)}
 
 

@@ -13,11 +13,13 @@ from tabprep.operators.score import risk_tier
 
 
 def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: StructType,
-                 out_dir: str, checkpoint: str, max_files_per_trigger: int = 1) -> None:
+                 out_dir: str, checkpoint: str, max_files_per_trigger: int | None = None) -> None:
     """Read parquet files as they arrive, score, tier, write to ``out_dir``;
     runs until the currently available files are done (``availableNow``)."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source_dir)
     scored = risk_tier(predict(model, stream), "score", "prediction")
 
     def sink(batch: DataFrame, epoch: int) -> None:

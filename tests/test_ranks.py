@@ -9,8 +9,8 @@ def test_exact_quantiles_bucketed_matches_numpy(spark):
     vals = np.round(rng.exponential(10, 3000), 2)  # many ties
     df = spark.createDataFrame([(float(v), float(v) * 2) for v in vals], "a double, b double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    for rpb in (50, 10_000_000):  # forced buckets and the single-bucket path
-        q = exact_quantiles(df, ["a", "b"], probs, rows_per_bucket=rpb)
+    for most in (1, 7, 10_000_000):  # brackets counted again, and collected at once
+        q = exact_quantiles(df, ["a", "b"], probs, collect_values=most)
         assert np.allclose(q["a"], np.quantile(vals, probs), rtol=0, atol=1e-9)
         assert np.allclose(q["b"], np.quantile(vals * 2, probs), rtol=0, atol=1e-9)
 
