@@ -263,6 +263,10 @@ def member_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     return d.mapInArrow(build, "doc long, shingles binary")
 
 
+def groups_wide(blocked: DataFrame) -> DataFrame:
+    return blocked.groupBy("grp").agg(F.max("block").alias("last")).filter("last > 0")
+
+
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
     rows = stored(prefixes(docs, sketch(docs, width), width, percent), "jaccard-prefixes")
@@ -291,10 +295,12 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
            .select(F.concat_ws(":", "g.grp", "g.block").alias("grp"), "doc", "label", "shingles").repartition(n, "grp").sortWithinPartitions("grp", "doc"))
     links = stored(one.mapInArrow(lambda b: block_labels(b, percent), "a long, b long"), "jaccard-links")
     done = components(links)
-    wide = blocked.groupBy("grp").agg(F.max("block").alias("last")).filter("last > 0")
+    # groups of several blocks; stored, so that their size is known before the blocks are joined with them
+    wide = stored(groups_wide(blocked), "jaccard-wide")
     if wide.limit(1).count():
         lab = blocked.join(wide, "grp").join(done.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
-        open_ = lab.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("grp")
+        lab = stored(lab.select("grp", "block", "last", "doc", "label", "shingles"), "jaccard-labels")
+        open_ = stored(lab.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("grp"), "jaccard-open")
         dealt = (lab.join(open_, "grp").withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last")))).filter("other <> block")
                  .select(F.concat_ws(":", "grp", F.least("block", "other"), F.greatest("block", "other")).alias("grp"), "doc", "label", "shingles"))
         cross = dealt.repartition(n, "grp").sortWithinPartitions("grp", "doc").mapInArrow(lambda b: block_labels(b, percent), "a long, b long")
