@@ -4,20 +4,22 @@
 nearest candidate rows by Euclidean distance (ties: candidate key), optionally
 excluding the row itself.
 
-Exact method (blocked nested loop, distributed):
-  * queries are hashed into ``bq`` blocks, candidates into ``bc`` blocks;
-  * each query row is emitted once per candidate block and each candidate
-    row once per query block (``explode(sequence(..))``: a fixed fan-out,
-    no join), so block pair (i, j) meets exactly once;
-  * ``cogroup(...).applyInPandas`` computes distances for one block pair in
-    numpy chunks and emits only that pair's top-k per query (never all pairs);
-  * a window per query key (at most ``bc * k`` rows) keeps the global top-k.
-Block counts grow with the inputs so every task holds at most
-``block_rows`` rows of each side.
+Exact method, pruned by pivots:
+  * at most ``MOST_PIVOTS`` candidate rows, chosen by hash, are pivots; every
+    row goes to the cell of its nearest pivot (a projection, no shuffle), and
+    one small aggregate gives each cell's row count and radius;
+  * round 1 joins every query with its own cell; the k-th distance found there
+    bounds the true one from above (no bound where the cell has fewer rows);
+  * round 2 sends a query only to the other cells whose lower bound (distance
+    to the pivot minus the radius) does not exceed that k-th distance;
+  * cells over ``block_rows`` candidates are split by hash and their queries
+    meet every part, so a dense cell is never one task's; parts emit only
+    their top k, and a window per query keeps the best k of all.
+On clustered rows most cells are never met; on rows without structure every
+query meets every cell, as any exact method must.
 
 Approximate method: ``BucketedRandomProjectionLSH.approxSimilarityJoin``
-(Spark ML) with the same top-k window; for sides too large for the exact
-blocked join.
+(Spark ML); queries it leaves short of k are finished by the exact join.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.session import stored
+
 BLOCK_ROWS = 20_000
 CHUNK = 512
 
@@ -89,53 +93,101 @@ def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int):
     return fn
 
 
+MOST_PIVOTS = 256
+SLACK = 1e-9  # relative, for rounding in bounds
+
+
+def _pivots(c: DataFrame, nf: int, n: int) -> np.ndarray:
+    """About sqrt(n / 16) candidate rows in hash order (at most MOST_PIVOTS)."""
+    want = int(min(MOST_PIVOTS, max(1, math.isqrt(max(1, n // 16)))))
+    rows = c.orderBy(F.xxhash64("ck"), "ck").limit(want).collect()
+    return np.array([[r[f"cv{i}"] for i in range(nf)] for r in rows], dtype=np.float64).reshape(-1, nf)
+
+
+def _cells(df: DataFrame, prefix: str, nf: int, pivots: np.ndarray, plan=None) -> DataFrame:
+    """Rows with their cell and distance to its pivot. With ``plan`` (the cells'
+    radii) also, for every cell, a lower bound of the distance to its rows."""
+    sent = df.sparkSession.sparkContext.broadcast((pivots, plan))
+    schema = df.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
+    more = "cell int, dist double" + ("" if plan is None else ", lower array<double>")
+
+    def fn(batches):
+        pivots, plan = sent.value
+        for pdf in batches:
+            m = pdf[[f"{prefix}v{i}" for i in range(nf)]].to_numpy(dtype=np.float64)
+            d = np.empty((len(m), len(pivots)))
+            for j, p in enumerate(pivots):
+                d[:, j] = np.sqrt(((m - p) ** 2).sum(axis=1))
+            cell = d.argmin(axis=1) if len(pdf) else np.zeros(0, int)
+            pdf["cell"] = cell.astype("int32")
+            pdf["dist"] = d[np.arange(len(m)), cell]
+            if plan is not None:
+                pdf["lower"] = list(np.maximum(d - plan, 0.0) * (1 - SLACK))
+            yield pdf
+
+    return df.mapInPandas(fn, f"{schema}, {more}")
+
+
+def _meet(q: DataFrame, c: DataFrame, parts: dict, fn, schema: str) -> DataFrame:
+    """Queries (with ``to``, a cell) against the candidates of that cell; a
+    cell cut in parts is met part by part, and its queries in as many lots."""
+    n_parts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]), F.col("to")), F.lit(1)) if parts else F.lit(1)
+    qx = q.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
+    cx = c.withColumnRenamed("cell", "to").withColumn("part", F.pmod(F.xxhash64("ck"), n_parts).cast("int"))
+    return qx.groupBy("to", "part").cogroup(cx.groupBy("to", "part")).applyInPandas(fn, schema)
+
+
 def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str], k: int,
              key: str, cand_key: str | None = None, exclude_self: bool = True,
-             cand_label: str | None = None, method: str = "exact",
-             blocks: tuple | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+             cand_label: str | None = None, method: str = "exact", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Top-k neighbours: columns q_key, c_key, dist, rank (1..k) [, c_label]."""
     cand_key = cand_key or key
     if method == "approx":
         return knn_lsh(queries, candidates, features, k, key, cand_key, exclude_self, cand_label)
-    q = _prep(queries, key, features, None, "q")
-    c = _prep(candidates, cand_key, features, cand_label, "c")
-    if blocks is None:
-        nq = queries.count()
-        nc = nq if candidates is queries else candidates.count()
-        # enough block pairs to occupy the cluster, and no block above block_rows
-        floor_b = max(1, math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism)))
-        bq = max(math.ceil(nq / block_rows), min(floor_b, max(1, nq // 1000)))
-        bc = max(math.ceil(nc / block_rows), min(floor_b, max(1, nc // 1000)))
-        blocks = (max(1, bq), max(1, bc))
-    bq, bc = blocks
-    qx = (q.withColumn("qb", F.pmod(F.xxhash64("qk"), F.lit(bq)).cast("int"))
-          .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(bc - 1)))))
-    cx = (c.withColumn("cb", F.pmod(F.xxhash64("ck"), F.lit(bc)).cast("int"))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
-    with_label = cand_label is not None
+    nf, with_label = len(features), cand_label is not None
+    c = stored(_prep(candidates, cand_key, features, cand_label, "c"), "knn-candidates")
+    q = stored(_prep(queries, key, features, None, "q"), "knn-queries")
+    pivots = _pivots(c, nf, c.count())
     schema = "qk long, ck long, d2 double" + (", cl long" if with_label else "")
-    pairs = (qx.groupBy("qb", "cb").cogroup(cx.groupBy("qb", "cb"))
-             .applyInPandas(_block_topk(k, exclude_self, with_label, len(features)), schema))
-    w = Window.partitionBy("qk").orderBy("d2", "ck")
-    top = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    cols = [F.col("qk").alias("q_key"), F.col("ck").alias("c_key"), F.sqrt("d2").alias("dist"),
-            F.col("d2"), F.col("rank")]
+    if not len(pivots):
+        return q.sparkSession.createDataFrame([], "q_key long, c_key long, dist double, d2 double, rank int" + (", c_label long" if with_label else ""))
+    c = stored(_cells(c, "c", nf, pivots), "knn-cells")
+    stats = {r["cell"]: r for r in c.groupBy("cell").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
+    radius = np.array([stats[j]["r"] if j in stats else -np.inf for j in range(len(pivots))])
+    parts = {j: -(-r["n"] // block_rows) for j, r in stats.items() if r["n"] > block_rows}
+    q = stored(_cells(q, "q", nf, pivots, radius), "knn-queries")
+    cc = c.drop("dist")
+    topk = _block_topk(k, exclude_self, with_label, nf)
+    cols = [f"qv{i}" for i in range(nf)]
+    # round 1: the own cell; its k-th distance bounds the others
+    near = stored(_meet(q.select("qk", *cols, F.col("cell").alias("to")), cc, parts, topk, schema), "knn-near")
+    best = Window.partitionBy("qk").orderBy("d2", "ck")
+    bound = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("qk", F.sqrt("d2").alias("bound"))
+    # round 2: cells that may hold something as near
+    far = (q.join(bound, "qk", "left").withColumn("bound", F.coalesce(F.col("bound") * (1 + SLACK), F.lit(float("inf"))))
+           .select("qk", *cols, "cell", F.posexplode(F.transform("lower", lambda x: x <= F.col("bound"))).alias("to", "met"))
+           .where(F.col("met") & (F.col("to") != F.col("cell"))).select("qk", *cols, "to"))
+    if stats:
+        far = far.where(F.col("to").isin(list(stats)))
+    pairs = near.unionByName(_meet(far, cc, parts, topk, schema))
+    top = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    out = [F.col("qk").alias("q_key"), F.col("ck").alias("c_key"), F.sqrt("d2").alias("dist"), F.col("d2"), F.col("rank")]
     if with_label:
-        cols.append(F.col("cl").alias("c_label"))
-    return top.select(*cols)
+        out.append(F.col("cl").alias("c_label"))
+    return top.select(*out)
 
 
 def knn_lsh(queries: DataFrame, candidates: DataFrame, features: Sequence[str], k: int,
             key: str, cand_key: str, exclude_self: bool = True, cand_label: str | None = None,
             bucket_length: float | None = None, num_tables: int = 5, threshold: float | None = None,
-            sample_rows: int = 1000, widen_rounds: int = 3, seed: int = 42) -> DataFrame:
+            sample_rows: int = 1000, seed: int = 42) -> DataFrame:
     """Approximate top-k via random-projection LSH (Spark ML).
 
     The join radius comes from data: the exact blocked join runs for a hash
     sample of at most ``sample_rows`` queries (the sample is the feature), and
     the 0.9 quantile of their k-th neighbour distance is the first radius
-    (bucket length likewise). Queries that find fewer than k neighbours are
-    joined again with a doubled radius, up to ``widen_rounds`` times."""
+    (bucket length likewise). Queries that find fewer than k neighbours within
+    it are finished by the exact join, so every query gets k where there are k."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
     from tabprep.operators.project import hash_sample
     if threshold is None or bucket_length is None:
@@ -151,25 +203,14 @@ def knn_lsh(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     c = va.transform(candidates.select(*csel))
     lsh = BucketedRandomProjectionLSH(inputCol="_vec", outputCol="_h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed).fit(c)
-    hc = lsh.transform(c).persist()
-
-    def join(qpart, radius):
-        j = lsh.approxSimilarityJoin(lsh.transform(qpart), hc, radius, distCol="dist")
-        j = j.select(F.col("datasetA._qk").alias("q_key"), F.col("datasetB._ck").alias("c_key"), "dist",
-                     *([F.col("datasetB._cl").alias("c_label")] if cand_label else []))
-        return j.where(F.col("q_key") != F.col("c_key")) if exclude_self else j
-
-    found = join(q, threshold).persist()
-    radius = threshold
-    for _ in range(widen_rounds):
-        short = q.join(found.groupBy("q_key").count().where(F.col("count") >= k)
-                       .select(F.col("q_key").alias("_qk")), "_qk", "left_anti")
-        if short.limit(1).count() == 0:
-            break
-        radius *= 2.0
-        more = join(short, radius)
-        found = found.join(short.select(F.col("_qk").alias("q_key")), "q_key", "left_anti") \
-            .unionByName(more).persist()
+    j = lsh.approxSimilarityJoin(lsh.transform(q), lsh.transform(c), threshold, distCol="dist")
+    j = j.select(F.col("datasetA._qk").alias("q_key"), F.col("datasetB._ck").alias("c_key"), "dist",
+                 *([F.col("datasetB._cl").alias("c_label")] if cand_label else []))
     w = Window.partitionBy("q_key").orderBy("dist", "c_key")
-    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("d2", F.col("dist") * F.col("dist")))
+    found = stored((j.where(F.col("q_key") != F.col("c_key")) if exclude_self else j)
+                   .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "lsh-found")
+    full = found.where(F.col("rank") == k).select("q_key")
+    short = queries.join(full, queries[key] == full["q_key"], "left_anti")
+    rest = knn_join(short, candidates, features, k, key, cand_key, exclude_self, cand_label)
+    return (found.join(full, "q_key", "left_semi").withColumn("d2", F.col("dist") * F.col("dist"))
+            .unionByName(rest.select("q_key", "c_key", "dist", "rank", "d2", *(["c_label"] if cand_label else []))))

@@ -18,9 +18,8 @@ from tabprep.functions.rng import hash_int, uniform
 from tabprep.operators.knn import knn_join
 from tabprep.operators.ranks import release, running_totals
 from tabprep.operators.split import hash_rank
-from tabprep.session import cut_lineage
+from tabprep.session import cut_lineage, stored
 
-BROADCAST_ROWS = 2_000_000   # minority rows shipped whole to every task (counted first)
 EXPLODE_CHUNK = 100_000      # synthetic draws expanded per task at most
 
 # ------------------------------------------------------------ class counts ---
@@ -88,11 +87,22 @@ def _base(df, key, features, label):
                      F.col(label).alias("label"))
 
 
-def _interpolate(base_cols, nn_cols, gap, features):
-    return [(F.col(b) + gap * (F.col(n) - F.col(b))).alias(f) for b, n, f in zip(base_cols, nn_cols, features)]
+def _with_neighbours(rows: DataFrame, nn: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows with ``nn``: their neighbours' features by rank, so that a draw
+    needs no further join."""
+    near = rows.select(F.col("key").alias("c_key"), F.struct(*features).alias("f"))
+    arrays = (nn.select("q_key", "c_key", F.col("rank").cast("int").alias("rank")).join(near, "c_key")
+              .groupBy("q_key").agg(F.sort_array(F.collect_list(F.struct("rank", "f"))).alias("nn")))
+    return rows.join(arrays, rows["key"] == arrays["q_key"]).drop("q_key")
 
 
-def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42) -> DataFrame:
+def _between(features: Sequence[str], rank, gap) -> list:
+    """Points between a row and its neighbour of that rank."""
+    n = F.element_at("nn", rank)["f"]
+    return [(F.col(f) + gap * (n[f] - F.col(f))).alias(f) for f in features]
+
+
+def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42, method: str = "exact") -> DataFrame:
     """R1 (Chawla et al. 2002), binary 'auto': the minority class is grown to
     the majority count. Draw i picks a minority base row (with replacement),
     one of its k minority neighbours and a gap u in [0, 1), all by hash."""
@@ -105,30 +115,21 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
         return data
     kk = min(k, n_min - 1)
     mino = data.where(F.col("label") == F.lit(min_lab))
-    nn = knn_join(mino, mino, features, kk, "key")
-    indexed, _, _ = hash_rank(mino, "key", [], seed, "smote_base", out="idx")
-    spark = df.sparkSession
-    draws = spark.range(n_new).select(
-        F.col("id"),
+    nn = knn_join(mino, mino, features, kk, "key", method=method)
+    indexed, _, _ = hash_rank(_with_neighbours(mino, nn, features), "key", [], seed, "smote_base", out="idx")
+    # draws per base row may be many: each row stands in as many lots as keep a lot's draws small
+    lots = max(1, -(-n_new // (n_min * EXPLODE_CHUNK)))
+    draws = df.sparkSession.range(n_new).select(
+        F.col("id"), (F.col("id") % F.lit(lots)).alias("lot"),
         (hash_int(seed, F.col("id"), "smote_base") % F.lit(n_min)).alias("idx"),
         (hash_int(seed, F.col("id"), "smote_nn") % F.lit(kk) + 1).cast("int").alias("rank"),
         uniform(seed, F.col("id"), "smote_gap").alias("gap"))
-    b = indexed.select(F.col("idx"), F.col("key").alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in features])
-    n = mino.select(F.col("key").alias("c_key"), *[F.col(f).alias(f"n_{f}") for f in features])
-    nnl = nn.select(F.col("q_key").alias("b_key"), "c_key", F.col("rank").cast("int").alias("rank"))
-    if n_min <= BROADCAST_ROWS:
-        # many draws share a base row when the imbalance is extreme: ship the
-        # (counted, bounded) minority side to every task instead of shuffling
-        # the draws onto a few hot keys
-        b, nnl, n = F.broadcast(b), F.broadcast(nnl), F.broadcast(n)
-    syn = draws.join(b, "idx").join(nnl, ["b_key", "rank"]).join(n, "c_key")
-    syn = syn.select((-(F.col("id") + 1)).alias("key"),
-                     *_interpolate([f"b_{f}" for f in features], [f"n_{f}" for f in features], F.col("gap"), features),
-                     F.lit(min_lab).alias("label"))
+    base = indexed.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long"))))
+    syn = draws.join(base.drop("key", "label"), ["idx", "lot"]).select((-(F.col("id") + 1)).alias("key"), *_between(features, F.col("rank"), F.col("gap")), F.lit(min_lab).alias("label"))
     return data.unionByName(syn)
 
 
-def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42) -> DataFrame:
+def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42, method: str = "exact") -> DataFrame:
     """R2 (He et al. 2008): per minority row r = share of other-class rows among
     its k neighbours in all data; g = round_half_even(r / sum(r) * G);
     synthetic rows interpolate to minority neighbours."""
@@ -140,9 +141,9 @@ def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int
     if G <= 0 or n_min < 2:
         return data
     mino = data.where(F.col("label") == F.lit(min_lab))
-    nn_all = knn_join(mino, data, features, k, "key", cand_label="label")
+    nn_all = knn_join(mino, data, features, k, "key", cand_label="label", method=method)
     # r_i = m_i / k, so r_i / sum(r) = m_i / sum(m): integer counts keep it exact
-    m = nn_all.groupBy("q_key").agg(F.sum((F.col("c_label") != F.lit(min_lab)).cast("long")).alias("m"))
+    m = stored(nn_all.groupBy("q_key").agg(F.sum((F.col("c_label") != F.lit(min_lab)).cast("long")).alias("m")), "adasyn-shares")
     total = m.agg(F.sum("m")).first()[0] or 0
     if total == 0:
         raise ValueError("ADASYN needs minority rows with neighbours of another class; none has any")
@@ -151,34 +152,22 @@ def adasyn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int
     # exact offsets of each row's synthetic ids: running sum of g in key order
     ranked, info = running_totals(g.where(F.col("g") > 0), "key", [], {"g": F.col("g")})
     kk = min(k, n_min - 1)
-    nn = knn_join(mino, mino, features, kk, "key")
-    # two-level explode: one row may own most of G, so chunks of its draws are
-    # spread over tasks before they are expanded
-    chunks = ranked.select(F.col("key").alias("b_key"), F.col("before_g").alias("off"), "g",
-                           F.explode(F.sequence(F.lit(0).cast("long"),
-                                                F.floor((F.col("g") - 1) / F.lit(EXPLODE_CHUNK)).cast("long")))
-                           .alias("chunk"))
-    chunks = chunks.repartition("b_key", "chunk")
-    draws = chunks.select("b_key", "off", F.explode(F.sequence(
+    nn = knn_join(mino, mino, features, kk, "key", method=method)
+    # rows carry their neighbours; two-level explode: one row may own most of
+    # G, so chunks of its draws are spread over tasks before they are expanded
+    owners = ranked.select("key", F.col("before_g").alias("off"), "g").join(_with_neighbours(mino, nn, features), "key")
+    chunks = owners.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("g") - 1) / F.lit(EXPLODE_CHUNK)).cast("long"))))
+    chunks = chunks.repartition("key", "chunk")
+    draws = chunks.withColumn("j", F.explode(F.sequence(
         F.col("chunk") * F.lit(EXPLODE_CHUNK) + 1,
-        F.least(F.col("g"), (F.col("chunk") + 1) * F.lit(EXPLODE_CHUNK)))).alias("j"))
-    draws = draws.select("b_key", "off", "j",
-                         (hash_int(seed, F.col("b_key"), "adasyn_nn", F.col("j")) % F.lit(kk) + 1)
-                         .cast("int").alias("rank"),
-                         uniform(seed, F.col("b_key"), "adasyn_gap", F.col("j")).alias("gap"))
-    b = mino.select(F.col("key").alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in features])
-    n = mino.select(F.col("key").alias("c_key"), *[F.col(f).alias(f"n_{f}") for f in features])
-    nnl = nn.select(F.col("q_key").alias("b_key"), "c_key", F.col("rank").cast("int").alias("rank"))
-    if n_min <= BROADCAST_ROWS:
-        b, nnl, n = F.broadcast(b), F.broadcast(nnl), F.broadcast(n)
-    syn = draws.join(b, "b_key").join(nnl, ["b_key", "rank"]).join(n, "c_key")
-    syn = syn.select((-(F.col("off") + F.col("j"))).alias("key"),
-                     *_interpolate([f"b_{f}" for f in features], [f"n_{f}" for f in features], F.col("gap"), features),
-                     F.lit(min_lab).alias("label"))
+        F.least(F.col("g"), (F.col("chunk") + 1) * F.lit(EXPLODE_CHUNK)))))
+    draws = (draws.withColumn("rank", (hash_int(seed, F.col("key"), "adasyn_nn", F.col("j")) % F.lit(kk) + 1).cast("int"))
+             .withColumn("gap", uniform(seed, F.col("key"), "adasyn_gap", F.col("j"))))
+    syn = draws.select((-(F.col("off") + F.col("j"))).alias("key"), *_between(features, F.col("rank"), F.col("gap")), F.lit(min_lab).alias("label"))
     return data.unionByName(syn)
 
 
-def nearmiss(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 3) -> DataFrame:
+def nearmiss(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 3, method: str = "exact") -> DataFrame:
     """R3, NearMiss-1 (Mani & Zhang 2003): keep the majority rows with the
     smallest mean distance to their k nearest minority rows, as many as the
     minority has (ties: key), plus all minority rows."""
@@ -189,7 +178,7 @@ def nearmiss(df: DataFrame, key: str, features: Sequence[str], label: str, k: in
     mino = data.where(F.col("label") == F.lit(min_lab))
     majo = data.where(F.col("label") == F.lit(maj_lab))
     k = min(k, n_min)  # a row cannot be nearer to more minority rows than there are
-    nn = knn_join(majo, mino, features, k, "key", exclude_self=False)
+    nn = knn_join(majo, mino, features, k, "key", exclude_self=False, method=method)
     parts = [F.sum(F.when(F.col("rank") == i, F.col("dist"))).alias(f"d{i}") for i in range(1, k + 1)]
     md = nn.groupBy("q_key").agg(*parts)
     mean = None
@@ -207,24 +196,25 @@ def nearmiss(df: DataFrame, key: str, features: Sequence[str], label: str, k: in
     return mino.unionByName(rest).unionByName(majo.join(keep, "key", "left_semi"))
 
 
-def edited_nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 3) -> DataFrame:
+def edited_nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 3, method: str = "exact") -> DataFrame:
     """R4 (Wilson 1972), every class: drop rows having any of their k
     neighbours in another class."""
     features = list(features)
     data = _base(df, key, features, label)
-    nn = knn_join(data, data, features, k, "key", cand_label="label")
+    nn = knn_join(data, data, features, k, "key", cand_label="label", method=method)
     lab = data.select(F.col("key").alias("q_key"), F.col("label").alias("q_label"))
     bad = (nn.join(lab, "q_key").where(F.col("c_label") != F.col("q_label"))
            .select(F.col("q_key").alias("key")).distinct())
     return data.join(bad, "key", "left_anti")
 
 
-def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str) -> DataFrame:
+def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str, method: str = "exact") -> DataFrame:
     """R5 (Tomek 1976): mutual nearest neighbours with different labels; both
     ends are removed."""
     features = list(features)
     data = _base(df, key, features, label)
-    nn = knn_join(data, data, features, 1, "key", cand_label="label").select("q_key", "c_key", "c_label")
+    # stored: the links read it twice, and both ends of a link once more
+    nn = stored(knn_join(data, data, features, 1, "key", cand_label="label", method=method).select("q_key", "c_key", "c_label"), "tomek-nearest")
     lab = data.select(F.col("key").alias("q_key"), F.col("label").alias("q_label"))
     a = nn.join(lab, "q_key")
     back = nn.select(F.col("q_key").alias("c_key"), F.col("c_key").alias("q_key"))
@@ -233,19 +223,19 @@ def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str) ->
     return data.join(ends, "key", "left_anti")
 
 
-def smote_enn(df, key, features, label, seed: int = 42, checkpoint: bool = True):
+def smote_enn(df, key, features, label, seed: int = 42, checkpoint: bool = True, method: str = "exact"):
     """SMOTE, then ENN over original + synthetic rows (lineage cut between)."""
-    s = smote(df, key, features, label, 5, seed)
+    s = smote(df, key, features, label, 5, seed, method)
     if checkpoint:
         s = cut_lineage(s)
-    return edited_nearest_neighbours(s, "key", features, "label", 3)
+    return edited_nearest_neighbours(s, "key", features, "label", 3, method)
 
 
-def smote_tomek(df, key, features, label, seed: int = 42, checkpoint: bool = True):
-    s = smote(df, key, features, label, 5, seed)
+def smote_tomek(df, key, features, label, seed: int = 42, checkpoint: bool = True, method: str = "exact"):
+    s = smote(df, key, features, label, 5, seed, method)
     if checkpoint:
         s = cut_lineage(s)
-    return tomek_links(s, "key", features, "label")
+    return tomek_links(s, "key", features, "label", method)
 
 
 class Resampler:

@@ -97,6 +97,54 @@ def test_knn_rejects_missing_features(spark):
         knn.knn_join(df, df, ["x"], 1, "k").collect()
 
 
+def _meets(spark, monkeypatch, df, k, **options):
+    """(result, query-candidate distances that the exact join computes)."""
+    seen, real = [], knn._meet
+
+    def counted(q, c, parts, fn, schema):
+        n = q.groupBy("to").count().join(c.groupBy(F.col("cell").alias("to")).agg(F.count("*").alias("m")), "to").agg(F.sum(F.col("count") * F.col("m"))).first()[0]
+        seen.append(n or 0)
+        return real(q, c, parts, fn, schema)
+
+    monkeypatch.setattr(knn, "_meet", counted)
+    got = {(r["q_key"], r["rank"]): r["c_key"] for r in knn.knn_join(df, df, ["x", "y"], k, "k", **options).collect()}
+    return got, sum(seen)
+
+
+def _nearest(m, k):
+    d = ((m[:, None, :] - m[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    order = np.lexsort((np.broadcast_to(np.arange(len(m)), d.shape), d), axis=1)
+    return {(i, r + 1): int(order[i, r]) for i in range(len(m)) for r in range(min(k, len(m) - 1))}
+
+
+def test_knn_prunes_clustered_rows_and_stays_exact(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    m = np.concatenate([rng.normal(c, 0.3, size=(120, 2)) for c in rng.uniform(-100, 100, size=(12, 2))])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(m)], "k long, x double, y double")
+    got, met = _meets(spark, monkeypatch, df, 4)
+    assert got == _nearest(m, 4) and met < len(m) ** 2 / 4
+
+
+def test_knn_of_a_dense_cell_ties_and_few_rows(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    m = np.concatenate([np.zeros((150, 2)), rng.integers(0, 4, size=(100, 2)).astype(float), [[500.0, 500.0]]])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(m)], "k long, x double, y double")
+    got, _ = _meets(spark, monkeypatch, df, 3, block_rows=20)
+    assert got == _nearest(m, 3)
+    few = df.where("k < 3")
+    assert knn.knn_join(few, few, ["x", "y"], 5, "k").count() == 6
+    assert knn.knn_join(few, few.where("false"), ["x", "y"], 5, "k").count() == 0
+
+
+def test_lsh_gives_k_neighbours_to_every_query(spark):
+    rng = np.random.default_rng(3)
+    m = np.concatenate([rng.normal(0, 1, size=(195, 2)), rng.uniform(500, 900, size=(5, 2))])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(m)], "k long, x double, y double")
+    got = knn.knn_join(df, df, ["x", "y"], 3, "k", method="approx").groupBy("q_key").count().collect()
+    assert len(got) == 200 and {r["count"] for r in got} == {3}
+
+
 def test_nearmiss_with_fewer_minority_rows_than_k(spark):
     rows = [(i, float(i), 0) for i in range(18)] + [(100, 3.0, 1), (101, 9.0, 1)] + [(200 + i, 5.0 + i, 2) for i in range(4)]
     got = resample.nearmiss(spark.createDataFrame(rows, "k long, x double, y int"), "k", ["x"], "y", k=3)

@@ -16,7 +16,7 @@ def test_knn_blocked_equals_brute_force(spark):
     pts = _points()
     df = spark.createDataFrame(pts, "key long, x double, y double, label int")
     got = {(r["q_key"], r["rank"]): r["c_key"]
-           for r in knn_join(df, df, ["x", "y"], 3, "key", blocks=(2, 3)).collect()}
+           for r in knn_join(df, df, ["x", "y"], 3, "key", block_rows=40).collect()}
     for k, x, y, _ in pts:
         d = sorted(((x - a) ** 2 + (y - b) ** 2, kk) for kk, a, b, _ in pts if kk != k)
         for rank in range(3):
