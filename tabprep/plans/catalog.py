@@ -2,14 +2,7 @@
 
 from __future__ import annotations
 
-from tabprep.plans import q_prep  # noqa: F401
+from tabprep.plans import q_balance, q_eval, q_fit, q_model, q_prep, q_profile, q_report, q_select  # noqa: F401
 from tabprep.plans.registry import IDS, ORACLE, QUERIES
 
-for _mod in ("q_profile", "q_fit", "q_select", "q_balance", "q_eval", "q_report", "q_model"):
-    try:
-        __import__(f"tabprep.plans.{_mod}")
-    except ModuleNotFoundError as e:  # modules land one by one
-        if e.name != f"tabprep.plans.{_mod}":
-            raise
-
 __all__ = ["QUERIES", "ORACLE", "IDS"]

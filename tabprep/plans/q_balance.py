@@ -9,7 +9,7 @@ from tabprep.functions.rng import sql_hash_int, sql_uniform
 from tabprep.operators import resample as R
 from tabprep.operators.knn import knn_join
 from tabprep.operators.split import assign_folds, holdout_flag
-from tabprep.plans.registry import query
+from tabprep.plans.registry import ORACLE, query
 from tabprep.sources.tables import CUSTOMER_PROFILE_SQL, customer_profile, table, with_cp
 
 FEATS = ["f_balance", "f_orders", "f_spend"]
@@ -73,7 +73,7 @@ FOLD_SQL = f"""
 """
 
 
-@query("kfold_assign", "V2,S4", sql=with_cp(FOLD_SQL + "SELECT c_custkey, churned, CAST(pos % 5 AS INTEGER) AS fold FROM r"))
+@query("kfold_assign", "V2", sql=with_cp(FOLD_SQL + "SELECT c_custkey, churned, CAST(pos % 5 AS INTEGER) AS fold FROM r"))
 def q_kfold_assign(spark, d):
     cp = customer_profile(spark, d).select("c_custkey", "churned")
     return assign_folds(cp, "churned", "c_custkey", 5, 42)
@@ -171,7 +171,7 @@ def _round_out(name: str) -> str:
     return f"SELECT key, {', '.join(FEATS)}, label FROM {name}"
 
 
-@query("smote", "R1,R11", sql=HEAD + ",\n" + _smote_sql("kv", "sm") + "\n" + _round_out("sm"))
+@query("smote", "R1", sql=HEAD + ",\n" + _smote_sql("kv", "sm") + "\n" + _round_out("sm"))
 def q_smote(spark, d):
     out = R.smote(knn_view(spark, d), "key", FEATS, "label", 5, 42)
     return out.select("key", *r6(FEATS), "label")
@@ -264,7 +264,7 @@ def q_smote_tomek(spark, d):
     return out.select("key", *r6(FEATS), "label")
 
 
-@query("class_weight_passthrough", "R11")
+@query("class_weight_passthrough", "R11", sql=HEAD + "\nSELECT key, " + ", ".join(FEATS) + ", label FROM kv")
 def q_class_weight_passthrough(spark, d):
     return R.Resampler("class_weight").resample(knn_view(spark, d), "key", FEATS, "label")
 
@@ -283,3 +283,15 @@ def q_knn_lsh_recall(spark, d):
     total = exact.count()
     return spark.createDataFrame([(total, hit, hit / total if total else None)],
                                  "exact_pairs long, found_pairs long, recall double")
+
+
+def _dispatched(method: str):
+    def run(spark, d):
+        out = R.Resampler(method).resample(knn_view(spark, d), "key", FEATS, "label")
+        return out.select("key", *r6(FEATS), "label")
+    return run
+
+
+# the same rows through the dispatcher, against the same SQL
+for _method in ("smote", "adasyn", "smote_enn", "smote_tomek"):
+    query(f"resampler_{_method}", "R11", sql=ORACLE[_method])(_dispatched(_method))

@@ -10,9 +10,14 @@ from tabprep.operators import resample as R
 from tabprep.operators.evaluate import metric_row
 from tabprep.operators.score import risk_tier
 from tabprep.operators.split import assign_folds, stratified_split
+from tabprep.functions.rng import sql_hash_int
+from tabprep.plans.fixtures import metrics_table, metrics_table_sql_ctes
 from tabprep.plans.registry import query
+from tabprep.session import stored
 from tabprep.sources import files as S
-from tabprep.sources.tables import customer_profile
+from tabprep.sources.tables import customer_profile, with_cp
+
+MT = metrics_table_sql_ctes()
 
 FEATURES = ["balance", "n_orders", "total_spend", "has_urgent"]
 FAST = {"GBT": {"maxIter": 10, "maxDepth": 3}, "RandomForest": {"numTrees": 20, "maxDepth": 5},
@@ -50,7 +55,7 @@ def _prepare_fold(train, val):
 
 @query("model_compare", "M3,V3,V4,V5")
 def q_model_compare(spark, d):
-    folds = assign_folds(_cp(spark, d), "churned", "c_custkey", 3, 42).persist()
+    folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 5, 42), "folds")
     fm = M.cross_validate(folds, FEATURES, "churned", M.FAMILIES, prepare=_prepare_fold, params=FAST)
     return M.cv_mean(fm)
 
@@ -60,7 +65,7 @@ SPACE = {"maxDepth": {"low": 2, "high": 4}, "stepSize": {"low": 0.05, "high": 0.
 
 @query("tune", "M4,M5")
 def q_tune(spark, d):
-    folds = assign_folds(_cp(spark, d), "churned", "c_custkey", 3, 42).persist()
+    folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 3, 42), "folds")
     space = dict(SPACE, maxIter={"values": [5, 10]})
     _, table = M.tune(folds, FEATURES, "churned", "GBT", space, n_trials=3, scoring="ROC_AUC")
     return table
@@ -114,7 +119,13 @@ def q_model_roundtrip(spark, d):
         "same", (F.col("score") == F.col("score_loaded")).cast("int"))
 
 
-@query("fold_tables", "S4,S5,S7")
+FOLD0 = """
+, r AS (SELECT churned, (row_number() OVER (PARTITION BY churned ORDER BY {h}, c_custkey) - 1) % 5 AS fold FROM cp)
+SELECT churned, CASE WHEN fold = 0 THEN 'val' ELSE 'train' END AS part, count(*) AS count FROM r GROUP BY 1, 2
+"""
+
+
+@query("fold_tables", "S4,S5", sql=with_cp(FOLD0.format(h=sql_hash_int(42, "c_custkey", "fold"))))
 def q_fold_tables(spark, d):
     import uuid
     path = S.out_path(spark, uuid.uuid4().hex, "folds")
@@ -124,18 +135,17 @@ def q_fold_tables(spark, d):
             .unionByName(va.groupBy("churned").count().withColumn("part", F.lit("val"))))
 
 
-@query("metric_files", "S6,S8")
+@query("metric_files", "S6,S8", sql=MT + "\nSELECT * FROM mt")
 def q_metric_files(spark, d):
+    """Every method's CV summary and test metrics, written as files per method
+    and kind, and read back together."""
     import uuid
-    from tabprep.plans.fixtures import metrics_table
     root = S.out_path(spark, uuid.uuid4().hex)
-    mt = metrics_table(spark, d).persist()
-    methods = [r[0] for r in mt.select("method").distinct().collect()]
-    for m in methods:
-        for kind in ("baseline", "tuned"):
-            S.write_metrics(mt.where((F.col("method") == m) & (F.col("kind") == kind)).drop("method", "kind"),
-                            f"{root}/{m}_saved_models/test_metrics_{kind}.csv")
-    return S.read_metric_runs(spark, f"{root}/*_saved_models/*.csv")
+    mt = stored(metrics_table(spark, d), "metrics")
+    for r in mt.select("method", "kind").distinct().collect():  # one file per run, a handful
+        S.write_metrics(mt.where((F.col("method") == r["method"]) & (F.col("kind") == r["kind"])).drop("method", "kind"),
+                        f"{root}/{r['method']}_saved_models/metrics_{r['kind']}.csv")
+    return S.read_metric_runs(spark, f"{root}/*_saved_models/*.csv").select(*mt.columns)
 
 
 @query("churn_model_run", "end-to-end")
@@ -151,28 +161,46 @@ def q_churn_model_run(spark, d):
     return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_smote")
 
 
-@query("csv_sources", "S1,S2,S3")
+@query("csv_sources", "S1,S2,S3", sql=with_cp("SELECT DISTINCT * EXCLUDE (c_custkey, has_urgent) FROM cp"))
 def q_csv_sources(spark, d):
-    """Primary + second labelled source as CSV with a declared schema, then
-    the combined set (drop ids, common columns, union by name, dedup)."""
+    """Primary, train and test sources as CSV, each with its own declared
+    schema, then the combined set (drop ids, common columns, union by name,
+    dedup)."""
     import uuid
     root = S.out_path(spark, uuid.uuid4().hex)
     cp = customer_profile(spark, d)
     # whole tables: the second source repeats the first without one column
     # (so the combined set exercises the schema intersection and the dedup)
-    cp.write.option("header", True).csv(f"{root}/original.csv")
-    cp.drop("has_urgent").write.option("header", True).csv(f"{root}/train.csv")
-    cp.drop("churned").write.option("header", True).csv(f"{root}/test.csv")
-    srcs = S.load_sources(spark, f"{root}/original.csv", f"{root}/train.csv", f"{root}/test.csv",
-                          drop=["c_custkey"], schema=None)
+    tables = {"primary": cp, "train": cp.drop("has_urgent"), "test": cp.drop("churned")}
+    for name, t in tables.items():
+        t.write.option("header", True).csv(f"{root}/{name}.csv")
+    srcs = S.load_sources(spark, *[f"{root}/{name}.csv" for name in tables], drop=["c_custkey"],
+                          schema={name: t.schema for name, t in tables.items()})
     return srcs["combined"]
 
 
+@query("processed_table", "S7", sql=with_cp("SELECT * FROM cp"))
+def q_processed_table(spark, d):
+    """The processed set, written and read back."""
+    import uuid
+    path = S.out_path(spark, uuid.uuid4().hex, "processed.parquet")
+    S.write_table(customer_profile(spark, d), path)
+    return S.read_table(spark, path)
+
+
+@query("features_and_label", "P6", sql=with_cp("SELECT c_custkey, balance, n_orders, churned FROM cp"))
+def q_features_and_label(spark, d):
+    """X and y split by column and re-attached by key."""
+    cp = customer_profile(spark, d)
+    x, y = cp.select("c_custkey", "balance", "n_orders"), cp.select("c_custkey", "churned")
+    return x.join(y, "c_custkey")
+
+
 @query("shapley_sample", "M7")
 def q_shapley_sample(spark, d):
     train, test = _weighted_train_test(spark, d)
     model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
-    _, summary = M.shapley_sample(model, _cp(spark, d), FEATURES, "c_custkey", n_rows=500, n_perm=10)
+    _, summary = M.shapley_sample(model, _cp(spark, d), FEATURES, "c_custkey", n_rows=2000, n_perm=10)
     return summary
 
 

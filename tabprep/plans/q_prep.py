@@ -25,7 +25,7 @@ def r6(sql: str) -> str:
 
 # --------------------------------------------------------------------- P ---
 
-@query("union_common_dedup", "S1-S3,P1-P4", sql="""
+@query("union_common_dedup", "P1-P4", sql="""
 SELECT DISTINCT nationkey, acctbal FROM (
   SELECT c_nationkey AS nationkey, round(c_acctbal, -2) AS acctbal FROM customer
   UNION ALL
@@ -53,7 +53,7 @@ def q_duplicate_count(spark, d):
 FACETS = {"geography": ["EUROPE", "ASIA", "AMERICA"], "segment": ["BUILDING", "MACHINERY", "HOUSEHOLD"]}
 
 
-@query("facet_filter", "P6,P7", sql=with_cp("""
+@query("facet_filter", "P7", sql=with_cp("""
 SELECT * FROM cp WHERE geography IN ('EUROPE','ASIA','AMERICA')
   AND segment IN ('BUILDING','MACHINERY','HOUSEHOLD') AND balance BETWEEN 0.0 AND 5000.0
 """))
@@ -205,7 +205,7 @@ FROM cp
 """)
 
 
-@query("create_all", "F8,F9", sql=_create_all_sql())
+@query("create_all", "F8", sql=_create_all_sql())
 def q_create_all(spark, d):
     return create_features(customer_profile(spark, d), PROFILE_SPEC)
 
@@ -302,7 +302,7 @@ def q_iqr_remove_all(spark, d):
     return h.remove_outliers(customer_profile(spark, d), CP_NUM, strategy="all", max_iter=MAX_ITER)
 
 
-@query("iqr_summary", "O6", sql=_remove_sql(CP_NUM, "any", summary=True))
+@query("iqr_summary", "O4", sql=_remove_sql(CP_NUM, "any", summary=True))
 def q_iqr_summary(spark, d):
     h = O.OutlierHandler(IQR_MULTIPLIER, target_col="churned")
     h.remove_outliers(customer_profile(spark, d), CP_NUM, strategy="any", max_iter=MAX_ITER)
@@ -312,6 +312,30 @@ def q_iqr_summary(spark, d):
                                        "upper_bound double, iqr_multiplier double")
 
 
+IQR_CTE = f"""
+, b AS (SELECT {', '.join(f"quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lo_{c}, "
+                          f"quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS hi_{c}" for c in CP_NUM)}
+       FROM cp)
+"""
+
+
+@query("outlier_mask", "O3", sql=with_cp(IQR_CTE + f"""
+SELECT c_custkey, {', '.join(f"{c} < lo_{c} OR {c} > hi_{c} AS {c}_outlier" for c in CP_NUM)} FROM cp, b
+"""))
+def q_outlier_mask(spark, d):
+    cp = customer_profile(spark, d).select("c_custkey", *CP_NUM)
+    return O.outlier_mask(cp, O.iqr_bounds(cp, CP_NUM, IQR_MULTIPLIER)).drop(*CP_NUM)
+
+
+@query("outlier_summary", "O3,O6", sql=with_cp(IQR_CTE + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", (SELECT count(*) FROM cp WHERE {c} < lo_{c} OR {c} > hi_{c}) AS outlier_count, "
+    f"lo_{c} AS lower_bound, hi_{c} AS upper_bound, 1.5::DOUBLE AS iqr_multiplier FROM b" for c in CP_NUM)))
+def q_outlier_summary(spark, d):
+    h = O.OutlierHandler(IQR_MULTIPLIER, target_col="churned")
+    h.detect_outliers(customer_profile(spark, d), CP_NUM)
+    return h.get_outlier_summary(spark)
+
+
 @query("iqr_cap", "O5", sql=f"""
 WITH b AS (SELECT {', '.join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in LI_NUM)}
            FROM lineitem)

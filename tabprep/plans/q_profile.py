@@ -178,7 +178,24 @@ def q_age_groups(spark, d):
     return hash_sample(cp, 200, "c_custkey", 42).select("c_custkey", "n_orders", "orders_group", "balance", "churned")
 
 
-@query("vif", "A15")
+def _det(m: list) -> str:
+    """Determinant of a small matrix of SQL terms, by the first row."""
+    if len(m) == 1:
+        return m[0][0]
+    return "(" + " + ".join(f"{'-' if j % 2 else ''}{m[0][j]} * {_det([r[:j] + r[j + 1:] for r in m[1:]])}" for j in range(len(m))) + ")"
+
+
+def _vif_sql(cols: list) -> str:
+    """G_jj times the j-th diagonal of the inverse Gram matrix, by cofactors."""
+    n = len(cols)
+    g = [[f"g{min(i, j)}_{max(i, j)}" for j in range(n)] for i in range(n)]
+    sums = ", ".join(f"sum({cols[i]}::DOUBLE * {cols[j]}::DOUBLE) AS g{i}_{j}" for i in range(n) for j in range(i, n))
+    minor = lambda k: _det([[g[i][j] for j in range(n) if j != k] for i in range(n) if i != k])
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, round({g[k][k]} * {minor(k)} / {_det(g)}, 6) AS vif FROM s" for k, c in enumerate(cols))
+    return f"WITH s AS (SELECT {sums} FROM lineitem) {rows}"
+
+
+@query("vif", "A15", sql=_vif_sql(LI_NUM))
 def q_vif(spark, d):
     return A.vif(table(spark, d, "lineitem"), LI_NUM)
 

@@ -22,7 +22,7 @@ def q_fold_metrics(spark, d):
     return fold_metrics(spark, d)
 
 
-@query("cv_mean", "V5,S6", sql=FM + """
+@query("cv_mean", "V5", sql=FM + """
 SELECT method, Model, round(avg(F1), 6) AS F1, round(avg(Precision), 6) AS Precision, round(avg(Recall), 6) AS Recall,
   round(avg(ROC_AUC), 6) AS ROC_AUC, round(avg(PR_AUC), 6) AS PR_AUC FROM fm GROUP BY method, Model
 """)
@@ -40,7 +40,7 @@ def q_pick_best(spark, d):
     return Q.best_row(cv, "ROC_AUC", ["method"], ["Model"])
 
 
-@query("metrics_union", "Q1,S8", sql=MT + """
+@query("metrics_union", "Q1", sql=MT + """
 SELECT *, CASE WHEN kind = 'cv' THEN 'cv' ELSE 'test' END AS Type FROM mt
 """)
 def q_metrics_union(spark, d):
