@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import stored
 
 EDITS, LEAST = 2, 20
-COUNTED = (" ", "e", "n", "t", "a")
+COUNTED = (" ", "e", "n", "t", "a", "i", "o", "r", "s", "h")
+FIELD = 64  # counts are kept modulo this, six bits each
 CELLS = 1 << 20
 
 
@@ -64,20 +65,20 @@ def lines_of(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def byte_counts(line: Column) -> Column:
-    """Counts of ``COUNTED``, ten bits each (modulo, which keeps the filter
-    lossless: it compares differences modulo as well)."""
+    """Counts of ``COUNTED`` modulo ``FIELD`` in one number (modulo keeps the
+    filter lossless: it compares differences modulo as well)."""
     out = F.lit(0).cast("bigint")
     for c in COUNTED:
-        n = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        out = out * 1024 + F.pmod(n, F.lit(1024)).cast("bigint")
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        out = out * FIELD + F.pmod(n, F.lit(FIELD)).cast("bigint")
     return out
 
 
 def counts_agree(a: Column, b: Column, edits: int) -> Column:
     total = F.lit(0)
     for k in range(len(COUNTED)):
-        d = F.pmod(F.shiftright(a, 10 * k) - F.shiftright(b, 10 * k), F.lit(1024))
-        total = total + F.least(d, 1024 - d)
+        d = F.pmod(F.shiftright(a, 6 * k) - F.shiftright(b, 6 * k), F.lit(FIELD))
+        total = total + F.least(d, FIELD - d)
     return total <= 2 * edits
 
 
