@@ -7,6 +7,7 @@ set of ASCII bytes 0x20 and 0x09-0x0D, so a UTF-8 text never needs decoding.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Within, jobs hand Python at most ``rows`` rows at a time: for tables
+    whose rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words(text: Column) -> Column:
     """Array of words of a text (null: no words)."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

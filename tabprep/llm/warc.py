@@ -26,10 +26,11 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import shared_path, stored
+from tabprep.llm.common import arrow_batches, shared_path, stored
 from tabprep.llm.token_records import filesystem
 
 LEAST = 100
+BATCH = 256  # pages that Python holds at a time
 RECORD = "kind string, record_id string, concurrent_to string, refers_to string, uri string, digest string, length long, block_sha256 string, block binary"
 AGENT = "GET {path} HTTP/1.1\r\nHost: {host}\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -102,7 +103,8 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"file": [folder.rstrip("/") + "/" + name], "records": pa.array([count], pa.int64())})
 
     rows = plan(pages).select("key", "uri", "payload", "digest", "original")
-    return stored(rows.mapInArrow(put, "file string, records long"), "warc-manifest")
+    with arrow_batches(spark, BATCH):
+        return stored(rows.mapInArrow(put, "file string, records long"), "warc-manifest")
 
 
 def _members(f, size: int = 1 << 16):
@@ -154,7 +156,7 @@ def records(manifest: DataFrame) -> DataFrame:
                                      x.get("warc-payload-digest"), len(body), hashlib.sha256(body).hexdigest() if kind == "response" else None,
                                      body if kind == "response" else block, x.get("x-capture-key")))
                         held += len(block)
-                        if held > 1 << 22:
+                        if held > 1 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
                             rows, held = [], 0
                 if rows:
