@@ -246,8 +246,3 @@ def metric_row(df: DataFrame, label: str = "label", pred: str = "prediction", sc
     if model_id is not None:
         out = out.select(F.lit(model_id).alias("Model"), *out.columns)
     return out
-
-
-def release_all(*infos) -> None:
-    for i in infos:
-        release(i)

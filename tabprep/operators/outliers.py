@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tabprep.operators.ranks import approx_quantiles, exact_quantiles
+from tabprep.session import stored
 
 
 def _clean(c: str) -> Column:
@@ -103,15 +104,13 @@ def row_flag(bounds: dict, strategy: str) -> Column:
         for f_ in flags[1:]:
             out = out & f_
         return out
-    raise ValueError("Strategy must be 'any' or 'all'")
+    raise ValueError(f"unknown strategy {strategy!r}: a row goes if 'any' or if 'all' of its columns are outliers")
 
 
 def summary_frame(spark, rounds: list, multiplier: float) -> DataFrame:
-    rows = [(r, c, int(n), lo, hi, float(multiplier)) for r, per in enumerate(rounds, 1)
-            for c, (n, lo, hi) in per.items()]
-    return spark.createDataFrame(
-        rows, "round int, column string, outlier_count long, lower_bound double, "
-              "upper_bound double, iqr_multiplier double")
+    """One row per removal round and column."""
+    rows = [(r, c, int(n), lo, hi, float(multiplier)) for r, per in enumerate(rounds, 1) for c, (n, lo, hi) in per.items()]
+    return spark.createDataFrame(rows, "round int, column_name string, outlier_count long, lower_bound double, upper_bound double, iqr_multiplier double")
 
 
 class OutlierHandler:
@@ -135,8 +134,8 @@ class OutlierHandler:
                         strategy: str = "any", max_iter: int = 10, persist: bool = True) -> DataFrame:
         """O4. Column list fixed once; each round refits on the survivors."""
         if strategy not in ("any", "all"):
-            raise ValueError("Strategy must be 'any' or 'all'")
-        base = df.persist() if persist else df
+            raise ValueError(f"unknown strategy {strategy!r}: a row goes if 'any' or if 'all' of its columns are outliers")
+        base = stored(df, "outlier-base") if persist else df
         cols = eligible_columns(base, columns, self.target_col)
         keep: list[Column] = []
         self.rounds = []

@@ -17,11 +17,3 @@ def risk_tier(df: DataFrame, prob_col: str = "p", pred_col: str | None = "predic
         out = out.withColumn("risk_label", F.when(F.col(pred_col) == 1, F.lit(RISK_LABELS[1]))
                              .otherwise(F.lit(RISK_LABELS[0])))
     return out
-
-
-def score(df: DataFrame, model, prob_col: str = "p") -> DataFrame:
-    """Any fitted ``PipelineModel``; works on batch and streaming frames
-    (stateless projection). Adds ``p`` = probability of class 1."""
-    from pyspark.ml.functions import vector_to_array
-    out = model.transform(df)
-    return out.withColumn(prob_col, vector_to_array(F.col("probability"))[1])

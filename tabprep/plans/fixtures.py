@@ -189,8 +189,3 @@ def metrics_table_sql_ctes() -> str:
             "round(avg(ROC_AUC), 6) AS ROC_AUC, round(avg(PR_AUC), 6) AS PR_AUC FROM fm GROUP BY method, Model),"
             "\nmt AS (SELECT method, kind, Model, Accuracy, F1, Precision, Recall, ROC_AUC, PR_AUC FROM t_mr "
             "UNION ALL SELECT * FROM cvs)")
-
-
-def _rename_refs(sql: str, name: str) -> str:
-    import re
-    return re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 t_{name}", sql)

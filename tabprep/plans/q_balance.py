@@ -136,13 +136,11 @@ def q_knn_exact(spark, d):
 @query("knn_lsh", "R0")
 def q_knn_lsh(spark, d):
     """Approximate neighbours on the 64-dimensional embeddings."""
-    from pyspark.ml.functions import array_to_vector
     emb = table(spark, d, "embeddings")
     width = len(emb.select("embedding").first()[0])
     flat = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)])
     nn = knn_join(flat, flat, [f"e{i}" for i in range(width)], 5, "vec_id", cand_label="label",
                   method="approx")
-    _ = array_to_vector  # vectors are assembled inside knn_lsh
     return nn.select("q_key", "c_key", F.round("dist", 6).alias("dist"), "rank", "c_label")
 
 

@@ -306,10 +306,7 @@ def q_iqr_remove_all(spark, d):
 def q_iqr_summary(spark, d):
     h = O.OutlierHandler(IQR_MULTIPLIER, target_col="churned")
     h.remove_outliers(customer_profile(spark, d), CP_NUM, strategy="any", max_iter=MAX_ITER)
-    rows = [(r, c, int(n), lo, hi, float(IQR_MULTIPLIER))
-            for r, per in enumerate(h.rounds, 1) for c, (n, lo, hi) in per.items()]
-    return spark.createDataFrame(rows, "round int, column_name string, outlier_count long, lower_bound double, "
-                                       "upper_bound double, iqr_multiplier double")
+    return O.summary_frame(spark, h.rounds, IQR_MULTIPLIER)
 
 
 IQR_CTE = f"""

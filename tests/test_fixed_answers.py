@@ -175,3 +175,15 @@ def test_no_cached_tables_are_left(spark):
     resample.nearmiss(df.where("y = 0 or k < 20"), "k", ["x"], "y").count()
     evaluate.roc_auc(df.select(F.col("y").alias("label"), F.col("x").alias("score")))[0].count()
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+
+
+def test_features_of_the_study_spec(spark):
+    from tabprep.operators.create import create_features
+    from tabprep.spec import ACCOUNT_SPEC
+    df = spark.createDataFrame([(1, 35, 650, 2, 1000.0, 2, 1, 1, 2000.0, "France", "Male", 0)],
+                               "CustomerId long, Age int, CreditScore int, Tenure int, Balance double, NumOfProducts int, HasCrCard int, "
+                               "IsActiveMember int, EstimatedSalary double, Geography string, Gender string, Exited int")
+    r = create_features(df, ACCOUNT_SPEC).first().asDict()
+    assert r["Total_Products_Used"] == 3 and r["Balance_Salary_Ratio"] == pytest.approx(0.5, abs=1e-6)
+    assert "France" in r["Geo_Gender"] and "Male" in r["Geo_Gender"] and str(r["Tp_Gender"]).startswith("3")
+    assert {"Age_Category", "Credit_Score_Range"} <= set(r)
