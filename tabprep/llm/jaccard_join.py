@@ -198,9 +198,8 @@ def linked_labels(sets: list[np.ndarray], percent: int, label: np.ndarray | None
     length = np.diff(np.append(start, len(token)))
     at = np.cumsum(size) - size
     for i in range(m - 1):
-        if (label == label[i]).all():
-            if (label == label[0]).all():
-                break
+        if (label == label[0]).all():
+            break
         ids = which[at[i]:at[i] + size[i]]
         ids = ids[length[ids] > 1]
         if not len(ids):

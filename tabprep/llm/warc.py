@@ -11,9 +11,8 @@ Archives are gzip members, one per record, as the format recommends. Files
 are named by attempt and listed in a manifest, so a task that runs twice
 leaves no double. Contracts: a null payload is empty; payloads under
 ``LEAST`` bytes are always responses; among equal payloads the smallest key
-is the response; rows that repeat whole (key and payload) have equal record ids and
-are read as one capture; an
-empty table writes no file; a request or metadata record without a response
+is the response; rows that repeat whole (key and payload) have equal record
+ids and are read as one capture; an empty table writes no file; a request or metadata record without a response
 is left out, a response without them has nulls there; extra columns are
 ignored. A null key takes no part in revisits.
 """
