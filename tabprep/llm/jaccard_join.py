@@ -19,7 +19,9 @@ of linked documents:
    part are candidates. A list is never spread into pairs: its members are
    united in place, a row out for a row in. Lists over ``LIST`` members are
    united whole. The groups of candidates hold every class of linked sets.
-5. In every group, in blocks of bounded size, the exact shared counts come
+5. A group of more than ``BLOCK`` shingles, often long documents that share a
+   passage, is filtered again with ``FINE`` cells and falls apart.
+6. In every group, in blocks of bounded size, the exact shared counts come
    from the block's inverted lists, and linked sets unite. Groups of several
    blocks go on to pairs of blocks only while blocks have differing classes.
 
@@ -41,13 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Words, bitmap, in_bitmap, shingle_hashes, spot, stored, text_runs
+from tabprep.llm.common import Words, arrow_batches, bitmap, in_bitmap, shingle_hashes, spot, stored, text_runs
 from tabprep.llm.components import components
 
 WIDTH, PERCENT = 3, 90
 SKETCH = 18  # bits: 2**18 counters
 CELLS = 64
 LIST = 1024
+FINE, FINE_LIST = 4096, 2048
 BLOCK = 1 << 20  # shingles
 BOUNDARIES = 256
 
@@ -131,7 +134,7 @@ def boundary(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, most: in
     return best
 
 
-def unite(batches, percent: int):
+def unite(batches, percent: int, cell_count: int = CELLS, most: int | None = None):
     """Rows of lists (key, doc, n, cells), sorted by key, n and doc, to edges
     (a, b) that connect the members which the cell filter cannot part."""
     def edges(key, doc, n, cells):
@@ -157,19 +160,20 @@ def unite(batches, percent: int):
         at = np.flatnonzero(label != np.arange(m))
         return np.unique(np.stack([doc[at], doc[label[at]]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
 
-    held = None
+    held, most = None, most or LIST
     for batch in batches:
         t = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         raw = batch.column(3)
-        t.append(np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(raw), CELLS))
-        for a in range(0, len(t[0]), 8192):
-            part = [x[a:a + 8192] for x in t]
+        t.append(np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(raw), cell_count))
+        step = max(256, 8192 * CELLS // cell_count)
+        for a in range(0, len(t[0]), step):
+            part = [x[a:a + step] for x in t]
             if held is not None:
                 part = [np.concatenate([x, y]) for x, y in zip(held, part, strict=True)]
             cut = int(np.searchsorted(part[0], part[0][-1], "left"))
             out = edges(*[x[:cut] for x in part]) if cut else np.zeros((0, 2), np.int64)
             held = [x[cut:] for x in part]
-            if len(held[0]) > LIST:  # a long list: all its members unite
+            if len(held[0]) > most:  # a long list: all its members unite
                 d = held[1]
                 out = np.concatenate([out, np.stack([d[1:], d[:-1]], axis=1)])
                 held = [x[-1:] for x in held]
@@ -262,6 +266,35 @@ def member_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     return d.mapInArrow(build, "doc long, shingles binary")
 
 
+def fine_cells(batches):
+    """(grp, doc, n, shingles) -> (grp, doc, n, cells) with ``FINE`` cells."""
+    for batch in batches:
+        cells = [np.minimum(np.bincount((np.frombuffer(x, np.uint64) & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE), 255).astype(np.uint8).tobytes()
+                 for x in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(cells, pa.binary())], ["grp", "doc", "n", "cells"])
+
+
+def in_blocks(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(grp, block, doc, shingles): the members of every group in blocks of
+    about ``BLOCK`` shingles. A group of several blocks is filtered again with
+    finer cells first; members that nothing else reaches then leave."""
+    large = stored(groups.groupBy("grp").agg(F.sum("n").alias("total")).filter(F.col("total") > BLOCK).select("grp"), "jaccard-large")
+    small = sets.join(large, "grp", "left_anti").select("grp", F.lit(0).cast("bigint").alias("block"), "doc", "shingles")
+    if not large.limit(1).count():
+        return small
+    spark = sets.sparkSession
+    wide = stored(sets.join(large, "grp", "left_semi"), "jaccard-large-sets")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = wide.select("grp", "doc", "n", "shingles").mapInArrow(fine_cells, "grp long, doc long, n long, cells binary")
+    with arrow_batches(spark, 1024):
+        met = stored(cells.repartition(parts, "grp").sortWithinPartitions("grp", "n", "doc")
+                     .mapInArrow(lambda b: unite(b, percent, FINE, FINE_LIST), "a long, b long"), "jaccard-fine-links")
+    again = components(met).withColumnRenamed("node", "doc").withColumnRenamed("component", "grp").join(wide.select("doc", "n"), "doc")
+    before = F.sum("n").over(Window.partitionBy("grp").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    place = again.select("doc", "grp", F.floor(before / BLOCK).alias("block"))
+    return stored(small.union(place.join(wide.drop("grp", "n"), "doc").select("grp", "block", "doc", "shingles")), "jaccard-blocks")
+
+
 def groups_wide(blocked: DataFrame) -> DataFrame:
     return blocked.groupBy("grp").agg(F.max("block").alias("last")).filter("last > 0")
 
@@ -287,11 +320,11 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key", "n", "doc")
     groups = components(met.mapInArrow(lambda b: unite(b, percent), "a long, b long"))
     groups = stored(groups.join(reps.select(F.col("doc").alias("node"), "n"), "node").select(F.col("node").alias("doc"), F.col("component").alias("grp"), "n"), "jaccard-groups")
-    at = F.sum("n").over(Window.partitionBy("grp").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    blocked = stored(groups.withColumn("block", F.floor(at / BLOCK)).join(member_sets(docs, groups, width).dropDuplicates(["doc"]), "doc"), "jaccard-blocks")
+    sets = stored(groups.join(member_sets(docs, groups, width).dropDuplicates(["doc"]), "doc"), "jaccard-members")
+    blocked = in_blocks(groups, sets, percent)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    one = (blocked.select(F.struct("grp", "block").alias("g"), "doc", F.col("doc").alias("label"), "shingles")
-           .select(F.concat_ws(":", "g.grp", "g.block").alias("grp"), "doc", "label", "shingles").repartition(n, "grp").sortWithinPartitions("grp", "doc"))
+    one = (blocked.select(F.concat_ws(":", "grp", "block").alias("grp"), "doc", F.col("doc").alias("label"), "shingles")
+           .repartition(n, "grp").sortWithinPartitions("grp", "doc"))
     links = stored(one.mapInArrow(lambda b: block_labels(b, percent), "a long, b long"), "jaccard-links")
     done = components(links)
     # groups of several blocks; stored, so that their size is known before the blocks are joined with them
