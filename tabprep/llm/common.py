@@ -35,7 +35,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lost executor costs no recomputation and later branches reread it."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables written by ``stored``. Call it once everything that
+    reads them is itself stored: a lost executor then recomputes nothing."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.stored_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

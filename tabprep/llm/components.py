@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import stored
+from tabprep.llm.common import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     e = stored(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u is not null and v is not null and u <> v").distinct(), "edges")
     before = None
     for _ in range(most_rounds):
-        e = stored(_star(_star(e, True), False), "edges")
+        last, e = e, stored(_star(_star(e, True), False), "edges")
+        discard(last)
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h"), F.sum(F.col("u").cast("decimal(38,0)")).alias("s")).first()
         now = (r["n"], r["h"], r["s"])
         if now == before or not r["n"]:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Words, arrow_batches, bitmap, in_bitmap, shingle_hashes, spot, stored, text_runs
+from tabprep.llm.common import Words, arrow_batches, bitmap, discard, in_bitmap, shingle_hashes, spot, stored, text_runs
 from tabprep.llm.components import components
 
 WIDTH, PERCENT = 3, 90
@@ -274,10 +274,11 @@ def fine_cells(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(cells, pa.binary())], ["grp", "doc", "n", "cells"])
 
 
-def in_blocks(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def in_blocks(groups: DataFrame, sets: DataFrame, percent: int, scratch: list) -> DataFrame:
     """(grp, block, doc, shingles): the members of every group in blocks of
     about ``BLOCK`` shingles. A group of several blocks is filtered again with
-    finer cells first; members that nothing else reaches then leave."""
+    finer cells first; members that nothing else reaches then leave. Tables
+    that the result reads are added to ``scratch``."""
     large = stored(groups.groupBy("grp").agg(F.sum("n").alias("total")).filter(F.col("total") > BLOCK).select("grp"), "jaccard-large")
     small = sets.join(large, "grp", "left_anti").select("grp", F.lit(0).cast("bigint").alias("block"), "doc", "shingles")
     if not large.limit(1).count():
@@ -292,7 +293,10 @@ def in_blocks(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     again = components(met).withColumnRenamed("node", "doc").withColumnRenamed("component", "grp").join(wide.select("doc", "n"), "doc")
     before = F.sum("n").over(Window.partitionBy("grp").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     place = again.select("doc", "grp", F.floor(before / BLOCK).alias("block"))
-    return stored(small.union(place.join(wide.drop("grp", "n"), "doc").select("grp", "block", "doc", "shingles")), "jaccard-blocks")
+    narrow = stored(place.join(wide.drop("grp", "n"), "doc").select("grp", "block", "doc", "shingles"), "jaccard-blocks")
+    discard(wide, met)
+    scratch.append(narrow)
+    return small.union(narrow)
 
 
 def groups_wide(blocked: DataFrame) -> DataFrame:
@@ -321,7 +325,8 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     groups = components(met.mapInArrow(lambda b: unite(b, percent), "a long, b long"))
     groups = stored(groups.join(reps.select(F.col("doc").alias("node"), "n"), "node").select(F.col("node").alias("doc"), F.col("component").alias("grp"), "n"), "jaccard-groups")
     sets = stored(groups.join(member_sets(docs, groups, width).dropDuplicates(["doc"]), "doc"), "jaccard-members")
-    blocked = in_blocks(groups, sets, percent)
+    scratch: list[DataFrame] = []
+    blocked = in_blocks(groups, sets, percent, scratch)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     one = (blocked.select(F.concat_ws(":", "grp", "block").alias("grp"), "doc", F.col("doc").alias("label"), "shingles")
            .repartition(n, "grp").sortWithinPartitions("grp", "doc"))
@@ -332,11 +337,14 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     if wide.limit(1).count():
         lab = blocked.join(wide, "grp").join(done.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
         lab = stored(lab.select("grp", "block", "last", "doc", "label", "shingles"), "jaccard-labels")
+        scratch.append(lab)
         open_ = stored(lab.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("grp"), "jaccard-open")
         dealt = (lab.join(open_, "grp").withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last")))).filter("other <> block")
                  .select(F.concat_ws(":", "grp", F.least("block", "other"), F.greatest("block", "other")).alias("grp"), "doc", "label", "shingles"))
         cross = dealt.repartition(n, "grp").sortWithinPartitions("grp", "doc").mapInArrow(lambda b: block_labels(b, percent), "a long, b long")
         done = components(links.union(cross))
+    done = stored(done, "jaccard-classes")
+    discard(reps, lists, groups, sets, links, *scratch)
     top = same.join(done.withColumnRenamed("node", "doc"), "doc", "left").select("digest", F.coalesce("component", "doc").alias("component_id"))
     return rows.join(top, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import stored
+from tabprep.llm.common import discard, stored
 
 EDITS, LEAST = 2, 20
 COUNTED = (" ", "e", "n", "t", "a", "i", "o", "r", "s", "h")
@@ -178,7 +178,9 @@ def near_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple
     swap = F.col("s_first") < F.col("r_first")
     late = near.select(F.when(swap, F.col("r_h1")).otherwise(F.col("s_h1")).alias("h1"), F.when(swap, F.col("r_h2")).otherwise(F.col("s_h2")).alias("h2"), F.least("s_first", "r_first").alias("earliest"))
     again = each.filter("times > 1").select("h1", "h2", F.col("first").alias("earliest"))
-    return lines, again.union(late).groupBy("h1", "h2").agg(F.min("earliest").alias("earliest"))
+    earliest = stored(again.union(late).groupBy("h1", "h2").agg(F.min("earliest").alias("earliest")), "line-earliest")
+    discard(each, pairs, texts)
+    return lines, earliest
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:

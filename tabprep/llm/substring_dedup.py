@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Words, bitmap, in_bitmap, mix64, spot, stored, text_runs
+from tabprep.llm.common import Words, bitmap, discard, in_bitmap, mix64, spot, stored, text_runs
 
 WINDOW, GRAM = 13, 4
 SHARD = 256
@@ -233,7 +233,9 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", F.xxhash64("text").alias("th")).filter("doc is not null and text is not null")
     shared = anchors(d, window, gram).groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor")
-    bits, seen = bitmap_of(stored(shared, "anchors"))
+    shared = stored(shared, "anchors")
+    bits, seen = bitmap_of(shared)
+    discard(shared)
     maps = spark.sparkContext.broadcast(seen)
     distinct = spans(d, bits, maps, window, gram, True).groupBy("anchor", "code", "windows", "words").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     by = Window.partitionBy("anchor")
