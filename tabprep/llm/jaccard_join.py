@@ -23,7 +23,8 @@ of linked documents:
    passage, is filtered again with ``FINE`` cells and falls apart.
 6. In every group, in blocks of bounded size, the exact shared counts come
    from the block's inverted lists, and linked sets unite. Groups of several
-   blocks go on to pairs of blocks only while blocks have differing classes.
+   blocks join their classes by a few members of each, and then compare the
+   members outside the largest class with all other blocks.
 
 Contracts: words are runs of bytes other than ASCII white space, A-Z lowered;
 a text with fewer words than the shingle width is one shingle of all; a null
@@ -299,6 +300,47 @@ def in_blocks(groups: DataFrame, sets: DataFrame, percent: int, scratch: list) -
     return small.union(narrow)
 
 
+def across_blocks(lab: DataFrame, links: DataFrame, done: DataFrame, percent: int, scratch: list) -> DataFrame:
+    """Classes once blocks of a group (grp, block, last, doc, shingles) are
+    compared too. First a few members of each class found within blocks are
+    compared with those of the others, which joins most of them. Then only
+    members outside a group's largest class meet the other blocks: two members
+    of one class need no comparison."""
+    parts = int(lab.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lab = stored(lab.withColumn("n", F.length("shingles") / 8), "jaccard-wide-sets")
+    scratch.append(lab)
+
+    def labelled(classes: DataFrame) -> DataFrame:
+        return lab.drop("shingles").join(classes.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
+
+    def compare(rows: DataFrame, name: str) -> DataFrame:
+        out = stored(rows.select("key", "doc", "label", "shingles").repartition(parts, "key").sortWithinPartitions("key", "doc")
+                     .mapInArrow(lambda b: block_labels(b, percent), "a long, b long"), name)
+        scratch.append(out)
+        return out
+
+    def in_order(rows: DataFrame, name: str) -> DataFrame:
+        before = F.sum("n").over(Window.partitionBy("grp").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+        return rows.withColumn(name, F.floor(before / BLOCK))
+
+    now = labelled(done)
+    few = now.groupBy("grp", "label").agg(F.array_distinct(F.array(F.min("doc"), F.max("doc"), F.min_by("doc", "n"), F.max_by("doc", "n"))).alias("d"))
+    few = stored(in_order(few.select("grp", "label", F.explode("d").alias("doc")).join(now.select("doc", "n"), "doc"), "at"), "jaccard-few")
+    some = compare(few.select(F.concat_ws(":", "grp", "at").alias("key"), "doc", "label").join(lab.select("doc", "shingles"), "doc"), "jaccard-few-links")
+    now = labelled(components(links.union(some)))
+    counts = now.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = counts.groupBy("grp").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1").drop("labels")
+    now = stored(now.join(stored(main, "jaccard-main"), "grp"), "jaccard-open")
+    minor = stored(in_order(now.filter("label <> main"), "at"), "jaccard-minor")
+    lots = minor.groupBy("grp").agg(F.max("at").alias("lots"))
+    upto = lambda last: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(last)))
+    own = minor.join(lots, "grp").withColumn("other", upto("lots")).select(F.concat_ws(":", F.lit("m"), "grp", F.least("at", "other"), F.greatest("at", "other")).alias("key"), "doc", "label")
+    out = minor.withColumn("other", upto("last")).select(F.concat_ws(":", F.lit("b"), "grp", "other", "at").alias("key"), "doc", "label")
+    held = now.filter("label = main").join(lots, "grp").withColumn("other", upto("lots")).select(F.concat_ws(":", F.lit("b"), "grp", "block", "other").alias("key"), "doc", "label")
+    cross = compare(own.union(out).union(held).join(lab.select("doc", "shingles"), "doc"), "jaccard-cross-links")
+    return components(links.union(some).union(cross))
+
+
 def groups_wide(blocked: DataFrame) -> DataFrame:
     return blocked.groupBy("grp").agg(F.max("block").alias("last")).filter("last > 0")
 
@@ -335,14 +377,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     # groups of several blocks; stored, so that their size is known before the blocks are joined with them
     wide = stored(groups_wide(blocked), "jaccard-wide")
     if wide.limit(1).count():
-        lab = blocked.join(wide, "grp").join(done.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
-        lab = stored(lab.select("grp", "block", "last", "doc", "label", "shingles"), "jaccard-labels")
-        scratch.append(lab)
-        open_ = stored(lab.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("grp"), "jaccard-open")
-        dealt = (lab.join(open_, "grp").withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last")))).filter("other <> block")
-                 .select(F.concat_ws(":", "grp", F.least("block", "other"), F.greatest("block", "other")).alias("grp"), "doc", "label", "shingles"))
-        cross = dealt.repartition(n, "grp").sortWithinPartitions("grp", "doc").mapInArrow(lambda b: block_labels(b, percent), "a long, b long")
-        done = components(links.union(cross))
+        done = across_blocks(blocked.join(wide, "grp"), links, done, percent, scratch)
     done = stored(done, "jaccard-classes")
     discard(reps, lists, groups, sets, links, *scratch)
     top = same.join(done.withColumnRenamed("node", "doc"), "doc", "left").select("digest", F.coalesce("component", "doc").alias("component_id"))
