@@ -161,7 +161,10 @@ def unite(batches, percent: int, cell_count: int = CELLS, most: int | None = Non
         at = np.flatnonzero(label != np.arange(m))
         return np.unique(np.stack([doc[at], doc[label[at]]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
 
-    held, most = None, most or LIST
+    def chain(doc):
+        return np.stack([doc[1:], doc[:-1]], axis=1)
+
+    held, over, most = None, None, most or LIST
     for batch in batches:
         t = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         raw = batch.column(3)
@@ -171,12 +174,19 @@ def unite(batches, percent: int, cell_count: int = CELLS, most: int | None = Non
             part = [x[a:a + step] for x in t]
             if held is not None:
                 part = [np.concatenate([x, y]) for x, y in zip(held, part, strict=True)]
+            out = np.zeros((0, 2), np.int64)
+            if over is not None:  # the rest of a long list
+                end = int(np.searchsorted(part[0], over, "right"))
+                out = chain(part[1][:end])
+                part = [x[end - 1:] for x in part]
             cut = int(np.searchsorted(part[0], part[0][-1], "left"))
-            out = edges(*[x[:cut] for x in part]) if cut else np.zeros((0, 2), np.int64)
+            if cut:
+                out = np.concatenate([out, edges(*[x[:cut] for x in part])])
+                over = None
             held = [x[cut:] for x in part]
-            if len(held[0]) > most:  # a long list: all its members unite
-                d = held[1]
-                out = np.concatenate([out, np.stack([d[1:], d[:-1]], axis=1)])
+            if len(held[0]) > most:  # a long list: all its members unite, those in later chunks too
+                out = np.concatenate([out, chain(held[1])])
+                over = held[0][-1]
                 held = [x[-1:] for x in held]
             if len(out):
                 yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +41,56 @@ def test_jaccard_near_copies_of_all_sizes(spark, percent, monkeypatch):
     assert got == cases.jaccard_classes(rows, 3, percent)
 
 
+def star(n: int, size: int = 402) -> list[str]:
+    """A text and n variants of it, near to it and not to each other."""
+    rng, base = random.Random(n), [f"w{i}" for i in range(size)]
+    out = [" ".join(base)]
+    for v in range(n):
+        words = list(base)
+        for at in rng.sample(range(2, size - 2, 3), size // 67):
+            words[at] = f"v{v}x{at}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("cell_count, most, chunks", [(4096, 200, [1024] * 3), (64, 300, [100] * 40), (4096, 256, [256, 1, 255, 1000, 1000])])
+def test_long_lists_unite_whole_over_chunks(cell_count, most, chunks):
+    """Lists several chunks long, each followed by another list."""
+    rng, key, doc, cells = np.random.default_rng(1), [], [], []
+    for k, m in enumerate([3, 1200, 257, 2, 900, 40]):
+        key += [k] * m
+        doc += range(len(doc), len(doc) + m)
+    for _ in doc:
+        cells.append(np.bincount(rng.integers(0, cell_count, 60), minlength=cell_count).astype(np.uint8).tobytes())
+    rows, batches = pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array([60] * len(doc)), pa.array(cells, pa.binary())], ["key", "doc", "n", "cells"]), []
+    while sum(len(b) for b in batches) < len(doc):
+        batches.append(rows.slice(sum(len(b) for b in batches), chunks[len(batches)]))
+    up = list(range(len(doc)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for out in jaccard_join.unite(iter(batches), 90, cell_count, most):
+        for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            assert key[a] == key[b]
+            p, q = sorted((root(a), root(b)))
+            up[q] = p
+    step = max(256, 8192 * 64 // cell_count)
+    for k, m in ((1, 1200), (4, 900)):
+        assert m <= most + step or len({root(d) for d in doc if key[d] == k}) == 1
+
+
+def test_jaccard_star_longer_than_a_chunk(spark, monkeypatch):
+    """A group of several chunks whose members link to its first one only."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 20000)
+    monkeypatch.setattr(jaccard_join, "FINE_LIST", 200)
+    rows = [(i, t, "a") for i, t in enumerate(star(356, 150))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(cases.table(spark, rows)).collect()}
+    assert got == cases.jaccard_classes(rows)
+
+
 def test_one_of_each_keeps_the_smallest(spark):
     rows = [*cases.texts(), (None, "a document without an id stays here", "a")]
     kept = jaccard_join.one_of_each(cases.table(spark, rows))
