@@ -11,10 +11,12 @@ Archives are gzip members, one per record, as the format recommends. Files
 are named by attempt and listed in a manifest, so a task that runs twice
 leaves no double. Contracts: a null payload is empty; payloads under
 ``LEAST`` bytes are always responses; among equal payloads the smallest key
-is the response; rows that repeat whole (key and payload) have equal record
-ids and are read as one capture; an empty table writes no file; a request or metadata record without a response
-is left out, a response without them has nulls there; extra columns are
-ignored. A null key takes no part in revisits.
+is the response; every row is a capture of its own, known by its key, its
+payload and its number among the rows that share both (by uri), so null and
+repeated keys lose none; a revisit refers to the first response of its
+payload's smallest key; an empty table writes no file; a request or metadata
+record without a response is left out, a response without them has nulls
+there; extra columns are ignored. A null key takes no part in revisits.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 import uuid
 import zlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import arrow_batches, shared_path, stored
@@ -35,20 +37,26 @@ AGENT = "GET {path} HTTP/1.1\r\nHost: {host}\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def record_id(key: str, kind: str) -> str:
+def record_id(key, digest: str, number: int, kind: str) -> str:
     """A stable identifier: reruns write the same ids."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'capture:{key}:{kind}')}>"
+    name = "" if key is None else f"key {key}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'capture:{name}:{digest}:{number}:{kind}')}>"
 
 
 def plan(pages: DataFrame) -> DataFrame:
     """key, uri, payload, digest, original (key of the response that a revisit
-    refers to, else null). Only keys and digests are shuffled to decide."""
+    refers to, else null), number (among the rows of a key and payload, by
+    uri). Only keys and digests are shuffled to decide; payloads move once, by
+    key and digest."""
     p = (pages.select(F.col("page_id").alias("key"), F.coalesce("url", F.lit("")).alias("uri"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
-         .withColumn("digest", F.sha2("payload", 256)))
-    first = (p.filter(F.length("payload") >= LEAST).groupBy("digest").agg(F.min("key").alias("original"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").drop("n").withColumnRenamed("digest", "_d"))
-    return (p.join(first, F.col("digest") == F.col("_d"), "left")
-            .withColumn("original", F.when(F.col("original") < F.col("key"), F.col("original"))).drop("_d"))
+         .withColumn("digest", F.sha2("payload", 256)).withColumn("name", F.coalesce(F.concat(F.lit("k"), F.col("key").cast("string")), F.lit(""))))
+    held = p.filter(F.length("payload") >= LEAST).groupBy("digest", "name").agg(F.min("key").alias("_key"))
+    first = held.groupBy("digest").agg(F.min("_key").alias("original"))
+    again = (held.join(first, "digest").filter(F.col("original") < F.col("_key"))
+             .select(F.col("digest").alias("_d"), F.col("name").alias("_n"), "original"))
+    same = Window.partitionBy("digest", "name").orderBy("uri")
+    return (p.join(again, (F.col("digest") == F.col("_d")) & (F.col("name") == F.col("_n")), "left")
+            .withColumn("number", F.row_number().over(same)).drop("_d", "_n", "name"))
 
 
 def _frame(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -61,20 +69,21 @@ def _clean(uri: str) -> str:
     return "".join(c for c in uri if c.isprintable()).strip()
 
 
-def capture_records(key, uri: str, payload: bytes, digest: str, original) -> list[bytes]:
+def capture_records(key, uri: str, payload: bytes, digest: str, original, number: int = 1) -> list[bytes]:
     uri = _clean(uri)
-    me = record_id(str(key), "response")
+    own = lambda kind: record_id(key, digest, number, kind)
+    me = own("response")
     common = [("WARC-Date", "2020-01-01T00:00:00Z"), ("WARC-Target-URI", uri)]
-    main = [("WARC-Record-ID", me), *common, ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Capture-Key", str(key))]
+    main = [("WARC-Record-ID", me), *common, ("WARC-Payload-Digest", f"sha256:{digest}"), *([] if key is None else [("X-Capture-Key", str(key))])]
     host = uri.split("//")[-1].split("/")[0]
     request = AGENT.format(path=uri, host=host).encode()
-    out = [_frame("request", [("WARC-Record-ID", record_id(str(key), "request")), *common, ("WARC-Concurrent-To", me)], request)]
+    out = [_frame("request", [("WARC-Record-ID", own("request")), *common, ("WARC-Concurrent-To", me)], request)]
     if original is None:
         out.append(_frame("response", main, HTTP + payload))
     else:
-        out.append(_frame("revisit", [*main, ("WARC-Refers-To", record_id(str(original), "response")),
+        out.append(_frame("revisit", [*main, ("WARC-Refers-To", record_id(original, digest, 1, "response")),
                                       ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")], HTTP))
-    out.append(_frame("metadata", [("WARC-Record-ID", record_id(str(key), "metadata")), *common, ("WARC-Concurrent-To", me)], b"fetchTimeMs: 0\r\n"))
+    out.append(_frame("metadata", [("WARC-Record-ID", own("metadata")), *common, ("WARC-Concurrent-To", me)], b"fetchTimeMs: 0\r\n"))
     return out
 
 
@@ -88,20 +97,20 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
         out = None
         for batch in batches:
-            for key, uri, payload, digest, original in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for key, uri, payload, digest, original, number in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if out is None:
                     fs, base = filesystem(folder)
                     fs.create_dir(base, recursive=True)
                     name, count = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                for rec in capture_records(key, uri, payload, digest, original):
+                for rec in capture_records(key, uri, payload, digest, original, number):
                     out.write(rec)
                     count += 1
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({"file": [folder.rstrip("/") + "/" + name], "records": pa.array([count], pa.int64())})
 
-    rows = plan(pages).select("key", "uri", "payload", "digest", "original")
+    rows = plan(pages).select("key", "uri", "payload", "digest", "original", "number")
     with arrow_batches(spark, BATCH):
         return stored(rows.mapInArrow(put, "file string, records long"), "warc-manifest")
 

@@ -266,6 +266,27 @@ def test_warc_roundtrip(spark):
     assert warc.captures(warc.write(pages.limit(0))).count() == 0
 
 
+def test_warc_null_and_repeated_keys(spark):
+    """A row per page, as in the SQL: null keys, a key with several payloads,
+    rows that repeat whole."""
+    import duckdb
+
+    long, other = "a" * 150, "b" * 200
+    rows = [(None, "n1", long), (None, "n2", long), (None, "n2", long), (None, "n3", "x"), (None, None, None), (1, "u", long), (1, "v", long), (1, "u", long),
+            (1, "u", other), (1, "u", "x"), (2, "u", long), (2, "u", long), (2, "w", other), (3, "w", other), (3, "w", "x"), (3, "w", "c" * 300), (4, "w", "c" * 300), (4, "w", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.captures(warc.write(pages)).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    text = lambda x: None if x is None else str(x)
+    want = [(text(k), n, d, kind, text(to)) for k, n, d, kind, to in con.execute(warc.PAGE_SQL).fetchall()]
+    assert sorted(map(str, want)) == sorted(str((r["capture_key"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])) for r in got)
+    assert len({r["capture_id"] for r in got}) == len(rows)
+    assert sorted((r["capture_key"] or "", r["uri"]) for r in got) == sorted((text(k) or "", u or "") for k, u, _ in rows)
+    assert all(r["declared_digest"] == r["payload_digest"] and r["concurrent"]["request"] and r["concurrent"]["metadata"] for r in got)
+
+
 # mixing
 
 
