@@ -124,6 +124,26 @@ def test_trees_add_spelled_out_spans_and_leave_clean_text(spark):
     assert red[1000] == "write to [email] today" and red[1002] == new[2][1] and red[1003] is None
 
 
+def test_spelled_out_spans_in_the_sample_do_not_stop_the_trees(spark):
+    rng = random.Random(11)
+    digit = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    octets = lambda: [str(rng.randrange(1, 255)) for _ in range(4)]
+
+    def card(mark):
+        c = with_check_digit("4" + digit(14))
+        return mark.join(c[i:i + 4] for i in range(0, 16, 4))
+
+    base = [lambda: f"{rng.choice('abcdefg')}n{digit(2)}@mail{digit(1)}.example.com", lambda: ".".join(octets()), lambda: card(""), lambda: f"+1 ({digit(3)}) 555-{digit(4)}"]
+    spelled = [lambda: f"{rng.choice('abcdefg')}n{digit(2)} [at] mail{digit(1)}.example.com", lambda: "[.]".join(octets()), lambda: card(rng.choice("./")), lambda: f"001 ({digit(3)}) 555-{digit(4)}"]
+    rows = [(i, f"{cases.prose(rng, 8)} {(spelled if i % 3 == 0 else base)[i // 3 % 4]()} {cases.prose(rng, 8)} on 2019-05-{digit(2)}, {digit(5)}", "s") for i in range(900)]
+    model = pii.fit(cases.table(spark, rows))
+    new = [(i, f"so it is {spelled[i % 4]()} here", "s") for i in range(80)] + [(100, "on 2019-05-23, at page 12 of 345", "s"), (101, "build 731.20 and 12, 13, 14, 15 of them", "s")]
+    got = {r["doc_id"]: r["s"] for r in pii.detect(cases.table(spark, new), model).select("doc_id", pii.listed(F.col("_all")).alias("s")).collect()}
+    for kind, k in enumerate(pii.KINDS):
+        assert sum(f"{k}:9:" in got[i] for i in range(kind, 80, 4)) >= 15, (k, model[2])
+    assert got[100] == got[101] == ""
+
+
 # quality
 
 
