@@ -129,7 +129,8 @@ def readiness_report(df: DataFrame, target: str, key: str | None = None, test_si
     for r in vif(df, num).collect():
         rows.append(("vif", r["feature"], r["vif"]))
     for r in describe(df, num).collect():
-        rows.append(("describe", f"{r['column_name']}:mean", r["mean"]))
+        rows += [("describe", f"{r['column_name']}:{k}", None if r[k] is None else float(r[k]))
+                 for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")]
     if key:
         tr, te = stratified_split(df, target, key, test_size, seed)
         rows += [("split", "train_rows", float(tr.count())), ("split", "test_rows", float(te.count()))]

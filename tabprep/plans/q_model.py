@@ -20,8 +20,9 @@ from tabprep.sources.tables import customer_profile, with_cp
 MT = metrics_table_sql_ctes()
 
 FEATURES = ["balance", "n_orders", "total_spend", "has_urgent"]
-FAST = {"GBT": {"maxIter": 10, "maxDepth": 3}, "RandomForest": {"numTrees": 20, "maxDepth": 5},
-        "LogisticRegression": {"maxIter": 20}}
+# iterations and depth of the original's first learner, which it leaves at their defaults
+PARAMS = {"GBT": {"maxIter": 100, "maxDepth": 6}, "RandomForest": {"numTrees": 20, "maxDepth": 5},
+          "LogisticRegression": {"maxIter": 20}}
 
 
 def _cp(spark, d):
@@ -38,7 +39,7 @@ def _weighted_train_test(spark, d):
 @query("gbt_metrics", "M1,M2,M6,R8,E1")
 def q_gbt_metrics(spark, d):
     train, test = _weighted_train_test(spark, d)
-    _, scored = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
+    _, scored = M.fit_and_score(train, test, FEATURES, "churned", "GBT", PARAMS["GBT"], weight_col="weight")
     return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_baseline")
 
 
@@ -56,32 +57,32 @@ def _prepare_fold(train, val):
 @query("model_compare", "M3,V3,V4,V5")
 def q_model_compare(spark, d):
     folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 5, 42), "folds")
-    fm = M.cross_validate(folds, FEATURES, "churned", M.FAMILIES, prepare=_prepare_fold, params=FAST)
+    fm = M.cross_validate(folds, FEATURES, "churned", M.FAMILIES, prepare=_prepare_fold, params=PARAMS)
     return M.cv_mean(fm)
 
 
-SPACE = {"maxDepth": {"low": 2, "high": 4}, "stepSize": {"low": 0.05, "high": 0.3}}
+SPACE = {"maxIter": {"low": 100, "high": 300}, "maxDepth": {"low": 3, "high": 6}, "stepSize": {"low": 0.03, "high": 0.1},
+         "subsamplingRate": {"low": 0.7, "high": 1.0}}
 
 
 @query("tune", "M4,M5")
 def q_tune(spark, d):
-    folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 3, 42), "folds")
-    space = dict(SPACE, maxIter={"values": [5, 10]})
-    _, table = M.tune(folds, FEATURES, "churned", "GBT", space, n_trials=3, scoring="ROC_AUC")
+    folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 5, 42), "folds")
+    _, table = M.tune(folds, FEATURES, "churned", "GBT", SPACE, n_trials=20, scoring="ROC_AUC", prepare=_prepare_fold)
     return table
 
 
 @query("permutation_importance", "M7")
 def q_permutation_importance(spark, d):
     train, test = _weighted_train_test(spark, d)
-    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
+    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", PARAMS["GBT"], weight_col="weight")
     return M.permutation_importance(model, test, FEATURES, "churned", "c_custkey")
 
 
 @query("score_batch", "P17,P18,M2")
 def q_score_batch(spark, d):
     train, test = _weighted_train_test(spark, d)
-    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
+    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", PARAMS["GBT"], weight_col="weight")
     return risk_tier(M.predict(model, _cp(spark, d)), "score", "prediction")
 
 
@@ -90,7 +91,7 @@ def q_score_stream(spark, d):
     from tabprep.streaming.score_stream import score_stream
     import uuid
     train, test = _weighted_train_test(spark, d)
-    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
+    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", PARAMS["GBT"], weight_col="weight")
     run = uuid.uuid4().hex
     src = S.out_path(spark, run, "incoming")
     cp = _cp(spark, d)
@@ -110,7 +111,7 @@ def q_model_roundtrip(spark, d):
     train, test = _weighted_train_test(spark, d)
     tf = TableTransformer(standard=["balance", "n_orders", "total_spend"]).fit(train)
     model, scored = M.fit_and_score(tf.transform(train), tf.transform(test), FEATURES, "churned", "GBT",
-                                    FAST["GBT"], weight_col="weight")
+                                    PARAMS["GBT"], weight_col="weight")
     tf.save(spark, S.out_path(spark, run, "transformer"))
     tf2 = TableTransformerModel.load(spark, S.out_path(spark, run, "transformer"))
     loaded = M.model_roundtrip(model, S.out_path(spark, run, "model"))
@@ -157,7 +158,7 @@ def q_churn_model_run(spark, d):
     tf = TableTransformer(standard=["balance", "n_orders", "total_spend"]).fit(train)
     tr, te = tf.transform(train), tf.transform(test)
     bal = R.smote(tr, "c_custkey", FEATURES, "churned", 5, 42).withColumnRenamed("label", "churned")
-    _, scored = M.fit_and_score(bal, te, FEATURES, "churned", "GBT", FAST["GBT"])
+    _, scored = M.fit_and_score(bal, te, FEATURES, "churned", "GBT", PARAMS["GBT"])
     return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_smote")
 
 
@@ -199,7 +200,7 @@ def q_features_and_label(spark, d):
 @query("shapley_sample", "M7")
 def q_shapley_sample(spark, d):
     train, test = _weighted_train_test(spark, d)
-    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", FAST["GBT"], weight_col="weight")
+    model, _ = M.fit_and_score(train, test, FEATURES, "churned", "GBT", PARAMS["GBT"], weight_col="weight")
     _, summary = M.shapley_sample(model, _cp(spark, d), FEATURES, "c_custkey", n_rows=2000, n_perm=10)
     return summary
 
@@ -212,7 +213,7 @@ def q_gbt_early_stop(spark, d):
     train, test = _weighted_train_test(spark, d)
     flagged = holdout_flag(train, "churned", "c_custkey", 0.2, 7).withColumn(
         "is_val", F.col("is_test") == 1).drop("is_test")
-    pipe = M.pipeline(FEATURES, "GBT", {"maxIter": 50, "maxDepth": 3}, "churned", "weight", 42, "is_val")
+    pipe = M.pipeline(FEATURES, "GBT", PARAMS["GBT"], "churned", "weight", 42, "is_val")
     model = pipe.fit(flagged)
     trees = model.stages[-1].getNumTrees
     scored = M.predict(model, test)
