@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import fingerprints, jaccard_join, line_dedup, mixing, packing, pii, quality, substring_dedup, token_records, warc
+from tabprep.llm import (fingerprints, jaccard_join, license_scan, line_dedup, merkle, mixing, packing, pii, prefix_trie, quality, substring_dedup,
+                         token_records, warc)
 from tabprep.llm.common import table
 
 
@@ -66,6 +67,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and folded root of every document."""
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases of every text, and labels of the templates it holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.report(docs, license_scan.fit(docs))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_fingerprints": op2_fingerprints,
@@ -77,6 +94,9 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_warc": op9_warc,
     "op10_source_mix": op10_source_mix,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle": op12_merkle,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLE = {
@@ -85,4 +105,6 @@ ORACLE = {
     "op6_line_dedup": line_dedup.REMOVED_SQL,
     "op9_warc": warc.PAGE_SQL,
     "op10_source_mix": mixing.taken_sql(),
+    "op11_prefix_trie": prefix_trie.NODE_SQL,
+    "op12_merkle": merkle.audit_sql(),
 }
