@@ -109,14 +109,16 @@ def burst(seqs: DataFrame, limit: int = LIMIT) -> tuple[list[DataFrame], DataFra
             rest.append(live.withColumn("depth", F.lit(depth)))
             break
         heads.append(over.withColumn("depth", F.lit(depth)))
-        # at most rows / limit heads burst; the join is broadcast only where their measured size is small
-        if depth:
+        if depth:  # at most rows / limit heads burst; the join is broadcast only where their measured size is small
             rest.append(live.join(over.select("head"), "head", "left_anti").withColumn("depth", F.lit(depth)))
-        went = live.drop("parent", "above").join(over.select("head", F.col("low").alias("above")), "head").filter(~ended)
+            went = live.drop("parent", "above").join(over.select("head", F.col("low").alias("above")), "head").filter(~ended)
+        else:  # every suffix is under the root
+            went = live.withColumn("above", F.lit(over.first()["low"])).filter(~ended)
         depth += 1
         at = F.substring("seq", 1, depth * WIDTH)
         live = stored(went.select("seq", "chars", "m", "conv", "ends", at.alias("head"), F.col("head").alias("parent"), "above"), f"containers-{depth}")
-    out = rest[0].select(*(names := ["head", "depth", "parent", "above", "seq", "chars", "m", "conv", "ends"]))
+    names = ["head", "depth", "parent", "above", "seq", "chars", "m", "conv", "ends"]
+    out = rest[0].select(*names)
     for r in rest[1:]:
         out = out.union(r.select(*names))
     return heads, out
