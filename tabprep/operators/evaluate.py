@@ -78,14 +78,21 @@ def _classes(cm: DataFrame, classes: Sequence | None) -> list:
     if len(seen) > MOST_CLASSES:
         raise ValueError(f"more than {MOST_CLASSES} classes: a confusion matrix has a column per class")
     given = list(classes or ())
+    if given:
+        kind = cm.schema["label"].dataType
+        cast = cm.sparkSession.range(1).select(*[F.lit(c).try_cast(kind).alias(f"c{i}") for i, c in enumerate(given)]).first()
+        bad = [c for i, c in enumerate(given) if cast[i] is None]
+        if bad:
+            raise ValueError(f"classes {bad} are no {kind.simpleString()}, the type of the labels")
+        given = list(cast)
     return given + sorted(r["c"] for r in seen if r["c"] not in given)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction",
-                     classes: Sequence | None = (0, 1), group_cols: Sequence[str] = ()) -> DataFrame:
-    """Label x prediction counts, 0 filled. Every class that occurs as a
-    label or a prediction has a row and a column, after ``classes``, which
-    always have them. Rows without a label or a prediction are not counted."""
+                     classes: Sequence | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Label x prediction counts, 0 filled, for labels of any type. Every
+    class that occurs as a label or a prediction has a row and a column, after
+    ``classes``, which always have them (and must be of the labels' type). Rows without a label or a prediction are not counted."""
     g = list(group_cols)
     cm = confusion_counts(df, label, pred, g)
     classes = _classes(cm, classes)
@@ -103,7 +110,7 @@ def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "predictio
 
 
 def confusion_normalized(df: DataFrame, label: str = "label", pred: str = "prediction",
-                         classes: Sequence | None = (0, 1), group_cols: Sequence[str] = ()) -> DataFrame:
+                         classes: Sequence | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
     """Rows divided by their sum, 0 where the row sum is 0."""
     cm = confusion_matrix(df, label, pred, classes, group_cols)
     cols = [c for c in cm.columns if c not in (*group_cols, "label")]

@@ -12,9 +12,17 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.functions.exprs import nan_to_null
+from tabprep.operators.moments import correlations, inflation, triangular
 from tabprep.operators.ranks import exact_quantiles
 
 
+def without_nan(df: DataFrame, col: str) -> DataFrame:
+    """``df`` with NaN of a floating column as NULL: no number, no bin."""
+    floating = dict(df.dtypes)[col] in ("double", "float")
+    return df.withColumn(col, nan_to_null(col)) if floating else df
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A1: count, mean, sample std, min, exact quartiles, max per column."""
     cols = list(cols)
@@ -77,6 +85,7 @@ def share_within(counts: DataFrame, group_cols: Sequence[str], value: str = "cou
 
 def histogram_equal(df: DataFrame, col: str, bins: int = 20, label: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max], last bin closed."""
+    df = without_nan(df, col)
     mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     if mm["lo"] is None:  # no values: no bins
         lo, hi = 0.0, 0.0
@@ -93,6 +102,7 @@ def histogram_equal(df: DataFrame, col: str, bins: int = 20, label: str | None =
 def histogram_nice(df: DataFrame, col: str, label: str | None = None, max_bins: int = 30) -> DataFrame:
     """Width from {1,2,5}x10^k, bins at multiples of the width, by label."""
     from tabprep.functions.bins import nice_width
+    df = without_nan(df, col)
     mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     w = nice_width(mm["lo"], mm["hi"], max_bins) if mm["lo"] is not None else 1.0
     start = F.floor(F.col(col) / F.lit(w)) * F.lit(w)
@@ -129,17 +139,14 @@ def density(df: DataFrame, col: str, grid: int = 50) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> dict:
-    """All pairwise Pearson correlations in one aggregate."""
+    """All pairwise-complete Pearson correlations in one pass of
+    mergeable co-moments; None where undefined."""
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not pairs:
+    if len(cols) < 2:
         return {}
-    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    out = {}
-    for i, j in pairs:
-        out[(cols[i], cols[j])] = out[(cols[j], cols[i])] = row[f"c{i}_{j}"]
-    for c in cols:
-        out[(c, c)] = 1.0
+    r = correlations(df, cols)
+    out = {(a, b): None if math.isnan(r[i, j]) else float(r[i, j]) for i, a in enumerate(cols) for j, b in enumerate(cols)}
+    out.update({(c, c): 1.0 for c in cols})
     return out
 
 
@@ -163,32 +170,13 @@ def kpi_row(df: DataFrame, label: str, total_rows: int | None, means: Sequence[s
     return out
 
 
-GRAM_BLOCK = 20
-
-
-def gram(df: DataFrame, cols: Sequence[str]) -> list:
-    """Sum of x_i * x_j for i <= j (for VIF), in column blocks so that no job
-    carries more than ``GRAM_BLOCK`` squared aggregates."""
-    cols = list(cols)
-    k = len(cols)
-    g = [[0.0] * k for _ in range(k)]
-    blocks = [range(a, min(a + GRAM_BLOCK, k)) for a in range(0, k, GRAM_BLOCK)]
-    for x, rows in enumerate(blocks):
-        for other in blocks[x:]:
-            pairs = [(i, j) for i in rows for j in other if i <= j]
-            row = df.agg(*[F.sum(F.col(cols[i]).cast("double") * F.col(cols[j]).cast("double")).alias(f"g{i}_{j}") for i, j in pairs]).first()
-            for i, j in pairs:
-                g[i][j] = g[j][i] = float(row[f"g{i}_{j}"] or 0.0)
-    return g
-
-
 def vif(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
-    """VIF without intercept: VIF_j = G_jj * (G^-1)_jj of the Gram matrix,
-    for every column; ``top`` keeps the largest only if the caller asks."""
-    import numpy as np
+    """VIF without intercept, over the rows where every column is
+    present: VIF_j = G_jj * (G^-1)_jj of the Gram matrix, from a triangular
+    factor; infinite for a column that others give exactly. ``top`` keeps the
+    largest only if the caller asks."""
     cols = list(cols)
-    g = np.array(gram(df, cols)).reshape(len(cols), len(cols))
-    inv = np.linalg.pinv(g) if cols else g
-    rows = [(c, float(g[i, i] * inv[i, i])) for i, c in enumerate(cols)]
-    rows.sort(key=lambda r: -r[1])
-    return df.sparkSession.createDataFrame([(c, round(v, 6)) for c, v in (rows if top is None else rows[:top])], "feature string, vif double")
+    r = triangular(df, cols)
+    got = inflation(r) if r is not None else [math.nan] * len(cols)
+    rows = sorted(((c, float(v)) for c, v in zip(cols, got)), key=lambda x: (math.isnan(x[1]), -x[1] if not math.isnan(x[1]) else 0.0))
+    return df.sparkSession.createDataFrame([(c, None if math.isnan(v) else round(v, 6)) for c, v in (rows if top is None else rows[:top])], "feature string, vif double")

@@ -96,7 +96,7 @@ def plot_tables(scored: DataFrame, model_id: str, label: str = "label", pred: st
                 score: str = "score") -> DataFrame:
     """The tables behind the confusion, ROC and PR plots, in one long table."""
     from tabprep.operators.evaluate import confusion_normalized, pr_points, roc_points
-    cm = confusion_normalized(scored, label, pred).select(
+    cm = confusion_normalized(scored, label, pred, (0, 1)).select(
         F.lit(model_id).alias("model_id"), F.lit("confusion").alias("plot"),
         F.col("label").cast("double").alias("x"), F.round("pred_1", 6).alias("y"),
         F.lit(None).cast("double").alias("threshold"))

@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from tabprep.functions.exprs import nan_to_null
 from tabprep.operators.profile import corr_matrix
 from tabprep.operators.ranks import exact_quantiles, search_expr
 
+MOST_CLASSES = 10_000  # label values whose moments reach the driver
+
 
 def numeric_features(df: DataFrame, target: str | None) -> list:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name != target]
@@ -44,9 +47,11 @@ def correlation_drop(df: DataFrame, cols: Sequence[str], threshold: float = 0.95
 
 
 def variances(df: DataFrame, cols: Sequence[str]) -> dict:
-    """C2 scores: population variance and range per column (one aggregate)."""
-    row = df.agg(*[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(cols)],
-                 *[(F.max(c) - F.min(c)).alias(f"r{i}") for i, c in enumerate(cols)]).first()
+    """C2 scores: population variance and range per column (one aggregate),
+    over its numbers (NULL and NaN are skipped)."""
+    x = [nan_to_null(c) for c in cols]
+    row = df.agg(*[F.var_pop(v).alias(f"v{i}") for i, v in enumerate(x)],
+                 *[(F.max(v) - F.min(v)).alias(f"r{i}") for i, v in enumerate(x)]).first()
     return {c: (row[f"v{i}"], row[f"r{i}"]) for i, c in enumerate(cols)}
 
 
@@ -59,26 +64,28 @@ def variance_drop(df: DataFrame, cols: Sequence[str], threshold: float = 0.0):
 
 
 def binned(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
-    """Quantile bins: bin = number of distinct interior cut points below x."""
+    """Quantile bins: bin = number of distinct interior cut points below x;
+    NULL for NULL and NaN."""
     probs = [i / bins for i in range(1, bins)]
     q = exact_quantiles(df, cols, probs)
     out = []
     for c in cols:
         cuts = sorted(set(v for v in q[c] if v is not None))
-        x = F.col(c).cast("double")
+        x = nan_to_null(c)
         # cut points below x: x reaches the next number after them
-        out.append(search_expr(x, [math.nextafter(v, math.inf) for v in cuts]).alias(c))
+        out.append(F.when(x.isNotNull(), search_expr(x, [math.nextafter(v, math.inf) for v in cuts])).alias(c))
     return df.select(*out, *[c for c in df.columns if c not in cols])
 
 
 def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10) -> dict:
     """C3 (re-aimed): plug-in mutual information (nats) between each
-    quantile-binned column and the label, from one count per (column, bin, label)."""
+    quantile-binned column and the label, from one count per (column, bin, label)
+    over the rows that have both."""
     cols = list(cols)
     b = binned(df.select(*cols, target), cols, bins)
     stack = ", ".join(f"'{c}', CAST(`{c}` AS INT)" for c in cols)
     long = b.select(F.col(target).alias("_y"), F.expr(f"stack({len(cols)}, {stack}) AS (col_name, bin)"))
-    cells = long.groupBy("col_name", "bin", "_y").agg(F.count(F.lit(1)).alias("n_by"))
+    cells = long.where("bin IS NOT NULL AND _y IS NOT NULL").groupBy("col_name", "bin", "_y").agg(F.count(F.lit(1)).alias("n_by"))
     from pyspark.sql import Window
     wb = Window.partitionBy("col_name", "bin")
     wy = Window.partitionBy("col_name", "_y")
@@ -93,9 +100,10 @@ def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10)
 def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> dict:
     """C4, numeric label: F = r^2 / (1 - r^2) * (n - 2), with n the rows where
     both the column and the label are present."""
-    y = F.col(target)
-    row = df.agg(*[F.corr(c, target).alias(f"r{i}") for i, c in enumerate(cols)],
-                 *[F.count(F.when(F.col(c).isNotNull() & y.isNotNull(), 1)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    y = nan_to_null(target)
+    x = [nan_to_null(c) for c in cols]
+    row = df.agg(*[F.corr(v, y).alias(f"r{i}") for i, v in enumerate(x)],
+                 *[F.count(F.when(v.isNotNull() & y.isNotNull(), 1)).alias(f"n{i}") for i, v in enumerate(x)]).first()
     out = {}
     for i, c in enumerate(cols):
         r, n = row[f"r{i}"], row[f"n{i}"]
@@ -108,9 +116,11 @@ def f_anova(df: DataFrame, cols: Sequence[str], target: str) -> dict:
     variance (per column, over its present values), so large means do not
     cancel."""
     g = df.where(F.col(target).isNotNull()).groupBy(target).agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.var_pop(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)]).collect()
+        *[F.count(nan_to_null(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.avg(nan_to_null(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[F.var_pop(nan_to_null(c)).alias(f"v{i}") for i, c in enumerate(cols)]).limit(MOST_CLASSES + 1).collect()
+    if len(g) > MOST_CLASSES:
+        raise ValueError(f"{target} has more than {MOST_CLASSES} values: it is no class label")
     out = {}
     for i, c in enumerate(cols):
         rows = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in g if r[f"n{i}"]]

@@ -16,7 +16,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.functions.exprs import value_map
+from tabprep.functions.exprs import nan_to_null, value_map
 from tabprep.operators.ranks import exact_quantiles, search_expr
 
 # ------------------------------------------------------------- power maps ---
@@ -195,16 +195,25 @@ class TransformParams:
     value_maps: dict = field(default_factory=dict)    # col -> (mapping, default)
     onehot: dict = field(default_factory=dict)        # col -> categories (sorted, NULL last)
 
+    @classmethod
+    def from_values(cls, values: dict) -> "TransformParams":
+        """The state as read back from JSON."""
+        d = dict(values)
+        d["value_maps"] = {c: (dict(m), default) for c, (m, default) in d["value_maps"].items()}
+        for k in ("standard", "yeo_johnson", "box_cox"):
+            d[k] = {c: tuple(v) for c, v in d[k].items()}
+        return cls(**d)
+
 
 def _moments(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
     if not exprs:
         return {}
     row = df.agg(*[a for c, e in exprs.items()
-                   for a in (F.avg(e).alias(f"m_{c}"), F.stddev_pop(e).alias(f"s_{c}"))]).first()
+                   for a in (F.avg(nan_to_null(e)).alias(f"m_{c}"), F.stddev_pop(nan_to_null(e)).alias(f"s_{c}"))]).first()  # NaN is skipped, as NULL is
     out = {}
     for c in exprs:
         m, s = row[f"m_{c}"], row[f"s_{c}"]
-        out[c] = (m, s if s else 1.0)   # zero std -> divide by 1
+        out[c] = (0.0 if m is None else m, s if s else 1.0)   # no value: unchanged; zero std -> divide by 1
     return out
 
 
@@ -302,11 +311,7 @@ class TableTransformerModel:
     @classmethod
     def load(cls, spark, path: str) -> "TableTransformerModel":
         import json
-        d = json.loads(spark.read.parquet(path).first()["params"])
-        d["value_maps"] = {c: (dict(m), dflt) for c, (m, dflt) in d["value_maps"].items()}
-        for k in ("standard", "yeo_johnson", "box_cox"):
-            d[k] = {c: tuple(v) for c, v in d[k].items()}
-        return cls(TransformParams(**d))
+        return cls(TransformParams.from_values(json.loads(spark.read.parquet(path).first()["params"])))
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.params is None:

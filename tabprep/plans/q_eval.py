@@ -40,7 +40,7 @@ SELECT l.label, CAST(coalesce(sum(CASE WHEN prediction = 0 THEN 1 END), 0) AS BI
 FROM (SELECT 0 AS label UNION ALL SELECT 1) l LEFT JOIN sc ON sc.label = l.label GROUP BY l.label
 """))
 def q_confusion(spark, d):
-    return E.confusion_matrix(scored(spark, d))
+    return E.confusion_matrix(scored(spark, d), classes=(0, 1))
 
 
 @query("confusion_norm", "E4", sql=with_scored("""
@@ -51,7 +51,7 @@ SELECT label, round(CASE WHEN p0 + p1 = 0 THEN 0.0 ELSE p0 / (p0 + p1) END, 6) A
   round(CASE WHEN p0 + p1 = 0 THEN 0.0 ELSE p1 / (p0 + p1) END, 6) AS pred_1 FROM c
 """))
 def q_confusion_norm(spark, d):
-    return r6(E.confusion_normalized(scored(spark, d)), ["pred_0", "pred_1"])
+    return r6(E.confusion_normalized(scored(spark, d), classes=(0, 1)), ["pred_0", "pred_1"])
 
 
 SD = """, sd AS (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,

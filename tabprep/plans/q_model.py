@@ -1,12 +1,17 @@
 """Catalog: model fit, compare, tune, attribute, score, persist (M1-M8,
-V3-V6, S4-S9, P18). Learners are iterative, so these are rows-only checks."""
+V3-V6, S4-S9, P18). Learners are iterative, so fits are rows-only checks; what
+surrounds them (prepared features, equality after loading) has SQL."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from tabprep.operators import boosting
 from tabprep.operators import fit as M
 from tabprep.operators import resample as R
+from tabprep.operators import study
 from tabprep.operators.evaluate import metric_row
 from tabprep.operators.score import risk_tier
 from tabprep.operators.split import assign_folds, stratified_split
@@ -15,6 +20,7 @@ from tabprep.plans.fixtures import metrics_table, metrics_table_sql_ctes
 from tabprep.plans.registry import query
 from tabprep.session import stored
 from tabprep.sources import files as S
+from tabprep.spec import CORR_THRESHOLD, N_FOLDS, N_TRIALS, PROFILE_SPEC, SEARCH_SPACE
 from tabprep.sources.tables import customer_profile, with_cp
 
 MT = metrics_table_sql_ctes()
@@ -22,7 +28,8 @@ MT = metrics_table_sql_ctes()
 FEATURES = ["balance", "n_orders", "total_spend", "has_urgent"]
 # iterations and depth of the original's first learner, which it leaves at their defaults
 PARAMS = {"GBT": {"maxIter": 100, "maxDepth": 6}, "RandomForest": {"numTrees": 20, "maxDepth": 5},
-          "LogisticRegression": {"maxIter": 20}}
+          "LogisticRegression": {"maxIter": 20}, study.BOOSTED: {"n_estimators": 100, "max_depth": 6}}
+LEARNERS = (study.BOOSTED, "RandomForest", "LogisticRegression")
 
 
 def _cp(spark, d):
@@ -32,6 +39,7 @@ def _cp(spark, d):
 def _weighted_train_test(spark, d):
     cp = _cp(spark, d)
     train, test = stratified_split(cp, "churned", "c_custkey", 0.2, 42)
+    train = stored(train, "train")  # read by the class weights and by every pass of a fit
     weights = {r["label"]: r["weight"] for r in R.class_weights(train, "churned").collect()}
     return R.with_row_weights(train, "churned", weights), test
 
@@ -39,39 +47,47 @@ def _weighted_train_test(spark, d):
 @query("gbt_metrics", "M1,M2,M6,R8,E1")
 def q_gbt_metrics(spark, d):
     train, test = _weighted_train_test(spark, d)
-    _, scored = M.fit_and_score(train, test, FEATURES, "churned", "GBT", PARAMS["GBT"], weight_col="weight")
-    return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_baseline")
+    trees = boosting.fit_trees(train, FEATURES, "churned", "c_custkey", boosting.Params(**PARAMS[study.BOOSTED]), "weight")
+    return metric_row(boosting.predict_trees(trees, test).withColumnRenamed("churned", "label"), model_id="GBT_baseline")
 
 
-def _prepare_fold(train, val):
-    """V3: fit the transforms on the fold's train part, apply to both parts,
-    rebalance the train part only (SMOTE)."""
-    from tabprep.operators.transform import TableTransformer
-    tf = TableTransformer(standard=["balance", "n_orders", "total_spend"]).fit(train)
-    tr, va = tf.transform(train), tf.transform(val)
-    bal = (R.smote(tr, "c_custkey", FEATURES, "churned", 5, 42)
-           .withColumnRenamed("key", "c_custkey").withColumnRenamed("label", "churned"))
-    return bal, va
+def _parts(spark, d):
+    """Folds of the train part, each prepared on its own training rows:
+    creation, transforms, correlation selection, class weights."""
+    from tabprep.operators.create import create_features
+    made = stored(create_features(customer_profile(spark, d), PROFILE_SPEC), "made")
+    train, _ = stratified_split(made, "churned", "c_custkey", 0.2, 42)
+    folds = assign_folds(stored(train, "train"), "churned", "c_custkey", N_FOLDS, 42)
+    return study.prepare_folds(folds, PROFILE_SPEC, selection={"method": "correlation", "threshold": CORR_THRESHOLD})
 
 
 @query("model_compare", "M3,V3,V4,V5")
 def q_model_compare(spark, d):
-    folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 5, 42), "folds")
-    fm = M.cross_validate(folds, FEATURES, "churned", M.FAMILIES, prepare=_prepare_fold, params=PARAMS)
-    return M.cv_mean(fm)
-
-
-SPACE = {"maxIter": {"low": 100, "high": 300}, "maxDepth": {"low": 3, "high": 6}, "stepSize": {"low": 0.03, "high": 0.1},
-         "subsamplingRate": {"low": 0.7, "high": 1.0}}
+    return M.cv_mean(study.compare(_parts(spark, d), "c_custkey", "churned", LEARNERS, PARAMS))
 
 
 @query("tune", "M4,M5")
 def q_tune(spark, d):
-    folds = stored(assign_folds(_cp(spark, d), "churned", "c_custkey", 5, 42), "folds")
-    _, table = M.tune(folds, FEATURES, "churned", "GBT", SPACE, n_trials=20, scoring="ROC_AUC", prepare=_prepare_fold)
+    """20 trials on 5 prepared folds; all trees grow together."""
+    _, table = study.search(_parts(spark, d), "c_custkey", "churned", SEARCH_SPACE, N_TRIALS)
     return table
 
 
+@query("study_run", "end-to-end,V3,V4,V5,V6,M3,M4,M5,M6")
+def q_study_run(spark, d):
+    """Outliers, creation, hold-out, prepared folds, comparison, search,
+    refits: cv rows per family, test rows of baseline and tuned trees."""
+    metrics, _, _ = study.run(customer_profile(spark, d), PROFILE_SPEC, LEARNERS, SEARCH_SPACE, N_TRIALS, params=PARAMS)
+    return metrics
+
+
+@query("study_verdict", "M6,M8")
+def q_study_verdict(spark, d):
+    """Baseline against tuned trees of the run's own results."""
+    _, verdict, _ = study.run(customer_profile(spark, d), PROFILE_SPEC, LEARNERS, SEARCH_SPACE, N_TRIALS, params=PARAMS)
+    return verdict
+
+
 @query("permutation_importance", "M7")
 def q_permutation_importance(spark, d):
     train, test = _weighted_train_test(spark, d)
@@ -152,14 +168,61 @@ def q_metric_files(spark, d):
 @query("churn_model_run", "end-to-end")
 def q_churn_model_run(spark, d):
     """prepare -> rebalance (SMOTE) -> fit -> evaluate, fitted on train only."""
-    from tabprep.operators.transform import TableTransformer
-    cp = _cp(spark, d)
-    train, test = stratified_split(cp, "churned", "c_custkey", 0.2, 42)
-    tf = TableTransformer(standard=["balance", "n_orders", "total_spend"]).fit(train)
-    tr, te = tf.transform(train), tf.transform(test)
-    bal = R.smote(tr, "c_custkey", FEATURES, "churned", 5, 42).withColumnRenamed("label", "churned")
-    _, scored = M.fit_and_score(bal, te, FEATURES, "churned", "GBT", PARAMS["GBT"])
-    return metric_row(scored.withColumnRenamed("churned", "label"), model_id="GBT_smote")
+    from tabprep.operators.create import create_features
+    made = create_features(customer_profile(spark, d), PROFILE_SPEC)
+    train, test = stratified_split(stored(made, "made"), "churned", "c_custkey", 0.2, 42)
+    part = study.prepare(stored(train, "train"), stored(test, "test"), PROFILE_SPEC, balance="smote")
+    trees = boosting.fit_trees(part.train, part.features, "churned", "c_custkey", boosting.Params(**PARAMS[study.BOOSTED]))
+    return metric_row(boosting.predict_trees(trees, part.val).withColumnRenamed("churned", "label"), model_id="GBT_smote")
+
+
+def _raw_to_tier(spark, d):
+    cp = customer_profile(spark, d)
+    train, _ = stratified_split(cp, "churned", "c_custkey", 0.2, 42)
+    return study.scoring_pipeline(stored(train, "train"), PROFILE_SPEC, boosting.Params(**PARAMS[study.BOOSTED]), {"method": "correlation", "threshold": CORR_THRESHOLD})
+
+
+_Z = {"n_orders": "n_orders", "total_spend": "total_spend", "spend_per_order": "total_spend / (n_orders + 1e-6)"}
+_DUMMY = {"geography": ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"], "segment": ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]}
+
+
+@query("pipeline_features", "T8,F8,C6,P18", sql=with_cp("SELECT c_custkey, " + ", ".join(
+    [f"round((CAST({e} AS DOUBLE) - avg({e}) OVER ()) / stddev_pop({e}) OVER (), 6) AS {c}" for c, e in _Z.items()]
+    + [f"CAST({c} = '{v}' AS DOUBLE) AS \"{c}_{v}\"" for c, values in _DUMMY.items() for v in values]) + " FROM cp"))
+def q_pipeline_features(spark, d):
+    """Fitted feature stages (creation, z-scores, one-hot, selection) as one
+    pipeline, saved and loaded, applied to every customer."""
+    import uuid
+    from pyspark.ml import Pipeline, PipelineModel
+    from tabprep.operators.stages import ColumnSelection, ColumnTransforms, FeatureCreator
+    cp = customer_profile(spark, d)
+    spec = replace(PROFILE_SPEC, yeo_johnson=[], box_cox=[], quantile=[], standard=["n_orders", "total_spend", "spend_per_order"])
+    steps = [FeatureCreator(spec=spec), ColumnTransforms(spec=replace(spec, onehot=list(_DUMMY))),
+             ColumnSelection(method="variance", threshold=0.0, target="churned", keep_columns=["c_custkey"])]
+    path = S.out_path(spark, uuid.uuid4().hex, "features")
+    Pipeline(stages=steps).fit(cp).write().overwrite().save(path)
+    out = PipelineModel.load(path).transform(cp)
+    return out.select("c_custkey", *[F.round(c, 6).alias(c) for c in _Z], *[f"{c}_{v}" for c, values in _DUMMY.items() for v in values])
+
+
+@query("pipeline_score", "P17,P18,M6,S9,T8")
+def q_pipeline_score(spark, d):
+    """One saved and loaded pipeline from raw columns to risk tier, on the
+    table and on a stream of it; ``same`` compares both scores."""
+    import uuid
+    from pyspark.ml import PipelineModel
+    from tabprep.streaming.score_stream import stream_through
+    run = uuid.uuid4().hex
+    path = S.out_path(spark, run, "pipeline")
+    _raw_to_tier(spark, d).write().overwrite().save(path)
+    model = PipelineModel.load(path)
+    cp = customer_profile(spark, d).drop("churned")
+    src = S.out_path(spark, run, "incoming")
+    cp.repartition(4, "c_custkey").write.mode("overwrite").parquet(src)
+    stream_through(spark, model.transform, src, cp.schema, S.out_path(spark, run, "scored"), S.out_path(spark, run, "ckpt"))
+    cols = ["c_custkey", "score", "prediction", "tier", "risk_label"]
+    streamed = spark.read.parquet(S.out_path(spark, run, "scored")).select("c_custkey", F.col("score").alias("streamed"))
+    return model.transform(cp).select(*cols).join(streamed, "c_custkey", "full").withColumn("same", F.col("score").eqNullSafe(F.col("streamed")).cast("int")).drop("streamed")
 
 
 @query("csv_sources", "S1,S2,S3", sql=with_cp("SELECT DISTINCT * EXCLUDE (c_custkey, has_urgent) FROM cp"))

@@ -51,6 +51,15 @@ SEED = 42
 SMOTE_K = 5
 CLEAN_K = 3
 QUANTILE_MAX_KNOTS = 1000
+# Search space of the first learner: whole numbers even, decimals log-even.
+SEARCH_SPACE = {
+    "n_estimators": {"low": 100, "high": 300},
+    "max_depth": {"low": 3, "high": 6},
+    "learning_rate": {"low": 0.03, "high": 0.1},
+    "subsample": {"low": 0.7, "high": 1.0},
+    "colsample_bytree": {"low": 0.7, "high": 1.0},
+}
+N_TRIALS = 20
 # ---------------------------------------------------------------------------
 
 

@@ -12,21 +12,27 @@ from tabprep.operators.fit import predict
 from tabprep.operators.score import risk_tier
 
 
-def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: StructType,
-                 out_dir: str, checkpoint: str, max_files_per_trigger: int | None = None) -> None:
-    """Read parquet files as they arrive, score, tier, write to ``out_dir``;
-    runs until the currently available files are done (``availableNow``)."""
+def stream_through(spark: SparkSession, apply, source_dir: str, schema: StructType, out_dir: str, checkpoint: str,
+                   max_files_per_trigger: int | None = None) -> None:
+    """Read parquet files as they arrive, ``apply`` a fitted transform (a
+    ``PipelineModel.transform`` or any stateless function), write to
+    ``out_dir``; runs until the currently available files are done
+    (``availableNow``)."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
-    scored = risk_tier(predict(model, stream), "score", "prediction")
 
     def sink(batch: DataFrame, epoch: int) -> None:
         # one directory per epoch, overwritten on replay: a retried batch
         # replaces its own output instead of appending a duplicate
         batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
 
-    q = (scored.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    q = (apply(reader.parquet(source_dir)).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: StructType,
+                 out_dir: str, checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+    """Score and tier with an assembler-and-learner pipeline."""
+    stream_through(spark, lambda df: risk_tier(predict(model, df), "score", "prediction"), source_dir, schema, out_dir, checkpoint, max_files_per_trigger)

@@ -45,21 +45,3 @@ def test_readiness_has_all_of_describe(spark):
     df = spark.createDataFrame([(i, float(i), i * i % 7 + 0.5, i % 2) for i in range(40)], "k long, a double, b double, y int")
     got = {r["item"]: r["value"] for r in Q.readiness_report(df, "y", "k").where("section = 'describe'").collect()}
     assert len(got) == 16 and got["a:count"] == 40 and got["a:min"] == 0 and got["a:max"] == 39 and got["a:p50"] == 19.5
-
-
-def test_tune_runs_the_whole_search(spark, monkeypatch):
-    """The registered query: 20 trials on 5 folds, each prepared once."""
-    from tabprep.operators import fit
-    from tabprep.plans import q_model
-
-    fits, prepared = [], []
-
-    def cheap(train, val, features, label, family, params, weight_col, seed):
-        fits.append(params)
-        return None, val.withColumn("score", F.rand(1)).withColumn("prediction", F.col(label).cast("int"))
-
-    monkeypatch.setattr(fit, "fit_and_score", cheap)
-    monkeypatch.setattr(fit, "metric_row", lambda df, *_: df.groupBy("fold").agg(F.avg("score").alias("ROC_AUC")))
-    monkeypatch.setattr(q_model, "_prepare_fold", lambda tr, va: prepared.append(1) or (tr, va))
-    assert q_model.q_tune(spark, "/root/testdata/sf0.001").count() == 20
-    assert len(fits) == 100 and len(prepared) == 5 and min(p["maxIter"] for p in fits) >= 100
