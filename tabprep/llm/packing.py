@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import text_runs
-from tabprep.llm.encoding import encoder
+from tabprep.llm.encoding import RUN, encoder
 
 LENGTH, END, GROUP = 1024, 0, 4096
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, grp long, ids binary"
@@ -66,23 +66,25 @@ def pieces(docs: DataFrame, groups: int, length: int = LENGTH, end: int = END, v
         import pyarrow as pa
 
         enc = encoder(vocabulary)
-        tail, width = np.array([end], enc.dtype).tobytes(), enc.dtype.itemsize
         for batch in batches:
-            for row, data, offsets in text_runs(batch.column(1), 1 << 21):
-                raw = data.tobytes()
+            for row, data, offsets in text_runs(batch.column(1), RUN):
                 n = len(offsets) - 1
-                got = enc.encode_all([raw[offsets[i]:offsets[i + 1]].decode("utf-8", "replace") for i in range(n)])
-                out = [[] for _ in range(7)]
-                for doc, group, ids in zip(batch.column(0).slice(row, n).to_pylist(), batch.column(2).slice(row, n).to_pylist(), got, strict=True):
-                    ids += tail
-                    total = len(ids) // width
-                    for start in range(0, total, length):
-                        part = ids[start * width:(start + length) * width]
-                        crc = zlib.crc32(np.frombuffer(part, enc.dtype).astype("<u4").tobytes())
-                        for c, v in zip(out, (doc, start, len(part) // width, crc, total, group, part if with_ids else None), strict=True):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in out[:6]], pa.array(out[6], pa.binary())],
-                                                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp", "ids"])
+                ids, bounds = enc.encode_run(data, offsets)
+                ids = np.insert(ids, bounds[1:], end).astype("<u4")  # every document's end id
+                bounds = bounds + np.arange(n + 1)
+                total = np.diff(bounds)
+                count = -(-total // length)
+                doc = np.repeat(np.arange(n), count)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * length
+                size = np.minimum(length, total[doc] - start)
+                at = bounds[doc] + start
+                raw = memoryview(ids).cast("B")
+                part = [raw[4 * a:4 * (a + z)] for a, z in zip(at.tolist(), size.tolist(), strict=True)]
+                crc = np.fromiter(map(zlib.crc32, part), np.int64, len(part))
+                kept = pa.array([ids[a:a + z].astype(enc.dtype).tobytes() for a, z in zip(at.tolist(), size.tolist(), strict=True)], pa.binary()) if with_ids else pa.nulls(len(doc), pa.binary())
+                where = pa.array(doc)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n).cast(pa.int64()).take(where), pa.array(start), pa.array(size), pa.array(crc), pa.array(total[doc]),
+                                                  batch.column(2).slice(row, n).cast(pa.int64()).take(where), kept], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp", "ids"])
 
     group = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups))
     return docs.select("doc_id", "text", group.alias("grp")).mapInArrow(cut, PIECE)

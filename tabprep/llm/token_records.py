@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import shared_path, stored, text_runs
-from tabprep.llm.encoding import encoder
+from tabprep.llm.encoding import RUN, encoder
 
 MAGIC = b"TOKREC01"
 END = 2
@@ -69,22 +69,23 @@ def write(docs: DataFrame, folder: str | None = None, vocabulary: str | None = N
         enc, part, out, index, tokens, first = encoder(vocabulary), TaskContext.get().partitionId(), None, [], 0, None
         tail = np.array([end], enc.dtype).tobytes()
         for batch in batches:
-            for row, data, offsets in text_runs(batch.column(1), 1 << 21):
-                raw = data.tobytes()
-                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                ids = batch.column(0).slice(row, len(texts)).to_pylist()
+            for row, data, offsets in text_runs(batch.column(1), RUN):
+                flat, bounds = enc.encode_run(data, offsets)
+                raw = memoryview(flat).cast("B")
+                got = [raw[a:b] for a, b in zip((bounds[:-1] * enc.dtype.itemsize).tolist(), (bounds[1:] * enc.dtype.itemsize).tolist(), strict=True)]
+                ids = batch.column(0).slice(row, len(got)).to_pylist()
                 if out is None:
                     fs, base = filesystem(folder)
                     fs.create_dir(base, recursive=True)
                     name = f"{base}/{part:08d}-{uuid.uuid4().hex}"
                     out, at, first = fs.open_output_stream(f"{name}.rec"), 12, ids[0]
                     out.write(MAGIC + struct.pack("<I", enc.dtype.itemsize))
-                for doc, got in zip(ids, enc.encode_all(texts), strict=True):
-                    rec = frame(struct.pack("<qB", doc or 0, doc is None) + got + tail)
+                for doc, own in zip(ids, got, strict=True):
+                    rec = frame(struct.pack("<qB", doc or 0, doc is None) + own + tail)
                     out.write(rec)
                     index.append(at)
                     at += len(rec)
-                    tokens += len(got) // enc.dtype.itemsize + 1
+                    tokens += len(own) // enc.dtype.itemsize + 1
         if out is not None:
             out.close()
             with fs.open_output_stream(f"{name}.idx") as f:
