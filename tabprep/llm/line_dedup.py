@@ -10,6 +10,7 @@ are judged on the input, not on what is left. Edits are of UTF-8 bytes.
    segment's number and the difference in length bound. The keys of the
    segments are the index; the keys of those substrings of a line, for each
    length it may meet, are the probes. Keys hold length and segment number.
+   A line's own segments serve as its probes for equal lengths at their place.
 3. Where keys meet, counts of a few bytes must agree to 2 * EDITS, inside the
    join, so segments that many lines share do not spread into pairs.
 4. Pairs left fetch their texts and are verified by an edit distance in a
@@ -137,44 +138,58 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     return F.get(F.transform(F.transform(F.transform(one, cut), cut_end), of), 0)
 
 
-def keyed(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """One row per different line: h1, h2, size, sig, first (its first place),
-    times, and its index and probe keys as columns i0.. and p0.. ."""
-    b, size = F.col("line").cast("binary"), F.col("size")
-    parts = edits + 1
+def different(lines: DataFrame) -> DataFrame:
+    """One row per different line: h1, h2, line, first (its first place) and
+    times."""
+    return lines.groupBy("h1", "h2", "line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"))
+
+
+SAME = 1 << 62  # set in a probe's counts: the probe is for lines of its own length
+
+
+def keys(each: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
+    """(index, probes): rows of h1, counts and key. A line's own segments are
+    in the index; they are also its probes for equal lengths at their own
+    place, so the probes leave those out."""
+    b, size, parts = F.col("line").cast("binary"), F.octet_length("line"), edits + 1
 
     def key(i: int, length: Column, off: int) -> Column:
         start, n = segment(length, i, parts)
         return F.xxhash64(F.lit(i), length, F.substring(b, start + off, n))
 
-    index = [key(i, size, 0).alias(f"i{i - 1}") for i in range(1, parts + 1)]
-    probe = [key(i, size - diff, off).alias(f"p{k}") for k, (diff, i, off) in enumerate(probe_places(edits))]
-    cols = ["h1", "h2", "size", "sig", *[f"i{k}" for k in range(parts)], *[f"p{k}" for k in range(len(probe))]]
-    return lines.select("h1", "h2", "size", byte_counts(F.col("line")).alias("sig"), *index, *probe, "place").groupBy(*cols).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"))
+    rows = each.select("h1", byte_counts(F.col("line")).alias("sig"), size.alias("size"), "line")
+    index = rows.select("h1", "sig", F.explode(F.array(*[key(i, size, 0) for i in range(1, parts + 1)])).alias("key"))
+    places = [(diff, i, off) for diff, i, off in probe_places(edits) if diff or off]
+    alike = F.array(*[key(i, size, off) for diff, i, off in places if not diff])
+    longer = F.array(*[key(i, size - diff, off) for diff, i, off in places if diff])
+    marked = lambda arr, same: F.transform(arr, lambda k: F.struct(k.alias("key"), (F.col("sig") + F.lit(SAME if same else 0)).alias("rsig")))
+    probes = rows.select(F.col("h1").alias("r"), F.explode(F.concat(marked(alike, True), marked(longer, False))).alias("p")).select("r", "p.rsig", "p.key")
+    return index, probes
 
 
 def near_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lines, earliest): the lines, and for each different line that occurs
     twice or has a near one (h1, h2) the earliest place of those."""
     lines = lines_of(docs, least)
-    each = stored(keyed(lines, edits), "lines")
-    places = probe_places(edits)
-    index = each.select("h1", "sig", F.explode(F.array(*[f"i{k}" for k in range(edits + 1)])).alias("key"))
-    probe = each.select(F.col("h1").alias("r"), F.col("sig").alias("rsig"), F.posexplode(F.array(*[f"p{k}" for k in range(len(places))])).alias("k", "key"))
-    same = sum(d == 0 for d, _, _ in places)  # the first probes are for equal lengths
-    other = F.when(F.col("k") < same, F.col("h1") < F.col("r")).otherwise(F.col("h1") != F.col("r"))
-    met = index.join(probe, (index["key"] == probe["key"]) & other & counts_agree(F.col("sig"), F.col("rsig"), edits))
-    pairs = stored(met.select(F.col("h1").alias("s"), "r").distinct(), "line-pairs")
+    each = stored(different(lines), "lines")
+    index, probes = keys(each, edits)
+    # both joins read one exchange of the index
+    own = index.select(F.col("h1").alias("r"), F.col("sig").alias("rsig"), F.col("key").alias("rkey"))
+    alike = index.join(own, (F.col("key") == F.col("rkey")) & (F.col("h1") < F.col("r")) & counts_agree(F.col("sig"), F.col("rsig"), edits))
+    probes = probes.withColumnRenamed("key", "rkey")
+    other = F.when(F.col("rsig") >= SAME, F.col("h1") < F.col("r")).otherwise(F.col("h1") != F.col("r"))
+    apart = index.join(probes, (F.col("key") == F.col("rkey")) & other & counts_agree(F.col("sig"), F.col("rsig"), edits))
+    pairs = stored(alike.select(F.col("h1").alias("s"), "r").union(apart.select(F.col("h1").alias("s"), "r")).distinct(), "line-pairs")
     ids = pairs.select(F.col("s").alias("h")).union(pairs.select("r")).distinct()
-    # texts of the lines in pairs; a table of at most CELLS hash cells spares most others the shuffle
-    cell = lambda c: F.pmod(c, F.lit(CELLS))
-    few = F.broadcast(ids.select(cell(F.col("h")).alias("cell")).distinct())
-    texts = (lines.select("h1", "h2", F.col("line").cast("binary").alias("line"), "place").withColumn("cell", cell(F.col("h1"))).join(few, "cell", "left_semi")
-             .groupBy("h1", "h2", "line").agg(F.min("place").alias("first")).join(ids, F.col("h1") == F.col("h"), "left_semi"))
-    texts = stored(texts.select("h1", "h2", "line", "first"), "line-texts")
+    # a table of at most CELLS hash cells spares most other lines the shuffle
+    few = F.broadcast(ids.select(_cell(F.col("h")).alias("cell")).distinct())
+    texts = each.withColumn("cell", _cell(F.col("h1"))).join(few, "cell", "left_semi").join(ids, F.col("h1") == F.col("h"), "left_semi")
+    texts = stored(texts.select("h1", "h2", F.col("line").cast("binary").alias("line"), "first"), "line-texts")
     of = lambda p: texts.select(*[F.col(c).alias(f"{p}_{c}") for c in ("h1", "h2", "line", "first")])
     both = pairs.join(of("s"), F.col("s") == F.col("s_h1")).join(of("r"), F.col("r") == F.col("r_h1"))
-    near = both.filter(edit_distance(F.col("r_line"), F.col("s_line"), edits) <= edits)
+    # a pair is found from the shorter line's segments: the longer comes first
+    long = F.octet_length("r_line") >= F.octet_length("s_line")
+    near = both.filter(edit_distance(F.when(long, F.col("r_line")).otherwise(F.col("s_line")), F.when(long, F.col("s_line")).otherwise(F.col("r_line")), edits) <= edits)
     swap = F.col("s_first") < F.col("r_first")
     late = near.select(F.when(swap, F.col("r_h1")).otherwise(F.col("s_h1")).alias("h1"), F.when(swap, F.col("r_h2")).otherwise(F.col("s_h2")).alias("h2"), F.least("s_first", "r_first").alias("earliest"))
     again = each.filter("times > 1").select("h1", "h2", F.col("first").alias("earliest"))
@@ -183,10 +198,15 @@ def near_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple
     return lines, earliest
 
 
+def _cell(c: Column) -> Column:
+    return F.pmod(c, F.lit(CELLS))
+
+
 def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """(doc, th, gone): ascending line numbers that a document loses."""
     lines, earliest = near_lines(docs, edits, least)
-    gone = lines.select("doc", "th", "pos", "place", "h1", "h2").join(earliest, ["h1", "h2"]).filter("earliest < place")
+    few = F.broadcast(earliest.select(_cell(F.col("h1")).alias("cell")).distinct())
+    gone = lines.select("doc", "th", "pos", "place", "h1", "h2", _cell(F.col("h1")).alias("cell")).join(few, "cell", "left_semi").drop("cell").join(earliest, ["h1", "h2"]).filter("earliest < place")
     return gone.groupBy("doc", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
