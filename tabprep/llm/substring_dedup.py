@@ -17,8 +17,10 @@ windows have equal anchors, and neighbouring windows mostly share one.
    them in ascending doc_id, so a state knows the smallest document of its
    strings; the shard's spans stream through it, and the state that holds the
    last WINDOW words gives every window's smallest document. An anchor with
-   over ``SHARD`` different spans is not held by a task: its windows are
-   grouped by their whole word sequence instead.
+   over ``SHARD`` different spans is split: its spans are cut where their
+   windows' second least hash moves, and go by both hashes; then by the third,
+   and so on. Equal windows agree on all of them, and windows that agree on
+   all are equal, so every shard gets small.
 4. Occurrences look up their span's windows. Documents that lose words meet
    their windows by a join; all others are read and finished in place.
 
@@ -35,13 +37,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import Words, bitmap, discard, in_bitmap, mix64, spot, stored, text_runs
 
 WINDOW, GRAM = 13, 4
-SHARD = 256
+SHARD = 2048  # spans that a task's automaton holds
 CODE = 6  # bytes of a word's hash in a span
 _ODD = np.uint64(0xD1342543DE82EF95)
 _ODD_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
@@ -226,30 +228,88 @@ def shard_minima(batches, window: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["anchor", "code", "minima"])
 
 
+def split_spans(shards: DataFrame, level: int, window: int, gram: int) -> DataFrame:
+    """Spans cut where the ``level``-th least gram of their windows moves:
+    anchor and code of the span, at (its first window in the span), key and
+    part (hash of the words) of the piece, and its words, lo and hi."""
+    per = window - gram + 1  # grams of a window
+
+    def cut(batches):
+        for batch in batches:
+            anchor, code, lo, hi = (batch.column(i).to_numpy() for i in range(4))
+            raw = batch.column(4)
+            size = np.array([len(x) for x in raw.to_pylist()]) // CODE
+            flat = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, CODE)
+            words = np.zeros((len(flat), 8), np.uint8)
+            words[:, :CODE] = flat
+            words, begin = words.view(np.uint64).ravel(), np.cumsum(size) - size
+            cols = [[] for _ in range(8)]
+            for n in np.unique(size):
+                rows = np.flatnonzero(size == n)
+                w = words[begin[rows][:, None] + np.arange(n)]
+                g = np.zeros((len(rows), n - gram + 1), np.uint64)
+                for k in range(gram):
+                    g = mix64(g * np.uint64(0x9E3779B97F4A7C15) + w[:, k:k + g.shape[1]])
+                count = n - window + 1
+                each = g[:, np.arange(count)[:, None] + np.arange(per)]  # spans x windows x grams
+                nth = np.argsort(each, axis=2, kind="stable")[:, :, level - 1]
+                place = nth + np.arange(count)
+                new = np.ones((len(rows), count), bool)
+                new[:, 1:] = place[:, 1:] != place[:, :-1]
+                r, at = np.nonzero(new)
+                end = np.append(at[1:], count)
+                end[np.append(r[1:] != r[:-1], True)] = count
+                chosen = np.take_along_axis(each, nth[:, :, None], axis=2)[r, at, 0]
+                key = mix64(anchor[rows][r].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + chosen)
+                code_of = np.zeros(len(r), np.uint64)
+                for k in range(n):
+                    inside = (k >= at) & (k < end + window - 1)
+                    code_of = np.where(inside, mix64(code_of * np.uint64(0x9E3779B97F4A7C15) + w[r, k]), code_of)
+                whole = [raw[int(i)].as_py() for i in rows]
+                pieces = [whole[x][a * CODE:(b + window - 1) * CODE] for x, a, b in zip(r.tolist(), at.tolist(), end.tolist(), strict=True)]
+                for c, v in zip(cols, (anchor[rows][r], code[rows][r], at, key.view(np.int64), mix64(code_of).view(np.int64), lo[rows][r], hi[rows][r]), strict=False):
+                    c.append(v)
+                cols[7] += pieces
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) if c else pa.array([], pa.int64()) for c in cols[:7]], pa.array(cols[7], pa.binary())],
+                                             ["anchor", "code", "at", "key", "part", "lo", "hi", "words"])
+
+    return shards.select("anchor", "code", "lo", "hi", "words").mapInArrow(cut, "anchor long, code long, at long, key long, part long, lo long, hi long, words binary")
+
+
+def window_minima(shards: DataFrame, window: int, gram: int, limit: int, level: int = 1) -> DataFrame:
+    """(anchor, code, minima) of the spans (anchor, code, words, lo, hi) that a
+    smaller document reaches; shards over the limit are split by the next
+    least gram."""
+    n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = lambda df: (df.select("anchor", "code", "lo", "hi", "words").repartition(n, "anchor").sortWithinPartitions("anchor", "lo", "code")
+                       .mapInArrow(lambda b: shard_minima(b, window), "anchor long, code long, minima array<long>"))
+    if level > window - gram:  # by now windows of a shard have all their grams in common
+        return held(shards)
+    wide = stored(shards.groupBy("anchor").agg(F.count(F.lit(1)).alias("spans")).filter(F.col("spans") > limit).select("anchor"), "wide-anchors")
+    if wide.isEmpty():
+        return held(shards)
+    parts = stored(split_spans(shards.join(wide, "anchor", "left_semi"), level + 1, window, gram), "span-parts")
+    each = parts.groupBy(F.col("key").alias("anchor"), F.col("part").alias("code"), "words").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    got = window_minima(stored(each, "part-shards"), window, gram, limit, level + 1)
+    none = F.array_repeat(F.lit(None).cast("long"), (F.octet_length("words") / CODE - (window - 1)).cast("int"))
+    back = parts.join(got.select(F.col("anchor").alias("key"), F.col("code").alias("part"), "minima"), ["key", "part"], "left")
+    whole = (back.groupBy("anchor", "code").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("minima", none).alias("minima")))).alias("m"))
+             .select("anchor", "code", F.flatten(F.col("m.minima")).alias("minima")).filter(F.size(F.array_compact("minima")) > 0))
+    return held(shards.join(wide, "anchor", "left_anti")).union(whole)
+
+
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc, th, starts): first words of the windows that a document loses;
     th is the hash of its text. Rows are bounded by a document's windows."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", F.xxhash64("text").alias("th")).filter("doc is not null and text is not null")
     shared = anchors(d, window, gram).groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor")
     shared = stored(shared, "anchors")
     bits, seen = bitmap_of(shared)
     discard(shared)
     maps = spark.sparkContext.broadcast(seen)
-    distinct = spans(d, bits, maps, window, gram, True).groupBy("anchor", "code", "windows", "words").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    by = Window.partitionBy("anchor")
-    shards = (distinct.withColumn("spans", F.count(F.lit(1)).over(by)).filter("spans > 1 or lo < hi")
-              .select("anchor", "code", "lo", "hi", "words", "spans"))
-    shards = stored(shards, "shards")
-    light = (shards.filter(F.col("spans") <= SHARD).drop("spans").repartition(n, "anchor").sortWithinPartitions("anchor", "lo", "code")
-             .mapInArrow(lambda b: shard_minima(b, window), "anchor long, code long, minima array<long>"))
-    heavy = shards.filter(F.col("spans") > SHARD)
-    each = heavy.select("anchor", "code", "lo", F.posexplode(F.transform(F.sequence(F.lit(0), (F.length("words") / CODE).cast("int") - window),
-                                                                        lambda i: F.substring(F.col("words"), (i * CODE + 1).cast("int"), F.lit(window * CODE)))).alias("i", "w"))
-    least = each.groupBy("w").agg(F.min("lo").alias("least"))
-    wide = each.join(least, "w").groupBy("anchor", "code").agg(F.sort_array(F.collect_list(F.struct("i", "least"))).alias("m")).select("anchor", "code", F.col("m.least").alias("minima"))
-    hits = (spans(d, bits, maps, window, gram, False).join(light.union(wide), ["anchor", "code"])
+    shards = stored(spans(d, bits, maps, window, gram, True).groupBy("anchor", "code", "words").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")), "shards")
+    hits = (spans(d, bits, maps, window, gram, False).join(window_minima(shards, window, gram, SHARD), ["anchor", "code"])
             .withColumn("starts", F.expr("transform(filter(sequence(0, size(minima) - 1), i -> minima[i] < doc), i -> start + i)")).filter("size(starts) > 0"))
     return hits.groupBy("doc", "th").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"))
 
