@@ -61,6 +61,17 @@ def arrow_batches(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def apart(docs: DataFrame, own: tuple, work, replaced: tuple = ()) -> DataFrame:
+    """``work(docs)`` with the caller's columns other than ``own`` under names
+    that no operator uses, and back under their own afterwards; those in
+    ``replaced`` give way to new ones of the same name."""
+    kept = [c for c in docs.columns if c in own or c not in replaced]
+    hidden = {c: f"col{i}__" for i, c in enumerate(kept) if c not in own}
+    out = work(docs.select(*[F.col(f"`{c}`").alias(hidden.get(c, c)) for c in kept]))
+    back = {v: c for c, v in hidden.items()}
+    return out.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in out.columns])
+
+
 def words(text: Column) -> Column:
     """Array of words of a text (null: no words)."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

@@ -16,9 +16,9 @@ import os
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-RUN = 1 << 24  # bytes of text encoded at a time
+RUN = 1 << 23  # bytes of text encoded at a time
 GROUP = 256
-MOST_PIECES = 1_500_000
+MOST_PIECES = 900_000
 MOST_BYTES = 48 << 20  # of remembered pieces, in all
 _loaded: dict[str, Encoder] = {}
 

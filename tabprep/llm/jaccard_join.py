@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Words, arrow_batches, bitmap, discard, in_bitmap, shingle_hashes, spot, stored, text_runs
+from tabprep.llm.common import Words, apart, arrow_batches, bitmap, discard, in_bitmap, shingle_hashes, spot, stored, text_runs
 from tabprep.llm.components import components
 
 WIDTH, PERCENT = 3, 90
@@ -105,7 +105,13 @@ def prefixes(docs: DataFrame, counts: np.ndarray, width: int = WIDTH, percent: i
                     k = n - least_shared(n, percent) + 2
                     if n * (100 - percent) >= percent:  # a smaller set links with equal sets only
                         key = rank[(s >> np.uint64(64 - SKETCH)).astype(np.int64)] | (s >> np.uint64(32))
-                        first = np.argpartition(key, k - 1)[:k] if k < n else np.arange(n)
+                        if k < n:
+                            least = np.partition(key, k - 1)[k - 1]
+                            below, ties = np.flatnonzero(key < least), np.flatnonzero(key == least)
+                            # of equal keys the smaller hashes, in every set alike
+                            first = np.concatenate([below, ties[np.argsort(s[ties], kind="stable")][:k - len(below)]])
+                        else:
+                            first = np.arange(n)
                         prefix = s[first[np.lexsort((s[first], key[first]))]].view(np.int64)
                     else:
                         prefix = np.zeros(0, np.int64)
@@ -396,11 +402,24 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest
-    doc_id (of rows that share it, the first by text). Rows without a doc_id
-    stay."""
-    first = classes(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_one", F.row_number().over(one)).filter("_one = 1").select(*docs.columns)
+    doc_id. Rows that share a doc_id but not their text are documents of their
+    own: they go by a hash of both, so that only equal or linked texts leave.
+    Rows without a doc_id stay."""
+    return apart(docs, ("doc_id", "text"), lambda d: _one_of_each(d, width, percent))
+
+
+def _one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    known = docs.filter("doc_id is not null")
+    th = F.xxhash64("text")
+    clash = stored(known.groupBy("doc_id").agg(F.min(th).alias("a"), F.max(th).alias("b")).filter("a <> b").select("doc_id"), "shared-ids")
+    node = F.col("doc_id").cast("long")
+    if not clash.isEmpty():
+        known = known.join(clash.withColumn("shared", F.lit(True)), "doc_id", "left")
+        node = F.when(F.col("shared"), F.xxhash64("doc_id", "text")).otherwise(node)
+    known = known.withColumn("node", node)
+    first = classes(known.select(F.col("node").alias("doc_id"), "text"), width, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("node")).distinct()
+    one = Window.partitionBy("node").orderBy("text")
+    kept = known.join(first, "node", "left_semi").withColumn("nth", F.row_number().over(one)).filter("nth = 1").select(*docs.columns)
     return kept.union(docs.filter("doc_id is null"))
 
 

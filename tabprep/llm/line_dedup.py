@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import discard, stored
+from tabprep.llm.common import apart, discard, stored
 
 EDITS, LEAST = 2, 20
 COUNTED = (" ", "e", "n", "t", "a", "i", "o", "r", "s", "h")
@@ -228,6 +228,10 @@ def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``docs`` with the removed lines cut from ``text``; a document left
     without any non-empty line keeps an empty text. Documents without removed
     lines do not move: a bounded table of hash cells tells most of them."""
+    return apart(docs, ("doc_id", "text"), lambda d: _dedup(d, edits, least))
+
+
+def _dedup(docs: DataFrame, edits: int, least: int) -> DataFrame:
     gone = stored(removed_lines(docs, edits, least).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("gone").alias("_gone")), "gone-lines")
     d = _keys(docs).withColumn("_cell", F.pmod(F.xxhash64("_doc"), F.lit(CELLS)))
     few = F.broadcast(gone.select(F.pmod(F.xxhash64("_doc"), F.lit(CELLS)).alias("_cell")).distinct())

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import n_words
+from tabprep.llm.common import apart, n_words
 
 #: Points of the schedule; blocks grow with the corpus, the schedule does not.
 SLOTS = 1 << 16
@@ -134,6 +134,10 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     which its first word lies under its source's goal, so at most ``cap``
     times. Documents without words are not in the mix; rows that share a
     doc_id share the larger number of copies."""
+    return apart(docs, ("doc_id", "text", "source"), lambda d: _mixed(d, **options))
+
+
+def _mixed(docs: DataFrame, **options) -> DataFrame:
     targets, placed, _ = mix(docs, **options)
     goal = F.floor(F.col("target") + 0.5)
     passes = F.sequence(F.lit(0), F.lit(int(options.get("cap", CAP)) - 1))

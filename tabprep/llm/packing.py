@@ -9,7 +9,8 @@ corpus, so a task's memory is bounded and no group is hot.
 
 A sequence is padded to ``LENGTH`` unless its length is a power of two.
 Contracts: a null text is empty and packs its end id alone; an empty table
-packs nothing; repeated rows are packed each; extra columns are ignored.
+packs nothing; repeated rows are packed each; documents that share a doc_id
+(or have none) are dealt by their texts too; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def pieces(docs: DataFrame, groups: int, length: int = LENGTH, end: int = END, v
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n).cast(pa.int64()).take(where), pa.array(start), pa.array(size), pa.array(crc), pa.array(total[doc]),
                                                   batch.column(2).slice(row, n).cast(pa.int64()).take(where), kept], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp", "ids"])
 
-    group = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(groups))
+    group = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(groups))
     return docs.select("doc_id", "text", group.alias("grp")).mapInArrow(cut, PIECE)
 
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Words, bitmap, discard, in_bitmap, mix64, spot, stored, text_runs
+from tabprep.llm.common import Words, apart, bitmap, discard, in_bitmap, mix64, spot, stored, text_runs
 
 WINDOW, GRAM = 13, 4
 SHARD = 2048  # spans that a task's automaton holds
@@ -365,7 +365,12 @@ def _finish(batches, names, window: int, digest: bool):
 
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest: bool = False) -> DataFrame:
     """``docs`` without ``text``, with n_words, n_removed and kept (the kept
-    words joined by a space, or with ``digest`` their SHA-256)."""
+    words joined by a space, or with ``digest`` their SHA-256); columns of
+    those names are replaced."""
+    return apart(docs, ("doc_id", "text"), lambda d: _dedup(d, window, gram, digest), ("n_words", "n_removed", "kept"))
+
+
+def _dedup(docs: DataFrame, window: int, gram: int, digest: bool) -> DataFrame:
     lost = stored(removals(docs, window, gram), "removals")
     bits, seen = bitmap(lost, "doc")
     maps = docs.sparkSession.sparkContext.broadcast(seen)
