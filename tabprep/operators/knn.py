@@ -4,17 +4,23 @@
 nearest candidate rows by Euclidean distance (ties: candidate key), optionally
 excluding the row itself.
 
-Exact method, pruned by pivots:
-  * at most ``MOST_PIVOTS`` candidate rows, chosen by hash, are pivots; every
-    row goes to the cell of its nearest pivot (a projection, no shuffle), and
-    one small aggregate gives each cell's row count and radius;
+Exact method, pruned by a tree of pivots:
+  * ``within`` names a class column: a query then meets candidates of its own
+    class only, and every class has its own tree, so one join serves them all;
+  * a cell of more than ``CELL_ROWS`` candidates is cut: some of its rows,
+    drawn by hash, are pivots, and its rows go to the nearest one, up to
+    ``LEVELS`` times (a projection, no shuffle). Cells stay near that size
+    whatever the table holds; a small aggregate gives each cell's row count
+    and radius, at most ``FAN ** LEVELS`` numbers;
   * round 1 joins every query with its own cell; the k-th distance found there
     bounds the true one from above (no bound where the cell has fewer rows);
-  * round 2 sends a query only to the other cells whose lower bound (distance
-    to the pivot minus the radius) does not exceed that k-th distance;
-  * cells over ``block_rows`` candidates are split by hash and their queries
-    meet every part, so a dense cell is never one task's; parts emit only
-    their top k, and a window per query keeps the best k of all.
+  * round 2 goes down the tree and sends a query only to the cells whose lower
+    bound (distance to the pivot minus the radius) does not exceed that k-th
+    distance; a ball that is too far takes all its cells with it;
+  * cells over ``block_rows`` candidates (rows that pivots cannot part) are
+    split by hash and their queries meet every part, so a dense cell is never
+    one task's; parts emit only their top k, and a window per query keeps the
+    best k of all.
 On clustered rows most cells are never met; on rows without structure every
 query meets every cell, as any exact method must.
 
@@ -24,7 +30,6 @@ Approximate method: ``BucketedRandomProjectionLSH.approxSimilarityJoin``
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 import numpy as np
@@ -38,7 +43,7 @@ BLOCK_ROWS = 20_000
 CHUNK = 512
 
 
-def _prep(df: DataFrame, key: str, features: Sequence[str], label: str | None, prefix: str) -> DataFrame:
+def _prep(df: DataFrame, key: str, features: Sequence[str], label: str | None, prefix: str, index) -> DataFrame:
     # plain double columns: Arrow hands them to numpy without per-row objects
     cols = [F.col(key).cast("long").alias(f"{prefix}k"),
             *[F.col(f).cast("double").alias(f"{prefix}v{i}") for i, f in enumerate(features)]]
@@ -48,7 +53,7 @@ def _prep(df: DataFrame, key: str, features: Sequence[str], label: str | None, p
     for i, f in enumerate(features):
         bad = F.raise_error(F.lit(f"kNN feature {f} is NULL or NaN: impute or drop such rows first"))
         cols[1 + i] = F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")), bad.cast("double")).otherwise(F.col(f).cast("double")).alias(f"{prefix}v{i}")
-    return df.select(*cols)
+    return df.select(*cols, index.alias("g"))
 
 
 def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int):
@@ -93,39 +98,166 @@ def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int):
     return fn
 
 
-MOST_PIVOTS = 256
+CELL_ROWS, FAN, LEVELS = 1024, 64, 3
+MOST_CLASSES = 10_000
 SLACK = 1e-9  # relative, for rounding in bounds
 
 
-def _pivots(c: DataFrame, nf: int, n: int) -> np.ndarray:
-    """About sqrt(n / 16) candidate rows in hash order (at most MOST_PIVOTS)."""
-    want = int(min(MOST_PIVOTS, max(1, math.isqrt(max(1, n // 16)))))
-    rows = c.orderBy(F.xxhash64("ck"), "ck").limit(want).collect()
-    return np.array([[r[f"cv{i}"] for i in range(nf)] for r in rows], dtype=np.float64).reshape(-1, nf)
+class Tree:
+    """Pivots as arrays, a node per cell: pivot, radius, first child, number of
+    children. Nodes 0 .. classes - 1 are the classes' roots and have no pivot.
+    Leaves are the cells that rows lie in."""
 
+    def __init__(self, classes: int, width: int):
+        self.pivot = np.zeros((classes, width))
+        self.first, self.children, self.parent = np.zeros(classes, np.int64), np.zeros(classes, np.int64), np.full(classes, -1, np.int64)
+        self.radius, self.rows = np.full(classes, np.inf), np.zeros(classes, np.int64)
 
-def _cells(df: DataFrame, prefix: str, nf: int, pivots: np.ndarray, plan=None) -> DataFrame:
-    """Rows with their cell and distance to its pivot. With ``plan`` (the cells'
-    radii) also, for every cell, a lower bound of the distance to its rows."""
-    sent = df.sparkSession.sparkContext.broadcast((pivots, plan))
-    schema = df.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
-    more = "cell int, dist double" + ("" if plan is None else ", lower array<double>")
+    def grow(self, pivots: dict) -> None:
+        """``pivots``: {leaf: its children's pivots}."""
+        for leaf in sorted(pivots):
+            self.first[leaf], self.children[leaf] = len(self.pivot), len(pivots[leaf])
+            self.pivot = np.concatenate([self.pivot, pivots[leaf]])
+            more = len(pivots[leaf])
+            self.first, self.children = np.append(self.first, np.zeros(more, np.int64)), np.append(self.children, np.zeros(more, np.int64))
+            self.parent, self.rows = np.append(self.parent, np.full(more, leaf)), np.append(self.rows, np.zeros(more, np.int64))
+            self.radius = np.append(self.radius, np.full(more, -np.inf))  # until its rows are known
+
+    def _distances(self, x: np.ndarray, node: int) -> np.ndarray:
+        a = self.first[node]
+        out = np.empty((len(x), self.children[node]))
+        for j in range(out.shape[1]):
+            out[:, j] = np.sqrt(((x - self.pivot[a + j]) ** 2).sum(axis=1))
+        return out
+
+    def descend(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(leaf, distance to its pivot) of rows that are in node ``at``."""
+        leaf, dist = at.copy(), np.zeros(len(x))
+        while True:
+            inner = np.unique(leaf[self.children[leaf] > 0])
+            if not len(inner):
+                return leaf, dist
+            for node in inner:
+                rows = np.flatnonzero(leaf == node)
+                d = self._distances(x[rows], node)
+                best = d.argmin(axis=1)
+                leaf[rows], dist[rows] = self.first[node] + best, d[np.arange(len(rows)), best]
+
+    def enough(self, x: np.ndarray, leaf: np.ndarray, need: int) -> np.ndarray:
+        """A distance within which each row has ``need`` candidates of its
+        class: the balls next to its own cell, or further up, hold as many."""
+        out, at = np.full(len(x), np.inf), self.parent[leaf]
+        while (at >= 0).any():
+            for node in np.unique(at[at >= 0]):
+                rows = np.flatnonzero(at == node)
+                a = self.first[node]
+                b = a + self.children[node]
+                far = self._distances(x[rows], node) + np.maximum(self.radius[a:b], 0.0)
+                order = np.argsort(far, axis=1, kind="stable")
+                held = np.cumsum(self.rows[a:b][order], axis=1)
+                full = held[:, -1] >= need
+                last = (held >= need).argmax(axis=1)
+                best = np.take_along_axis(far, order, axis=1)[np.arange(len(rows)), last]
+                out[rows[full]] = best[full] * (1 + SLACK)
+                at[rows] = np.where(full, -1, self.parent[node])
+        return out
+
+    def reach(self, x: np.ndarray, root: np.ndarray, bound: np.ndarray):
+        """Yields (rows, leaf): rows that may have a candidate within their
+        bound in that leaf."""
+        stack = [(np.flatnonzero(root == r), r) for r in np.unique(root)]
+        while stack:
+            rows, node = stack.pop()
+            if not len(rows):
+                continue
+            if not self.children[node]:
+                yield rows, node
+                continue
+            d = self._distances(x[rows], node)
+            for j in range(d.shape[1]):
+                child = self.first[node] + j
+                low = np.maximum(d[:, j] - self.radius[child], 0.0) * (1 - SLACK)
+                stack.append((rows[low <= bound[rows]], child))
+
+
+def _cells(df: DataFrame, prefix: str, nf: int, tree: Tree) -> DataFrame:
+    """Rows with their class (g) and cell moved down to the tree's leaves."""
+    sent = df.sparkSession.sparkContext.broadcast(tree)  # at most FAN ** LEVELS pivots and the classes
+    keep = [f for f in df.schema.simpleString()[7:-1].replace(":", " ").split(",") if f.split(" ")[0] not in ("cell", "dist")]
 
     def fn(batches):
-        pivots, plan = sent.value
+        tree = sent.value
         for pdf in batches:
             m = pdf[[f"{prefix}v{i}" for i in range(nf)]].to_numpy(dtype=np.float64)
-            d = np.empty((len(m), len(pivots)))
-            for j, p in enumerate(pivots):
-                d[:, j] = np.sqrt(((m - p) ** 2).sum(axis=1))
-            cell = d.argmin(axis=1) if len(pdf) else np.zeros(0, int)
-            pdf["cell"] = cell.astype("int32")
-            pdf["dist"] = d[np.arange(len(m)), cell]
-            if plan is not None:
-                pdf["lower"] = list(np.maximum(d - plan, 0.0) * (1 - SLACK))
+            at = (pdf["cell"] if "cell" in pdf else pdf["g"]).to_numpy(np.int64)
+            leaf, dist = tree.descend(m, at)
+            pdf["dist"] = np.where(leaf == at, pdf["dist"], dist) if "dist" in pdf else dist
+            pdf["cell"] = leaf
             yield pdf
 
-    return df.mapInPandas(fn, f"{schema}, {more}")
+    return df.mapInPandas(fn, ", ".join([*keep, "cell long", "dist double"]))
+
+
+def _reached(q: DataFrame, nf: int, tree: Tree, need: int) -> DataFrame:
+    """(qk, vectors, to): queries (with bound) and the other cells to meet. A
+    query whose own cell had too few rows gets its bound from the balls around."""
+    sent = q.sparkSession.sparkContext.broadcast(tree)
+    cols = [f"qv{i}" for i in range(nf)]
+
+    def fn(batches):
+        tree = sent.value
+        for whole in batches:
+            for a in range(0, len(whole), CHUNK):
+                pdf = whole.iloc[a:a + CHUNK]
+                m = pdf[cols].to_numpy(dtype=np.float64)
+                own, bound = pdf["cell"].to_numpy(np.int64), pdf["bound"].to_numpy(np.float64).copy()
+                short = np.flatnonzero(np.isinf(bound))
+                bound[short] = tree.enough(m[short], own[short], need)
+                for rows, leaf in tree.reach(m, pdf["g"].to_numpy(np.int64), bound):
+                    rows = rows[own[rows] != leaf]
+                    if len(rows):
+                        yield pdf.iloc[rows][["qk", *cols]].assign(to=leaf)
+
+    return q.mapInPandas(fn, "qk long, " + ", ".join(f"{c} double" for c in cols) + ", to long")
+
+
+def _draw_pivots(c: DataFrame, nf: int, counts: dict, wide: list) -> dict:
+    """Pivots of the wide cells: the rows of the least hashes, about one per
+    ``CELL_ROWS / 2`` rows and at most ``FAN``."""
+    want = {w: min(FAN, -(-2 * counts[w] // CELL_ROWS)) for w in wide}
+    share = F.create_map(*[F.lit(v) for w in wide for v in (w, min(1.0, 4.0 * want[w] / counts[w] + 16.0 / counts[w]))])
+    draw = F.pmod(F.xxhash64("ck"), F.lit(1 << 30)) / float(1 << 30)
+    rows = (c.select("cell", draw.alias("u"), "ck", *[f"cv{i}" for i in range(nf)]).where(F.col("u") < F.coalesce(F.try_element_at(share, F.col("cell")), F.lit(0.0)))
+            .collect())  # a few times the pivots of at most FAN ** (LEVELS - 1) cells
+    out: dict = {}
+    for r in sorted(rows, key=lambda r: (r["u"], r["ck"])):
+        mine = out.setdefault(r["cell"], [])
+        if len(mine) < want[r["cell"]]:
+            mine.append([r[f"cv{i}"] for i in range(nf)])
+    out = {w: np.unique(np.array(v, dtype=np.float64), axis=0) for w, v in out.items()}
+    return {w: v for w, v in out.items() if len(v) > 1}  # equal rows cannot be parted
+
+
+def _plant(c: DataFrame, nf: int, classes: int) -> tuple[Tree, DataFrame, dict]:
+    """(tree, candidates in their leaves, rows per leaf)."""
+    tree = Tree(classes, nf)
+    c = c.withColumn("cell", F.col("g"))
+    counts = {r["cell"]: r["n"] for r in c.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wide = [w for w, n in counts.items() if n > CELL_ROWS]
+    for _ in range(LEVELS):
+        pivots = _draw_pivots(c, nf, counts, sorted(wide)) if wide else {}
+        if not pivots:
+            break
+        tree.grow(pivots)
+        c = stored(_cells(c, "c", nf, tree), "knn-cells")
+        rows = c.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("r")).collect()
+        counts = {r["cell"]: r["n"] for r in rows}
+        for r in rows:
+            tree.rows[r["cell"]] = r["n"]
+            if r["cell"] >= classes:
+                tree.radius[r["cell"]] = r["r"]
+        wide = [w for w, n in counts.items() if n > CELL_ROWS and w >= classes]
+    return tree, c, counts
 
 
 def _meet(q: DataFrame, c: DataFrame, parts: dict, fn, schema: str) -> DataFrame:
@@ -137,39 +269,53 @@ def _meet(q: DataFrame, c: DataFrame, parts: dict, fn, schema: str) -> DataFrame
     return qx.groupBy("to", "part").cogroup(cx.groupBy("to", "part")).applyInPandas(fn, schema)
 
 
+def _class_index(df: DataFrame, within: str | None):
+    """(number of classes, index column): a class column has few values."""
+    if within is None:
+        return 1, F.lit(0).cast("long")
+    values = df.select(F.col(within).alias("c")).where("c is not null").distinct().limit(MOST_CLASSES + 1).collect()
+    if len(values) > MOST_CLASSES:
+        raise ValueError(f"{within} has more than {MOST_CLASSES} values: it is no class")
+    order = sorted(r["c"] for r in values)
+    index = F.create_map(*[F.lit(x) for i, v in enumerate(order) for x in (v, i)]) if order else None
+    return len(order), (F.try_element_at(index, F.col(within)).cast("long") if order else F.lit(None).cast("long"))
+
+
 def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str], k: int,
              key: str, cand_key: str | None = None, exclude_self: bool = True,
-             cand_label: str | None = None, method: str = "exact", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Top-k neighbours: columns q_key, c_key, dist, rank (1..k) [, c_label]."""
+             cand_label: str | None = None, method: str = "exact", block_rows: int = BLOCK_ROWS, within: str | None = None) -> DataFrame:
+    """Top-k neighbours: columns q_key, c_key, dist, rank (1..k) [, c_label].
+    With ``within`` only candidates of the query's own class count; a row
+    without a class has no neighbours."""
     cand_key = cand_key or key
     if method == "approx":
-        return knn_lsh(queries, candidates, features, k, key, cand_key, exclude_self, cand_label)
+        return knn_lsh(queries, candidates, features, k, key, cand_key, exclude_self, cand_label, within=within)
     nf, with_label = len(features), cand_label is not None
-    c = stored(_prep(candidates, cand_key, features, cand_label, "c"), "knn-candidates")
-    q = stored(_prep(queries, key, features, None, "q"), "knn-queries")
-    pivots = _pivots(c, nf, c.count())
+    classes, index = _class_index(candidates, within)
+    one = queries is candidates and key == cand_key
+    base = stored(_prep(candidates, cand_key, features, cand_label, "c", index).where("g is not null"), "knn-candidates")
     schema = "qk long, ck long, d2 double" + (", cl long" if with_label else "")
-    if not len(pivots):
-        return q.sparkSession.createDataFrame([], "q_key long, c_key long, dist double, d2 double, rank int" + (", c_label long" if with_label else ""))
-    c = stored(_cells(c, "c", nf, pivots), "knn-cells")
-    stats = {r["cell"]: r for r in c.groupBy("cell").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
-    radius = np.array([stats[j]["r"] if j in stats else -np.inf for j in range(len(pivots))])
-    parts = {j: -(-r["n"] // block_rows) for j, r in stats.items() if r["n"] > block_rows}
-    q = stored(_cells(q, "q", nf, pivots, radius), "knn-queries")
-    cc = c.drop("dist")
-    topk = _block_topk(k, exclude_self, with_label, nf)
+    tree, c, counts = _plant(base, nf, classes)
+    if not counts:
+        return candidates.sparkSession.createDataFrame([], "q_key long, c_key long, dist double, d2 double, rank int" + (", c_label long" if with_label else ""))
+    parts = {j: -(-n // block_rows) for j, n in counts.items() if n > block_rows}
     cols = [f"qv{i}" for i in range(nf)]
+    if one:  # the candidates are the queries, in their cells already
+        q = c.select(F.col("ck").alias("qk"), *[F.col(f"cv{i}").alias(f"qv{i}") for i in range(nf)], "g", "cell")
+    else:
+        q = stored(_cells(_prep(queries, key, features, None, "q", index).where("g is not null"), "q", nf, tree), "knn-queries").select("qk", *cols, "g", "cell")
+    cc = c.select("ck", *[f"cv{i}" for i in range(nf)], *(["cl"] if with_label else []), "cell")
+    topk = _block_topk(k, exclude_self, with_label, nf)
     # round 1: the own cell; its k-th distance bounds the others
-    near = stored(_meet(q.select("qk", *cols, F.col("cell").alias("to")), cc, parts, topk, schema), "knn-near")
     best = Window.partitionBy("qk").orderBy("d2", "ck")
-    bound = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("qk", F.sqrt("d2").alias("bound"))
-    # round 2: cells that may hold something as near
-    far = (q.join(bound, "qk", "left").withColumn("bound", F.coalesce(F.col("bound") * (1 + SLACK), F.lit(float("inf"))))
-           .select("qk", *cols, "cell", F.posexplode(F.transform("lower", lambda x: x <= F.col("bound"))).alias("to", "met"))
-           .where(F.col("met") & (F.col("to") != F.col("cell"))).select("qk", *cols, "to"))
-    if stats:
-        far = far.where(F.col("to").isin(list(stats)))
-    pairs = near.unionByName(_meet(far, cc, parts, topk, schema))
+    near = _meet(q.select("qk", *cols, F.col("cell").alias("to")), cc, parts, topk, schema)
+    if len(counts) == 1 and not parts:
+        pairs = near  # all candidates are in one cell
+    else:
+        near = stored(near, "knn-near")
+        bound = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("qk", F.sqrt("d2").alias("bound"))
+        far = q.join(bound, "qk", "left").withColumn("bound", F.coalesce(F.col("bound") * (1 + SLACK), F.lit(float("inf"))))
+        pairs = near.unionByName(_meet(_reached(far, nf, tree, k + exclude_self), cc, parts, topk, schema))
     top = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     out = [F.col("qk").alias("q_key"), F.col("ck").alias("c_key"), F.sqrt("d2").alias("dist"), F.col("d2"), F.col("rank")]
     if with_label:
@@ -180,7 +326,7 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
 def knn_lsh(queries: DataFrame, candidates: DataFrame, features: Sequence[str], k: int,
             key: str, cand_key: str, exclude_self: bool = True, cand_label: str | None = None,
             bucket_length: float | None = None, num_tables: int = 5, threshold: float | None = None,
-            sample_rows: int = 1000, seed: int = 42) -> DataFrame:
+            sample_rows: int = 1000, seed: int = 42, within: str | None = None) -> DataFrame:
     """Approximate top-k via random-projection LSH (Spark ML).
 
     The join radius comes from data: the exact blocked join runs for a hash
@@ -191,19 +337,22 @@ def knn_lsh(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
     from tabprep.operators.project import hash_sample
     if threshold is None or bucket_length is None:
-        probe = hash_sample(queries.select(key, *features), sample_rows, key, seed)
-        kth = (knn_join(probe, candidates, features, k, key, cand_key, exclude_self)
+        probe = hash_sample(queries.select(key, *features, *([within] if within else [])), sample_rows, key, seed)
+        kth = (knn_join(probe, candidates, features, k, key, cand_key, exclude_self, within=within)
                .where(F.col("rank") == k).agg(F.percentile_approx("dist", 0.9, 10000)).first()[0])
         kth = float(kth) if kth else 1.0
         threshold = threshold if threshold is not None else kth
         bucket_length = bucket_length if bucket_length is not None else max(kth, 1e-9)
     va = VectorAssembler(inputCols=list(features), outputCol="_vec")
-    q = va.transform(queries.select(F.col(key).alias("_qk"), *features))
-    csel = [F.col(cand_key).alias("_ck"), *features] + ([F.col(cand_label).alias("_cl")] if cand_label else [])
+    cls = (lambda c: [F.col(within).alias(c)]) if within else (lambda c: [])
+    q = va.transform(queries.select(F.col(key).alias("_qk"), *features, *cls("_qc")))
+    csel = [F.col(cand_key).alias("_ck"), *features, *cls("_cc")] + ([F.col(cand_label).alias("_cl")] if cand_label else [])
     c = va.transform(candidates.select(*csel))
     lsh = BucketedRandomProjectionLSH(inputCol="_vec", outputCol="_h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed).fit(c)
     j = lsh.approxSimilarityJoin(lsh.transform(q), lsh.transform(c), threshold, distCol="dist")
+    if within:
+        j = j.where(F.col("datasetA._qc") == F.col("datasetB._cc"))
     j = j.select(F.col("datasetA._qk").alias("q_key"), F.col("datasetB._ck").alias("c_key"), "dist",
                  *([F.col("datasetB._cl").alias("c_label")] if cand_label else []))
     w = Window.partitionBy("q_key").orderBy("dist", "c_key")
@@ -211,6 +360,6 @@ def knn_lsh(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
                    .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "lsh-found")
     full = found.where(F.col("rank") == k).select("q_key")
     short = queries.join(full, queries[key] == full["q_key"], "left_anti")
-    rest = knn_join(short, candidates, features, k, key, cand_key, exclude_self, cand_label)
+    rest = knn_join(short, candidates, features, k, key, cand_key, exclude_self, cand_label, within=within)
     return (found.join(full, "q_key", "left_semi").withColumn("d2", F.col("dist") * F.col("dist"))
             .unionByName(rest.select("q_key", "c_key", "dist", "rank", "d2", *(["c_label"] if cand_label else []))))

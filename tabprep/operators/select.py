@@ -154,7 +154,7 @@ class FeatureSelector:
     def __init__(self, method: str = "correlation", threshold: float = 0.95, target: str | None = None,
                  k: int | None = None, percentile: float | None = None):
         if method not in ("correlation", "variance", "mutual_info", "f_score"):
-            raise ValueError(f"Unknown method: {method}")
+            raise ValueError(f"no selection method {method!r}: correlation, variance, mutual_info or f_score")
         self.method, self.threshold, self.target, self.k, self.percentile = method, threshold, target, k, percentile
 
     def fit(self, df: DataFrame) -> "FeatureSelectorModel":

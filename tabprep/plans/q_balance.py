@@ -293,3 +293,49 @@ def _dispatched(method: str):
 # the same rows through the dispatcher, against the same SQL
 for _method in ("smote", "adasyn", "smote_enn", "smote_tomek"):
     query(f"resampler_{_method}", "R11", sql=ORACLE[_method])(_dispatched(_method))
+
+
+# --------------------------------------------------- three classes at once ---
+
+KV3_SQL = """kv3 AS (SELECT kv.key, f_balance, f_orders, f_spend, CASE WHEN kv.label = 1 THEN 2 WHEN cp.has_urgent = 1 THEN 1 ELSE 0 END AS label
+  FROM kv JOIN cp ON cp.c_custkey = kv.key),
+cnt AS (SELECT label, count(*) AS n FROM kv3 GROUP BY label),
+ends AS (SELECT (SELECT label FROM cnt ORDER BY n, label LIMIT 1) AS low, (SELECT min(n) FROM cnt) AS n_low,
+  (SELECT label FROM cnt ORDER BY n DESC, label LIMIT 1) AS high, (SELECT max(n) FROM cnt) AS n_high)"""
+
+
+def three_classes(spark, d):
+    """Churned customers, others with an urgent order, the rest."""
+    urgent = customer_profile(spark, d).select(F.col("c_custkey").alias("key"), "has_urgent")
+    label = F.when(F.col("label") == 1, 2).when(F.col("has_urgent") == 1, 1).otherwise(0)
+    return knn_view(spark, d).join(urgent, "key").withColumn("label", label).drop("has_urgent")
+
+
+@query("smote_classes", "R1,R11", sql=HEAD + ",\n" + KV3_SQL + f""",
+gr AS (SELECT label, n, n_high - n AS more, sum(n_high - n) OVER (ORDER BY label) - (n_high - n) AS off FROM cnt, ends WHERE label <> high AND n < n_high AND n > 1),
+snn AS (SELECT * FROM (SELECT q.key AS q_key, c.key AS c_key, row_number() OVER (PARTITION BY q.key ORDER BY {d2_sql('q', 'c')}, c.key) AS rank
+  FROM kv3 q JOIN kv3 c ON q.label = c.label AND q.key <> c.key) WHERE rank <= 5),
+sidx AS (SELECT key, label, row_number() OVER (PARTITION BY label ORDER BY {sql_hash_int(42, 'key', 'smote_base')}, key) - 1 AS idx FROM kv3),
+draws AS (SELECT i AS id, gr.label, {sql_hash_int(42, 'i', 'smote_base')} % gr.n AS idx, {sql_hash_int(42, 'i', 'smote_nn')} % least(5, gr.n - 1) + 1 AS rank,
+  {sql_uniform(42, 'i', 'smote_gap')} AS gap FROM gr, range(CAST(gr.off AS BIGINT), CAST(gr.off + gr.more AS BIGINT)) t(i))
+SELECT key, {', '.join(FEATS)}, label FROM kv3 UNION ALL
+SELECT -(d.id + 1), {', '.join(f'b.{f} + d.gap * (n.{f} - b.{f})' for f in FEATS)}, d.label FROM draws d JOIN sidx ON sidx.label = d.label AND sidx.idx = d.idx
+JOIN kv3 b ON b.key = sidx.key JOIN snn ON snn.q_key = b.key AND snn.rank = d.rank JOIN kv3 n ON n.key = snn.c_key""")
+def q_smote_classes(spark, d):
+    return R.Resampler("smote").resample(three_classes(spark, d), "key", FEATS, "label")
+
+
+@query("nearmiss_classes", "R3,R11", sql=HEAD + ",\n" + KV3_SQL + f""",
+nn AS (SELECT * FROM (SELECT q.key AS q_key, sqrt({d2_sql('q', 'c')}) AS dist, row_number() OVER (PARTITION BY q.key ORDER BY {d2_sql('q', 'c')}, c.key) AS rank
+  FROM kv3 q, kv3 c, ends WHERE q.label <> low AND c.label = low) WHERE rank <= 3),
+md AS (SELECT q_key, (max(CASE WHEN rank = 1 THEN dist END) + max(CASE WHEN rank = 2 THEN dist END) + max(CASE WHEN rank = 3 THEN dist END)) / 3 AS md FROM nn GROUP BY q_key),
+r AS (SELECT kv3.*, row_number() OVER (PARTITION BY label ORDER BY md, key) AS pos FROM kv3 JOIN md ON md.q_key = kv3.key)
+SELECT key, {', '.join(FEATS)}, label FROM kv3, ends WHERE label = low UNION ALL SELECT key, {', '.join(FEATS)}, label FROM r, ends WHERE pos <= n_low""")
+def q_nearmiss_classes(spark, d):
+    return R.Resampler("nearmiss").resample(three_classes(spark, d), "key", FEATS, "label")
+
+
+@query("adasyn_classes", "R2,R11")
+def q_adasyn_classes(spark, d):
+    """Growing every smaller class by its own neighbour shares."""
+    return R.Resampler("adasyn").resample(three_classes(spark, d), "key", FEATS, "label")

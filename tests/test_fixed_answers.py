@@ -107,6 +107,7 @@ def _meets(spark, monkeypatch, df, k, **options):
         return real(q, c, parts, fn, schema)
 
     monkeypatch.setattr(knn, "_meet", counted)
+    monkeypatch.setattr(knn, "CELL_ROWS", options.pop("cell_rows", 64))
     got = {(r["q_key"], r["rank"]): r["c_key"] for r in knn.knn_join(df, df, ["x", "y"], k, "k", **options).collect()}
     return got, sum(seen)
 
@@ -126,6 +127,35 @@ def test_knn_prunes_clustered_rows_and_stays_exact(spark, monkeypatch):
     assert got == _nearest(m, 4) and met < len(m) ** 2 / 4
 
 
+def test_knn_distances_grow_with_the_rows_not_their_square(spark, monkeypatch):
+    def rows(n):
+        rng = np.random.default_rng(6)
+        centres = rng.uniform(-1e4, 1e4, size=(n // 40, 2))
+        m = np.concatenate([rng.normal(c, 0.5, size=(40, 2)) for c in centres])
+        return m, spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(m)], "k long, x double, y double")
+
+    few, df = rows(400)
+    got, met = _meets(spark, monkeypatch, df, 3, cell_rows=16)
+    assert got == _nearest(few, 3)
+    many, df = rows(6400)
+    got, more = _meets(spark, monkeypatch, df, 3, cell_rows=16)
+    assert got == _nearest(many, 3) and more < 16 * met * 4
+
+
+def test_knn_within_classes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    m, c = rng.normal(size=(500, 2)), rng.integers(0, 3, size=500)
+    names = ["u", "v", None]
+    df = spark.createDataFrame([(i, float(x), float(y), names[z]) for i, ((x, y), z) in enumerate(zip(m, c))], "k long, x double, y double, s string")
+    monkeypatch.setattr(knn, "CELL_ROWS", 20)
+    got = {(r["q_key"], r["rank"]): r["c_key"] for r in knn.knn_join(df, df, ["x", "y"], 3, "k", within="s").collect()}
+    want = {}
+    for z in (0, 1):
+        own = np.flatnonzero(c == z)
+        want.update({(int(own[q]), r): int(own[x]) for (q, r), x in _nearest(m[own], 3).items()})
+    assert got == want
+
+
 def test_knn_of_a_dense_cell_ties_and_few_rows(spark, monkeypatch):
     rng = np.random.default_rng(2)
     m = np.concatenate([np.zeros((150, 2)), rng.integers(0, 4, size=(100, 2)).astype(float), [[500.0, 500.0]]])
