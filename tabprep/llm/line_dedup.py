@@ -139,9 +139,9 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
 
 
 def different(lines: DataFrame) -> DataFrame:
-    """One row per different line: h1, h2, line, first (its first place) and
-    times."""
-    return lines.groupBy("h1", "h2", "line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"))
+    """One row per different line: h1, h2, line, first (its first place),
+    times and sig (its byte counts)."""
+    return lines.groupBy("h1", "h2", "line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times")).withColumn("sig", byte_counts(F.col("line")))
 
 
 SAME = 1 << 62  # set in a probe's counts: the probe is for lines of its own length
@@ -157,8 +157,10 @@ def keys(each: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
         start, n = segment(length, i, parts)
         return F.xxhash64(F.lit(i), length, F.substring(b, start + off, n))
 
-    rows = each.select("h1", byte_counts(F.col("line")).alias("sig"), size.alias("size"), "line")
-    index = rows.select("h1", "sig", F.explode(F.array(*[key(i, size, 0) for i in range(1, parts + 1)])).alias("key"))
+    n = int(each.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = each.select("h1", "sig", "line")
+    # dealt by key once, for the two joins that read it three times
+    index = rows.select("h1", "sig", F.explode(F.array(*[key(i, size, 0) for i in range(1, parts + 1)])).alias("key")).repartition(n, "key")
     places = [(diff, i, off) for diff, i, off in probe_places(edits) if diff or off]
     alike = F.array(*[key(i, size, off) for diff, i, off in places if not diff])
     longer = F.array(*[key(i, size - diff, off) for diff, i, off in places if diff])
@@ -173,7 +175,6 @@ def near_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple
     lines = lines_of(docs, least)
     each = stored(different(lines), "lines")
     index, probes = keys(each, edits)
-    # both joins read one exchange of the index
     own = index.select(F.col("h1").alias("r"), F.col("sig").alias("rsig"), F.col("key").alias("rkey"))
     alike = index.join(own, (F.col("key") == F.col("rkey")) & (F.col("h1") < F.col("r")) & counts_agree(F.col("sig"), F.col("rsig"), edits))
     probes = probes.withColumnRenamed("key", "rkey")
