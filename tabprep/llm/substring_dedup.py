@@ -17,10 +17,10 @@ windows have equal anchors, and neighbouring windows mostly share one.
    them in ascending doc_id, so a state knows the smallest document of its
    strings; the shard's spans stream through it, and the state that holds the
    last WINDOW words gives every window's smallest document. An anchor with
-   over ``SHARD`` different spans is split: its spans are cut where their
-   windows' second least hash moves, and go by both hashes; then by the third,
-   and so on. Equal windows agree on all of them, and windows that agree on
-   all are equal, so every shard gets small.
+   over ``SHARD`` different spans is split: its windows go by the anchor and
+   their first and last ``GRAM`` words, which part the windows that only touch
+   a common passage; shards still too large go by all their grams. Equal
+   windows agree on these, so they stay together.
 4. Occurrences look up their span's windows. Documents that lose words meet
    their windows by a join; all others are read and finished in place.
 
@@ -228,49 +228,37 @@ def shard_minima(batches, window: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["anchor", "code", "minima"])
 
 
-def split_spans(shards: DataFrame, level: int, window: int, gram: int) -> DataFrame:
-    """Spans cut where the ``level``-th least gram of their windows moves:
-    anchor and code of the span, at (its first window in the span), key and
-    part (hash of the words) of the piece, and its words, lo and hi."""
-    per = window - gram + 1  # grams of a window
+def split_spans(shards: DataFrame, every: bool, window: int, gram: int) -> DataFrame:
+    """The windows of the spans: anchor and code of the span, at (the window's
+    place in it), key (of the anchor and the window's first and last gram, or
+    of ``every`` gram), part (hash of its words), lo, hi and its words."""
 
     def cut(batches):
         for batch in batches:
             anchor, code, lo, hi = (batch.column(i).to_numpy() for i in range(4))
-            raw = batch.column(4)
-            size = np.array([len(x) for x in raw.to_pylist()]) // CODE
-            flat = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, CODE)
+            raw = batch.column(4).to_pylist()
+            size = np.array([len(x) for x in raw], np.int64) // CODE
+            flat = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, CODE)
             words = np.zeros((len(flat), 8), np.uint8)
             words[:, :CODE] = flat
-            words, begin = words.view(np.uint64).ravel(), np.cumsum(size) - size
-            cols = [[] for _ in range(8)]
-            for n in np.unique(size):
-                rows = np.flatnonzero(size == n)
-                w = words[begin[rows][:, None] + np.arange(n)]
-                g = np.zeros((len(rows), n - gram + 1), np.uint64)
-                for k in range(gram):
-                    g = mix64(g * np.uint64(0x9E3779B97F4A7C15) + w[:, k:k + g.shape[1]])
-                count = n - window + 1
-                each = g[:, np.arange(count)[:, None] + np.arange(per)]  # spans x windows x grams
-                nth = np.argsort(each, axis=2, kind="stable")[:, :, level - 1]
-                place = nth + np.arange(count)
-                new = np.ones((len(rows), count), bool)
-                new[:, 1:] = place[:, 1:] != place[:, :-1]
-                r, at = np.nonzero(new)
-                end = np.append(at[1:], count)
-                end[np.append(r[1:] != r[:-1], True)] = count
-                chosen = np.take_along_axis(each, nth[:, :, None], axis=2)[r, at, 0]
-                key = mix64(anchor[rows][r].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + chosen)
-                code_of = np.zeros(len(r), np.uint64)
-                for k in range(n):
-                    inside = (k >= at) & (k < end + window - 1)
-                    code_of = np.where(inside, mix64(code_of * np.uint64(0x9E3779B97F4A7C15) + w[r, k]), code_of)
-                whole = [raw[int(i)].as_py() for i in rows]
-                pieces = [whole[x][a * CODE:(b + window - 1) * CODE] for x, a, b in zip(r.tolist(), at.tolist(), end.tolist(), strict=True)]
-                for c, v in zip(cols, (anchor[rows][r], code[rows][r], at, key.view(np.int64), mix64(code_of).view(np.int64), lo[rows][r], hi[rows][r]), strict=False):
-                    c.append(v)
-                cols[7] += pieces
-            yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) if c else pa.array([], pa.int64()) for c in cols[:7]], pa.array(cols[7], pa.binary())],
+            words = words.view(np.uint64).ravel()
+            count = size - window + 1
+            span = np.repeat(np.arange(len(size)), count)
+            at = np.arange(len(span)) - np.repeat(np.cumsum(count) - count, count)
+            first = np.repeat(np.cumsum(size) - size, count) + at
+            g = np.zeros(max(0, len(words) - gram + 1), np.uint64)
+            for k in range(gram):
+                g = mix64(g * np.uint64(0x9E3779B97F4A7C15) + words[k:k + len(g)])
+            key = anchor[span].view(np.uint64)
+            for k in range(window - gram + 1) if every else (0, window - gram):
+                key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + g[first + k])
+            part = np.zeros(len(span), np.uint64)
+            for k in range(window):
+                part = mix64(part * np.uint64(0x9E3779B97F4A7C15) + words[first + k])
+            text = np.ascontiguousarray(flat[first[:, None] + np.arange(window)]).tobytes()
+            step = window * CODE
+            own = pa.Array.from_buffers(pa.binary(), len(span), [None, pa.py_buffer((np.arange(len(span) + 1) * step).astype(np.int32)), pa.py_buffer(text)])
+            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in (anchor[span], code[span], at, key.view(np.int64), part.view(np.int64), lo[span], hi[span])], own],
                                              ["anchor", "code", "at", "key", "part", "lo", "hi", "words"])
 
     return shards.select("anchor", "code", "lo", "hi", "words").mapInArrow(cut, "anchor long, code long, at long, key long, part long, lo long, hi long, words binary")
@@ -278,23 +266,25 @@ def split_spans(shards: DataFrame, level: int, window: int, gram: int) -> DataFr
 
 def window_minima(shards: DataFrame, window: int, gram: int, limit: int, level: int = 1) -> DataFrame:
     """(anchor, code, minima) of the spans (anchor, code, words, lo, hi) that a
-    smaller document reaches; shards over the limit are split by the next
-    least gram."""
+    smaller document reaches; shards over the limit are split, twice at most:
+    by then their windows have all grams in common."""
     n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = lambda df: (df.select("anchor", "code", "lo", "hi", "words").repartition(n, "anchor").sortWithinPartitions("anchor", "lo", "code")
                        .mapInArrow(lambda b: shard_minima(b, window), "anchor long, code long, minima array<long>"))
-    if level > window - gram:  # by now windows of a shard have all their grams in common
+    if level > 2:
         return held(shards)
     wide = stored(shards.groupBy("anchor").agg(F.count(F.lit(1)).alias("spans")).filter(F.col("spans") > limit).select("anchor"), "wide-anchors")
     if wide.isEmpty():
         return held(shards)
-    parts = stored(split_spans(shards.join(wide, "anchor", "left_semi"), level + 1, window, gram), "span-parts")
-    each = parts.groupBy(F.col("key").alias("anchor"), F.col("part").alias("code"), "words").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    parts = stored(split_spans(shards.join(wide, "anchor", "left_semi"), level == 2, window, gram), "span-parts")
+    each = parts.groupBy(F.col("key").alias("anchor"), F.col("part").alias("code"), "words").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi")
     got = window_minima(stored(each, "part-shards"), window, gram, limit, level + 1)
-    none = F.array_repeat(F.lit(None).cast("long"), (F.octet_length("words") / CODE - (window - 1)).cast("int"))
-    back = parts.join(got.select(F.col("anchor").alias("key"), F.col("code").alias("part"), "minima"), ["key", "part"], "left")
-    whole = (back.groupBy("anchor", "code").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("minima", none).alias("minima")))).alias("m"))
-             .select("anchor", "code", F.flatten(F.col("m.minima")).alias("minima")).filter(F.size(F.array_compact("minima")) > 0))
+    found = (parts.join(got.select(F.col("anchor").alias("key"), F.col("code").alias("part"), F.col("minima")[0].alias("least")), ["key", "part"])
+             .groupBy("anchor", "code").agg(F.map_from_entries(F.collect_list(F.struct("at", "least"))).alias("found")))
+    # windows that no smaller document has stay without a number
+    last = F.octet_length("words") / CODE - window
+    whole = (shards.join(found, ["anchor", "code"])
+             .select("anchor", "code", F.transform(F.sequence(F.lit(0).cast("long"), last.cast("long")), lambda i: F.try_element_at("found", i)).alias("minima")))
     return held(shards.join(wide, "anchor", "left_anti")).union(whole)
 
 
