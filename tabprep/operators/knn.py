@@ -24,7 +24,8 @@ Exact method, pruned by a tree of pivots:
 On clustered rows most cells are never met; on rows without structure every
 query meets every cell, as any exact method must.
 
-Approximate method: ``BucketedRandomProjectionLSH.approxSimilarityJoin``
+Approximate methods: ``approx`` is the neighbour-graph descent of
+``knn_graph``; ``lsh`` is ``BucketedRandomProjectionLSH.approxSimilarityJoin``
 (Spark ML); queries it leaves short of k are finished by the exact join.
 """
 
@@ -221,12 +222,12 @@ def _reached(q: DataFrame, nf: int, tree: Tree, need: int) -> DataFrame:
     return q.mapInPandas(fn, "qk long, " + ", ".join(f"{c} double" for c in cols) + ", to long")
 
 
-def _draw_pivots(c: DataFrame, nf: int, counts: dict, wide: list) -> dict:
+def _draw_pivots(c: DataFrame, nf: int, counts: dict, wide: list, cell_rows: int, turn: int) -> dict:
     """Pivots of the wide cells: the rows of the least hashes, about one per
     ``CELL_ROWS / 2`` rows and at most ``FAN``."""
-    want = {w: min(FAN, -(-2 * counts[w] // CELL_ROWS)) for w in wide}
+    want = {w: min(FAN, -(-2 * counts[w] // cell_rows)) for w in wide}
     share = F.create_map(*[F.lit(v) for w in wide for v in (w, min(1.0, 4.0 * want[w] / counts[w] + 16.0 / counts[w]))])
-    draw = F.pmod(F.xxhash64("ck"), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("ck", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
     rows = (c.select("cell", draw.alias("u"), "ck", *[f"cv{i}" for i in range(nf)]).where(F.col("u") < F.coalesce(F.try_element_at(share, F.col("cell")), F.lit(0.0)))
             .collect())  # a few times the pivots of at most FAN ** (LEVELS - 1) cells
     out: dict = {}
@@ -238,14 +239,14 @@ def _draw_pivots(c: DataFrame, nf: int, counts: dict, wide: list) -> dict:
     return {w: v for w, v in out.items() if len(v) > 1}  # equal rows cannot be parted
 
 
-def _plant(c: DataFrame, nf: int, classes: int) -> tuple[Tree, DataFrame, dict]:
+def _plant(c: DataFrame, nf: int, classes: int, cell_rows: int | None = None, turn: int = 0) -> tuple[Tree, DataFrame, dict]:
     """(tree, candidates in their leaves, rows per leaf)."""
-    tree = Tree(classes, nf)
+    tree, cell_rows = Tree(classes, nf), cell_rows or CELL_ROWS
     c = c.withColumn("cell", F.col("g"))
     counts = {r["cell"]: r["n"] for r in c.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wide = [w for w, n in counts.items() if n > CELL_ROWS]
+    wide = [w for w, n in counts.items() if n > cell_rows]
     for _ in range(LEVELS):
-        pivots = _draw_pivots(c, nf, counts, sorted(wide)) if wide else {}
+        pivots = _draw_pivots(c, nf, counts, sorted(wide), cell_rows, turn) if wide else {}
         if not pivots:
             break
         tree.grow(pivots)
@@ -256,7 +257,7 @@ def _plant(c: DataFrame, nf: int, classes: int) -> tuple[Tree, DataFrame, dict]:
             tree.rows[r["cell"]] = r["n"]
             if r["cell"] >= classes:
                 tree.radius[r["cell"]] = r["r"]
-        wide = [w for w, n in counts.items() if n > CELL_ROWS and w >= classes]
+        wide = [w for w, n in counts.items() if n > cell_rows and w >= classes]
     return tree, c, counts
 
 
@@ -289,6 +290,9 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     without a class has no neighbours."""
     cand_key = cand_key or key
     if method == "approx":
+        from tabprep.operators.knn_graph import knn_graph
+        return knn_graph(queries, candidates, features, k, key, cand_key, exclude_self, cand_label, within)
+    if method == "lsh":
         return knn_lsh(queries, candidates, features, k, key, cand_key, exclude_self, cand_label, within=within)
     nf, with_label = len(features), cand_label is not None
     classes, index = _class_index(candidates, within)

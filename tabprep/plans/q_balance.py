@@ -140,7 +140,7 @@ def q_knn_lsh(spark, d):
     width = len(emb.select("embedding").first()[0])
     flat = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)])
     nn = knn_join(flat, flat, [f"e{i}" for i in range(width)], 5, "vec_id", cand_label="label",
-                  method="approx")
+                  method="lsh")
     return nn.select("q_key", "c_key", F.round("dist", 6).alias("dist"), "rank", "c_label")
 
 
@@ -276,7 +276,7 @@ def q_knn_lsh_recall(spark, d):
     feats = [f"e{i}" for i in range(width)]
     flat = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)]).persist()
     exact = knn_join(flat, flat, feats, 5, "vec_id").select("q_key", "c_key")
-    approx = knn_join(flat, flat, feats, 5, "vec_id", method="approx").select("q_key", "c_key")
+    approx = knn_join(flat, flat, feats, 5, "vec_id", method="lsh").select("q_key", "c_key")
     hit = exact.join(approx, ["q_key", "c_key"], "left_semi").count()
     total = exact.count()
     return spark.createDataFrame([(total, hit, hit / total if total else None)],
@@ -339,3 +339,30 @@ def q_nearmiss_classes(spark, d):
 def q_adasyn_classes(spark, d):
     """Growing every smaller class by its own neighbour shares."""
     return R.Resampler("adasyn").resample(three_classes(spark, d), "key", FEATS, "label")
+
+
+def _embedded(spark, d):
+    emb = table(spark, d, "embeddings")
+    width = len(emb.select("embedding").first()[0])
+    feats = [f"e{i}" for i in range(width)]
+    return emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(feats)]), feats
+
+
+@query("knn_graph", "R0")
+def q_knn_graph(spark, d):
+    """Five approximate neighbours of every embedding by graph descent."""
+    flat, feats = _embedded(spark, d)
+    nn = knn_join(flat, flat, feats, 5, "vec_id", cand_label="label", method="approx")
+    return nn.select("q_key", "c_key", F.round("dist", 6).alias("dist"), "rank", "c_label")
+
+
+@query("knn_graph_recall", "R0")
+def q_knn_graph_recall(spark, d):
+    """Recall at 5 of the graph's lists, for the queries whose id 20 divides,
+    against the exact join with all rows."""
+    flat, feats = _embedded(spark, d)
+    asked = flat.where("vec_id % 20 = 0")
+    exact = knn_join(asked, flat, feats, 5, "vec_id").select("q_key", "c_key")
+    found = knn_join(flat, flat, feats, 5, "vec_id", method="approx").where("q_key % 20 = 0").select("q_key", F.col("c_key").alias("c_key"), F.lit(1).alias("hit"))
+    both = exact.join(found, ["q_key", "c_key"], "left")
+    return both.agg(F.count(F.lit(1)).alias("exact_pairs"), F.count("hit").alias("found_pairs"), F.round(F.count("hit") / F.count(F.lit(1)), 4).alias("recall"))
