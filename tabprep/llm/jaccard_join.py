@@ -348,11 +348,17 @@ def across_blocks(lab: DataFrame, links: DataFrame, done: DataFrame, percent: in
     main = counts.groupBy("grp").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1").drop("labels")
     now = stored(now.join(stored(main, "jaccard-main"), "grp"), "jaccard-open")
     minor = stored(in_order(now.filter("label <> main"), "at"), "jaccard-minor")
-    lots = minor.groupBy("grp").agg(F.max("at").alias("lots"))
-    upto = lambda last: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(last)))
-    own = minor.join(lots, "grp").withColumn("other", upto("lots")).select(F.concat_ws(":", F.lit("m"), "grp", F.least("at", "other"), F.greatest("at", "other")).alias("key"), "doc", "label")
-    out = minor.withColumn("other", upto("last")).select(F.concat_ws(":", F.lit("b"), "grp", "other", "at").alias("key"), "doc", "label")
-    held = now.filter("label = main").join(lots, "grp").withColumn("other", upto("lots")).select(F.concat_ws(":", F.lit("b"), "grp", "block", "other").alias("key"), "doc", "label")
+    # blocks and lots are in order of size: those whose sizes cannot link do not meet
+    lot = minor.groupBy("grp", "at").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    block = now.filter("label = main").groupBy("grp", "block").agg(F.min("n").alias("blo"), F.max("n").alias("bhi"))
+    reach = (F.col("hi") * 100 >= F.col("blo") * percent) & (F.col("bhi") * 100 >= F.col("lo") * percent)
+    two = lot.select("grp", F.col("at").alias("other"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
+    meets = stored(lot.join(two, "grp").filter(reach).select("grp", "at", "other"), "jaccard-lots")
+    faces = stored(lot.join(block, "grp").filter(reach).select("grp", "at", "block"), "jaccard-faces")
+    scratch += [meets, faces]
+    own = minor.join(meets, ["grp", "at"]).select(F.concat_ws(":", F.lit("m"), "grp", F.least("at", "other"), F.greatest("at", "other")).alias("key"), "doc", "label")
+    out = minor.drop("block").join(faces, ["grp", "at"]).select(F.concat_ws(":", F.lit("b"), "grp", "block", "at").alias("key"), "doc", "label")
+    held = now.filter("label = main").select("grp", "block", "doc", "label").join(faces, ["grp", "block"]).select(F.concat_ws(":", F.lit("b"), "grp", "block", "at").alias("key"), "doc", "label")
     cross = compare(own.union(out).union(held).join(lab.select("doc", "shingles"), "doc"), "jaccard-cross-links")
     return components(links.union(some).union(cross))
 
