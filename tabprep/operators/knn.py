@@ -57,7 +57,7 @@ def _prep(df: DataFrame, key: str, features: Sequence[str], label: str | None, p
     return df.select(*cols, index.alias("g"))
 
 
-def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int):
+def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int, metric: str = "euclid"):
     out_cols = ["qk", "ck", "d2"] + (["cl"] if with_label else [])
 
     def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -77,6 +77,8 @@ def _block_topk(k: int, exclude_self: bool, with_label: bool, nf: int):
             d2 = (qs[:, 0:1] - cmat[:, 0][None, :]) ** 2
             for f in range(1, qs.shape[1]):
                 d2 = d2 + (qs[:, f:f + 1] - cmat[:, f][None, :]) ** 2
+            if metric == "max":
+                d2 = np.max([np.abs(qs[:, f:f + 1] - cmat[:, f][None, :]) for f in range(qs.shape[1])], axis=0)
             if exclude_self:
                 d2[qkeys[s:s + CHUNK][:, None] == ckeys[None, :]] = np.inf
             # top-k per row without a full sort: everything below the k-th
@@ -109,7 +111,8 @@ class Tree:
     children. Nodes 0 .. classes - 1 are the classes' roots and have no pivot.
     Leaves are the cells that rows lie in."""
 
-    def __init__(self, classes: int, width: int):
+    def __init__(self, classes: int, width: int, metric: str = "euclid"):
+        self.metric = metric
         self.pivot = np.zeros((classes, width))
         self.first, self.children, self.parent = np.zeros(classes, np.int64), np.zeros(classes, np.int64), np.full(classes, -1, np.int64)
         self.radius, self.rows = np.full(classes, np.inf), np.zeros(classes, np.int64)
@@ -128,7 +131,8 @@ class Tree:
         a = self.first[node]
         out = np.empty((len(x), self.children[node]))
         for j in range(out.shape[1]):
-            out[:, j] = np.sqrt(((x - self.pivot[a + j]) ** 2).sum(axis=1))
+            apart = x - self.pivot[a + j]
+            out[:, j] = np.abs(apart).max(axis=1) if self.metric == "max" else np.sqrt((apart ** 2).sum(axis=1))
         return out
 
     def descend(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,9 +243,9 @@ def _draw_pivots(c: DataFrame, nf: int, counts: dict, wide: list, cell_rows: int
     return {w: v for w, v in out.items() if len(v) > 1}  # equal rows cannot be parted
 
 
-def _plant(c: DataFrame, nf: int, classes: int, cell_rows: int | None = None, turn: int = 0) -> tuple[Tree, DataFrame, dict]:
+def _plant(c: DataFrame, nf: int, classes: int, cell_rows: int | None = None, turn: int = 0, metric: str = "euclid") -> tuple[Tree, DataFrame, dict]:
     """(tree, candidates in their leaves, rows per leaf)."""
-    tree, cell_rows = Tree(classes, nf), cell_rows or CELL_ROWS
+    tree, cell_rows = Tree(classes, nf, metric), cell_rows or CELL_ROWS
     c = c.withColumn("cell", F.col("g"))
     counts = {r["cell"]: r["n"] for r in c.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     wide = [w for w, n in counts.items() if n > cell_rows]
@@ -284,11 +288,15 @@ def _class_index(df: DataFrame, within: str | None):
 
 def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str], k: int,
              key: str, cand_key: str | None = None, exclude_self: bool = True,
-             cand_label: str | None = None, method: str = "exact", block_rows: int = BLOCK_ROWS, within: str | None = None) -> DataFrame:
+             cand_label: str | None = None, method: str = "exact", block_rows: int = BLOCK_ROWS, within: str | None = None, metric: str = "euclid") -> DataFrame:
     """Top-k neighbours: columns q_key, c_key, dist, rank (1..k) [, c_label].
+    ``metric`` is ``euclid`` or ``max`` (largest difference of a feature; exact
+    method only, ``d2`` is the distance then).
     With ``within`` only candidates of the query's own class count; a row
     without a class has no neighbours."""
     cand_key = cand_key or key
+    if metric not in ("euclid", "max") or metric == "max" and method != "exact":
+        raise ValueError(f"no {method} neighbours by {metric!r}")
     if method == "approx":
         from tabprep.operators.knn_graph import knn_graph
         return knn_graph(queries, candidates, features, k, key, cand_key, exclude_self, cand_label, within)
@@ -299,7 +307,7 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     one = queries is candidates and key == cand_key
     base = stored(_prep(candidates, cand_key, features, cand_label, "c", index).where("g is not null"), "knn-candidates")
     schema = "qk long, ck long, d2 double" + (", cl long" if with_label else "")
-    tree, c, counts = _plant(base, nf, classes)
+    tree, c, counts = _plant(base, nf, classes, metric=metric)
     if not counts:
         return candidates.sparkSession.createDataFrame([], "q_key long, c_key long, dist double, d2 double, rank int" + (", c_label long" if with_label else ""))
     parts = {j: -(-n // block_rows) for j, n in counts.items() if n > block_rows}
@@ -309,7 +317,8 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
     else:
         q = stored(_cells(_prep(queries, key, features, None, "q", index).where("g is not null"), "q", nf, tree), "knn-queries").select("qk", *cols, "g", "cell")
     cc = c.select("ck", *[f"cv{i}" for i in range(nf)], *(["cl"] if with_label else []), "cell")
-    topk = _block_topk(k, exclude_self, with_label, nf)
+    topk = _block_topk(k, exclude_self, with_label, nf, metric)
+    distance = F.col("d2") if metric == "max" else F.sqrt("d2")
     # round 1: the own cell; its k-th distance bounds the others
     best = Window.partitionBy("qk").orderBy("d2", "ck")
     near = _meet(q.select("qk", *cols, F.col("cell").alias("to")), cc, parts, topk, schema)
@@ -317,11 +326,11 @@ def knn_join(queries: DataFrame, candidates: DataFrame, features: Sequence[str],
         pairs = near  # all candidates are in one cell
     else:
         near = stored(near, "knn-near")
-        bound = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("qk", F.sqrt("d2").alias("bound"))
+        bound = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("qk", distance.alias("bound"))
         far = q.join(bound, "qk", "left").withColumn("bound", F.coalesce(F.col("bound") * (1 + SLACK), F.lit(float("inf"))))
         pairs = near.unionByName(_meet(_reached(far, nf, tree, k + exclude_self), cc, parts, topk, schema))
     top = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    out = [F.col("qk").alias("q_key"), F.col("ck").alias("c_key"), F.sqrt("d2").alias("dist"), F.col("d2"), F.col("rank")]
+    out = [F.col("qk").alias("q_key"), F.col("ck").alias("c_key"), distance.alias("dist"), F.col("d2"), F.col("rank")]
     if with_label:
         out.append(F.col("cl").alias("c_label"))
     return top.select(*out)

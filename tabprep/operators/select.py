@@ -152,7 +152,12 @@ class FeatureSelector:
     """``correlation | variance | mutual_info | f_score``; ``fit`` -> model."""
 
     def __init__(self, method: str = "correlation", threshold: float = 0.95, target: str | None = None,
-                 k: int | None = None, percentile: float | None = None):
+                 k: int | None = None, percentile: float | None = None, estimator: str = "binned"):
+        """``estimator`` of mutual information: ``binned`` or ``nearest``
+        (neighbours, as the original's library; text labels are classes)."""
+        if estimator not in ("binned", "nearest"):
+            raise ValueError(f"mutual information is 'binned' or by 'nearest' neighbours, not {estimator!r}")
+        self.estimator = estimator
         if method not in ("correlation", "variance", "mutual_info", "f_score"):
             raise ValueError(f"no selection method {method!r}: correlation, variance, mutual_info or f_score")
         self.method, self.threshold, self.target, self.k, self.percentile = method, threshold, target, k, percentile
@@ -166,7 +171,11 @@ class FeatureSelector:
         else:
             if not self.target:
                 raise ValueError("target column required")
-            if self.method == "mutual_info":
+            if self.method == "mutual_info" and self.estimator == "nearest":
+                from tabprep.operators.mutual import mutual_info_classes, mutual_info_numbers
+                text = isinstance(df.schema[self.target].dataType, StringType)
+                scores = (mutual_info_classes if text else mutual_info_numbers)(df, cols, self.target)
+            elif self.method == "mutual_info":
                 scores = mutual_info(df, cols, self.target)
             else:
                 tt = df.schema[self.target].dataType

@@ -118,3 +118,13 @@ def q_select_two_stage(spark, d):
     stage2 = C.FeatureSelector("mutual_info", target="returned", k=2).fit(reduced)
     kept = [c for c in stage2.transform(reduced).columns if c != "returned"]
     return spark.createDataFrame([(c,) for c in kept], "column_name string")
+
+
+@query("select_mutual_nearest", "C3")
+def q_select_mutual_nearest(spark, d):
+    """Mutual information by nearest neighbours: with the label as a class and
+    as a number."""
+    from tabprep.operators.mutual import mutual_info_classes, mutual_info_numbers
+    cp = customer_profile(spark, d)
+    classes, numbers = mutual_info_classes(cp, CP_SEL, "churned"), mutual_info_numbers(cp, CP_SEL, "churned")
+    return spark.createDataFrame([(c, round(classes[c], 6), round(numbers[c], 6)) for c in CP_SEL], "column_name string, as_class double, as_number double")
