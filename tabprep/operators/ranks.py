@@ -157,6 +157,8 @@ def bucket_of_rank(info_g: dict, r: int):
 
 COLLECT_VALUES = 100_000  # different values inside a bracket that reach the driver
 SKETCH = 10_000           # accuracy of the sketch that proposes brackets
+MANY = 64                 # quantiles whose brackets still fit generated code
+SPLIT = 32                # parts of a bracket that is counted again
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], collect_values: int = COLLECT_VALUES) -> dict:
@@ -169,10 +171,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     the brackets that hold a wanted rank are collected with their counts. A
     bracket with too many values gets edges from a sketch of its own values
     and is counted again, so its size falls by the sketch's accuracy a pass.
+    Many quantiles go to ``many_quantiles``: the same numbers by another plan.
     """
     cols = list(cols)
     if not cols:
         return {}
+    if len(set(probs)) > MANY:
+        return many_quantiles(df, cols, probs)
     num = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in cols]
     data = df.select(*[x.alias(f"v{i}") for i, x in enumerate(num)])
     eps = 2.0 / SKETCH
@@ -219,20 +224,98 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 i = r["c"]
                 wanted[i] = sorted({*wanted.get(i, []), *large[(i, r["b"])][1]})
                 edges[i] = sorted({*edges[i], *(e for q in r["q"] for e in (q, math.nextafter(q, math.inf)))})
-    out = {}
-    for i, c in enumerate(cols):
-        if not n[i]:
-            out[c] = [None] * len(probs)
-            continue
-        res = []
-        for p in probs:
-            h = (n[i] - 1) * float(p)
-            x, y = value[(i, math.floor(h))], value[(i, math.ceil(h))]
-            res.append(x + (y - x) * (h - math.floor(h)) if y != x else x)
-        out[c] = res
+    return {c: _interpolated(n[i], probs, {r: v for (j, r), v in value.items() if j == i}) if n[i] else [None] * len(probs) for i, c in enumerate(cols)}
+
+
+def _interpolated(n: int, probs: Sequence[float], value: dict) -> list:
+    out = []
+    for p in probs:
+        h = (n - 1) * float(p)
+        x, y = value[math.floor(h)], value[math.ceil(h)]
+        out.append(x + (y - x) * (h - math.floor(h)) if y != x else x)
     return out
 
 
+def _parts(lo: float, hi: float) -> list:
+    """Edges that cut [lo, hi]: even in value and even in the order of the
+    floating-point numbers, so that skewed values are parted as well."""
+    import struct
+
+    def code(x: float) -> int:
+        i = struct.unpack("<q", struct.pack("<d", x))[0]
+        return i if i >= 0 else -(i & 0x7FFFFFFFFFFFFFFF)
+
+    def back(i: int) -> float:
+        return struct.unpack("<d", struct.pack("<q", i))[0] if i >= 0 else -struct.unpack("<d", struct.pack("<q", -i))[0]
+
+    a, b = code(lo), code(hi)
+    even = [lo + (hi / SPLIT - lo / SPLIT) * k for k in range(SPLIT)]
+    return sorted({x for x in (lo, *even, *(back(a + (b - a) * k // SPLIT) for k in range(SPLIT)), math.nextafter(lo, math.inf), hi) if lo <= x <= hi})
+
+
+def many_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    """``exact_quantiles`` for hundreds of ranks, all columns in one pass.
+
+    Brackets are counted in Arrow batches against a sorted array of edges,
+    running counts and the choice of the brackets that hold a wanted rank are
+    made in Spark, and only those reach the driver, with their smallest and
+    largest value: at most a row per wanted rank and pass. A bracket of one
+    value is answered, any other is cut into ``SPLIT`` parts and counted again.
+    """
+    import numpy as np
+
+    cols = list(cols)
+    spark = df.sparkSession
+    data = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
+    fracs = sorted({min(1.0, max(0.0, float(p))) for p in probs})
+    row = data.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(cols))], *[F.min(f"v{i}").alias(f"a{i}") for i in range(len(cols))],
+                   *[F.max(f"v{i}").alias(f"b{i}") for i in range(len(cols))], *[F.percentile_approx(f"v{i}", fracs, SKETCH).alias(f"q{i}") for i in range(len(cols))]).first()
+    n = [row[f"n{i}"] for i in range(len(cols))]
+    wanted = {i: sorted({r for p in probs for r in (math.floor((n[i] - 1) * float(p)), math.ceil((n[i] - 1) * float(p)))}) for i in range(len(cols)) if n[i]}
+    value: dict = {i: {} for i in wanted}
+    # segments: (rows below, edges); an edge begins a part, the last one only ends it
+    segments = {i: [(0, sorted({row[f"a{i}"], *(e for q in row[f"q{i}"] for e in (q, math.nextafter(q, math.inf))), row[f"b{i}"]}) + [math.nextafter(row[f"b{i}"], math.inf)])] for i in wanted}
+    while segments:
+        flat = {i: (np.concatenate([e for _, e in parts]), np.concatenate([np.full(len(e), k) for k, (_, e) in enumerate(parts)])) for i, parts in segments.items()}
+        sent = spark.sparkContext.broadcast(flat)  # a few numbers per wanted rank
+
+        def count(batches):
+            import pyarrow as pa
+
+            total: dict = {}
+            for batch in batches:
+                for i, (edges, segment) in sent.value.items():
+                    v = batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64)
+                    v = v[~np.isnan(v)]
+                    at = np.searchsorted(edges, v, "right") - 1
+                    ok = (at >= 0) & (at < len(edges) - 1)
+                    ok[ok] = segment[at[ok]] == segment[at[ok] + 1]  # not between two segments
+                    at, v = at[ok], v[ok]
+                    m, lo, hi = total.setdefault(i, (np.zeros(len(edges), np.int64), np.full(len(edges), np.inf), np.full(len(edges), -np.inf)))
+                    m += np.bincount(at, minlength=len(edges))
+                    np.minimum.at(lo, at, v)
+                    np.maximum.at(hi, at, v)
+            for i, (m, lo, hi) in total.items():
+                b = np.flatnonzero(m)
+                seg = sent.value[i][1][b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), i)), pa.array(seg.astype(np.int64)), pa.array(b), pa.array(m[b]), pa.array(lo[b]), pa.array(hi[b])], ["c", "s", "b", "n", "lo", "hi"])
+
+        cells = data.mapInArrow(count, "c long, s long, b long, n long, lo double, hi double").groupBy("c", "s", "b").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        before = Window.partitionBy("c", "s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # the parts of one segment
+        cells = cells.withColumn("upto", F.sum("n").over(before))
+        starts = spark.createDataFrame([(i, k, below) for i, parts in segments.items() for k, (below, _) in enumerate(parts)], "c long, s long, below long")
+        ranks = spark.createDataFrame([(i, wanted[i]) for i in segments], "c long, r array<long>")
+        held = (cells.join(starts, ["c", "s"]).join(ranks, "c").withColumn("first", F.col("below") + F.col("upto") - F.col("n"))
+                .withColumn("r", F.filter("r", lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n")))).where(F.size("r") > 0))
+        segments = {}
+        for x in held.select("c", "first", "lo", "hi", "r").orderBy("c", "first").collect():
+            if x["lo"] == x["hi"]:
+                value[x["c"]].update({r: x["lo"] for r in x["r"]})
+            else:
+                segments.setdefault(x["c"], []).append((x["first"], [*_parts(x["lo"], x["hi"]), math.nextafter(x["hi"], math.inf)]))
+    return {c: _interpolated(n[i], probs, value[i]) if n[i] else [None] * len(probs) for i, c in enumerate(cols)}
+
+
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> dict:
     """Bounded-memory alternative to ``exact_quantiles`` (one aggregate,
     relative rank error about 1/accuracy); no distinct-value shuffle."""

@@ -98,10 +98,21 @@ def fit_power_lambda(df: DataFrame, col: str, kind: str = "yj", lo: float = -3.0
 
 
 def quantile_knots(df: DataFrame, col: str, max_knots: int = 1000) -> list:
-    n = df.where(F.col(col).isNotNull()).count()
-    nq = max(2, min(max_knots, n))
-    probs = [i / (nq - 1) for i in range(nq)]
-    return exact_quantiles(df, [col], probs)[col]
+    return all_knots(df, [col], max_knots)[col]
+
+
+def all_knots(df: DataFrame, cols: Sequence[str], max_knots: int = 1000) -> dict:
+    """{column: knots}; columns with as many knots are read in one pass."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.count(nan_to_null(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    by_size: dict = {}
+    for i, c in enumerate(cols):
+        by_size.setdefault(max(2, min(max_knots, row[f"n{i}"])), []).append(c)
+    out: dict = {}
+    for nq, some in by_size.items():
+        out.update(exact_quantiles(df, some, [i / (nq - 1) for i in range(nq)]))
+    return out
 
 
 def quantile_uniform_expr(x: Column, knots: Sequence[float]) -> Column:
@@ -259,9 +270,7 @@ class TableTransformer:
         for c in self.std:
             if c in cols:
                 p.standard[c] = mom[f"st_{c}"]
-        for c in self.qt:
-            if c in cols:
-                p.quantile[c] = quantile_knots(df, c, self.max_knots)
+        p.quantile = all_knots(df, [c for c in self.qt if c in cols], self.max_knots)
         for c, m in self.maps.items():
             if c in cols:
                 p.value_maps[c] = m

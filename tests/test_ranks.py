@@ -53,3 +53,36 @@ def test_search_expr_matches_searchsorted(spark):
     got = [r[0] for r in df.select(search_expr(F.col("v"), splits)).collect()]
     want = np.searchsorted(np.array(splits), vals, side="right").tolist()
     assert got == want
+
+
+def test_many_ranks_of_several_columns(spark):
+    import numpy as np
+
+    from tabprep.operators import ranks
+
+    rng = np.random.default_rng(8)
+    n = 60000
+    cols = {"a": rng.normal(size=n), "skew": np.exp(rng.normal(size=n) * 8), "ties": rng.integers(0, 30, size=n).astype(float), "neg": -np.exp(rng.normal(size=n) * 4), "zero": np.where(rng.random(n) < 0.5, 0.0, rng.normal(size=n))}
+    cols["a"][::7] = np.nan
+    df = spark.createDataFrame([tuple(float(c[i]) for c in cols.values()) for i in range(n)], ", ".join(f"{c} double" for c in cols)).repartition(6).persist()
+    probs = [i / 999 for i in range(1000)]
+    got = ranks.exact_quantiles(df, list(cols), probs)
+    for c, x in cols.items():
+        assert np.allclose(got[c], np.nanquantile(x, probs), rtol=1e-12, atol=0), c
+    empty = ranks.exact_quantiles(df.where("false"), ["a"], probs)["a"]
+    assert empty == [None] * 1000
+    one = ranks.exact_quantiles(spark.createDataFrame([(3.0,), (None,)], "a double"), ["a"], probs)["a"]
+    assert one == [3.0] * 1000
+
+
+def test_few_rows_reach_the_driver_for_many_ranks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tabprep.operators import ranks
+
+    seen, real = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(rows := real(self)) or rows)
+    df = spark.range(200000).select(((F.col("id") * 7919) % 200003).cast("double").alias("v"))
+    got = ranks.exact_quantiles(df, ["v"], [i / 999 for i in range(1000)])["v"]
+    assert sum(map(len, seen)) < 5000 and got[0] == 0.0 and got == sorted(got)
