@@ -7,9 +7,11 @@ inputs. Here both are done in buckets:
 1. collapse to distinct values with counts (partial aggregation before the shuffle);
 2. cut each group's value range into ~``n_buckets`` ranges with
    ``percentile_approx`` (bounded memory) and assign a bucket with a
-   binary-search ``CASE`` (codegen, no UDF);
-3. total per (group, bucket) -> a table of at most groups x buckets rows,
-   prefixed on the driver into offsets;
+   binary-search ``CASE`` (codegen, no UDF); where that takes more than
+   ``SKETCH_BUCKETS`` ranges, Spark's range partitioning of (group, value) cuts
+   them instead, as many as there are;
+3. total per (group, bucket), prefixed into offsets: a row per
+   ``ROWS_PER_BUCKET`` distinct values and per group;
 4. a running sum ``over (partition by group, bucket order by value)`` plus the
    bucket offset gives the exact [rank_lo, rank_hi] of every distinct value.
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from tabprep.session import stored
 
 ROWS_PER_BUCKET = 2_000_000  # distinct values per window task
-MAX_BUCKETS = 1024           # per group; CASE tree depth log2(1024) = 10
+SKETCH_BUCKETS = 1024        # per group, by a sketch; CASE tree depth log2(1024) = 10
 MAX_OFFSET_ROWS = 200_000    # size check for the broadcast offsets table
 
 
@@ -54,7 +56,7 @@ def _group_key(group_cols: Sequence[str]) -> Column:
 
 def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                    sums: dict | None = None, rows_per_bucket: int | None = None,
-                   descending: bool = False, max_buckets: int = MAX_BUCKETS):
+                   descending: bool = False):
     """Distinct (group, value) rows with exact running totals in value order.
 
     ``sums`` maps output name -> Column summed per distinct value (default
@@ -80,10 +82,11 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
     keys = {r["_g"]: tuple(r[c] for c in group_cols) for r in size_rows}
     if len(sizes) > MAX_OFFSET_ROWS:
         raise ValueError("too many groups for bucketed running totals")
-    want = {g: min(max_buckets, -(-n // rows_per_bucket)) for g, n in sizes.items()}
+    want = {g: -(-n // rows_per_bucket) for g, n in sizes.items()}
     big = {g: b for g, b in want.items() if b > 1}
+    ranged = max(want.values(), default=0) > SKETCH_BUCKETS
     splits: dict = {}
-    if big:
+    if big and not ranged:
         nb = max(big.values())
         fracs = [i / nb for i in range(1, nb)]
         rows = (vc.where(F.col("_g").isin(list(big)))
@@ -97,12 +100,15 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
             bucket = F.when(F.col("_g") == g, e) if bucket is None else bucket.when(F.col("_g") == g, e)
         bucket = bucket.otherwise(F.lit(0))
     if descending:
-        bucket = F.lit(max_buckets + 1) - bucket
+        bucket = F.lit(SKETCH_BUCKETS + 1) - bucket
     vb = vc.withColumn("bucket", bucket.cast("int"))
-    if splits:
+    if ranged:
+        order = F.col(value_col).desc() if descending else F.col(value_col).asc()
+        vb = stored(vc.repartitionByRange(sum(want.values()), F.col("_g"), order).withColumn("bucket", F.spark_partition_id()), "running-ranges")
+    if splits or ranged:
         totals = vb.groupBy("_g", "bucket").agg(*[F.sum(k).alias(k) for k in names]).collect()
     else:  # one bucket per group: the size pass already holds the totals
-        b0 = (max_buckets + 1) if descending else 0
+        b0 = (SKETCH_BUCKETS + 1) if descending else 0
         totals = [dict(_g=r["_g"], bucket=b0, **{k: r[k] for k in names}) for r in size_rows]
     info: dict = {}
     for r in sorted(totals, key=lambda r: (r["_g"], r["bucket"])):
@@ -119,8 +125,8 @@ def running_totals(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
     ranked = vb
     for k in names:
         ranked = ranked.withColumn(f"_run_{k}", F.sum(k).over(win))
-    # offsets: one row per (group, bucket), size checked above
-    ranked = ranked.join(F.broadcast(off_df), ["_g", "bucket"])
+    # offsets: one row per (group, bucket); broadcast only where that is few
+    ranked = ranked.join(F.broadcast(off_df) if len(off_rows) <= MAX_OFFSET_ROWS else off_df, ["_g", "bucket"])
     for k in names:
         ranked = (ranked.withColumn(f"cum_{k}", F.col(f"_run_{k}") + F.col(f"_off_{k}"))
                   .withColumn(f"before_{k}", F.col(f"cum_{k}") - F.col(k))
@@ -144,10 +150,6 @@ def ranked_distinct(df: DataFrame, value_col: str, group_cols: Sequence[str] = (
     return ranked, info
 
 
-def release(info: dict) -> None:
-    """Kept for callers of earlier versions: totals are stored, not cached."""
-
-
 def bucket_of_rank(info_g: dict, r: int):
     for b, off, tot in info_g["offsets"]:
         if off <= r < off + tot:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.rng import hash_int, uniform
 from tabprep.operators.knn import knn_join
-from tabprep.operators.ranks import release, running_totals
+from tabprep.operators.ranks import running_totals
 from tabprep.operators.split import hash_rank
 from tabprep.session import cut_lineage, stored
 
@@ -324,4 +324,4 @@ class Resampler:
 
 __all__ = ["class_profile", "class_weights", "with_row_weights", "before_after", "smote", "adasyn",
            "nearmiss", "edited_nearest_neighbours", "tomek_links", "smote_enn", "smote_tomek",
-           "Resampler", "release"]
+           "Resampler", "class_targets"]

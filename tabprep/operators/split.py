@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.rng import hash_int
-from tabprep.operators.ranks import _group_key, release, running_totals
+from tabprep.operators.ranks import _group_key, running_totals
 
 
 def hash_rank(df: DataFrame, key: str, group_cols: Sequence[str], seed: int = 42,
@@ -46,16 +46,8 @@ def _half_up(x: float) -> int:
 
 def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.2, seed: int = 42):
     """V1: per class, the first round(test_size * n_c) rows in hash order go to test."""
-    ranked, totals, _ = hash_rank(df, key, [target], seed, "holdout")
-    cut = None
-    for (cls,), n in totals.items():
-        k = F.lit(_half_up(test_size * n))
-        cond = F.col(target).eqNullSafe(F.lit(cls))
-        cut = F.when(cond, k) if cut is None else cut.when(cond, k)
-    is_test = F.col("_rank") < (cut if cut is not None else F.lit(0))
-    flagged = ranked.withColumn("_test", is_test)
-    return (flagged.where(~F.col("_test")).drop("_rank", "_test"),
-            flagged.where(F.col("_test")).drop("_rank", "_test"))
+    flagged = holdout_flag(df, target, key, test_size, seed).withColumn("_test", F.col("is_test") == 1).drop("is_test")
+    return flagged.where(~F.col("_test")).drop("_test"), flagged.where("_test").drop("_test")
 
 
 def assign_folds(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -65,6 +57,7 @@ def assign_folds(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 4
 
 
 def holdout_flag(df: DataFrame, target: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """V1 as a column: is_test."""
     ranked, totals, _ = hash_rank(df, key, [target], seed, "holdout")
     cut = None
     for (cls,), n in totals.items():
@@ -74,4 +67,4 @@ def holdout_flag(df: DataFrame, target: str, key: str, test_size: float = 0.2, s
     return ranked.withColumn("is_test", (F.col("_rank") < (cut if cut is not None else F.lit(0))).cast("int")).drop("_rank")
 
 
-__all__ = ["hash_rank", "stratified_split", "assign_folds", "holdout_flag", "release"]
+__all__ = ["hash_rank", "stratified_split", "assign_folds", "holdout_flag"]

@@ -278,10 +278,42 @@ class TableTransformer:
         return TableTransformerModel(p)
 
 
+MOST_CATEGORIES = 2_000       # a column per category
+MOST_SPARSE = 1_000_000       # labels of a fitted sparse encoder
+
+
+def check_categories(df: DataFrame, cols: Sequence[str], most: int) -> None:
+    """Raises where a column has (by a bounded sketch) far more values than
+    ``most``, before they are gathered."""
+    row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    wide = [c for i, c in enumerate(cols) if row[f"n{i}"] > 1.1 * most]
+    if wide:
+        raise ValueError(f"columns {wide} have more than {most} categories")
+
+
+def sparse_onehot(df: DataFrame, cols: Sequence[str], out: str = "onehot"):
+    """T6, F9 for many categories: a fitted Spark ML pipeline that adds one
+    sparse vector column ``out`` with an entry per category of every column in
+    ``cols`` (sorted). Unseen values and NULL give zeros; the label lists stay
+    in the model, at most ``MOST_SPARSE`` per column."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    check_categories(df, cols, MOST_SPARSE)
+    index, code = [f"{c}__index" for c in cols], [f"{c}__code" for c in cols]
+    # unseen values get the last index, which the encoder leaves out
+    stages = [StringIndexer(inputCols=list(cols), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"),
+              OneHotEncoder(inputCols=index, outputCols=code, dropLast=True), VectorAssembler(inputCols=code, outputCol=out)]
+    return Pipeline(stages=stages).fit(df)
+
+
 def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Sorted distinct values per column (one aggregate); NULL appended last if present."""
+    """Sorted distinct values per column (one aggregate); NULL appended last if
+    present. Each becomes a column of its own, so more than
+    ``MOST_CATEGORIES`` raise: ``sparse_onehot`` takes those."""
     if not cols:
         return {}
+    check_categories(df, cols, MOST_CATEGORIES)
     row = df.agg(*[F.array_sort(F.collect_set(c)).alias(f"v_{i}") for i, c in enumerate(cols)],
                  *[F.max(F.col(c).isNull().cast("int")).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
     out = {}

@@ -82,6 +82,30 @@ def q_quantile_uniform(spark, d):
     return out.select("l_orderkey", "l_linenumber", "price_q")
 
 
+MANY = [i / 999 for i in range(1000)]
+
+
+@query("quantile_knots", "T3", sql=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(unnest(range(1000)) AS INTEGER) AS knot, unnest(quantile_cont({c}, {MANY!r})) AS value FROM lineitem"
+    for c in ("l_extendedprice", "l_quantity")))
+def q_quantile_knots(spark, d):
+    """1000 exact knots of two columns (one with long ties) in one pass."""
+    got = T.all_knots(table(spark, d, "lineitem"), ["l_extendedprice", "l_quantity"])
+    return spark.createDataFrame([(c, i, v) for c, knots in got.items() for i, v in enumerate(knots)], "column_name string, knot int, value double")
+
+
+@query("onehot_sparse", "T6,F9", sql="""
+WITH c AS (SELECT l_shipdate AS v, row_number() OVER (ORDER BY CAST(l_shipdate AS VARCHAR)) - 1 AS i FROM (SELECT DISTINCT l_shipdate FROM lineitem))
+SELECT l_orderkey, l_linenumber, CAST(i AS INTEGER) AS position, CAST((SELECT count(*) FROM c) AS INTEGER) AS width FROM lineitem JOIN c ON c.v = l_shipdate""")
+def q_onehot_sparse(spark, d):
+    """One-hot of every ship date as a sparse vector: its only entry."""
+    from pyspark.ml.functions import vector_to_array
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("day"))
+    coded = T.sparse_onehot(li, ["day"]).transform(li)
+    whole = vector_to_array("onehot")
+    return coded.select("l_orderkey", "l_linenumber", (F.array_position(whole, F.lit(1.0)) - 1).cast("int").alias("position"), F.size(whole).alias("width"))
+
+
 @query("onehot_drop_first", "T6,F9", sql=with_cp("""
 , cats AS (SELECT 'geography' AS col, cat, row_number() OVER (ORDER BY cat) AS r
            FROM (SELECT DISTINCT geography AS cat FROM cp)

@@ -27,7 +27,9 @@ SELECT method, Model, round(avg(F1), 6) AS F1, round(avg(Precision), 6) AS Preci
   round(avg(ROC_AUC), 6) AS ROC_AUC, round(avg(PR_AUC), 6) AS PR_AUC FROM fm GROUP BY method, Model
 """)
 def q_cv_mean(spark, d):
-    return cv_summary(fold_metrics(spark, d))
+    from tabprep.operators.fit import cv_mean
+    means = cv_mean(fold_metrics(spark, d), ["method", "Model"])
+    return means.select("method", "Model", *[F.round(c, 6).alias(c) for c in ("F1", "Precision", "Recall", "ROC_AUC", "PR_AUC")])
 
 
 @query("pick_best", "V6", sql=FM + """,
