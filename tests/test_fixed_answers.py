@@ -177,8 +177,10 @@ def test_lsh_gives_k_neighbours_to_every_query(spark):
 
 def test_nearmiss_with_fewer_minority_rows_than_k(spark):
     rows = [(i, float(i), 0) for i in range(18)] + [(100, 3.0, 1), (101, 9.0, 1)] + [(200 + i, 5.0 + i, 2) for i in range(4)]
-    got = resample.nearmiss(spark.createDataFrame(rows, "k long, x double, y int"), "k", ["x"], "y", k=3)
+    got = resample.nearmiss(spark.createDataFrame(rows, "k long, x double, y int"), "k", ["x"], "y", k=3, sampling_strategy="majority")
     assert {r["label"]: r["count"] for r in got.groupBy("label").count().collect()} == {0: 2, 1: 2, 2: 4}
+    every = resample.nearmiss(spark.createDataFrame(rows, "k long, x double, y int"), "k", ["x"], "y", k=3)
+    assert {r["label"]: r["count"] for r in every.groupBy("label").count().collect()} == {0: 2, 1: 2, 2: 2}
 
 
 def test_trials_take_any_integer_between_and_scoring_names_are_checked(spark):

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabprep.operators.ranks import exact_quantiles, running_totals, release
+from tabprep.operators.ranks import exact_quantiles, running_totals
 
 
 def test_exact_quantiles_bucketed_matches_numpy(spark):
@@ -32,7 +32,6 @@ def test_running_totals_grouped_descending(spark):
             w = v % 2
             assert got[(g, float(v))] == (acc + w, acc)
             acc += w
-    release(info)
 
 
 def test_quantiles_many_columns_batched(spark):

@@ -25,7 +25,7 @@ def folded(df):
     return B.as_rows(rows, ["a", "b", "c"], "y", "k", fold=F.col("v"), val=F.col("f") == F.col("v"))
 
 
-TRIALS = [B.Params(12, 3, 0.3), B.Params(7, 5, 0.1, 0.8, 0.7), B.Params(25, 2, 0.2, 1.0, 0.5)]
+TRIALS = [B.Params(6, 3, 0.3), B.Params(4, 5, 0.1, 0.8, 0.7), B.Params(9, 2, 0.2, 1.0, 0.5)]
 
 
 def grown(rows, trials):
@@ -40,7 +40,7 @@ def test_search_grows_the_same_trees_together_alone_and_over_many_blocks(spark,
     df = points(spark)
     rows = folded(df).persist()
     trees, scores = grown(rows, TRIALS)
-    assert len(scores) == 3 * 400 and len(trees[(2, 0)].feature) == 25
+    assert len(scores) == 3 * 400 and len(trees[(2, 0)].feature) == 9
     for i, t in enumerate(TRIALS):  # one fit after another
         alone, own = grown(rows, [t])
         for f in range(3):
@@ -48,7 +48,7 @@ def test_search_grows_the_same_trees_together_alone_and_over_many_blocks(spark,
             assert np.allclose(alone[(0, f)].margin(x), trees[(i, f)].margin(x), atol=1e-12)
         assert all(abs(scores[(i, f, k)] - s) < 1e-12 for (_, f, k), s in own.items())
     monkeypatch.setattr(B, "BLOCK_CELLS", 300)  # a trial's rows lie in many blocks: one aggregate a level
-    monkeypatch.setattr(B, "CUT", 5)
+    monkeypatch.setattr(B, "CUT", 3)
     _, apart = grown(rows, TRIALS)
     assert apart.keys() == scores.keys() and all(abs(apart[k] - scores[k]) < 1e-9 for k in scores)
 
@@ -95,9 +95,9 @@ def test_tune_query_runs_unstubbed(spark):
 def test_best_trial_is_that_of_separate_fits(spark):
     parts = [study.Part(f, points(spark).where(F.col("f") != f), points(spark).where(F.col("f") == f), ["a", "b", "c"], None) for f in range(3)]
     space = {**SEARCH_SPACE, "n_estimators": {"low": 3, "high": 9}}
-    best, table = study.search(parts, "k", "y", space, 4)
+    best, table = study.search(parts, "k", "y", space, 3)
     scores = {r["trial"]: r["score"] for r in table.collect()}
-    drawn = [B.Params(**{k: v for k, v in t.items() if k != "trial"}) for t in fit.sample_trials(spark, space, 4)]
+    drawn = [B.Params(**{k: v for k, v in t.items() if k != "trial"}) for t in fit.sample_trials(spark, space, 3)]
     for i, t in enumerate(drawn):
         aucs = []
         for p in parts:
