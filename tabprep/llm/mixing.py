@@ -130,20 +130,17 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix as whole documents: one is in the mix once for each pass in
-    which its first word lies under its source's goal, so at most ``cap``
+    """The mix as whole documents: one is in the mix once for each of its
+    pieces taken by a slot that begins with its first word, so at most ``cap``
     times. Documents without words are not in the mix; rows that share a
     doc_id share the larger number of copies."""
     return apart(docs, ("doc_id", "text", "source"), lambda d: _mixed(d, **options))
 
 
 def _mixed(docs: DataFrame, **options) -> DataFrame:
-    targets, placed, _ = mix(docs, **options)
-    goal = F.floor(F.col("target") + 0.5)
-    passes = F.sequence(F.lit(0), F.lit(int(options.get("cap", CAP)) - 1))
-    copies = (placed.join(targets, "src").filter("size > 0")
-              .withColumn("copies", F.size(F.filter(passes, lambda p: F.col("at") + p * F.col("source_size") < goal)))
-              .groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id"))
+    _, _, takes = mix(docs, **options)
+    rows = takes.filter("from = 0").groupBy("src", "bucket", "row", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    copies = rows.groupBy("doc_id").agg(F.max("copies").cast("int").alias("_copies")).withColumnRenamed("doc_id", "_id")
     many = copies.filter("_copies > 0")
     return (docs.join(many, docs["doc_id"].eqNullSafe(many["_id"])).filter(n_words(F.col("text")) > 0)
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
