@@ -8,15 +8,14 @@ it; a threshold per kind, set on held-out rows for ``PRECISION``, selects the
 spans that are added. Base spans always stay and an added one never overlaps
 them.
 
-The trees are fitted on a bounded sample: the first ``SAMPLE_DOCS`` documents
-in the order of a hash of doc_id. Its base spans, rewritten in the ways people
-write them, are positives; failed matches, other candidates and damaged spans
-are negatives. Candidates that look like a rewritten span may be personal data
+The trees and thresholds are fitted on every document: base spans, rewritten in
+the ways people write them, are positives; failed matches, other candidates and
+damaged spans are negatives. Candidates that look like a rewritten span may be personal data
 and are neither, in the fit and on the held-out rows. The fitted trees become one SQL expression, so scoring is a
 projection: no shuffle, no Python.
 
 Contracts: positions are code points, end exclusive; a null text is empty and
-has no spans; repeated rows are searched each; an empty table, or a sample
+has no spans; repeated rows are searched each; an empty table, or one
 without base spans, adds nothing; all other columns pass untouched.
 """
 
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import apart, stored
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 5000
 PRECISION = 0.995
 SPAN = "array<struct<start:int,end:int,s:string,prev:string,next:string>>"
 
@@ -145,7 +143,7 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def examples(sample: DataFrame) -> DataFrame:
-    """Labelled candidates (kind, s, prev, next, label) from a sample with spans."""
+    """Labelled candidates (kind, s, prev, next, label) from documents with spans."""
     base = sample.select(F.inline("_base"))
     wide = sample.select(F.inline("_wide")).filter(~as_written(F.col("kind"), F.col("s"))).select("kind", "s", "prev", "next", F.lit(0.0).alias("label"))
     s, k, d = F.col("s"), F.col("kind"), digits(F.col("s"))
@@ -165,32 +163,25 @@ def examples(sample: DataFrame) -> DataFrame:
     return good.union(bad).union(wide).union(glued)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION):
+def fit(docs: DataFrame, precision: float = PRECISION):
     """(trees, weights, thresholds): trees as nested (feature, split, left,
-    right) or leaf values; None if the sample has no base spans."""
+    right) or leaf values; None if the documents have no base spans."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(sample_docs)
-    some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")  # at most sample_docs ids
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = examples(stored(spans(some.repartition(parts)).select("_base", "_wide"), "pii-sample"))
+    rows = examples(stored(spans(docs.select("text")).select("_base", "_wide"), "pii-spans"))
     f = features(F.col("kind"), F.col("s"), F.col("prev"), F.col("next"))
     rows = rows.select("label", "kind", F.pmod(F.xxhash64("s", "prev", "next"), F.lit(4)).alias("part"), *[f[c].alias(c) for c in FEATURES])
-    # the sample is bounded: a few thousand rows in a few partitions
-    rows = rows.repartition(4).persist()
-    try:
-        seen = {r["label"] for r in rows.filter("part > 0").select("label").distinct().collect()}
-        if len(seen) < 2:
-            return None
-        vec = VectorAssembler(inputCols=list(FEATURES), outputCol="x")
-        model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=8, maxDepth=4, stepSize=0.4, seed=1, cacheNodeIds=False).fit(vec.transform(rows.filter("part > 0")))
-        trees = [_tree(t._call_java("rootNode")) for t in model.trees]
-        weights = list(model.treeWeights)
-        score = score_of((trees, weights, None), {c: F.col(c) for c in FEATURES})
-        held = rows.filter("part = 0").select("kind", "label", F.round(score, 6).alias("p")).groupBy("kind", "p").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
-    finally:
-        rows.unpersist()
+    rows = stored(rows, "pii-examples")
+    seen = {r["label"] for r in rows.filter("part > 0").select("label").distinct().collect()}
+    if len(seen) < 2:
+        return None
+    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="x")
+    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=8, maxDepth=4, stepSize=0.4, seed=1, cacheNodeIds=False).fit(vec.transform(rows.filter("part > 0")))
+    trees = [_tree(t._call_java("rootNode")) for t in model.trees]
+    weights = list(model.treeWeights)
+    score = score_of((trees, weights, None), {c: F.col(c) for c in FEATURES})
+    held = rows.filter("part = 0").select("kind", "label", F.round(score, 6).alias("p")).groupBy("kind", "p").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
     thresholds = {}
     for kind in KINDS:
         good = n = 0
