@@ -85,3 +85,18 @@ def test_few_rows_reach_the_driver_for_many_ranks(spark, monkeypatch):
     df = spark.range(200000).select(((F.col("id") * 7919) % 200003).cast("double").alias("v"))
     got = ranks.exact_quantiles(df, ["v"], [i / 999 for i in range(1000)])["v"]
     assert sum(map(len, seen)) < 5000 and got[0] == 0.0 and got == sorted(got)
+
+
+def test_cells_do_not_carry_every_wanted_rank(spark, monkeypatch):
+    from tabprep.operators.ranks import many_quantiles
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000 / 3.0).alias("a"), (F.col("id") % 11).cast("double").alias("b"))
+    probs = [i / 999 for i in range(1000)]
+    rows = df.toPandas()
+
+    def refused(*a, **k):
+        raise AssertionError("a table of all wanted ranks")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    got = many_quantiles(df, ["a", "b"], probs)
+    for c in "ab":
+        assert np.allclose(got[c], np.quantile(rows[c], probs), rtol=1e-12, atol=1e-12)
