@@ -97,9 +97,10 @@ def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return docs.mapInArrow(build, "anchor long, doc long")
 
 
-def spans(docs: DataFrame, bits: int, maps, window: int, gram: int, with_words: bool) -> DataFrame:
-    """Spans of the documents whose anchors are in the bitmap: anchor, code (a
-    hash of the span's words), windows, doc, and either words or the place."""
+def spans(docs: DataFrame, bits: int, maps, window: int, gram: int, with_words: bool, codes=None) -> DataFrame:
+    """Spans of the documents whose anchors are in the bitmap (and whose codes
+    are in that of ``codes``: its bits and bytes): anchor, code (a hash of the
+    span's words), windows, doc, and either words or the place."""
 
     def build(batches):
         seen = maps.value
@@ -116,6 +117,9 @@ def spans(docs: DataFrame, bits: int, maps, window: int, gram: int, with_words:
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hash * _powers(_ODD, n), dtype=np.uint64)])
                 end = first + count + window - 1
                 code = mix64((sums[end] - sums[first]) * _powers(_ODD_INVERSE, n)[first] + count.astype(np.uint64)).view(np.int64)
+                if codes is not None:
+                    keep = in_bitmap(codes[1].value, _spot64(code, codes[0]))
+                    text, first, count, anchor, code, end = text[keep], first[keep], count[keep], anchor[keep], code[keep], end[keep]
                 doc = batch.column(0).slice(row, len(offsets) - 1).to_numpy()[text]
                 cols = [pa.array(anchor), pa.array(code), pa.array(count), pa.array(doc)]
                 if with_words:
@@ -264,10 +268,11 @@ def split_spans(shards: DataFrame, every: bool, window: int, gram: int) -> DataF
     return shards.select("anchor", "code", "lo", "hi", "words").mapInArrow(cut, "anchor long, code long, at long, key long, part long, lo long, hi long, words binary")
 
 
-def window_minima(shards: DataFrame, window: int, gram: int, limit: int, level: int = 1) -> DataFrame:
+def window_minima(shards: DataFrame, window: int, gram: int, limit: int, scratch: list, level: int = 1) -> DataFrame:
     """(anchor, code, minima) of the spans (anchor, code, words, lo, hi) that a
     smaller document reaches; shards over the limit are split, twice at most:
-    by then their windows have all grams in common."""
+    by then their windows have all grams in common. Tables that the result
+    reads are added to ``scratch``."""
     n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = lambda df: (df.select("anchor", "code", "lo", "hi", "words").repartition(n, "anchor").sortWithinPartitions("anchor", "lo", "code")
                        .mapInArrow(lambda b: shard_minima(b, window), "anchor long, code long, minima array<long>"))
@@ -278,7 +283,9 @@ def window_minima(shards: DataFrame, window: int, gram: int, limit: int, level:
         return held(shards)
     parts = stored(split_spans(shards.join(wide, "anchor", "left_semi"), level == 2, window, gram), "span-parts")
     each = parts.groupBy(F.col("key").alias("anchor"), F.col("part").alias("code"), "words").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi")
-    got = window_minima(stored(each, "part-shards"), window, gram, limit, level + 1)
+    inner = stored(each, "part-shards")
+    scratch += [wide, parts, inner]
+    got = window_minima(inner, window, gram, limit, scratch, level + 1)
     found = (parts.join(got.select(F.col("anchor").alias("key"), F.col("code").alias("part"), F.col("minima")[0].alias("least")), ["key", "part"])
              .groupBy("anchor", "code").agg(F.map_from_entries(F.collect_list(F.struct("at", "least"))).alias("found")))
     # windows that no smaller document has stay without a number
@@ -299,13 +306,19 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     discard(shared)
     maps = spark.sparkContext.broadcast(seen)
     shards = stored(spans(d, bits, maps, window, gram, True).groupBy("anchor", "code", "words").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")), "shards")
-    hits = (spans(d, bits, maps, window, gram, False).join(window_minima(shards, window, gram, SHARD), ["anchor", "code"])
+    scratch = [shards]
+    least = stored(window_minima(shards, window, gram, SHARD, scratch), "span-minima")
+    discard(*scratch)
+    # the others' spans have nothing to look up: few places need the join
+    code_bits, reached = bitmap_of(least.select("code"))
+    codes = code_bits, spark.sparkContext.broadcast(reached)
+    hits = (spans(d, bits, maps, window, gram, False, codes).join(least, ["anchor", "code"])
             .withColumn("starts", F.expr("transform(filter(sequence(0, size(minima) - 1), i -> minima[i] < doc), i -> start + i)")).filter("size(starts) > 0"))
     return hits.groupBy("doc", "th").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"))
 
 
 def bitmap_of(shared: DataFrame) -> tuple[int, np.ndarray]:
-    """Bitmap of anchors, which are hashes already: their top bits, mixed."""
+    """Bitmap of anchors or codes, which are hashes already: their top bits, mixed."""
     from tabprep.llm.common import BITMAP_BITS
 
     n, bits = shared.count(), 1 << 15

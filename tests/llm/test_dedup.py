@@ -184,3 +184,19 @@ def test_empty_tables(spark):
     assert substring_dedup.dedup(none).count() == 0
     assert line_dedup.report(none).count() == 0
     assert line_dedup.dedup(none).count() == 0
+
+
+def test_spans_that_no_smaller_document_reaches_do_not_meet_the_join(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)) + " " + " ".join(f"same{j}" for j in range(15)) + " " + " ".join(f"v{i}x{j}" for j in range(40))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, made, kept = substring_dedup.spans, [], []
+    tables, thrown = substring_dedup.stored, substring_dedup.discard
+    monkeypatch.setattr(substring_dedup, "spans", lambda *a: made.append(whole(*a)) or made[-1])
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, name: kept.append(name) or tables(df, name))
+    monkeypatch.setattr(substring_dedup, "discard", lambda *t: kept.append("gone") or thrown(*t))
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup(docs).collect()}
+    assert got == {i: 15 if i else 0 for i in range(6)}
+    # windows that lie partly outside the common passage have an anchor in it, but no smaller document
+    assert made[1].count() < made[0].count()
+    # the shards are gone before the places are looked up
+    assert kept.index("shards") < kept.index("span-minima") < len(kept) - 1 - kept[::-1].index("gone") < kept.index("removals")
