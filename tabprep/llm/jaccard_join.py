@@ -13,12 +13,17 @@ of linked documents:
    sets are found by scanning the inverted lists of single shingles (k = 1).
    The boundary size is the one with the least cost: pairs made under it,
    list entries met from it on. Small sets within reach of the boundary
-   are in the lists too.
+   are in the lists too. Of two linked sets the larger has at least n
+   shingles, so they share at least ceil(2 percent n / (100 + percent)), and
+   the first n - that + 1 of the smaller do for k = 1. A list counts pairs whose
+   smaller set holds its shingle that early: a passage that many sets share,
+   most of each but too little for a link, then brings none together.
 4. Members of a list that a lossless filter (the L1 distance of their
-   shingles counted in 64 cells is at most the symmetric difference) cannot
-   part are candidates. A list is never spread into pairs: its members are
+   shingles counted in cells is at most the symmetric difference) cannot part
+   are candidates. Larger sets are counted in more cells (``ladder``), as few
+   cells cannot part unlike large sets. A list is never spread into pairs: its members are
    united in place, a row out for a row in. Lists over ``LIST`` members are
-   united whole. The groups of candidates hold every class of linked sets.
+   united by size and early shingles alone. The groups of candidates hold every class of linked sets.
 5. A group of more than ``BLOCK`` shingles, often long documents that share a
    passage, is filtered again with ``FINE`` cells and falls apart.
 6. In every group, in blocks of bounded size, the exact shared counts come
@@ -60,6 +65,29 @@ def least_shared(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def ladder(percent: int = PERCENT) -> list[tuple[int, int]]:
+    """(size, cells): from that size on sets are counted in so many cells. The
+    counts of two unlike sets of n differ by about 1.13 sqrt(n cells) in all,
+    linked ones by 2 n (100 - percent) / (100 + percent); a rung ends where
+    the first is 1.4 times the second."""
+    part = max(100 - percent, 1) / (100 + percent)
+    rungs = [(0, CELLS)]
+    while rungs[-1][1] < FINE:
+        rungs.append((int(rungs[-1][1] / (6.26 * part * part)), min(8 * rungs[-1][1], FINE)))
+    return rungs
+
+
+def folded(cells: list[bytes], count: int) -> np.ndarray:
+    """Rows of counts in ``count`` cells, from as many or more."""
+    size = np.array([len(x) for x in cells], np.int64)
+    out = np.empty((len(cells), count), np.uint8)
+    for c in np.unique(size):
+        at = np.flatnonzero(size == c)
+        rows = np.frombuffer(b"".join([cells[i] for i in at]), np.uint8).reshape(len(at), c // count, count)
+        out[at] = rows[:, 0] if c == count else np.minimum(rows.sum(axis=1, dtype=np.int64), 255)
+    return out
+
+
 def sketch(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
     """Counts of all shingles in 2**SKETCH counters, 2 MB whatever the input;
     every task sends its counters in chunks that are summed in Spark."""
@@ -93,6 +121,8 @@ def prefixes(docs: DataFrame, counts: np.ndarray, width: int = WIDTH, percent: i
     """doc_id, n, digest of the set, prefix (k = 2, rare first) and cells."""
     sent = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 32) - 1).astype(np.uint64) << np.uint64(32))
 
+    rungs = [(least_shared(size, percent), cells) for size, cells in ladder(percent)]
+
     def build(batches):
         rank = sent.value
         for batch in batches:
@@ -118,7 +148,8 @@ def prefixes(docs: DataFrame, counts: np.ndarray, width: int = WIDTH, percent: i
                     out[0].append(n)
                     out[1].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if n else None)
                     out[2].append(prefix)
-                    out[3].append(np.minimum(np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes())
+                    c = max(cells for size, cells in rungs if n >= size)
+                    out[3].append(np.minimum(np.bincount((s & np.uint64(c - 1)).astype(np.int64), minlength=c), 255).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()),
                                                   pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.binary())], ["doc_id", "n", "digest", "prefix", "cells"])
 
@@ -142,16 +173,17 @@ def boundary(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, most: in
 
 
 def unite(batches, percent: int, cell_count: int = CELLS, most: int | None = None):
-    """Rows of lists (key, doc, n, cells), sorted by key, n and doc, to edges
-    (a, b) that connect the members which the cell filter cannot part."""
-    def edges(key, doc, n, cells):
+    """Rows of lists (key, doc, n, cells[, early]), sorted by key, n and doc, to
+    edges (a, b) that connect the members which the cell filter cannot part. A
+    pair counts where its first row is ``early`` (default: every row is)."""
+    def edges(key, doc, n, cells, early):
         m = len(key)
         label = np.arange(m)
         for o in range(1, m):
             i = np.flatnonzero(key[:-o] == key[o:])
             if not len(i):
                 break
-            i = i[(label[i] != label[i + o]) & (100 * n[i] >= percent * n[i + o])]
+            i = i[early[i] & (label[i] != label[i + o]) & (100 * n[i] >= percent * n[i + o])]
             apart = np.abs(cells[i].astype(np.int16) - cells[i + o]).sum(axis=1, dtype=np.int64)
             i = i[(100 + percent) * apart <= (100 - percent) * (n[i] + n[i + o])]
             if o == 1:  # chains of neighbours
@@ -167,14 +199,23 @@ def unite(batches, percent: int, cell_count: int = CELLS, most: int | None = Non
         at = np.flatnonzero(label != np.arange(m))
         return np.unique(np.stack([doc[at], doc[label[at]]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
 
-    def chain(doc):
-        return np.stack([doc[1:], doc[:-1]], axis=1)
+    def chain(doc, n, early):
+        # each row with the last early one before it: of two rows that may
+        # pair, all early ones in between are near enough in size to link up
+        last = np.maximum.accumulate(np.where(early, np.arange(len(doc)), -1))[:-1]
+        at = np.flatnonzero(last >= 0)
+        at = at[100 * n[last[at]] >= percent * n[at + 1]]
+        return np.stack([doc[at + 1], doc[last[at]]], axis=1)
+
+    def ahead(early):
+        """The last early row, or else the last row: it stands for all."""
+        return len(early) - 1 - int(early[::-1].argmax()) if early.any() else len(early) - 1
 
     held, over, most = None, None, most or LIST
     for batch in batches:
         t = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-        raw = batch.column(3)
-        t.append(np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(raw), cell_count))
+        t.append(folded(batch.column(3).to_pylist(), cell_count))
+        t.append(batch.column(4).to_numpy(zero_copy_only=False) if batch.num_columns > 4 else np.ones(len(batch), bool))
         step = max(256, 8192 * CELLS // cell_count)
         for a in range(0, len(t[0]), step):
             part = [x[a:a + step] for x in t]
@@ -183,17 +224,18 @@ def unite(batches, percent: int, cell_count: int = CELLS, most: int | None = Non
             out = np.zeros((0, 2), np.int64)
             if over is not None:  # the rest of a long list
                 end = int(np.searchsorted(part[0], over, "right"))
-                out = chain(part[1][:end])
-                part = [x[end - 1:] for x in part]
+                out = chain(part[1][:end], part[2][:end], part[4][:end])
+                one = ahead(part[4][:end])
+                part = [np.concatenate([x[one:one + 1], x[end:]]) for x in part]
             cut = int(np.searchsorted(part[0], part[0][-1], "left"))
             if cut:
                 out = np.concatenate([out, edges(*[x[:cut] for x in part])])
                 over = None
             held = [x[cut:] for x in part]
-            if len(held[0]) > most:  # a long list: all its members unite, those in later chunks too
-                out = np.concatenate([out, chain(held[1])])
-                over = held[0][-1]
-                held = [x[-1:] for x in held]
+            if len(held[0]) > most:  # a long list: its members unite without the cells, those in later chunks too
+                out = np.concatenate([out, chain(held[1], held[2], held[4])])
+                over, one = held[0][-1], ahead(held[4])
+                held = [x[one:one + 1] for x in held]
             if len(out):
                 yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
     if held is not None and len(held[0]) > 1:
@@ -376,17 +418,29 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
                   .filter("doc is not null").select("doc", "n", "p.prefix", "p.cells"), "jaccard-sets")
     p = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
     whole = F.size("prefix") > 0
-    listed = reps.filter(whole).select("doc", "n", F.explode(F.slice("prefix", F.lit(1), p)).alias("key"))
+    listed = reps.filter(whole).select("doc", "n", F.posexplode(F.slice("prefix", F.lit(1), p)).alias("pos", "key"))
+    listed = listed.withColumn("early", F.col("pos") <= F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent))).drop("pos")
     members = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    lists = stored(listed.withColumn("members", members).filter("members > 1"), "jaccard-lists")
+    least = F.min(F.when(F.col("early"), F.col("n"))).over(Window.partitionBy("key"))
+    lists = stored(listed.withColumn("members", members).withColumn("least", least).filter("members > 1 and n >= least").drop("least"), "jaccard-lists")
     x = boundary(reps.filter(whole), lists, percent)
     pairs = reps.filter(whole & (F.col("n") < x)).select("doc", "n", F.explode(F.flatten(F.transform(
         F.sequence(F.lit(1), F.size("prefix") - 1), lambda i: F.transform(F.slice("prefix", i + 1, F.size("prefix")), lambda t: F.xxhash64(F.element_at("prefix", i), t))))).alias("key"))
     small = pairs.withColumn("members", members).filter("members > 1")
     large = lists.filter(F.col("n") >= least_shared(x, percent))
-    met = large.select("key", "doc", "n").union(small.select("key", "doc", "n")).join(reps.select("doc", "cells"), "doc").select("key", "doc", "n", "cells")
-    met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key", "n", "doc")
-    groups = components(met.mapInArrow(lambda b: unite(b, percent), "a long, b long"))
+    large, small = large.select("key", "doc", "n", "early"), small.select("key", "doc", "n", F.lit(True).alias("early"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def found(rows: DataFrame, sets: DataFrame, count: int) -> DataFrame:
+        rows = rows.join(sets.select("doc", "cells"), "doc").select("key", "doc", "n", "cells", "early")
+        return rows.repartition(parts, "key").sortWithinPartitions("key", "n", "doc").mapInArrow(lambda b: unite(b, percent, count), "a long, b long")
+
+    # a pair is met on the rung of its larger set
+    rungs, met = ladder(percent), found(small, reps.filter(F.col("n") < x), CELLS)
+    for (size, count), (end, _) in zip(rungs, [*rungs[1:], (None, 0)], strict=True):
+        on = (F.col("n") >= least_shared(size, percent)) & (F.lit(True) if end is None else F.col("n") < end)
+        met = met.union(found(large.filter(on), reps.filter(on), count))
+    groups = components(met)
     groups = stored(groups.join(reps.select(F.col("doc").alias("node"), "n"), "node").select(F.col("node").alias("doc"), F.col("component").alias("grp"), "n"), "jaccard-groups")
     sets = stored(groups.join(member_sets(docs, groups, width).dropDuplicates(["doc"]), "doc"), "jaccard-members")
     scratch: list[DataFrame] = []

@@ -91,6 +91,50 @@ def test_jaccard_star_longer_than_a_chunk(spark, monkeypatch):
     assert got == cases.jaccard_classes(rows)
 
 
+def grouped(spark, monkeypatch, rows, *args) -> tuple[dict, int]:
+    """Classes, and how many documents the filters leave in groups."""
+    found, real = {}, jaccard_join.stored
+
+    def spy(df, name):
+        found[name] = out = real(df, name)
+        if name == "jaccard-groups":
+            found["n"] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", spy)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(cases.table(spark, rows), *args).collect()}
+    return got, found["n"]
+
+
+@pytest.mark.parametrize("most", [1024, 10])
+def test_jaccard_passage_of_most_of_each_set_groups_nothing(spark, monkeypatch, most):
+    """Sets that share 86 % of each, which is below the similarity, in lists
+    filtered by cells and in long ones; links are among two of them."""
+    monkeypatch.setattr(jaccard_join, "LIST", most)
+    passage = [f"p{i}" for i in range(602)]
+    rows = [(i, " ".join([*passage, *[f"o{i}x{j}" for j in range(100)]]), "a") for i in range(60)]
+    rows.append((60, rows[7][1] + " tail", "a"))
+    got, n = grouped(spark, monkeypatch, rows, 3, 80)
+    assert got == cases.jaccard_classes(rows, 3, 80) and got[60][1] == 7
+    assert n <= 2
+
+
+def test_jaccard_unlike_large_sets_are_parted(spark, monkeypatch):
+    """Large sets of one size with a few words in common: 64 cells cannot part
+    them. Copies of all sizes, on either side of a rung, still link."""
+    rows, rungs = [], [size for size, _ in jaccard_join.ladder(80)]
+    for i in range(24):
+        rows.append((i, " ".join([f"d{i}x{j}" for j in range(3000)] + [f"c{j}" for j in range(8)]), "a"))
+    for g, n in enumerate([*rungs[1:], 3000]):
+        base = [f"e{g}x{j}" for j in range(n + 2)]
+        rows.append((100 + 3 * g, " ".join(base), "a"))
+        rows.append((101 + 3 * g, " ".join(base[:-n // 7]), "a"))
+        rows.append((102 + 3 * g, " ".join([*base, *[f"f{g}x{j}" for j in range(n // 7)]]), "a"))
+    got, n = grouped(spark, monkeypatch, rows, 3, 80)
+    assert {d: c for d, (_, c) in got.items()} == {d: d if d < 100 else d - (d - 100) % 3 for d, _, _ in rows}
+    assert n == 9
+
+
 def test_one_of_each_keeps_the_smallest(spark):
     rows = [*cases.texts(), (None, "a document without an id stays here", "a")]
     kept = jaccard_join.one_of_each(cases.table(spark, rows))
