@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from tabprep.operators import knn, knn_graph
@@ -41,3 +42,36 @@ def test_other_queries_than_candidates(spark):
     got = knn.knn_join(few, rest, ["a", "b"], 3, "k", method="approx").collect()
     assert len(got) == 60 and {r["q_key"] for r in got} == set(range(20)) and all(r["c_key"] >= 20 for r in got)
     assert knn.knn_join(few, rest.where("false"), ["a", "b"], 3, "k", method="approx").count() == 0
+
+
+@pytest.mark.parametrize("limited", [False, True])
+@pytest.mark.parametrize("scale", [1.0, 1e-6, 1e160])
+def test_nearest_is_the_full_comparison_to_the_bit(monkeypatch, limited, scale):
+    """Ties, equal rows and limits; values whose squares overflow go the long way."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 12)).round(1) * scale
+    x[40:80] = x[:40]
+    ids = rng.permutation(120).astype(np.int64)
+    full = knn_graph._distances(x, x)
+    full[np.arange(120), np.arange(120)] = np.inf
+    limit = np.full(120, np.median(full)) if limited else None
+    if scale < 1e100:
+        monkeypatch.setattr(knn_graph, "_distances", lambda *a: pytest.fail("every distance summed feature by feature"))
+    got = knn_graph._best(ids, ids, x, x, 7, False, limit)
+    want = []
+    for i in range(120):
+        near = sorted((full[i, j], ids[j]) for j in range(120) if np.isfinite(full[i, j]) and (limit is None or full[i, j] < limit[i]))
+        want += [(ids[i], n, d) for d, n in near[:7]]
+    assert list(got.itertuples(index=False, name=None)) == want
+
+
+def test_wide_blocks_keep_the_exact_neighbours():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 16)).round(1)
+    x[60:] = x[:30]
+    cols = {f"{p}v{i}": x[:, i] for i in range(16) for p in "qc"}
+    rows = pd.DataFrame({"qk": np.arange(90), "ck": np.arange(90), "cl": np.arange(90) % 3, **cols})
+    got = knn._block_topk(4, True, True, 16)(rows, rows)
+    full = knn_graph._distances(x, x)
+    want = {(i, j, full[i, j], j % 3) for i in range(90) for j in sorted((j for j in range(90) if j != i), key=lambda j: (full[i, j], j))[:4]}
+    assert set(got.itertuples(index=False, name=None)) == want and len(got) == 360
