@@ -161,9 +161,10 @@ class Encoder:
                 done += len(ids)
         return np.concatenate([np.zeros(0, self.dtype), *parts]), first, number
 
-    def encode_run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode_run(self, data: np.ndarray, offsets: np.ndarray, most: int = MOST_PIECES) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of texts one after another, and where each
-        text's begin; ``data`` and ``offsets`` are a run of ``text_runs``."""
+        text's begin; ``data`` and ``offsets`` are a run of ``text_runs``. Over
+        ``most`` remembered pieces half of them are dropped first."""
         import pyarrow as pa
 
         first = cuts(data, offsets)
@@ -172,7 +173,7 @@ class Encoder:
         ends = np.append(first, len(data)).astype(np.int32)
         pieces = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         names = pieces.dictionary.to_pylist()
-        if self.entries + len(names) > MOST_PIECES or self.held > MOST_BYTES:
+        if self.entries + len(names) > most or self.held > MOST_BYTES:
             self._drop_half()
         entry = list(map(self.known.get, names))
         if None in entry:

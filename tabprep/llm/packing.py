@@ -5,7 +5,9 @@ rest. Full pieces are sequences of their own. Documents are dealt at random
 (by hash) to groups; in a group the rests, longest first, go each to the
 first sequence with room, found in a tournament tree that holds the largest
 room under every node. Groups have about ``GROUP`` documents whatever the
-corpus, so a task's memory is bounded and no group is hot.
+corpus, so a task's memory is bounded and no group is hot. Texts are encoded
+in runs of about ``RUN`` bytes (one text is never split) with ``REMEMBERED``
+pieces in memory, so a worker stays small beside what earlier jobs left.
 
 A sequence is padded to ``LENGTH`` unless its length is a power of two.
 Contracts: a null text is empty and packs its end id alone; an empty table
@@ -22,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import text_runs
-from tabprep.llm.encoding import RUN, encoder
+from tabprep.llm.encoding import encoder
 
 LENGTH, END, GROUP = 1024, 0, 4096
+RUN, REMEMBERED = 1 << 20, 300_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, grp long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -59,36 +62,37 @@ def first_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, offsets
 
 
+def cut_batches(batches, length: int = LENGTH, end: int = END, vocabulary: str | None = None, with_ids: bool = False):
+    """``PIECE`` batches from Arrow batches of (doc_id, text, grp)."""
+    import pyarrow as pa
+
+    enc = encoder(vocabulary)
+    for batch in batches:
+        for row, data, offsets in text_runs(batch.column(1), RUN):
+            n = len(offsets) - 1
+            ids, bounds = enc.encode_run(data, offsets, REMEMBERED)
+            ids = np.insert(ids, bounds[1:], end).astype("<u4")  # every document's end id
+            bounds = bounds + np.arange(n + 1)
+            total = np.diff(bounds)
+            count = -(-total // length)
+            doc = np.repeat(np.arange(n), count)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * length
+            size = np.minimum(length, total[doc] - start)
+            at = bounds[doc] + start
+            raw = memoryview(ids).cast("B")
+            part = [raw[4 * a:4 * (a + z)] for a, z in zip(at.tolist(), size.tolist(), strict=True)]
+            crc = np.fromiter(map(zlib.crc32, part), np.int64, len(part))
+            kept = pa.array([ids[a:a + z].astype(enc.dtype).tobytes() for a, z in zip(at.tolist(), size.tolist(), strict=True)], pa.binary()) if with_ids else pa.nulls(len(doc), pa.binary())
+            where = pa.array(doc)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n).cast(pa.int64()).take(where), pa.array(start), pa.array(size), pa.array(crc), pa.array(total[doc]),
+                                              batch.column(2).slice(row, n).cast(pa.int64()).take(where), kept], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp", "ids"])
+
+
 def pieces(docs: DataFrame, groups: int, length: int = LENGTH, end: int = END, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
     """The pieces of every document, dealt to ``groups``; ``ids`` (as bytes of
     the vocabulary's width) only on request, they are most of the volume."""
-
-    def cut(batches):
-        import pyarrow as pa
-
-        enc = encoder(vocabulary)
-        for batch in batches:
-            for row, data, offsets in text_runs(batch.column(1), RUN):
-                n = len(offsets) - 1
-                ids, bounds = enc.encode_run(data, offsets)
-                ids = np.insert(ids, bounds[1:], end).astype("<u4")  # every document's end id
-                bounds = bounds + np.arange(n + 1)
-                total = np.diff(bounds)
-                count = -(-total // length)
-                doc = np.repeat(np.arange(n), count)
-                start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * length
-                size = np.minimum(length, total[doc] - start)
-                at = bounds[doc] + start
-                raw = memoryview(ids).cast("B")
-                part = [raw[4 * a:4 * (a + z)] for a, z in zip(at.tolist(), size.tolist(), strict=True)]
-                crc = np.fromiter(map(zlib.crc32, part), np.int64, len(part))
-                kept = pa.array([ids[a:a + z].astype(enc.dtype).tobytes() for a, z in zip(at.tolist(), size.tolist(), strict=True)], pa.binary()) if with_ids else pa.nulls(len(doc), pa.binary())
-                where = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n).cast(pa.int64()).take(where), pa.array(start), pa.array(size), pa.array(crc), pa.array(total[doc]),
-                                                  batch.column(2).slice(row, n).cast(pa.int64()).take(where), kept], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp", "ids"])
-
     group = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(groups))
-    return docs.select("doc_id", "text", group.alias("grp")).mapInArrow(cut, PIECE)
+    return docs.select("doc_id", "text", group.alias("grp")).mapInArrow(lambda b: cut_batches(b, length, end, vocabulary, with_ids), PIECE)
 
 
 def pack(docs: DataFrame, length: int = LENGTH, end: int = END, vocabulary: str | None = None, group_size: int = GROUP, with_ids: bool = False) -> DataFrame:

@@ -3,14 +3,17 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tabprep.llm import fingerprints, mixing, packing, pii, quality, token_records, warc
-from tabprep.llm.encoding import encoder
+from tabprep.llm.encoding import Encoder, encoder
 from tests.llm import cases
 
 ODD = ["", "  a b", " a", "a ", "a  b\n\nc d", "a\tb c", "x \n y", "é è z w", "it's  don't\r\nok", "1234 5,6 .. !!", "a\n", "\n", "\n\n\n a b", "日本 語 テスト　x", "a\x1c b c", "x <| y |>"]
@@ -250,6 +253,32 @@ def test_packing(spark):
         assert at <= packing.LENGTH
 
 
+def test_packing_bounds_a_worker_s_memory():
+    """Neither a batch of many texts nor many different words make a worker
+    large: texts are encoded in short runs, and few pieces are remembered."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=1200)) for _ in range(1200)]  # about 9 MB
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "grp": [0] * len(texts)})
+    encoder()
+    tracemalloc.start()
+    try:
+        got = [r["doc_id"] for b in packing.cut_batches([batch]) for r in b.select(["doc_id"]).to_pylist()]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(got) == set(range(len(texts)))
+    assert most < 60e6  # 159 MB in one run
+
+    enc = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for a in range(0, 2000, 200):
+        text = " ".join(f"v{i}" for i in range(a, a + 200))
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = enc.encode_run(data, np.array([0, len(data)]), 500)
+        assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert enc.entries <= 500
+
+
 def test_first_fit_takes_the_first_bin_with_room():
     rng = random.Random(8)
     for _ in range(50):
