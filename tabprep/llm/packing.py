@@ -27,7 +27,7 @@ from tabprep.llm.common import text_runs
 from tabprep.llm.encoding import encoder
 
 LENGTH, END, GROUP = 1024, 0, 4096
-RUN, REMEMBERED = 1 << 20, 300_000
+RUN, REMEMBERED = 1 << 21, 600_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, grp long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
