@@ -96,9 +96,10 @@ def prepare(train: DataFrame, val: DataFrame, spec: FeatureSpec, fold=0, selecti
 
 
 def prepare_folds(df: DataFrame, spec: FeatureSpec, fold_col: str = "fold", **how) -> list[Part]:
+    df = stored(df, "folds")  # every fit of every fold reads it several times
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
     split = lambda f: (df.where(F.col(fold_col) != f).drop(fold_col), df.where(F.col(fold_col) == f).drop(fold_col))
-    return at_once([lambda f=f: prepare(*split(f), spec, f, **how) for f in folds])
+    return at_once([lambda f=f: prepare(*split(f), spec, f, **how) for f in folds], max(THREADS, min(len(folds), 2 * THREADS)))
 
 
 def search_rows(parts: Sequence[Part], key: str, label: str) -> tuple[DataFrame, list]:

@@ -2,7 +2,7 @@
 
 Every fit is a handful of aggregates whose one-row results become literals:
 means and population std (T4), a power-transform lambda found by a grid
-search evaluated in one aggregate per refinement over distinct values (T1, T2),
+search evaluated in one pass of moments per refinement (T1, T2),
 exact quantile knots (T3, via ``ranks.exact_quantiles``), category lists
 (T6, one ``collect_set`` aggregate). ``transform`` is a single projection.
 """
@@ -13,10 +13,12 @@ import math
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions.exprs import nan_to_null, value_map
+from tabprep.operators.moments import _tree
 from tabprep.operators.ranks import exact_quantiles, search_expr
 
 # ------------------------------------------------------------- power maps ---
@@ -43,23 +45,47 @@ def box_cox_expr(x: Column, lam: float, shift: float = 0.0) -> Column:
     return F.when(y > 0, t).otherwise(F.lit(None).cast("double"))
 
 
-def _power_col(v: Column, lam: Column, kind: str, shift: float) -> Column:
-    """Power transform with lambda given as a column (one codegen'd expression)."""
-    if kind == "yj":
-        pos = F.when(F.abs(lam) < 1e-12, F.log1p(v)).otherwise((F.pow(v + 1.0, lam) - 1.0) / lam)
-        two = F.lit(2.0) - lam
-        neg = F.when(F.abs(two) < 1e-12, -F.log1p(-v)).otherwise(-(F.pow(-v + 1.0, two) - 1.0) / two)
-        return F.when(v >= 0, pos).otherwise(neg)
-    y = v + F.lit(float(shift))
-    return F.when(y > 0, F.when(F.abs(lam) < 1e-12, F.log(y)).otherwise((F.pow(y, lam) - 1.0) / lam))
+def _power_state(lams: np.ndarray, kind: str, shift: float):
+    """State of a batch for ``moments._tree``: rows, mean and sum of squares
+    around it of every lambda's power transform, (lambdas, 3)."""
+    def power(log: np.ndarray, lam: float) -> np.ndarray:
+        return log if abs(lam) < 1e-12 else (np.exp(lam * log) - 1.0) / lam
+
+    def state(x: np.ndarray) -> np.ndarray:
+        v, out = x[:, 0], np.zeros((len(lams), 3))
+        v = v[~np.isnan(v)]
+        if kind == "yj":
+            at = v >= 0
+            up, down = np.log1p(v[at]), np.log1p(-v[~at])
+            values = (np.concatenate([power(up, lam), -power(down, 2.0 - lam)]) for lam in lams)
+        else:
+            log = np.log(v + shift)
+            values = (power(log, lam) for lam in lams)
+        if len(v):
+            with np.errstate(all="ignore"):
+                for i, f in enumerate(values):
+                    z = f - f[0]  # equal values have no variance at all
+                    mean = z.mean()
+                    out[i] = len(f), f[0] + mean, ((z - mean) ** 2).sum()
+        return out
+
+    return state
+
+
+def _merged_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    if not a[0, 0] or not b[0, 0]:
+        return b if not a[0, 0] else a
+    with np.errstate(all="ignore"):
+        n, d = a[:, 0] + b[:, 0], b[:, 1] - a[:, 1]
+        return np.column_stack([n, a[:, 1] + d * b[:, 0] / n, a[:, 2] + b[:, 2] + d * d * a[:, 0] * b[:, 0] / n])
 
 
 def fit_power_lambda(df: DataFrame, col: str, kind: str = "yj", lo: float = -3.0, hi: float = 3.0,
                      steps: int = 17, rounds: int = 4, shift: float = 0.0, most_widenings: int = 8) -> float:
     """Maximum-likelihood lambda: -n/2 ln(var_pop(f)) + (lambda - 1) * J.
 
-    Each round scores ``steps`` lambdas in one aggregate of ``var_pop`` per
-    lambda, so nothing but partial sums is shuffled. While the best lambda sits
+    Each round scores ``steps`` lambdas in one pass of mergeable moments per
+    lambda, so nothing but partial sums is moved. While the best lambda sits
     on an edge of the grid the grid moves past that edge, at twice the width;
     then it narrows around the best. Values that the transform does not take
     (Box-Cox: not positive) are left out of all sums.
@@ -72,12 +98,12 @@ def fit_power_lambda(df: DataFrame, col: str, kind: str = "yj", lo: float = -3.0
         data = data.where(v + F.lit(float(shift)) > 0)
         jac_e = F.sum(F.log(v + F.lit(float(shift))))
 
+    row = data.agg(F.count("v").alias("n"), jac_e.alias("jac")).first()
+
     def score(lams: list) -> list:
-        f = [_power_col(v, F.lit(lam), kind, shift) for lam in lams]
-        row = data.agg(F.count("v").alias("n"), jac_e.alias("jac"), *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(f)]).first()
-        ok = [(i, row[f"v{i}"]) for i in range(len(lams))]
-        return [(-row["n"] / 2.0 * math.log(x) + (lams[i] - 1.0) * row["jac"], lams[i]) for i, x in ok
-                if x is not None and x > 0 and math.isfinite(x)]
+        got = _tree(data, ["v"], _power_state(np.array(lams), kind, float(shift)), _merged_moments, (len(lams), 3))
+        ok = [] if got is None else [(lam, s / n if n else 0.0) for lam, (n, _, s) in zip(lams, got.tolist())]
+        return [(-row["n"] / 2.0 * math.log(x) + (lam - 1.0) * row["jac"], lam) for lam, x in ok if x > 0 and math.isfinite(x)]
 
     best, a, b, widened, r = None, lo, hi, 0, 0
     while r < rounds:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabprep.operators import boosting as B
 from tabprep.operators import evaluate, fit, moments, profile, select, stages, study, transform
 from tabprep.plans import q_model
+from tabprep.session import stored
 from tabprep.sources.tables import customer_profile
 from tabprep.spec import PROFILE_SPEC, SEARCH_SPACE, FeatureSpec
 from tests.conftest import SF_SMALL
@@ -217,3 +218,14 @@ def test_confusion_of_text_and_other_labels(spark):
     assert {r["label"] for r in some.collect()} == {2, 3} and some.columns == ["label", "pred_2", "pred_3"]
     with pytest.raises(ValueError, match="type of the labels"):
         evaluate.confusion_matrix(spark.createDataFrame([(2, 3)], "label int, prediction int"), classes=["x"])
+
+
+def test_folds_are_written_once_and_equal_values_have_no_lambda(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(study, "stored", lambda df, name: names.append(name) or stored(df, name))
+    rows = spark.createDataFrame([(i, float(i % 7), i % 2, i % 3) for i in range(60)], "k long, a double, y int, fold int")
+    parts = study.prepare_folds(rows, FeatureSpec(key="k", target="y", standard=["a"]))
+    # every pass of every fold's fits ranked the rows again
+    assert names[0] == "folds" and names.count("folds") == 1 and [p.train.count() for p in parts] == [40] * 3
+    # rounding of merged sums passed for a variance
+    assert transform.fit_power_lambda(spark.createDataFrame([(0.1,)] * 7 + [(None,), (NAN,)], "v double").repartition(3), "v") == 1.0
